@@ -46,7 +46,10 @@ def fy_bounds(md: ColumnOrName, as_of, blanks: Sequence[str] = K.SENTINELS_FISCA
     parts = F.split(s, "-")
     m = F.when(ok, parts.getItem(0).try_cast("int"))
     d = F.when(ok, parts.getItem(1).try_cast("int"))
-    valid = ok & m.between(1, 12) & (d >= 1)
+    valid = F.coalesce(ok & m.between(1, 12) & (d >= 1), F.lit(False))
+    # invalid rows build a harmless date (never shown) so make_date cannot raise
+    m = F.when(valid, m).otherwise(F.lit(1))
+    d = F.when(valid, d).otherwise(F.lit(1))
     y = F.year(a)
     this_end = _date_clamped(y, m, d)
     day_c = F.dayofmonth(this_end)

@@ -115,10 +115,13 @@ def score_summary(df: DataFrame, key, score: str, digits: int = 1, conds: Mappin
 
 
 def band_means(df: DataFrame, band: str, metrics: Mapping[str, int], count_name: str = "n",
-               mode: str = "half_up", prefix: str = "avg_") -> DataFrame:
-    """Band averages of several metrics, each with its own rounding (F10); NULLs ignored."""
+               mode: str = "half_up", prefix: str = "avg_", extra: Mapping[str, Column] | None = None
+               ) -> DataFrame:
+    """Band averages of several metrics, each with its own rounding (F10); NULLs ignored.
+    `extra` adds further aggregate expressions to the same pass."""
     aggs = [F.count(F.lit(1)).alias(count_name)]
     aggs += [round_to(F.avg(m), d, mode).alias(f"{prefix}{m}") for m, d in metrics.items()]
+    aggs += [e.alias(n) for n, e in (extra or {}).items()]
     return df.groupBy(band).agg(*aggs)
 
 

@@ -267,6 +267,7 @@ def check_ranges(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     aggs = []
     for i, (_, col, lo, hi, _) in enumerate(rules):
         c = F.col(col).cast("double")
+        c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # one zero: -0.0 and 0.0 report alike
         out = F.lit(False)
         if lo is not None:
             out = out | (c < lo)

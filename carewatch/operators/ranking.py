@@ -213,7 +213,8 @@ def top_n(df: DataFrame, col: ColumnOrName, n: int, by=None, asc: bool = False,
     keys = _by(by)
     o = [(_c(col).asc_nulls_last() if asc else _c(col).desc_nulls_last())] + [F.col(t).asc() for t in tie_break]
     w = Window.partitionBy(*keys).orderBy(*o)
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)
+    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n) \
+             .withColumn(out, F.col(out).cast("long"))
 
 
 def top_k(df: DataFrame, col: ColumnOrName, k: int, asc: bool = False, tie_break: Sequence[str] = ()
