@@ -59,6 +59,33 @@ def fy_bounds(md: ColumnOrName, as_of, blanks: Sequence[str] = K.SENTINELS_FISCA
     return {"fy_end_most_recent": most_recent, "fy_end_next": nxt}
 
 
+def with_fy_bounds(df, md: str, as_of, prefix: str = "fy_", blanks: Sequence[str] = K.SENTINELS_FISCAL):
+    """DataFrame form of `fy_bounds` that materialises each step as a column, so the
+    month, day and clamped dates are computed once per row instead of being inlined into
+    every expression that uses them. Adds `{prefix}end_most_recent`, `{prefix}end_next`."""
+    a = _as_of(as_of)
+    s = clean(md)
+    ok = s.isNotNull() & ~s.isin(list(blanks)) & s.rlike(r"^[0-9]+-[0-9]+$")
+    parts = F.split(s, "-")
+    t = df.withColumns({f"_{prefix}m": F.when(ok, parts.getItem(0).try_cast("int")),
+                        f"_{prefix}d": F.when(ok, parts.getItem(1).try_cast("int"))})
+    m, d = F.col(f"_{prefix}m"), F.col(f"_{prefix}d")
+    t = t.withColumn(f"_{prefix}ok", F.coalesce(m.between(1, 12) & (d >= 1), F.lit(False)))
+    valid = F.col(f"_{prefix}ok")
+    t = t.withColumns({f"_{prefix}m": F.when(valid, m).otherwise(F.lit(1)),
+                       f"_{prefix}d": F.when(valid, d).otherwise(F.lit(1))})
+    y = F.year(a)
+    t = t.withColumn(f"_{prefix}this", _date_clamped(y, m, d))
+    this_end = F.col(f"_{prefix}this")
+    t = t.withColumn(f"_{prefix}day", F.dayofmonth(this_end))
+    day_c = F.col(f"_{prefix}day")
+    past = this_end <= a
+    t = t.withColumns({
+        f"{prefix}end_most_recent": F.when(valid, F.when(past, this_end).otherwise(_date_clamped(y - 1, m, day_c))),
+        f"{prefix}end_next": F.when(valid, F.when(past, _date_clamped(y + 1, m, day_c)).otherwise(this_end))})
+    return t.drop(*[f"_{prefix}{x}" for x in ("m", "d", "ok", "this", "day")])
+
+
 def next_deadline(as_of, deadlines=K.PBJ_DEADLINES, lead_days: int = K.PBJ_ACTION_LEAD,
                   include_prior_q4: bool = False) -> dict[str, Column]:
     """Next of a fixed set of yearly deadlines on or after `as_of`, with its label and the
@@ -104,15 +131,17 @@ def alert(term: ColumnOrName, action: ColumnOrName, as_of, critical: int = K.CRI
              .otherwise(F.lit("OK")))
 
 
-def worst(*alerts: ColumnOrName, priority=K.ALERT_PRIORITY) -> Column:
-    """Highest-priority alert among several (K29); unknown labels rank lowest; the first
-    listed wins ties like Python's `max`."""
+def alert_priority(al: ColumnOrName, priority=K.ALERT_PRIORITY) -> Column:
+    """Numeric priority of an alert label (unknown labels -1)."""
     pmap = F.create_map(*[x for lab, p in priority for x in (F.lit(lab), F.lit(p))])
-    n = len(alerts)
-    items = [F.struct(F.coalesce(F.try_element_at(pmap, _c(al)), F.lit(-1)).alias("p"),
-                      F.lit(n - i).alias("o"), _c(al).alias("label"))
-             for i, al in enumerate(alerts)]
-    return F.array_max(F.array(*items))["label"]
+    return F.coalesce(F.try_element_at(pmap, _c(al)), F.lit(-1))
+
+
+def worst(*alerts: ColumnOrName, priority=K.ALERT_PRIORITY) -> Column:
+    """Highest-priority alert among several (K29). Each input is referenced once: the
+    greatest priority is mapped back to its label (labels and priorities are 1:1)."""
+    back = F.create_map(*[x for lab, p in priority for x in (F.lit(p), F.lit(lab))])
+    return F.try_element_at(back, F.greatest(*[alert_priority(a, priority) for a in alerts]))
 
 
 def days_until(d: ColumnOrName, as_of) -> Column:

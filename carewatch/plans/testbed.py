@@ -535,37 +535,43 @@ FY_SAMPLES = ["13-01", "Not Available", "02-30", "", "2-29"]
 
 def calendar_alerts(spark, d, as_of: dt.date = AS_OF):
     """K25-K29 compliance calendar: licence alert from a term date, next staffing-report
-    deadline, cost-report due date from a fiscal year end text, worst alert; K30 year."""
+    deadline, cost-report due date from a fiscal year end text, worst alert; K30 year.
+    Built in stages (one column per step) so no date expression is evaluated twice."""
     o = _t(spark, d, "orders")
     k = F.col("o_orderkey")
     odate = F.col("o_orderdate").cast("date")
     fy = F.when(k % 10 < len(FY_SAMPLES), F.element_at(F.array(*[F.lit(x) for x in FY_SAMPLES]),
                                                         (k % 10 + 1).cast("int"))) \
           .otherwise(F.date_format(odate, "MM-dd"))
-    o = o.select("o_orderkey", "o_orderpriority", odate.alias("odate"), fy.alias("fy_text"))
-    term = F.date_add(F.col("odate"), 365)
-    lic = cal.alert(term, F.date_sub(term, K.STATE_LICENSE_ACTION_LEAD), as_of)
-    is_snf = F.col("o_orderpriority") == "1-URGENT"
-    nd = cal.next_deadline(as_of)
-    pbj = F.when(is_snf, cal.alert(nd["deadline"], nd["action_date"], as_of)).otherwise(F.lit("N_A"))
-    fyb = cal.fy_bounds("fy_text", as_of)
-    due = cal.month_end_after(fyb["fy_end_next"])
-    cost = F.when(~is_snf, F.lit("N_A")).otherwise(
-        cal.alert(due, F.date_sub(due, K.COST_REPORT_ACTION_LEAD), as_of))
-    out = o.select("o_orderkey", lic.alias("license_alert"), pbj.alias("pbj_alert"),
-                   F.when(is_snf, nd["deadline_label"]).otherwise(F.lit("")).alias("pbj_quarter"),
-                   F.when(is_snf, fyb["fy_end_next"]).alias("fy_end_next"),
-                   F.when(is_snf, due).alias("cost_report_due"), cost.alias("cost_report_alert"),
-                   X.year4(F.date_format("odate", "yyyy-MM-dd")).alias("order_year"))
+    o = o.select("o_orderkey", (F.col("o_orderpriority") == "1-URGENT").alias("is_snf"), odate.alias("odate"),
+                 fy.alias("fy_text"))
+    o = o.withColumn("term", F.date_add("odate", 365))
+    nd = cal.next_deadline(as_of)  # constant-folded: as_of is a literal
+    o = o.withColumns({"license_alert": cal.alert("term", F.date_sub("term", K.STATE_LICENSE_ACTION_LEAD), as_of),
+                       "pbj_deadline": nd["deadline"], "pbj_action": nd["action_date"], "pbj_label": nd["deadline_label"]})
+    o = cal.with_fy_bounds(o, "fy_text", as_of)
+    o = o.withColumn("due", cal.month_end_after("fy_end_next"))
+    is_snf = F.col("is_snf")
+    out = o.select(
+        "o_orderkey", "license_alert",
+        F.when(is_snf, cal.alert("pbj_deadline", "pbj_action", as_of)).otherwise(F.lit("N_A")).alias("pbj_alert"),
+        F.when(is_snf, F.col("pbj_label")).otherwise(F.lit("")).alias("pbj_quarter"),
+        F.when(is_snf, F.col("fy_end_next")).alias("fy_end_next"),
+        F.when(is_snf, F.col("due")).alias("cost_report_due"),
+        F.when(~is_snf, F.lit("N_A")).otherwise(
+            cal.alert("due", F.date_sub("due", K.COST_REPORT_ACTION_LEAD), as_of)).alias("cost_report_alert"),
+        X.year4(F.date_format("odate", "yyyy-MM-dd")).alias("order_year"))
     return out.withColumn("overall_alert", cal.worst("license_alert", "pbj_alert", "cost_report_alert"))
 
 
 def hotlist(spark, d, as_of: dt.date = AS_OF):
-    """H3 urgent subset (D1 on alert labels) sorted by severity then key."""
-    c = calendar_alerts(spark, d, as_of)
-    pr = F.create_map(*[x for lab, p in K.ALERT_PRIORITY for x in (F.lit(lab), F.lit(p))])
-    h = P.where_in(c, "overall_alert", ["OVERDUE", "CRITICAL", "WARNING"])
-    h = h.withColumn("priority", F.element_at(pr, F.col("overall_alert")))
+    """H3 urgent subset (D1 on alert labels) sorted by severity then key.
+    The calendar is cut off from the filter by a cheap non-deterministic column so the
+    optimizer does not push the filter down by re-inlining every staged date expression."""
+    c = calendar_alerts(spark, d, as_of).withColumn("_stage", F.monotonically_increasing_id())
+    h = P.where_in(c, "overall_alert", ["OVERDUE", "CRITICAL", "WARNING"], normalize=False,
+                   active=F.col("_stage") >= 0)  # references the barrier, so it stays in place
+    h = h.withColumn("priority", cal.alert_priority("overall_alert"))
     return R.sort_rows(h.select("o_orderkey", "overall_alert", "priority", "cost_report_due"),
                        [("priority", "desc", "last"), ("cost_report_due", "asc", "last"), ("o_orderkey", "asc", "last")])
 
