@@ -1,10 +1,10 @@
 """Joins (E1-E13).
 
-Broadcast policy: a side is broadcast only when its size is bounded — either it is a
-literal table whose row count is known at construction, or `bounded_broadcast` has
-checked (with a `limit(n+1).count()` probe) that it holds at most `max_rows` rows.
-Beyond the bound the plan stays a shuffled join and AQE may still re-plan it at runtime
-(it also splits skewed partitions of the large side).
+Broadcast policy: a side is broadcast only when its size is bounded — it is a literal
+table whose row count is known at construction, a caller asked for an explicit probe
+(`limit(n+1).count()`), or AQE measured the materialised side at runtime and found it
+under `spark.sql.adaptive.autoBroadcastJoinThreshold`. Beyond the bound the join stays
+a shuffled sort-merge join, and AQE splits skewed partitions of the large side.
 """
 
 from __future__ import annotations
@@ -26,10 +26,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a proven size bound (see module doc)."""
-    small = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
+                      known_rows: int | None = None, probe: bool = False) -> DataFrame:
+    """Broadcast hint only behind a proven size bound.
+
+    * `known_rows` (literal / constructed tables): hint iff within `max_rows`.
+    * `probe=True`: count at most max_rows + 1 rows now and hint iff within the bound.
+    * otherwise no hint: the planner broadcasts a scan whose file size is under the
+      threshold, and AQE converts a shuffled join to a broadcast join only after the
+      small side's shuffle stage has run and its real size is measured; beyond the
+      threshold the join stays a sort-merge join (with skew splitting)."""
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    if probe:
+        return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return df
 
 
 def _keys(on) -> list[str]:

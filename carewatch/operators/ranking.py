@@ -7,8 +7,8 @@ count table* built without any single-partition step over raw rows:
   1. `groupBy(by, value).count()`            - partial+final hash aggregate; a hot value
                                                collapses into one row with a big count.
   2. value buckets from approximate quantiles of the distinct values (a bounded list of
-     `n_buckets - 1` edges, fetched once), so every bucket holds a similar number of
-     distinct values.
+     `n_buckets - 1` edges, a one-row aggregate broadcast inside the same plan), so every
+     bucket holds a similar number of distinct values.
   3. running sum inside `(by, bucket)` windows  - many balanced partitions.
   4. bucket totals -> offsets with a window over `(by)` on at most groups x n_buckets
      rows, joined back on (by, bucket).
@@ -46,14 +46,14 @@ def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAU
     keys = _by(by)
     v = F.col(value)
     vc = df.where(_valid(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(e for e in vc.approxQuantile(value, probs, rel_err) if e is not None))
-    if edges:
-        bucket = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]),
-                                 lambda e: e < v.cast("double")))
-    else:
-        bucket = F.lit(0)
-    vc = vc.withColumn("_b", bucket)
+    # Bucket edges: approximate quantiles of the distinct values, computed inside the plan
+    # as a one-row aggregate (n_buckets - 1 doubles) and broadcast on a constant key.
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    acc = max(100, int(round(1.0 / rel_err)))
+    edges = vc.agg(F.percentile_approx(v.cast("double"), probs, acc).alias("_edges")).withColumn("_g", F.lit(0))
+    vc = vc.withColumn("_g", F.lit(0)).join(F.broadcast(edges), "_g")
+    vc = vc.withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < v.cast("double"))), F.lit(0))) \
+           .drop("_g", "_edges")
     run = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     vc = vc.withColumn("_cum_b", F.sum("n").over(run))
     bt = vc.groupBy(*keys, "_b").agg(F.sum("n").alias("_bt"))
@@ -76,24 +76,94 @@ def _attach(df: DataFrame, table: DataFrame, value: str, by, cols: dict) -> Data
     return df.join(t, [*keys, value], "left")
 
 
+def quantiles_from_counts(cc: DataFrame, value: str, probs: Sequence[float], by=None,
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group from a cumulative-count table:
+    position p*(N-1) lies between the order statistics at floor and ceil; each is the
+    distinct value whose [cum_lt, cum_le) range holds that position. One aggregate."""
+    keys = _by(by)
+    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
+    aggs = [F.max("total").alias("n")]
+    for p, nm in zip(probs, names):
+        pos = F.lit(float(p)) * (F.col("total") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        has_lo = (F.col("cum_lt") <= lo) & (lo < F.col("cum_le"))
+        has_hi = (F.col("cum_lt") <= hi) & (hi < F.col("cum_le"))
+        aggs += [F.max(F.when(has_lo, F.col(value))).alias(f"_{nm}_lo"),
+                 F.max(F.when(has_hi, F.col(value))).alias(f"_{nm}_hi"),
+                 F.max(pos - lo).alias(f"_{nm}_f")]
+    g = cc.groupBy(*keys).agg(*aggs)
+    outs = [(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) * F.col(f"_{nm}_f")).alias(nm)
+            for nm in names]
+    return g.select(*keys, "n", *outs)
+
+
+def _join_groups(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach one row per group: an equi-join on the group keys, or (no keys) a one-row
+    broadcast on a constant key."""
+    if keys:
+        return left.join(small, keys, "left")
+    return left.withColumn("_g", F.lit(0)).join(F.broadcast(small.withColumn("_g", F.lit(0))), "_g", "left") \
+               .drop("_g")
+
+
+def rank_values(df: DataFrame, value: str, by=None, rank: str | None = None, rank_desc: bool = False,
+                pct: str | None = None, pct_digits: int | None = 3, tier: str | None = None,
+                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """One row per (by..., value) with the requested order statistics, all read off ONE
+    cumulative-count table:
+
+    * `rank`  - SQL RANK() ascending (or descending with `rank_desc`) (G1)
+    * `pct`   - average-rank percentile, pandas rank(pct=True), half-even rounded (G2, G3)
+    * `tier`  - quartile tier with <= edges from exact interpolated quartiles (G4, T5)
+    """
+    keys = _by(by)
+    cc = cumulative_counts(df, value, by, n_buckets)
+    cols: dict = {}
+    if tier:
+        q = quantiles_from_counts(cc, value, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"]).drop("n")
+        cc = _join_groups(cc, q, keys)
+        cols[tier] = tier_label(value, "_q1", "_q2", "_q3")
+    if rank:
+        r = (F.col("total") - F.col("cum_le") + 1) if rank_desc else (F.col("cum_lt") + 1)
+        cols[rank] = r.cast("long")
+    if pct:
+        p = ((F.col("cum_lt") + 1 + F.col("cum_le")) / F.lit(2.0)) / F.col("total")
+        cols[pct] = F.bround(p, pct_digits) if pct_digits is not None else p
+    return cc.select(*keys, value, *[e.alias(n) for n, e in cols.items()])
+
+
+def attach_ranks(df: DataFrame, values: DataFrame, value: str, by=None, tier: str | None = None,
+                 unscored: str | None = None) -> DataFrame:
+    """Left-join a `rank_values` table back on (by..., value). NULL / NaN values match
+    nothing, so unscored rows keep NULL statistics and tier `unscored` (T6, E10)."""
+    out = df.join(values, [*_by(by), value], "left")
+    if tier and unscored is not None:
+        out = out.withColumn(tier, F.coalesce(F.col(tier), F.lit(unscored)))
+    return out
+
+
+def rank_table(df: DataFrame, value: str, by=None, rank: str | None = None, rank_desc: bool = False,
+               pct: str | None = None, pct_digits: int | None = 3, tier: str | None = None,
+               unscored: str | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """`rank_values` attached to `df` with one join."""
+    vals = rank_values(df, value, by, rank, rank_desc, pct, pct_digits, tier, n_buckets)
+    return attach_ranks(df, vals, value, by, tier, unscored)
+
+
 # ------------------------------------------------------------------- G1 / G2 / G3
 def rank_by(df: DataFrame, col: str, asc: bool = True, by=None, out: str = "rank",
             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """SQL `RANK()` (ties share the lowest position, gaps follow) over `col`, nationally or
     within `by`, without a single-partition window (G1). NULL values get NULL rank."""
-    cc = cumulative_counts(df, col, by, n_buckets)
-    r = (F.col("cum_lt") + 1) if asc else (F.col("total") - F.col("cum_le") + 1)
-    return _attach(df, cc, col, by, {out: r.cast("long")})
+    return rank_table(df, col, by, rank=out, rank_desc=not asc, n_buckets=n_buckets)
 
 
 def pct_rank_avg(df: DataFrame, col: str, by=None, out: str = "pct_rank", digits: int | None = 3,
                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Average-rank percentile, pandas `rank(pct=True)` (G2, G3, trap T4):
     (mean of the tied positions) / (non-NULL count). Rounded half-even like pandas."""
-    cc = cumulative_counts(df, col, by, n_buckets)
-    avg_rank = (F.col("cum_lt") + 1 + F.col("cum_le")) / F.lit(2.0)
-    pct = avg_rank / F.col("total")
-    return _attach(df, cc, col, by, {out: F.bround(pct, digits) if digits is not None else pct})
+    return rank_table(df, col, by, pct=out, pct_digits=digits, n_buckets=n_buckets)
 
 
 def pct_rank_window(df: DataFrame, col: str, by=None, out: str = "pct_rank", digits: int | None = 3
@@ -114,25 +184,9 @@ def pct_rank_window(df: DataFrame, col: str, by=None, out: str = "pct_rank", dig
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75), by=None,
                     names: Sequence[str] | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy 'linear', SQL `percentile` /
-    `quantile_cont`) per group, from the cumulative table: position p*(N-1) between the
-    order statistics at floor and ceil. One aggregate over distinct values; no value map
-    is held in memory for a whole group. Rows: (by..., n, q_...)."""
-    keys = _by(by)
-    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    cc = cumulative_counts(df, col, by, n_buckets)
-    aggs = [F.max("total").alias("n")]
-    for p, nm in zip(probs, names):
-        pos = F.lit(float(p)) * (F.col("total") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        has_lo = (F.col("cum_lt") <= lo) & (lo < F.col("cum_le"))
-        has_hi = (F.col("cum_lt") <= hi) & (hi < F.col("cum_le"))
-        aggs += [F.max(F.when(has_lo, F.col(col))).alias(f"_{nm}_lo"),
-                 F.max(F.when(has_hi, F.col(col))).alias(f"_{nm}_hi"),
-                 F.max(pos - lo).alias(f"_{nm}_f")]
-    g = cc.groupBy(*keys).agg(*aggs)
-    outs = [(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) * F.col(f"_{nm}_f")).alias(nm)
-            for nm in names]
-    return g.select(*keys, "n", *outs)
+    `quantile_cont`) per group. No per-group value map is held in memory: the order
+    statistics are read off the cumulative-count table. Rows: (by..., n, q_...)."""
+    return quantiles_from_counts(cumulative_counts(df, col, by, n_buckets), col, probs, by, names)
 
 
 # ------------------------------------------------------------------------- G4
@@ -148,19 +202,11 @@ def tier_label(score: ColumnOrName, q1: ColumnOrName, med: ColumnOrName, q3: Col
 
 
 def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored: str | None = None,
-                  keep_edges: bool = False) -> DataFrame:
-    """Quartile tiers nationally or within `by` (G4). Edges come from `exact_quantiles`
-    over scored rows only (T6) and are joined back: one row per group, so nationally a
-    one-row broadcast on a constant key, otherwise an equi-join on the group keys.
-    Unscored rows get `unscored` (default NULL, parity with the rejoin)."""
-    keys = _by(by)
-    q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"])
-    if keys:
-        j = df.join(q.drop("n"), keys, "left")
-    else:
-        j = df.withColumn("_g", F.lit(0)).join(F.broadcast(q.drop("n").withColumn("_g", F.lit(0))), "_g", "left").drop("_g")
-    j = j.withColumn(out, tier_label(col, "_q1", "_q2", "_q3", unscored))
-    return j if keep_edges else j.drop("_q1", "_q2", "_q3")
+                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
+    scored rows only (T6), computed per group from the cumulative-count table and joined
+    to the distinct-value table (one row per group), then attached with one join."""
+    return rank_table(df, col, by, tier=out, unscored=unscored, n_buckets=n_buckets)
 
 
 # ------------------------------------------------------------------------- G5

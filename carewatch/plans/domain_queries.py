@@ -1,5 +1,241 @@
-"""End-to-end domain builds (access chain, VBP scoring) run on the test tables.
-Filled in by the access and VBP plan modules."""
+"""End-to-end domain builds run on the test tables (access chain P1-P2, VBP P14).
 
-QUERIES: dict = {}
-SQL: dict = {}
+The test tables stand in for the domain files: each customer becomes a provider (NPI),
+its market segment a taxonomy code, its nation a ZIP (and nation mod 5 a state);
+order counts per nation stand in for census populations; region 4 nations are
+military ZIPs. For VBP, each customer is a scored facility whose text columns carry
+the source's sentinels and footnotes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import constants as K
+from ..sources.catalog import table
+from ..sources.readers import literal_table
+from . import access, vbp
+from .testbed_sql import _num, _q
+
+SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
+                 ("HOUSEHOLD", "282E00000X"), ("FURNITURE", "311Z00000X")]
+TAXONOMY_ROWS = [("314000000X", "Skilled Nursing Facility", "", "Skilled Nursing Facility"),
+                 ("310400000X", "Assisted Living Facility", "", "Assisted Living Facility"),
+                 ("251E00000X", "Home Health", "", "Home Health Agency"),
+                 ("282E00000X", "Long Term Care Hospital", "", "Long Term Care Hospital"),
+                 ("311Z00000X", "Custodial Care Facility", "", "Custodial Care Facility")]
+ACCESS_SMALL_THRESHOLD = 240
+
+
+def npi_from_customers(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    seg = F.create_map(*[x for s, code in SEGMENT_CODES for x in (F.lit(s), F.lit(code))])
+    return c.select(
+        k.cast("string").alias("NPI"),
+        F.when(F.col("c_acctbal") > 0, "2").otherwise("1").alias("EntityTypeCode"),
+        F.when(k % 13 == 0, F.lit("999999999X")).otherwise(F.element_at(seg, F.col("c_mktsegment"))).alias("TaxonomyCode_1"),
+        F.concat(F.lit("st"), (F.col("c_nationkey") % 5).cast("string")).alias("PracticeLocationState"),
+        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), F.lit("-0001")).alias("PracticeLocationPostalCode"),
+        F.lpad(((F.col("c_nationkey") + k % 2) % 25).cast("string"), 5, "0").alias("BusinessMailingPostalCode"),
+        F.when(k % 50 == 0, F.lit("DT")).alias("NPIDeactivationReasonCode"))
+
+
+def census_from_orders(spark, d) -> DataFrame:
+    o = table(spark, d, "orders").select("o_custkey", "o_orderpriority")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    n = table(spark, d, "nation").where(F.col("n_regionkey") != 3).select(F.col("n_nationkey").alias("c_nationkey"))
+    j = o.join(c, "o_custkey").join(n, "c_nationkey")
+    return j.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("ZIP")).agg(
+        F.count(F.lit(1)).alias("Population_Total"),
+        F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("Population_65Plus"),
+        F.lit("2023-5yr").alias("ACS_Year"))
+
+
+def military_from_nations(spark, d) -> DataFrame:
+    return table(spark, d, "nation").where(F.col("n_regionkey") == 4).select(
+        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("ZIP"))
+
+
+def _access(spark, d) -> dict:
+    tax = literal_table(spark, TAXONOMY_ROWS, "Code string, Classification string, Specialization string, DisplayName string")
+    return access.build(npi_from_customers(spark, d), tax, census_from_orders(spark, d),
+                        military_from_nations(spark, d), ACCESS_SMALL_THRESHOLD)
+
+
+def access_zip(spark, d):
+    """ZIP access analysis."""
+    return _access(spark, d)["analysis"]
+
+
+def access_chain(spark, d):
+    """P1 + P2: state ranking from the ZIP analysis."""
+    return _access(spark, d)["by_state"]
+
+
+FOOTNOTE_TEXT = ["", "---", "Below case minimum", "Other text"]
+SNFRM_BASE = "Baseline Period: FY 2022 Risk-Standardized Readmission Rate"
+SNFRM_PERF = "Performance Period: FY 2024 Risk-Standardized Readmission Rate"
+SNFRM_NOTE = "Footnote -- Performance Period: FY 2024 Risk-Standardized Readmission Rate"
+
+
+def vbp_raw_from_customers(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    tail = (k % 90 + 10).cast("string")
+    mult = (F.when(k % 11 == 0, F.lit("N/A"))
+             .when(F.col("c_acctbal") > 4500, F.concat(F.lit("1.0"), tail))
+             .when(F.col("c_acctbal") < 4000, F.concat(F.lit("0.9"), tail)).otherwise(F.lit("1")))
+    note = F.element_at(F.array(*[F.lit(x) for x in FOOTNOTE_TEXT]), (k % 4 + 1).cast("int"))
+    return c.select(
+        F.lpad(k.cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        F.col("c_name").alias("Provider Name"),
+        F.concat(F.lit(" st"), (F.col("c_nationkey") % 7).cast("string")).alias("State"),
+        F.when(k % 9 == 0, F.lit("---")).otherwise(F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
+         .alias("Performance Score"),
+        mult.alias("Incentive Payment Multiplier"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("."), F.lpad((k % 100).cast("string"), 2, "0")).alias(SNFRM_BASE),
+        F.when(k % 6 == 0, F.lit("---")).otherwise(
+            F.concat(F.lit("8."), F.lpad(((k * 7) % 100).cast("string"), 2, "0"))).alias(SNFRM_PERF),
+        note.alias(SNFRM_NOTE))
+
+
+VBP_FACILITY_COLS = ["ccn", "state", "performance_score", "incentive_multiplier", "payment_direction",
+                     "national_pct_rank", "national_vbp_tier", "state_pct_rank", "state_vbp_tier",
+                     "snfrm_base", "snfrm_perf", "snfrm_delta", "fn_snfrm_flag"]
+
+
+def vbp_chain(spark, d):
+    """National and state percentile ranks and tiers, direction, deltas, footnotes."""
+    return vbp.build(vbp_raw_from_customers(spark, d))["facility"].select(*VBP_FACILITY_COLS)
+
+
+def vbp_state(spark, d):
+    """P14 output 2: state summary of scored facilities."""
+    return vbp.build(vbp_raw_from_customers(spark, d))["state"]
+
+
+QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state}
+
+
+# ------------------------------------------------------------------------ SQL
+def _access_sql() -> str:
+    seg = " ".join(f"WHEN {_q(s)} THEN {_q(c)}" for s, c in SEGMENT_CODES)
+    codes = ", ".join(_q(c) for c in K.LTPAC_TAXONOMY_CODES)
+    all_b = ", ".join(_q(c) for cs in K.LTPAC_BUCKETS.values() for c in cs)
+    buckets = ", ".join(f"CAST(COUNT_IF(tax IN ({', '.join(_q(c) for c in cs)})) AS BIGINT) AS {n}"
+                        for n, cs in K.LTPAC_BUCKETS.items())
+    t = ACCESS_SMALL_THRESHOLD
+    return f"""
+    WITH npi AS (SELECT CAST(c_custkey AS VARCHAR) AS NPI, CASE WHEN c_acctbal > 0 THEN '2' ELSE '1' END AS EntityTypeCode,
+                   CASE WHEN c_custkey % 13 = 0 THEN '999999999X' ELSE (CASE c_mktsegment {seg} END) END AS TaxonomyCode_1,
+                   'st' || CAST(c_nationkey % 5 AS VARCHAR) AS PracticeLocationState,
+                   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '-0001' AS PracticeLocationPostalCode,
+                   lpad(CAST((c_nationkey + c_custkey % 2) % 25 AS VARCHAR), 5, '0') AS BusinessMailingPostalCode,
+                   CASE WHEN c_custkey % 50 = 0 THEN 'DT' END AS NPIDeactivationReasonCode FROM customer),
+    prov AS (SELECT NPI, EntityTypeCode, upper(TRIM(TaxonomyCode_1)) AS tax, upper(TRIM(PracticeLocationState)) AS State,
+                    substring(TRIM(PracticeLocationPostalCode), 1, 5) AS pz, substring(TRIM(BusinessMailingPostalCode), 1, 5) AS mz
+             FROM npi WHERE NPIDeactivationReasonCode IS NULL AND upper(TRIM(TaxonomyCode_1)) IN ({codes})),
+    z AS (SELECT pz AS ZIP, State, COUNT(DISTINCT NPI) AS total_providers,
+                 CAST(COUNT_IF(EntityTypeCode = '2') AS BIGINT) AS facility_count,
+                 CAST(COUNT_IF(EntityTypeCode = '1') AS BIGINT) AS individual_count, {buckets},
+                 CAST(COUNT_IF(NOT COALESCE(tax IN ({all_b}), false)) AS BIGINT) AS other_count,
+                 CAST(COUNT_IF(COALESCE(mz <> pz AND mz <> '', false)) AS BIGINT) AS multi_location_indicator
+          FROM prov WHERE pz IS NOT NULL AND TRIM(pz) <> '' GROUP BY pz, State),
+    cen AS (SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS ZIP, COUNT(*) AS population_total,
+                   CAST(COUNT_IF(o.o_orderpriority IN ('1-URGENT', '2-HIGH')) AS BIGINT) AS population_65plus,
+                   '2023-5yr' AS acs_year
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+            WHERE n.n_regionkey <> 3 GROUP BY 1),
+    mil AS (SELECT DISTINCT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS ZIP FROM nation WHERE n_regionkey = 4),
+    a AS (SELECT z.*, cen.population_total, cen.population_65plus, cen.acs_year,
+                 CASE WHEN mil.ZIP IS NOT NULL THEN 1 ELSE 0 END AS military_installation_flag
+          FROM z LEFT JOIN cen ON z.ZIP = cen.ZIP LEFT JOIN mil ON z.ZIP = mil.ZIP),
+    analysis AS (SELECT *,
+      CASE WHEN population_65plus > 0 THEN ROUND(CAST(total_providers AS DOUBLE) / NULLIF(CAST(population_65plus AS DOUBLE), 0) * 1000.0, 2) END
+        AS providers_per_thousand_elderly,
+      CASE WHEN population_65plus > 0 THEN ROUND(CAST(facility_count AS DOUBLE) / NULLIF(CAST(population_65plus AS DOUBLE), 0) * 1000.0, 2) END
+        AS facilities_per_thousand_elderly,
+      CASE WHEN population_total > 0 THEN ROUND(CAST(population_65plus AS DOUBLE) / NULLIF(CAST(population_total AS DOUBLE), 0) * 100.0, 1) END
+        AS pct_65plus,
+      CASE WHEN population_65plus IS NULL OR population_65plus < {t} THEN 1 ELSE 0 END AS small_denominator_flag,
+      CASE WHEN military_installation_flag = 1 THEN ZIP || ' **' WHEN population_65plus IS NULL THEN ZIP || ' ***'
+           WHEN population_65plus < {t} THEN ZIP || ' *' ELSE ZIP END AS zip_label
+      FROM a)"""
+
+
+def _access_state_sql() -> str:
+    return _access_sql() + """,
+    ex AS (SELECT State, CAST(COUNT_IF(military_installation_flag = 1) AS BIGINT) AS excluded_military_zips
+           FROM analysis GROUP BY State),
+    s AS (SELECT State, COUNT(DISTINCT ZIP) AS zip_count, CAST(SUM(total_providers) AS BIGINT) AS total_providers,
+            CAST(SUM(facility_count) AS BIGINT) AS total_facilities, CAST(SUM(individual_count) AS BIGINT) AS total_individuals,
+            CAST(SUM(population_total) AS BIGINT) AS total_population, CAST(SUM(population_65plus) AS BIGINT) AS total_pop_65plus,
+            ROUND(CAST(SUM(total_providers) AS DOUBLE) / NULLIF(CAST(SUM(population_65plus) AS DOUBLE), 0) * 1000, 2)
+              AS providers_per_thousand_elderly,
+            ROUND(CAST(SUM(facility_count) AS DOUBLE) / NULLIF(CAST(SUM(population_65plus) AS DOUBLE), 0) * 1000, 2)
+              AS facilities_per_thousand_elderly,
+            ROUND(CAST(SUM(population_65plus) AS DOUBLE) / NULLIF(CAST(SUM(population_total) AS DOUBLE), 0) * 100, 1) AS pct_65plus,
+            CAST(SUM(small_denominator_flag) AS BIGINT) AS small_denominator_zip_count,
+            CAST(SUM(military_installation_flag) AS BIGINT) AS military_zip_count, MAX(acs_year) AS acs_year
+          FROM analysis WHERE military_installation_flag = 0 AND population_65plus IS NOT NULL GROUP BY State)
+    SELECT s.*, ex.excluded_military_zips,
+           RANK() OVER (ORDER BY providers_per_thousand_elderly ASC NULLS LAST) AS access_rank
+    FROM s LEFT JOIN ex ON s.State = ex.State"""
+
+
+def _vbp_sql() -> str:
+    notes = "[" + ", ".join(_q(x) for x in FOOTNOTE_TEXT) + "]"
+    sent = tuple(K.SENTINELS_VBP + K.SENTINELS_COMMON)
+
+    def tier(q):
+        return (f"CASE WHEN d.performance_score IS NULL THEN NULL WHEN d.performance_score <= {q}.q1 THEN 'BOTTOM_QUARTILE' "
+                f"WHEN d.performance_score <= {q}.q2 THEN 'BELOW_MEDIAN' WHEN d.performance_score <= {q}.q3 THEN 'ABOVE_MEDIAN' "
+                f"ELSE 'TOP_QUARTILE' END")
+    qs = ("quantile_cont(performance_score, 0.25) AS q1, quantile_cont(performance_score, 0.5) AS q2, "
+          "quantile_cont(performance_score, 0.75) AS q3")
+    return f"""
+    WITH raw AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS ccn, ' st' || CAST(c_nationkey % 7 AS VARCHAR) AS state_raw,
+                   CASE WHEN c_custkey % 9 = 0 THEN '---' ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS score_text,
+                   CASE WHEN c_custkey % 11 = 0 THEN 'N/A' WHEN c_acctbal > 4500 THEN '1.0' || CAST(c_custkey % 90 + 10 AS VARCHAR)
+                        WHEN c_acctbal < 4000 THEN '0.9' || CAST(c_custkey % 90 + 10 AS VARCHAR) ELSE '1' END AS mult_text,
+                   CAST(c_nationkey AS VARCHAR) || '.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') AS base_text,
+                   CASE WHEN c_custkey % 6 = 0 THEN '---' ELSE '8.' || lpad(CAST((c_custkey * 7) % 100 AS VARCHAR), 2, '0') END
+                     AS perf_text,
+                   ({notes})[c_custkey % 4 + 1] AS note FROM customer),
+    d AS (SELECT ccn, upper(TRIM(state_raw)) AS state, {_num('score_text', sent)} AS performance_score,
+                 {_num('mult_text', sent)} AS incentive_multiplier, {_num('base_text', sent)} AS snfrm_base,
+                 {_num('perf_text', sent)} AS snfrm_perf,
+                 CASE WHEN COALESCE(TRIM(note), '') IN ('', '---') THEN ''
+                      WHEN contains(lower(TRIM(note)), {_q(K.CASE_MINIMUM_PHRASE)}) THEN 'VOL_SUPPRESSED' ELSE 'SUPPRESSED' END
+                   AS fn_snfrm_flag FROM raw),
+    s AS (SELECT * FROM d WHERE performance_score IS NOT NULL),
+    nq AS (SELECT {qs} FROM s), sq AS (SELECT state, {qs} FROM s GROUP BY state),
+    nr AS (SELECT ccn,
+             round_even((RANK() OVER (ORDER BY performance_score) + (COUNT(*) OVER (PARTITION BY performance_score) - 1) / 2.0)
+                        / COUNT(*) OVER (), 3) AS national_pct_rank,
+             round_even((RANK() OVER (PARTITION BY state ORDER BY performance_score)
+                         + (COUNT(*) OVER (PARTITION BY state, performance_score) - 1) / 2.0)
+                        / COUNT(*) OVER (PARTITION BY state), 3) AS state_pct_rank FROM s),
+    fac AS (SELECT d.ccn, d.state, d.performance_score, d.incentive_multiplier,
+              CASE WHEN d.incentive_multiplier > 1.0 THEN 'BONUS' WHEN d.incentive_multiplier < 1.0 THEN 'PENALTY'
+                   ELSE 'NEUTRAL' END AS payment_direction,
+              nr.national_pct_rank, {tier('nq')} AS national_vbp_tier, nr.state_pct_rank, {tier('sq')} AS state_vbp_tier,
+              d.snfrm_base, d.snfrm_perf, round_even(d.snfrm_perf - d.snfrm_base, 4) AS snfrm_delta, d.fn_snfrm_flag
+            FROM d LEFT JOIN nr ON d.ccn = nr.ccn CROSS JOIN nq LEFT JOIN sq ON d.state = sq.state)"""
+
+
+SQL = {
+    "access_zip": _access_sql() + "\n    SELECT * FROM analysis",
+    "access_chain": _access_state_sql(),
+    "vbp_chain": _vbp_sql() + "\n    SELECT * FROM fac",
+    "vbp_state": _vbp_sql() + """
+    SELECT state, COUNT(ccn) AS facility_count, round_even(AVG(performance_score), 2) AS avg_performance_score,
+      round_even(MIN(performance_score), 2) AS min_performance_score, round_even(MAX(performance_score), 2) AS max_performance_score,
+      CAST(COUNT_IF(payment_direction = 'BONUS') AS BIGINT) AS bonus_count,
+      CAST(COUNT_IF(payment_direction = 'PENALTY') AS BIGINT) AS penalty_count,
+      CAST(COUNT_IF(national_vbp_tier = 'BOTTOM_QUARTILE') AS BIGINT) AS nat_bottom_quartile_count,
+      CAST(COUNT_IF(national_vbp_tier = 'TOP_QUARTILE') AS BIGINT) AS nat_top_quartile_count
+    FROM fac WHERE performance_score IS NOT NULL GROUP BY state""",
+}

@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": os.environ.get("CAREWATCH_DRIVER_MEMORY", "8g"),
 }
 
 
