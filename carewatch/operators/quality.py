@@ -20,6 +20,13 @@ from ..functions.expr import clean, num
 SEVERITY_RANK = {"BLOCKING": 2, "LATENT": 1, "OK": 0}
 
 
+def numeric_name(col: str, hints: Sequence[str] = K.NUMERIC_NAME_HINTS,
+                 suffixes: Sequence[str] = K.NUMERIC_NAME_SUFFIXES) -> bool:
+    """Does the column name say the column should be numeric?"""
+    low = col.lower()
+    return any(h.lower() in low for h in hints) or any(low.endswith(x) for x in suffixes)
+
+
 def _rows(df: DataFrame, structs: list[Column], alias: str = "_r") -> DataFrame:
     """explode(array(struct...)) over a one-row aggregate -> long rows."""
     return df.select(F.explode(F.array(*structs)).alias(alias)).select(f"{alias}.*")
@@ -48,7 +55,7 @@ def check_counts(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
 # ------------------------------------------------------------- J2 / J3 / J4 / J9
 def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
             words: Sequence[str] = K.SENTINELS_HARNESS, exact_distinct: bool = False,
-            numeric_hints: Sequence[str] = ()) -> DataFrame:
+            numeric_hints: Sequence[str] | None = None) -> DataFrame:
     """One-pass column profile (J9, and the numbers behind J2-J4).
 
     Rows: (dataset, field, row_count, null_count, null_rate, nunique, min_value,
@@ -65,7 +72,7 @@ def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
         aggs += [F.count_if(blank).alias(f"_n{i}"),
                  (F.count_distinct(s) if exact_distinct else F.approx_count_distinct(s)).alias(f"_d{i}"),
                  F.min(s).alias(f"_lo{i}"), F.max(s).alias(f"_hi{i}")]
-        if any(h.lower() in c.lower() for h in numeric_hints):
+        if numeric_hints is not None and numeric_name(c, numeric_hints):
             aggs.append(F.count_if(num(F.col(f"`{c}`"), sentinels=list(words)).isNotNull()).alias(f"_p{i}"))
     one = df.agg(*aggs)
     st = []
@@ -99,17 +106,18 @@ def constant_columns(df: DataFrame, dataset: str = "table", min_rows: int = K.CO
                     (F.col("is_constant") & (F.col("row_count") >= min_rows)).alias("flagged"))
 
 
-def type_anomalies(df: DataFrame, dataset: str = "table",
-                   hints: Sequence[str] = ("rate", "pct", "percent", "score", "count", "amount", "days"),
-                   floor: float = K.NUMERIC_PARSE_FLOOR, words: Sequence[str] = K.SENTINELS_HARNESS
-                   ) -> DataFrame:
-    """Columns that should be numeric by name but parse below `floor`."""
-    cols = [c for c in df.columns if any(h in c.lower() for h in hints)]
+def type_anomalies(df: DataFrame, dataset: str = "table", hints: Sequence[str] = K.NUMERIC_NAME_HINTS,
+                   floor: float = K.NUMERIC_PARSE_FLOOR, words: Sequence[str] = K.SENTINELS_HARNESS,
+                   null_at: float = K.NULL_RATE_THRESHOLD) -> DataFrame:
+    """Columns that should be numeric by name but whose non-blank values parse below
+    `floor` (J4); nearly-empty columns (null rate >= `null_at`) are left to the null check."""
+    cols = [c for c in df.columns if numeric_name(c, hints)]
     if not cols:
         return df.sparkSession.createDataFrame([], "dataset string, field string, parse_rate double, flagged boolean")
     p = profile(df, dataset, cols, words, numeric_hints=hints)
     return p.select("dataset", "field", "parse_rate",
-                    F.coalesce(F.col("parse_rate") < floor, F.lit(False)).alias("flagged"))
+                    F.coalesce((F.col("parse_rate") < floor) & (F.col("null_rate") < null_at), F.lit(False))
+                    .alias("flagged"))
 
 
 # ----------------------------------------------------------------- J5 / J6 / J17
@@ -144,7 +152,7 @@ def findings_from_profile(p: DataFrame, null_at: float = K.NULL_RATE_THRESHOLD,
     cv = p.where(F.col("is_constant") & (F.col("row_count") >= min_rows)).select(
         "dataset", F.lit("constant_value").alias("check"), "field", F.lit(None).cast("double").alias("metric"),
         F.concat(F.lit("constant value "), F.col("min_value")).alias("message"))
-    ta = p.where(F.col("parse_rate") < floor).select(
+    ta = p.where((F.col("parse_rate") < floor) & (F.col("null_rate") < null_at)).select(
         "dataset", F.lit("type_anomaly").alias("check"), "field", F.col("parse_rate").alias("metric"),
         F.format_string("numeric parse rate %.3f", F.col("parse_rate")).alias("message"))
     return nr.unionByName(cv).unionByName(ta)

@@ -85,7 +85,8 @@ def _findings_sql() -> str:
       findings AS (
         SELECT dataset, 'null_rate' AS "check", field FROM prof WHERE null_rate >= {K.NULL_RATE_THRESHOLD}
         UNION ALL SELECT dataset, 'constant_value', field FROM prof WHERE is_constant AND row_count >= {K.CONSTANT_MIN_ROWS}
-        UNION ALL SELECT dataset, 'type_anomaly', field FROM prof WHERE parse_rate < {K.NUMERIC_PARSE_FLOOR}),
+        UNION ALL SELECT dataset, 'type_anomaly', field FROM prof
+          WHERE parse_rate < {K.NUMERIC_PARSE_FLOOR} AND null_rate < {K.NULL_RATE_THRESHOLD}),
       known AS (SELECT * FROM (VALUES {_values(TB.KNOWN_ANOMALIES)}) t(dataset, field, "check")),
       ff AS (SELECT * FROM (VALUES {_values(TB.FINDING_FIELDS)}) t(dataset, field))"""
 
@@ -549,10 +550,11 @@ def build() -> dict[str, str]:
     SELECT dataset, field, null_rate, null_rate >= {K.NULL_RATE_THRESHOLD} AS flagged FROM p"""
     S["constant_columns"] = f"""WITH p AS ({prof})
     SELECT dataset, field, row_count, is_constant AND row_count >= {K.CONSTANT_MIN_ROWS} AS flagged FROM p"""
-    hints = ("rate", "pct", "percent", "score", "count", "amount", "days")
-    tcols = [c for c in PROFILED_COLS if any(h in c.lower() for h in hints)]
-    S["type_anomalies"] = f"""WITH p AS ({_profile_sql(PROFILED, 'customer_x', tcols, hints=hints)})
-    SELECT dataset, field, parse_rate, COALESCE(parse_rate < {K.NUMERIC_PARSE_FLOOR}, false) AS flagged FROM p"""
+    from ..operators.quality import numeric_name
+    tcols = [c for c in PROFILED_COLS if numeric_name(c)]
+    S["type_anomalies"] = f"""WITH p AS ({_profile_sql(PROFILED, 'customer_x', tcols, hints=("",))})
+    SELECT dataset, field, parse_rate,
+      COALESCE(parse_rate < {K.NUMERIC_PARSE_FLOOR} AND null_rate < {K.NULL_RATE_THRESHOLD}, false) AS flagged FROM p"""
 
     S["suppress_and_tier"] = f"""
     WITH {_findings_sql()},

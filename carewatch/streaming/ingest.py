@@ -39,7 +39,7 @@ def ingest_pages_stream(spark: SparkSession, landing: str, target: str, checkpoi
                         record_schema: T.StructType, wrapper: str | None = "results",
                         fmt: str = "parquet", partition_by: list[str] | None = None) -> dict:
     """Append every not-yet-ingested landed page to `target`, then stop.
-    Returns the last progress summary (rows ingested in this run)."""
+    Returns the number of micro-batches and of landed page files read in this run."""
     stream = page_stream(spark, landing, record_schema, wrapper)
     w = (stream.writeStream.format(fmt).option("path", target)
          .option("checkpointLocation", checkpoint).outputMode("append")
@@ -50,4 +50,4 @@ def ingest_pages_stream(spark: SparkSession, landing: str, target: str, checkpoi
     q.awaitTermination()
     progress = q.recentProgress
     return {"batches": len(progress),
-            "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+            "pages": int(sum(p.get("numInputRows", 0) for p in progress))}
