@@ -204,9 +204,13 @@ def tier_label(score: ColumnOrName, q1: ColumnOrName, med: ColumnOrName, q3: Col
 def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored: str | None = None,
                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
-    scored rows only (T6), computed per group from the cumulative-count table and joined
-    to the distinct-value table (one row per group), then attached with one join."""
-    return rank_table(df, col, by, tier=out, unscored=unscored, n_buckets=n_buckets)
+    scored rows only (T6), one row per group; that small table is joined to the rows on
+    the group keys (nationally: a one-row broadcast), so the rows themselves are never
+    shuffled by value. Unscored rows get `unscored` (default NULL)."""
+    keys = _by(by)
+    q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets).drop("n")
+    j = _join_groups(df, q, keys)
+    return j.withColumn(out, tier_label(col, "_q1", "_q2", "_q3", unscored)).drop("_q1", "_q2", "_q3")
 
 
 # ------------------------------------------------------------------------- G5
