@@ -15,6 +15,10 @@ from . import constants as K
 
 ColumnOrName = Column | str
 
+# Characters stripped at both ends by `clean` (Python str.strip's ASCII set; Spark's
+# plain `trim` removes spaces only, trap T10).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,7 +38,7 @@ def _all(conds: Iterable[Column]) -> Column:
 def clean(col: ColumnOrName, case: str | None = None, strip_quotes: bool = False) -> Column:
     """Trim all leading/trailing whitespace (tabs and newlines too, unlike `trim`),
     optionally strip surrounding quotes and change case (K5, trap T10)."""
-    s = F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", "")
+    s = F.btrim(_c(col).cast("string"), F.lit(WHITESPACE))
     if strip_quotes:
         s = F.regexp_replace(s, r"^[\"']+|[\"']+$", "")
     if case == "upper":
