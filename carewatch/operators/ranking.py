@@ -28,6 +28,19 @@ from pyspark.sql import functions as F
 from ..functions.expr import ColumnOrName, _c
 
 DEFAULT_BUCKETS = 64
+MATERIALIZE = "checkpoint"
+
+
+def _materialize(df: DataFrame, how: str) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the session's `spark.checkpoint.dir`
+    (a private folder is set only when the session has none, as in local tests)."""
+    if how == "checkpoint":
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "cache":
+        return df.persist()
+    return df
 
 
 def _by(by) -> list[str]:
@@ -41,11 +54,18 @@ def _valid(value: Column) -> Column:
 
 
 def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAULT_BUCKETS,
-                      rel_err: float = 0.001) -> DataFrame:
-    """(by..., value, n, cum_lt, cum_le, total) for every distinct non-NULL value."""
+                      rel_err: float = 0.001, materialize: str = MATERIALIZE) -> DataFrame:
+    """(by..., value, n, cum_lt, cum_le, total) for every distinct non-NULL value.
+
+    The distinct-value count table feeds three branches (bucket edges, running sums,
+    bucket totals). `materialize="checkpoint"` (default) writes it once to the session's
+    shared checkpoint folder, so the input is scanned and aggregated once, the plans
+    built on it stay small, and a lost executor does not force recomputation from the
+    source; "cache" keeps it in executor storage; "none" leaves pure lineage."""
     keys = _by(by)
     v = F.col(value)
     vc = df.where(_valid(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    vc = _materialize(vc, materialize)
     # Bucket edges: approximate quantiles of the distinct values, computed inside the plan
     # as a one-row aggregate (n_buckets - 1 doubles) and broadcast on a constant key.
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files once the checkpointed data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # legacy-encoded (cp1252) CSV extracts are a real source format (A3)
     "spark.sql.legacy.javaCharsets": "true",
     "spark.driver.memory": os.environ.get("CAREWATCH_DRIVER_MEMORY", "8g"),
