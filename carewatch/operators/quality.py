@@ -55,7 +55,7 @@ def check_counts(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
 # ------------------------------------------------------------- J2 / J3 / J4 / J9
 def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
             words: Sequence[str] = K.SENTINELS_HARNESS, exact_distinct: bool = False,
-            numeric_hints: Sequence[str] | None = None) -> DataFrame:
+            numeric_hints: Sequence[str] | None = None, materialize: str = "none") -> DataFrame:
     """One-pass column profile (J9, and the numbers behind J2-J4).
 
     Rows: (dataset, field, row_count, null_count, null_rate, nunique, min_value,
@@ -63,7 +63,8 @@ def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
     `nunique` is approximate (HLL) unless `exact_distinct`; constancy never depends on
     it: a column is constant when its non-blank min equals its max. `parse_rate` (share of
     non-blank values that are strict numbers) is computed for columns named by
-    `numeric_hints`."""
+    `numeric_hints`. Pass `materialize="checkpoint"` when the profile feeds several
+    checks, so the dataset is scanned once rather than once per check."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
@@ -87,7 +88,8 @@ def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
             F.col(f"_lo{i}").alias("min_value"), F.col(f"_hi{i}").alias("max_value"),
             F.coalesce(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.lit(False)).alias("is_constant"),
             F.round(parse.cast("double"), 6).alias("parse_rate")))
-    return _rows(one, st)
+    from .ranking import _materialize
+    return _materialize(_rows(one, st), materialize)
 
 
 def null_rates(df: DataFrame, dataset: str = "table", threshold: float = K.NULL_RATE_THRESHOLD,

@@ -282,6 +282,9 @@ def top_n(df: DataFrame, col: ColumnOrName, n: int, by=None, asc: bool = False,
     per group."""
     keys = _by(by)
     o = [(_c(col).asc_nulls_last() if asc else _c(col).desc_nulls_last())] + [F.col(t).asc() for t in tie_break]
+    if not keys:  # global: per-task top-n then an n-row merge (TakeOrdered), numbered after
+        top = df.orderBy(*o).limit(n)
+        return top.withColumn(out, F.row_number().over(Window.orderBy(*o)).cast("long"))
     w = Window.partitionBy(*keys).orderBy(*o)
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n) \
              .withColumn(out, F.col(out).cast("long"))

@@ -42,7 +42,7 @@ def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequen
     computed = {r["name"]: r.get("fields_computed", []) for r in registry}
     profiles, findings = None, None
     for name, df in datasets.items():
-        p = Q.profile(df, name, numeric_hints=numeric_hints)
+        p = Q.profile(df, name, numeric_hints=numeric_hints, materialize="checkpoint")  # one scan per dataset
         profiles = p if profiles is None else profiles.unionByName(p)
         empty = Q.check_nonempty(df, "nonempty").where(~F.col("ok")).select(
             F.lit(name).alias("dataset"), F.lit("empty_output").alias("check"), F.lit("*").alias("field"))

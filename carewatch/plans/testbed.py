@@ -633,7 +633,7 @@ FINDING_FIELDS = [("customer_x", "sparse_name")]
 def suppress_and_tier(spark, d):
     """J7 suppressions, J8 BLOCKING/LATENT tier by exact finding fields, J6/C7 field
     set diff folded in as 'schema' findings."""
-    p = Q.profile(profiled_frame(spark, d), "customer_x", numeric_hints=("rate",))
+    p = Q.profile(profiled_frame(spark, d), "customer_x", numeric_hints=("rate",), materialize="checkpoint")
     findings = Q.findings_from_profile(p).select("dataset", "check", "field")
     diff = C.schema_diff(profiled_frame(spark, d), ["c_custkey", "c_mktsegment", "sparse_name", "const_col", "c_phone"],
                          computed=["balance_rate"]).where(F.col("status") != "present")
@@ -647,7 +647,7 @@ def suppress_and_tier(spark, d):
 
 def findings_summary(spark, d):
     """J12 totals per severity plus suppressed count; J7 ghost suppressions counted."""
-    p = Q.profile(profiled_frame(spark, d), "customer_x", numeric_hints=("rate",))
+    p = Q.profile(profiled_frame(spark, d), "customer_x", numeric_hints=("rate",), materialize="checkpoint")
     findings = Q.findings_from_profile(p).select("dataset", "check", "field")
     known = literal_table(spark, KNOWN_ANOMALIES, "dataset string, field string, check string")
     ff = literal_table(spark, FINDING_FIELDS, "dataset string, field string")
@@ -661,10 +661,11 @@ def findings_summary(spark, d):
 def drift(spark, d):
     """J9 profiles of two vintages, J10 drift signals."""
     full = profiled_frame(spark, d)
-    prev = Q.profile(full.where(F.col("c_mktsegment") != "HOUSEHOLD").drop("balance_rate"), "customer_x")
+    prev = Q.profile(full.where(F.col("c_mktsegment") != "HOUSEHOLD").drop("balance_rate"), "customer_x",
+                     materialize="checkpoint")
     curr = Q.profile(full.withColumn("const_col", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "y").otherwise("x"))
                      .withColumn("sparse_name", F.when(F.col("c_custkey") % 40 == 0, F.col("sparse_name")).otherwise("")),
-                     "customer_x")
+                     "customer_x", materialize="checkpoint")
     return Q.drift(prev, curr, row_pct=0.05, null_at=0.96).select("dataset", "field", "signal")
 
 
