@@ -303,6 +303,14 @@ def sort_rows(df: DataFrame, spec: Sequence[tuple]) -> DataFrame:
     return df.orderBy(*order_cols(spec))
 
 
+def sort_num(df: DataFrame, col: str, asc: bool = True, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Sort a text column numerically (strict parse, unparsable last) (H4)."""
+    from ..functions.expr import num
+    n = num(col)
+    o = [n.asc_nulls_last() if asc else n.desc_nulls_last()] + [F.col(t).asc() for t in tie_break]
+    return df.orderBy(*o)
+
+
 def value_counts(df: DataFrame, col: str, n: int | None = None, out: str = "n") -> DataFrame:
     """Most frequent values (H5): hash aggregate then top-k with value as tie-break."""
     vc = df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
