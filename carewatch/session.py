@@ -59,3 +59,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Cluster sizing for a run over `input_bytes` of columnar input on `total_cores`.
+
+    * scan splits of ~256 MB (`spark.sql.files.maxPartitionBytes`), so a task's input fits
+      comfortably in executor memory after decompression;
+    * an initial shuffle width of max(2 x cores, input / 1 GB), capped at 200,000 (a
+      shuffle carries pruned columns and partial aggregates, far less than the raw
+      input, and the driver tracks maps x reducers statuses); AQE coalesces it towards
+      128 MB partitions and splits (skew join) a partition 5x the median and over
+      256 MB - the case of one key holding a third of the rows;
+    * broadcasts only under 64 MB of measured size.
+    Apply with `SparkSession.builder.config(map=...)` or `spark.conf.set` per key."""
+    import math
+    shuffle = max(2 * total_cores, min(200_000, math.ceil(input_bytes / (1 << 30))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
