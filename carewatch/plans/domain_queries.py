@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..sources.catalog import table
 from ..sources.readers import literal_table
-from . import access, vbp
+from . import access, measures, vbp
 from .testbed_sql import _num, _q
 
 SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
@@ -116,7 +116,44 @@ def vbp_state(spark, d):
     return vbp.build(vbp_raw_from_customers(spark, d))["state"]
 
 
-QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state}
+PENALTY_TYPES = [("1-URGENT", "Fine"), ("2-HIGH", "Payment Denial"), ("3-MEDIUM", "Fine and Payment Denial"),
+                 ("4-NOT SPECIFIED", "Warning Letter")]
+
+
+def penalties_raw(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    types = F.create_map(*[x for p, t in PENALTY_TYPES for x in (F.lit(p), F.lit(t))])
+    amount = (F.when(k % 7 == 0, F.lit("")).when(k % 11 == 0, F.lit("N/A"))
+               .otherwise(F.concat(F.lit("$"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"))))
+    return o.select(F.col("o_custkey").cast("string").alias("cms_certification_number"),
+                    F.concat(F.lit("Facility "), F.col("o_orderstatus"), F.lit(" "), k.cast("string")).alias("provider_name"),
+                    F.concat(F.lit("S"), (F.col("o_custkey") % 5).cast("string")).alias("state"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("penalty_date"),
+                    F.coalesce(F.element_at(types, F.col("o_orderpriority")), F.lit("Other")).alias("penalty_type"),
+                    amount.alias("fine_amount"), k.alias("page_pos"))
+
+
+def penalty_rollup(spark, d):
+    """Per-facility penalty roll-up from penalty events."""
+    return measures.penalties(penalties_raw(spark, d), "page_pos")["by_facility"]
+
+
+def star_band_domain(spark, d):
+    """Star bands from citation rows and rated facilities (orders stand in for
+    facilities: star = priority digit, staffing = price / 100000, turnover with holes)."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    info = o.select(k.cast("string").alias("ccn"), F.substring("o_orderpriority", 1, 1).alias("overall_star"),
+                    (F.col("o_totalprice") / 100000.0).alias("rn_hprd"),
+                    F.when(k % 10 == 0, F.lit(None).cast("double")).otherwise((k % 100).cast("double"))
+                     .alias("total_nurse_turnover"))
+    cit = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("ccn"))
+    return measures.star_bands(cit, info)
+
+
+QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
+           "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain}
 
 
 # ------------------------------------------------------------------------ SQL
@@ -239,3 +276,42 @@ SQL = {
       CAST(COUNT_IF(national_vbp_tier = 'TOP_QUARTILE') AS BIGINT) AS nat_top_quartile_count
     FROM fac WHERE performance_score IS NOT NULL GROUP BY state""",
 }
+
+
+def _pen_sql() -> str:
+    types = " ".join(f"WHEN {_q(p)} THEN {_q(t)}" for p, t in PENALTY_TYPES)
+    return f"""
+    WITH raw AS (SELECT CAST(o_custkey AS VARCHAR) AS ccn, 'Facility ' || o_orderstatus || ' ' || CAST(o_orderkey AS VARCHAR)
+                   AS provider_name, 'S' || CAST(o_custkey % 5 AS VARCHAR) AS state,
+                   strftime(o_orderdate, '%Y-%m-%d') AS penalty_date,
+                   COALESCE(CASE o_orderpriority {types} END, 'Other') AS penalty_type,
+                   CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN 'N/A'
+                        ELSE '$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS fine_amount,
+                   o_orderkey AS pos FROM orders),
+    ev AS (SELECT *, CAST({_num('fine_amount', ('', 'N/A'))} AS DECIMAL(18,2)) AS amt,
+                  contains(lower(penalty_type), 'fine') AS is_fine,
+                  contains(lower(penalty_type), 'denial') OR contains(lower(penalty_type), 'payment') AS is_denial FROM raw)
+    SELECT ccn, arg_min(provider_name, pos) AS provider_name, arg_min(state, pos) AS state, COUNT(*) AS total_events,
+      CAST(COUNT_IF(is_fine) AS BIGINT) AS fine_count,
+      CAST(COALESCE(SUM(CASE WHEN is_fine THEN amt END), 0) AS DOUBLE) AS fine_total_dollars,
+      CAST(COUNT_IF(is_denial) AS BIGINT) AS payment_denial_count, MAX(penalty_date) AS most_recent_penalty
+    FROM ev GROUP BY ccn"""
+
+
+def _star_sql() -> str:
+    pad = "CASE WHEN length(TRIM({c})) < 6 THEN lpad(TRIM({c}), 6, '0') ELSE TRIM({c}) END"
+    return f"""
+    WITH cit AS (SELECT {pad.format(c="CAST(l_orderkey AS VARCHAR)")} AS ccn, COUNT(*) AS total_citations
+                 FROM lineitem GROUP BY 1),
+    info AS (SELECT {pad.format(c="CAST(o_orderkey AS VARCHAR)")} AS ccn, CAST(substring(o_orderpriority, 1, 1) AS INTEGER)
+                      AS overall_star, o_totalprice / 100000.0 AS rn_hprd,
+                    CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderkey % 100 AS DOUBLE) END AS total_nurse_turnover
+             FROM orders WHERE substring(o_orderpriority, 1, 1) IN ('1', '2', '3', '4', '5')),
+    j AS (SELECT info.*, COALESCE(cit.total_citations, 0) AS total_citations FROM info LEFT JOIN cit ON info.ccn = cit.ccn)
+    SELECT overall_star, COUNT(ccn) AS facility_count, round_even(AVG(total_citations), 1) AS avg_total_citations,
+      round_even(AVG(rn_hprd), 2) AS avg_rn_hprd, round_even(AVG(total_nurse_turnover), 1) AS avg_total_turnover_pct
+    FROM j GROUP BY overall_star"""
+
+
+SQL["penalty_rollup"] = _pen_sql()
+SQL["star_band_domain"] = _star_sql()

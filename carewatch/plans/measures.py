@@ -165,12 +165,14 @@ def penalties(raw: DataFrame, seq: str) -> dict[str, DataFrame]:
     by `seq` (T18)."""
     d, _ = C.resolve_columns(raw.withColumn("_seq_", F.col(seq)), PENALTY_CONTRACT + [Field("_seq", ["_seq_"])])
     d = d.withColumn("_seq", F.col("_seq").cast("long"))
-    d = d.withColumns({"fine_amount": X.num("fine_amount_text", ["", "N/A"]),
+    # money as DECIMAL(18,2): exact sums, independent of partitioning
+    d = d.withColumns({"fine_amount": X.num("fine_amount_text", ["", "N/A"]).cast("decimal(18,2)"),
                        "is_fine": X.has_any("penalty_type", ["fine"]),
                        "is_payment_denial": X.has_any("penalty_type", ["denial", "payment"])}).drop("fine_amount_text")
     roll = A.event_rollup(d, "ccn", "penalty_type", "fine_amount", "penalty_date", "_seq", name_col="provider_name",
                           extra_first=["state"])
-    roll = (roll.withColumnRenamed("fine_total", "fine_total_dollars")
+    roll = (roll.withColumn("fine_total", F.col("fine_total").cast("double"))
+                .withColumnRenamed("fine_total", "fine_total_dollars")
                 .withColumnRenamed("most_recent", "most_recent_penalty"))
     return {"events": d.drop("_seq"), "by_facility": roll}
 
