@@ -152,8 +152,34 @@ def star_band_domain(spark, d):
     return measures.star_bands(cit, info)
 
 
+def cost_raw(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    med, mcd, oth = k % 50, k % 30, k % 20
+    return o.select(
+        F.col("o_custkey").cast("string").alias("Provider CCN"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("Fiscal Year End Date"),
+        med.cast("string").alias("SNF Days Title XVIII"), mcd.cast("string").alias("SNF Days Title XIX"),
+        oth.cast("string").alias("SNF Days Other"), (med + mcd + oth).cast("string").alias("SNF Days Total"),
+        F.when(k % 17 == 0, F.lit("N/A")).otherwise((k % 200).cast("string")).alias("SNF Bed Days Available"),
+        F.when(k % 13 == 0, F.lit("0")).otherwise((k % 900 + 100).cast("string")).alias("Net Patient Revenue"),
+        ((k % 160) - 40).cast("string").alias("Net Income"),
+        (k % 40).cast("string").alias("Contract Labor"),
+        F.when(k % 19 == 0, F.lit("")).otherwise((k % 300).cast("string")).alias("Total Salaries"))
+
+
+COST_COLS = ["ccn", "days_total", "medicare_days_pct", "medicaid_days_pct", "private_other_pct",
+             "operating_margin_pct", "occupancy_pct", "contract_labor_pct", "medicaid_heavy", "financially_stressed"]
+
+
+def cost_report_domain(spark, d):
+    """Cost-report ratios with their guards and stress flags."""
+    return measures.cost_report(cost_raw(spark, d)).select(*COST_COLS)
+
+
 QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
-           "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain}
+           "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
+           "cost_report_domain": cost_report_domain}
 
 
 # ------------------------------------------------------------------------ SQL
@@ -315,3 +341,34 @@ def _star_sql() -> str:
 
 SQL["penalty_rollup"] = _pen_sql()
 SQL["star_band_domain"] = _star_sql()
+
+
+def _cost_sql() -> str:
+    def r(n, d, digits, guard):
+        return (f"CASE WHEN {guard} THEN round_even(CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0.0) * 100.0, "
+                f"{digits}) END")
+    days_ok = "days_total IS NOT NULL AND days_total <> 0"
+    return f"""
+    WITH raw AS (SELECT CAST(o_custkey AS VARCHAR) AS ccn_raw, o_orderkey % 50 AS med, o_orderkey % 30 AS mcd,
+                   o_orderkey % 20 AS oth,
+                   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderkey % 200 END AS bed_days,
+                   CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE o_orderkey % 900 + 100 END AS rev,
+                   (o_orderkey % 160) - 40 AS inc, o_orderkey % 40 AS contract,
+                   CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderkey % 300 END AS sal FROM orders),
+    c AS (SELECT CASE WHEN length(ccn_raw) < 6 THEN lpad(ccn_raw, 6, '0') ELSE ccn_raw END AS ccn,
+                 CAST(med AS DOUBLE) AS days_medicare, CAST(mcd AS DOUBLE) AS days_medicaid, CAST(oth AS DOUBLE) AS days_other,
+                 CAST(med + mcd + oth AS DOUBLE) AS days_total, CAST(bed_days AS DOUBLE) AS bed_days,
+                 CAST(rev AS DOUBLE) AS rev, CAST(inc AS DOUBLE) AS inc, CAST(contract AS DOUBLE) AS contract,
+                 CAST(sal AS DOUBLE) AS sal FROM raw),
+    x AS (SELECT ccn, days_total,
+            {r("days_medicare", "days_total", 1, days_ok)} AS medicare_days_pct,
+            {r("days_medicaid", "days_total", 1, days_ok)} AS medicaid_days_pct,
+            {r("days_other", "days_total", 1, days_ok)} AS private_other_pct,
+            {r("inc", "rev", 2, "rev <> 0")} AS operating_margin_pct,
+            {r("days_total", "bed_days", 1, days_ok + " AND bed_days > 0")} AS occupancy_pct,
+            {r("contract", "sal", 1, "sal > 0")} AS contract_labor_pct FROM c)
+    SELECT *, COALESCE(medicaid_days_pct > 60, false) AS medicaid_heavy,
+           COALESCE(operating_margin_pct < -5, false) AS financially_stressed FROM x"""
+
+
+SQL["cost_report_domain"] = _cost_sql()
