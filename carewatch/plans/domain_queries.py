@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..sources.catalog import table
 from ..sources.readers import literal_table
-from . import access, measures, vbp
+import datetime as dt
+
+from . import access, compliance, measures, vbp
 from .testbed_sql import _num, _q
 
 SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
@@ -177,9 +179,38 @@ def cost_report_domain(spark, d):
     return measures.cost_report(cost_raw(spark, d)).select(*COST_COLS)
 
 
+CAL_AS_OF = dt.date(1999, 6, 30)
+CAL_COLS = ["ccn", "lic_term_date", "lic_license_type", "state_lic_alert", "pbj_quarter", "pbj_alert",
+            "cost_report_fy_end", "cost_report_term_date", "cost_report_alert", "overall_alert"]
+
+
+def calendar_inputs(spark, d):
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    master = c.select(k.cast("string").alias("ccn"),
+                      F.when(F.col("c_mktsegment") == "BUILDING", "SNF").otherwise("HHA").alias("provider_type_label"))
+    fy = (F.when(k % 7 == 0, F.lit("Not Available")).when(k % 7 == 1, F.lit("13-01"))
+           .otherwise(F.concat(F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lit("-"),
+                               F.lpad((k % 31 + 1).cast("string"), 2, "0"))))
+    pos = c.select(F.lpad(k.cast("string"), 6, "0").alias("prvdr_num"), fy.alias("fy_end_mo_day_cd"))
+    o = table(spark, d, "orders")
+    manual = o.select(F.col("o_custkey").cast("string").alias("ccn"),
+                      F.when(F.col("o_orderkey") % 9 == 0, F.lit("pending"))
+                       .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("term_date"),
+                      F.col("o_orderpriority").alias("license_type"), F.lit("manual").alias("source"),
+                      F.lit("").alias("regulatory_ref"), F.lit("").alias("notes"), F.col("o_orderkey").alias("_seq"))
+    return master, pos, manual
+
+
+def compliance_calendar(spark, d):
+    """Licence (manual overrides), staffing-report and cost-report alerts, worst alert."""
+    master, pos, manual = calendar_inputs(spark, d)
+    return compliance.calendar(master, pos, manual, CAL_AS_OF).select(*CAL_COLS)
+
+
 QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
-           "cost_report_domain": cost_report_domain}
+           "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
 
 
 # ------------------------------------------------------------------------ SQL
@@ -372,3 +403,46 @@ def _cost_sql() -> str:
 
 
 SQL["cost_report_domain"] = _cost_sql()
+
+
+def _cal_domain_sql() -> str:
+    from .testbed_sql import _alert, _label_of, _pbj_sql, _priority
+    a = str(CAL_AS_OF)
+    y = CAL_AS_OF.year
+    dl, lab = _pbj_sql(a)
+    lic = _alert("lic_term_date", "(lic_term_date - 90)", a)
+    pbj = _alert("pbj_dl", "(pbj_dl - 30)", a)
+    cost = _alert("cost_report_term_date", "(cost_report_term_date - 30)", a)
+    return f"""
+    WITH master AS (SELECT CAST(c_custkey AS VARCHAR) AS ccn, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS k6,
+                      c_mktsegment = 'BUILDING' AS snf,
+                      CASE WHEN c_custkey % 7 = 0 THEN 'Not Available' WHEN c_custkey % 7 = 1 THEN '13-01'
+                           ELSE lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') || '-' || lpad(CAST(c_custkey % 31 + 1 AS VARCHAR), 2, '0')
+                      END AS fy FROM customer),
+    man AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS k6,
+                   CASE WHEN o_orderkey % 9 = 0 THEN 'pending' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS td,
+                   o_orderpriority AS license_type, o_orderkey AS seq FROM orders),
+    lic AS (SELECT k6, arg_max(TRY_CAST(td AS DATE), seq) AS lic_term_date, arg_max(license_type, seq) AS lic_license_type
+            FROM man WHERE regexp_matches(td, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') GROUP BY k6),
+    b AS (SELECT m.ccn, m.snf, m.fy, l.lic_term_date, l.lic_license_type, {dl} AS pbj_dl, {lab} AS pbj_lab,
+                 COALESCE(regexp_matches(m.fy, '^[0-9]+-[0-9]+$'), false) AS ok FROM master m LEFT JOIN lic l ON m.k6 = l.k6),
+    c AS (SELECT *, CASE WHEN ok THEN TRY_CAST(split_part(fy, '-', 1) AS INTEGER) END AS mo,
+                 CASE WHEN ok THEN TRY_CAST(split_part(fy, '-', 2) AS INTEGER) END AS dd FROM b),
+    e AS (SELECT *, COALESCE(mo BETWEEN 1 AND 12 AND dd >= 1, false) AS valid FROM c),
+    f AS (SELECT *, CASE WHEN valid THEN mo ELSE 1 END AS mm, CASE WHEN valid THEN dd ELSE 1 END AS d1 FROM e),
+    g AS (SELECT *, make_date({y}, mm, least(d1, day(last_day(make_date({y}, mm, 1))))) AS this_end FROM f),
+    h AS (SELECT *, CASE WHEN NOT valid THEN NULL WHEN this_end <= DATE '{a}'
+                      THEN make_date({y + 1}, mm, least(day(this_end), day(last_day(make_date({y + 1}, mm, 1)))))
+                      ELSE this_end END AS fy_next FROM g),
+    i AS (SELECT *, CASE WHEN snf THEN fy_next END AS cost_report_fy_end FROM h),
+    j AS (SELECT *, CAST(last_day(cost_report_fy_end + INTERVAL 5 MONTH) AS DATE) AS cost_report_term_date FROM i),
+    r AS (SELECT ccn, lic_term_date, lic_license_type, {lic} AS state_lic_alert,
+                 CASE WHEN snf THEN pbj_lab ELSE '' END AS pbj_quarter,
+                 CASE WHEN snf THEN {pbj} ELSE 'N_A' END AS pbj_alert,
+                 cost_report_fy_end, cost_report_term_date,
+                 CASE WHEN NOT snf THEN 'N_A' ELSE {cost} END AS cost_report_alert FROM j)
+    SELECT *, {_label_of(f"greatest({_priority('state_lic_alert')}, {_priority('pbj_alert')}, {_priority('cost_report_alert')})")}
+           AS overall_alert FROM r"""
+
+
+SQL["compliance_calendar"] = _cal_domain_sql()
