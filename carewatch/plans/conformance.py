@@ -87,5 +87,3 @@ def league(universe: DataFrame, group: str, measures: Mapping[str, object]) -> D
 def schema_report(df: DataFrame, expected: Sequence[str], computed: Sequence[str] = ()) -> DataFrame:
     return C.schema_diff(df, expected, computed)
 
-
-NULL_AT = K.NULL_RATE_THRESHOLD
