@@ -47,13 +47,15 @@ def _keys(on) -> list[str]:
 
 
 def dedupe_last(ref: DataFrame, on, seq: str | None) -> DataFrame:
-    """One row per key; the row with the highest `seq` wins (dict 'last wins', T19).
-    Runs as a hash aggregate (`max_by`), so a hot key is combined map-side."""
-    if seq is None:
-        return ref
+    """One row per key, so a lookup can never fan out rows (T11, T19): the row with the
+    highest `seq` wins (dict 'last wins'); without a sequence, the largest payload wins
+    (deterministic). Runs as a hash aggregate, so a hot key is combined map-side."""
     keys = _keys(on)
     payload = [c for c in ref.columns if c not in keys]
-    agg = ref.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(seq)).alias("_r"))
+    if not payload:
+        return ref.select(*keys).distinct()
+    pick = F.max_by(F.struct(*payload), F.col(seq)) if seq is not None else F.max(F.struct(*payload))
+    agg = ref.groupBy(*keys).agg(pick.alias("_r"))
     return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in payload])
 
 

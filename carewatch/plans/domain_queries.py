@@ -208,7 +208,69 @@ def compliance_calendar(spark, d):
     return compliance.calendar(master, pos, manual, CAL_AS_OF).select(*CAL_COLS)
 
 
-QUERIES = {"access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
+def citation_inputs(spark, d):
+    li = table(spark, d, "lineitem")
+    pos = ((F.col("l_orderkey") + F.col("l_linenumber")) % 13 + 1).cast("int")
+    cat = (F.when(F.col("l_returnflag") == "R", F.lit("Freedom from Abuse, Neglect, and Exploitation"))
+            .when(F.col("l_returnflag") == "A", F.lit("Infection Control Deficiencies"))
+            .otherwise(F.lit("Quality of Life and Care Deficiencies")))
+    raw = li.select(
+        F.col("l_orderkey").cast("string").alias("cms_certification_number"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit("F")).otherwise(F.lit(" k")).alias("deficiency_prefix"),
+        (F.col("l_partkey") % 50 + 550).cast("string").alias("deficiency_tag_number"),
+        cat.alias("deficiency_category"),
+        F.concat(F.lit("desc "), F.col("l_partkey").cast("string")).alias("deficiency_description"),
+        F.lit("ABCDEFGHIJKLM").substr(pos, F.lit(1)).alias("scope_severity_code"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("survey_date"))
+    p = table(spark, d, "part")
+    ftag = p.select(F.when(F.col("p_size") % 2 == 0, F.lit("F")).otherwise(F.lit("K")).alias("tag_prefix"),
+                    (F.col("p_partkey") % 40 + 550).cast("string").alias("tag_number"),
+                    F.concat(F.lit("Tag "), F.col("p_name")).alias("description"),
+                    F.col("p_type").alias("category"), F.col("p_partkey").alias("seq"))
+    return raw, ftag
+
+
+CIT_COLS = ["ccn", "tag_prefix", "tag_number", "prefix_tag", "tag_description", "category", "severity_level",
+            "scope", "is_immediate_jeopardy", "is_actual_harm", "is_abuse_neglect", "is_infection_ctrl_cat",
+            "is_quality_care", "ftag_matched"]
+
+
+def citations_domain(spark, d):
+    """P10: citations with the severity grid, tag lookup falling back to own values, flags."""
+    raw, ftag = citation_inputs(spark, d)
+    return measures.citations(raw, ftag, seq="seq")["citations"].select(*CIT_COLS)
+
+
+def provider_info_raw(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+
+    def dec(whole, frac_expr):
+        return F.concat(F.lit(whole), F.lit("."), F.lpad((frac_expr % 100).cast("string"), 2, "0"))
+    return c.select(
+        k.cast("string").alias("cms_certification_number_ccn"),
+        F.concat((k % 2).cast("string"), F.lit("."), F.lpad((k % 100).cast("string"), 2, "0"))
+         .alias("reported_rn_staffing_hours_per_resident_per_day"),
+        dec("2", k * 3).alias("reported_nurse_aide_staffing_hours_per_resident_per_day"),
+        F.when(k % 13 == 0, F.lit("")).otherwise(dec("3", k * 7)).alias(
+            "reported_total_nurse_staffing_hours_per_resident_per_day"),
+        F.when(k % 9 == 0, F.lit("Not Available")).otherwise(dec("0", k * 11)).alias(
+            "registered_nurse_hours_per_resident_per_day_on_the_weekend"),
+        F.when(k % 4 == 0, F.lit("N/A")).when(k % 4 == 1, F.lit(" ")).otherwise(
+            F.concat(F.lit("Chain "), (k % 10).cast("string"))).alias("chain_name"))
+
+
+PROVIDER_COLS = ["ccn", "rn_hprd", "lm_rn_meets_3442f", "lm_aide_meets_3442f", "lm_total_meets_3442f",
+                 "lm_rn_weekend_meets_3442f", "lm_meets_3442f_thresholds", "lm_missing_parts", "chain_affiliated"]
+
+
+def provider_staffing(spark, d):
+    """Four-part staffing test (False when any part is missing) and chain flag."""
+    info, _ = measures.provider_info(provider_info_raw(spark, d))
+    return info.select(*PROVIDER_COLS)
+
+
+QUERIES = {"provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
 
@@ -446,3 +508,67 @@ def _cal_domain_sql() -> str:
 
 
 SQL["compliance_calendar"] = _cal_domain_sql()
+
+
+def _cit_sql() -> str:
+    from .testbed_sql import _grid_values
+    return f"""
+    WITH raw AS (SELECT CAST(l_orderkey AS VARCHAR) AS ccn,
+                   CASE WHEN l_linenumber % 2 = 0 THEN 'F' ELSE ' k' END AS prefix,
+                   CAST(l_partkey % 50 + 550 AS VARCHAR) AS num,
+                   CASE WHEN l_returnflag = 'R' THEN 'Freedom from Abuse, Neglect, and Exploitation'
+                        WHEN l_returnflag = 'A' THEN 'Infection Control Deficiencies'
+                        ELSE 'Quality of Life and Care Deficiencies' END AS cat0,
+                   'desc ' || CAST(l_partkey AS VARCHAR) AS desc0,
+                   substring('ABCDEFGHIJKLM', CAST((l_orderkey + l_linenumber) % 13 + 1 AS INTEGER), 1) AS sev
+                 FROM lineitem),
+    ref AS (SELECT pfx, num, arg_max(descr, seq) AS ftag_description, arg_max(cat, seq) AS ftag_category
+            FROM (SELECT CASE WHEN p_size % 2 = 0 THEN 'F' ELSE 'K' END AS pfx, CAST(p_partkey % 40 + 550 AS VARCHAR) AS num,
+                         'Tag ' || p_name AS descr, p_type AS cat, p_partkey AS seq FROM part) x GROUP BY pfx, num),
+    g AS (SELECT * FROM (VALUES {_grid_values()}) t(k, lvl, sc, ds)),
+    c AS (SELECT ccn, upper(TRIM(prefix)) AS tag_prefix, TRIM(num) AS tag_number, upper(TRIM(sev)) AS code, cat0, desc0 FROM raw),
+    j AS (SELECT c.*, ref.pfx IS NOT NULL AS ftag_matched,
+                 CASE WHEN ref.pfx IS NOT NULL THEN ref.ftag_description ELSE c.desc0 END AS tag_description,
+                 CASE WHEN ref.pfx IS NOT NULL THEN ref.ftag_category ELSE c.cat0 END AS category,
+                 CAST(g.lvl AS INTEGER) AS severity_level, COALESCE(g.sc, '') AS scope
+          FROM c LEFT JOIN ref ON c.tag_prefix = ref.pfx AND c.tag_number = ref.num LEFT JOIN g ON c.code = g.k)
+    SELECT ccn, tag_prefix, tag_number,
+      CASE WHEN tag_prefix <> '' AND tag_number <> '' THEN tag_prefix || '-' || tag_number ELSE '' END AS prefix_tag,
+      tag_description, category, severity_level, scope,
+      COALESCE(code IN ('J', 'K', 'L'), false) AS is_immediate_jeopardy, COALESCE(severity_level >= 3, false) AS is_actual_harm,
+      contains(lower(category), 'abuse') OR contains(lower(category), 'neglect') AS is_abuse_neglect,
+      contains(lower(category), 'infection control') AS is_infection_ctrl_cat,
+      contains(lower(category), 'quality of life') AS is_quality_care, ftag_matched
+    FROM j"""
+
+
+SQL["citations_domain"] = _cit_sql()
+
+
+def _prov_sql() -> str:
+    sent = ("", "N/A", "Not Available")
+    k = "c_custkey"
+    cols = {
+        "rn": f"CAST({k} % 2 AS VARCHAR) || '.' || lpad(CAST({k} % 100 AS VARCHAR), 2, '0')",
+        "cna": f"'2.' || lpad(CAST(({k} * 3) % 100 AS VARCHAR), 2, '0')",
+        "tot": f"CASE WHEN {k} % 13 = 0 THEN '' ELSE '3.' || lpad(CAST(({k} * 7) % 100 AS VARCHAR), 2, '0') END",
+        "wk": f"CASE WHEN {k} % 9 = 0 THEN 'Not Available' ELSE '0.' || lpad(CAST(({k} * 11) % 100 AS VARCHAR), 2, '0') END",
+    }
+    return f"""
+    WITH raw AS (SELECT CAST({k} AS VARCHAR) AS ccn, {cols['rn']} AS rn_t, {cols['cna']} AS cna_t, {cols['tot']} AS tot_t,
+                   {cols['wk']} AS wk_t,
+                   CASE WHEN {k} % 4 = 0 THEN 'N/A' WHEN {k} % 4 = 1 THEN ' ' ELSE 'Chain ' || CAST({k} % 10 AS VARCHAR) END
+                     AS chain FROM customer),
+    p AS (SELECT ccn, {_num('rn_t', sent)} AS rn_hprd, {_num('cna_t', sent)} AS cna, {_num('tot_t', sent)} AS tot,
+                 {_num('wk_t', sent)} AS wk, chain FROM raw)
+    SELECT ccn, rn_hprd, rn_hprd >= {K.RN_HPRD_MIN} AS lm_rn_meets_3442f, cna >= {K.AIDE_HPRD_MIN} AS lm_aide_meets_3442f,
+      tot >= {K.TOTAL_HPRD_MIN} AS lm_total_meets_3442f, wk >= {K.RN_HPRD_MIN} AS lm_rn_weekend_meets_3442f,
+      COALESCE(rn_hprd >= {K.RN_HPRD_MIN} AND cna >= {K.AIDE_HPRD_MIN} AND tot >= {K.TOTAL_HPRD_MIN}
+               AND wk >= {K.RN_HPRD_MIN}, false) AS lm_meets_3442f_thresholds,
+      CAST(rn_hprd IS NULL AS INTEGER) + CAST(cna IS NULL AS INTEGER) + CAST(tot IS NULL AS INTEGER)
+        + CAST(wk IS NULL AS INTEGER) AS lm_missing_parts,
+      CASE WHEN TRIM(chain) IS NOT NULL AND TRIM(chain) NOT IN ('', 'N/A') THEN 'Y' ELSE 'N' END AS chain_affiliated
+    FROM p"""
+
+
+SQL["provider_staffing"] = _prov_sql()
