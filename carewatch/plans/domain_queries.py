@@ -17,7 +17,7 @@ from ..sources.catalog import table
 from ..sources.readers import literal_table
 import datetime as dt
 
-from . import access, compliance, measures, vbp
+from . import access, compliance, conformance, measures, testbed, vbp
 from .testbed_sql import _num, _q
 
 SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
@@ -270,7 +270,34 @@ def provider_staffing(spark, d):
     return info.select(*PROVIDER_COLS)
 
 
-QUERIES = {"provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
+CONF_REGISTRY = [
+    {"name": "customer_x", "known_anomalies": [{"field": "const_col", "check": "constant_value"}],
+     "finding_fields": ["sparse_name"]},
+    {"name": "orders", "known_anomalies": [{"field": "o_comment", "check": "null_rate"}]},
+    {"name": "supplier", "fields_computed": ["s_acctbal"], "finding_fields": ["s_name"]},
+]
+CONF_EXPECTED = {"supplier": ["s_suppkey", "s_name", "s_nationkey", "s_phone"]}
+
+
+def _conformance(spark, d) -> dict:
+    datasets = {"customer_x": testbed.profiled_frame(spark, d), "orders": table(spark, d, "orders"),
+                "supplier": table(spark, d, "supplier")}
+    return conformance.run(spark, datasets, CONF_REGISTRY, pairs=[("customer_x", "supplier")],
+                           expected_fields=CONF_EXPECTED)
+
+
+def conformance_findings(spark, d):
+    """Findings after suppressions, with BLOCKING / LATENT severity."""
+    return _conformance(spark, d)["findings"]
+
+
+def conformance_status(spark, d):
+    """Worst severity per registered dataset."""
+    return _conformance(spark, d)["status"]
+
+
+QUERIES = {"conformance_findings": conformance_findings, "conformance_status": conformance_status,
+           "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
 
@@ -572,3 +599,51 @@ def _prov_sql() -> str:
 
 
 SQL["provider_staffing"] = _prov_sql()
+
+
+def _conf_sql(kind: str) -> str:
+    from ..operators.quality import numeric_name
+    from .testbed_sql import PROFILED, PROFILED_COLS, _profile_sql, _values
+    srcs = {"customer_x": (PROFILED, PROFILED_COLS),
+            "orders": ("SELECT * FROM orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                "o_orderdate", "o_orderpriority"]),
+            "supplier": ("SELECT * FROM supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])}
+    profs = []
+    for name, (src, cols) in srcs.items():
+        hinted = [c for c in cols if numeric_name(c)]
+        profs.append(_profile_sql(src, name, cols, hints=tuple(hinted) or ("\x00",)))
+    known = [(r["name"], a["field"], a["check"]) for r in CONF_REGISTRY for a in r.get("known_anomalies", [])]
+    ff = [(r["name"], f) for r in CONF_REGISTRY for f in r.get("finding_fields", [])]
+    exp = [("supplier", f) for f in CONF_EXPECTED["supplier"]]
+    act = [("supplier", c) for c in srcs["supplier"][1]]
+    computed = [(r["name"], f) for r in CONF_REGISTRY for f in r.get("fields_computed", [])]
+    body = f"""
+    WITH prof AS ({" UNION ALL ".join(profs)}),
+    findings AS (
+        SELECT dataset, 'null_rate' AS "check", field FROM prof WHERE null_rate >= {K.NULL_RATE_THRESHOLD}
+        UNION ALL SELECT dataset, 'constant_value', field FROM prof WHERE is_constant AND row_count >= {K.CONSTANT_MIN_ROWS}
+        UNION ALL SELECT dataset, 'type_anomaly', field FROM prof
+          WHERE parse_rate < {K.NUMERIC_PARSE_FLOOR} AND null_rate < {K.NULL_RATE_THRESHOLD}
+        UNION ALL SELECT e.dataset, 'field_missing', e.field FROM (VALUES {_values(exp)}) e(dataset, field)
+          WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_values(act)}) a(dataset, field) WHERE a.field = e.field)
+        UNION ALL SELECT a.dataset, 'field_unexpected', a.field FROM (VALUES {_values(act)}) a(dataset, field)
+          WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_values(exp)}) e(dataset, field) WHERE a.field = e.field)
+            AND NOT EXISTS (SELECT 1 FROM (VALUES {_values(computed)}) c(dataset, field) WHERE c.field = a.field)),
+    known AS (SELECT * FROM (VALUES {_values(known)}) t(dataset, field, "check")),
+    ff AS (SELECT * FROM (VALUES {_values(ff)}) t(dataset, field)),
+    kept AS (SELECT * FROM findings f WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dataset = f.dataset
+             AND k.field = f.field AND k."check" = f."check")),
+    cls AS (SELECT kept.dataset, kept."check", kept.field,
+                   CASE WHEN EXISTS (SELECT 1 FROM ff WHERE ff.dataset = kept.dataset AND ff.field = kept.field)
+                        THEN 'BLOCKING' ELSE 'LATENT' END AS severity FROM kept)"""
+    if kind == "findings":
+        return body + "\n    SELECT * FROM cls"
+    names = ", ".join(f"({_q(r['name'])})" for r in CONF_REGISTRY)
+    return body + f"""
+    SELECT d.dataset, CASE MAX(CASE WHEN severity = 'BLOCKING' THEN 2 WHEN severity = 'LATENT' THEN 1 ELSE 0 END)
+                      WHEN 2 THEN 'BLOCKING' WHEN 1 THEN 'LATENT' ELSE 'OK' END AS status
+    FROM (VALUES {names}) d(dataset) LEFT JOIN cls ON d.dataset = cls.dataset GROUP BY d.dataset"""
+
+
+SQL["conformance_findings"] = _conf_sql("findings")
+SQL["conformance_status"] = _conf_sql("status")

@@ -60,7 +60,7 @@ def _profile_sql(src: str, dataset: str, cols, words=K.SENTINELS_HARNESS, hints=
         blank = f"({c} IS NULL OR {txt} IN ({wl}))"
         val = f"CASE WHEN NOT {blank} THEN {txt} END"
         if any(h in c.lower() for h in hints):
-            parse = (f"ROUND(CAST(COUNT_IF({_num(c, words)} IS NOT NULL) AS DOUBLE) / "
+            parse = (f"ROUND(CAST(COUNT_IF({_num(f'CAST({c} AS VARCHAR)', words)} IS NOT NULL) AS DOUBLE) / "
                      f"NULLIF(COUNT(*) - COUNT_IF({blank}), 0), 6)")
         else:
             parse = "CAST(NULL AS DOUBLE)"
