@@ -53,8 +53,23 @@ def _valid(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value.cast("double"))
 
 
+def distinct_value_counts(df: DataFrame, value: str, by=None, materialize: str = MATERIALIZE) -> DataFrame:
+    """(by..., value, n) over non-NULL, non-NaN values, materialised once. A coarser
+    scope is derived from it without touching the input again: see `rollup_counts`."""
+    v = F.col(value)
+    vc = df.where(_valid(v)).groupBy(*_by(by), value).agg(F.count(F.lit(1)).alias("n"))
+    return _materialize(vc, materialize)
+
+
+def rollup_counts(counts: DataFrame, value: str, by=None, materialize: str = MATERIALIZE) -> DataFrame:
+    """Re-aggregate a (finer..., value, n) table to (by..., value, n), e.g. state -> nation,
+    reading only the (small) finer table."""
+    return _materialize(counts.groupBy(*_by(by), value).agg(F.sum("n").alias("n")), materialize)
+
+
 def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAULT_BUCKETS,
-                      rel_err: float = 0.001, materialize: str = MATERIALIZE) -> DataFrame:
+                      rel_err: float = 0.001, materialize: str = MATERIALIZE,
+                      counts: DataFrame | None = None) -> DataFrame:
     """(by..., value, n, cum_lt, cum_le, total) for every distinct non-NULL value.
 
     The distinct-value count table feeds three branches (bucket edges, running sums,
@@ -64,8 +79,7 @@ def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAU
     source; "cache" keeps it in executor storage; "none" leaves pure lineage."""
     keys = _by(by)
     v = F.col(value)
-    vc = df.where(_valid(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    vc = _materialize(vc, materialize)
+    vc = counts if counts is not None else distinct_value_counts(df, value, by, materialize)
     # Bucket edges: approximate quantiles of the distinct values, computed inside the plan
     # as a one-row aggregate (n_buckets - 1 doubles) and broadcast on a constant key.
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
@@ -129,7 +143,7 @@ def _join_groups(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFram
 
 def rank_values(df: DataFrame, value: str, by=None, rank: str | None = None, rank_desc: bool = False,
                 pct: str | None = None, pct_digits: int | None = 3, tier: str | None = None,
-                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                n_buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
     """One row per (by..., value) with the requested order statistics, all read off ONE
     cumulative-count table:
 
@@ -138,7 +152,7 @@ def rank_values(df: DataFrame, value: str, by=None, rank: str | None = None, ran
     * `tier`  - quartile tier with <= edges from exact interpolated quartiles (G4, T5)
     """
     keys = _by(by)
-    cc = cumulative_counts(df, value, by, n_buckets)
+    cc = cumulative_counts(df, value, by, n_buckets, counts=counts)
     cols: dict = {}
     if tier:
         q = quantiles_from_counts(cc, value, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"]).drop("n")
@@ -202,11 +216,12 @@ def pct_rank_window(df: DataFrame, col: str, by=None, out: str = "pct_rank", dig
 
 # ------------------------------------------------------------------- F12 quantiles
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75), by=None,
-                    names: Sequence[str] | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    names: Sequence[str] | None = None, n_buckets: int = DEFAULT_BUCKETS,
+                    counts: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy 'linear', SQL `percentile` /
     `quantile_cont`) per group. No per-group value map is held in memory: the order
     statistics are read off the cumulative-count table. Rows: (by..., n, q_...)."""
-    return quantiles_from_counts(cumulative_counts(df, col, by, n_buckets), col, probs, by, names)
+    return quantiles_from_counts(cumulative_counts(df, col, by, n_buckets, counts=counts), col, probs, by, names)
 
 
 # ------------------------------------------------------------------------- G4
@@ -222,13 +237,13 @@ def tier_label(score: ColumnOrName, q1: ColumnOrName, med: ColumnOrName, q3: Col
 
 
 def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored: str | None = None,
-                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  n_buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
     """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
     scored rows only (T6), one row per group; that small table is joined to the rows on
     the group keys (nationally: a one-row broadcast), so the rows themselves are never
     shuffled by value. Unscored rows get `unscored` (default NULL)."""
     keys = _by(by)
-    q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets).drop("n")
+    q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets, counts).drop("n")
     j = _join_groups(df, q, keys)
     return j.withColumn(out, tier_label(col, "_q1", "_q2", "_q3", unscored)).drop("_q1", "_q2", "_q3")
 

@@ -355,8 +355,9 @@ def quartile_tiers(spark, d):
     """G4 quartile tiers with <= edges, national and within nation; NULL scores keep a
     NULL tier (T5, T6)."""
     s = _order_scores(spark, d)
-    s = R.quartile_tier(s, "score", out="national_tier")
-    return R.quartile_tier(s, "score", by="c_nationkey", out="nation_tier")
+    per_nation = R.distinct_value_counts(s, "score", "c_nationkey")  # national = its roll-up
+    s = R.quartile_tier(s, "score", out="national_tier", counts=R.rollup_counts(per_nation, "score"))
+    return R.quartile_tier(s, "score", by="c_nationkey", out="nation_tier", counts=per_nation)
 
 
 # ---------------------------------------------------------------------- position_of

@@ -42,8 +42,10 @@ def score(d: DataFrame, by: str = "state", unscored: str | None = None) -> DataF
     (G4), payment direction (K19), period deltas (K20). Unscored rows are kept with NULL
     ranks/tiers (E10, T6)."""
     v = "performance_score"
-    nat = R.rank_values(d, v, pct="national_pct_rank", tier="national_vbp_tier")
-    st = R.rank_values(d, v, by, pct="state_pct_rank", tier="state_vbp_tier")
+    per_state = R.distinct_value_counts(d, v, by)  # one scan; the national table is its roll-up
+    nat = R.rank_values(d, v, pct="national_pct_rank", tier="national_vbp_tier",
+                        counts=R.rollup_counts(per_state, v))
+    st = R.rank_values(d, v, by, pct="state_pct_rank", tier="state_vbp_tier", counts=per_state)
     s = R.attach_ranks(d, nat, v, tier="national_vbp_tier", unscored=unscored)
     s = R.attach_ranks(s, st, v, by, tier="state_vbp_tier", unscored=unscored)
     s = s.withColumn("payment_direction", X.direction("incentive_multiplier"))
