@@ -17,7 +17,7 @@ from ..sources.catalog import table
 from ..sources.readers import literal_table
 import datetime as dt
 
-from . import access, compliance, conformance, measures, testbed, vbp
+from . import access, compliance, conformance, facility, measures, testbed, vbp
 from .testbed_sql import _num, _q
 
 SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
@@ -296,7 +296,29 @@ def conformance_status(spark, d):
     return _conformance(spark, d)["status"]
 
 
-QUERIES = {"conformance_findings": conformance_findings, "conformance_status": conformance_status,
+HUB_COLS = ["enrollment_id", "ccn", "zip5", "npi_uri", "pos_fac_name", "pos_state", "pos_matched", "region",
+            "zcta_matched"]
+
+
+def facility_hub(spark, d):
+    """Enrollment spine <- POS (padded CCN) <- demographics (padded ZIP5), owners
+    source absent (skipped), match flags; spine row count preserved."""
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    enroll = c.select(F.concat(F.lit("E"), k.cast("string")).alias("enrollment_id"),
+                      F.when(k % 6 == 0, F.lit("")).otherwise(F.lpad(k.cast("string"), 10, "1")).alias("npi"),
+                      k.cast("string").alias("ccn"),
+                      F.concat(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), F.lit("-1234")).alias("zip"))
+    pos = table(spark, d, "supplier").select(
+        F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("prvdr_num"), F.col("s_name").alias("pos_fac_name"),
+        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("pos_state"))
+    demo = table(spark, d, "nation").where(F.col("n_regionkey") != 2).select(
+        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("zcta"), F.col("n_regionkey").alias("region"))
+    master, _ = facility.facility_master(enroll, pos, None, demo, None)
+    return master.select(*HUB_COLS)
+
+
+QUERIES = {"facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -647,3 +669,27 @@ def _conf_sql(kind: str) -> str:
 
 SQL["conformance_findings"] = _conf_sql("findings")
 SQL["conformance_status"] = _conf_sql("status")
+
+
+def _hub_sql() -> str:
+    def pad(x, n):
+        return (f"(CASE WHEN TRIM({x}) IS NULL OR TRIM({x}) = '' THEN NULL WHEN length(TRIM({x})) < {n} "
+                f"THEN lpad(TRIM({x}), {n}, '0') ELSE TRIM({x}) END)")
+    z5 = pad("substring(TRIM(zip), 1, 5)", 5)
+    return f"""
+    WITH e AS (SELECT 'E' || CAST(c_custkey AS VARCHAR) AS enrollment_id,
+                 CASE WHEN c_custkey % 6 = 0 THEN '' ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '1') END AS npi,
+                 CAST(c_custkey AS VARCHAR) AS ccn, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '-1234' AS zip FROM customer),
+    e2 AS (SELECT *, {z5} AS zip5, {pad('ccn', 6)} AS k,
+                  CASE WHEN TRIM(npi) IS NOT NULL AND TRIM(npi) <> '' THEN {_q(K.NPI_URI_BASE)} || TRIM(npi) ELSE '' END AS npi_uri
+           FROM e),
+    pos AS (SELECT {pad("lpad(CAST(s_suppkey AS VARCHAR), 6, '0')", 6)} AS k, s_name AS pos_fac_name,
+                   'S' || CAST(s_nationkey AS VARCHAR) AS pos_state FROM supplier),
+    demo AS (SELECT {pad("lpad(CAST(n_nationkey AS VARCHAR), 5, '0')", 5)} AS z, n_regionkey AS region
+             FROM nation WHERE n_regionkey <> 2)
+    SELECT e2.enrollment_id, e2.ccn, e2.zip5, e2.npi_uri, pos.pos_fac_name, pos.pos_state, pos.k IS NOT NULL AS pos_matched,
+           demo.region, demo.z IS NOT NULL AS zcta_matched
+    FROM e2 LEFT JOIN pos ON e2.k = pos.k LEFT JOIN demo ON {pad('e2.zip5', 5)} = demo.z"""
+
+
+SQL["facility_hub"] = _hub_sql()
