@@ -318,7 +318,38 @@ def facility_hub(spark, d):
     return master.select(*HUB_COLS)
 
 
-QUERIES = {"facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
+EXCL_CODES = ["1128a1", "1128b4", " 1128 A2", "1156", "1128b7", "9999", "1128c3gi"]
+
+
+def owner_flags_domain(spark, d):
+    """Per-enrollment owner counts and 'any owner of this kind' flags."""
+    li = table(spark, d, "lineitem")
+    o = li.select(
+        F.concat(F.lit("E"), F.col("l_orderkey").cast("string")).alias("ENROLLMENT ID"),
+        F.concat(F.lit("Org "), F.col("l_suppkey").cast("string")).alias("ORGANIZATION NAME"),
+        F.when(F.col("l_linenumber") == 1, "I").otherwise("O").alias("TYPE - OWNER"),
+        F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("PRIVATE EQUITY COMPANY - OWNER"),
+        F.when(F.col("l_linestatus") == "O", " y").otherwise("N").alias("REIT - OWNER"),
+        F.when(F.col("l_discount") > 0.05, "Y").otherwise("").alias("LLC - OWNER"))
+    return facility.owner_flags(o)
+
+
+def exclusions_domain(spark, d):
+    """Exclusion severity tiers, real-NPI and individual tests."""
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    ex = c.select(
+        F.when(k % 5 == 0, F.lit("0000000000")).when(k % 7 == 0, F.lit(""))
+         .otherwise(F.lpad(k.cast("string"), 10, "2")).alias("NPI"),
+        F.when(F.col("c_acctbal") > 0, F.concat(F.lit("LAST"), k.cast("string"))).otherwise(F.lit("")).alias("LASTNAME"),
+        F.when(F.col("c_acctbal") <= 0, F.col("c_name")).otherwise(F.lit("")).alias("BUSNAME"),
+        F.element_at(F.array(*[F.lit(x) for x in EXCL_CODES]), (k % len(EXCL_CODES) + 1).cast("int")).alias("EXCLTYPE"),
+        F.concat(F.lit("S"), (F.col("c_nationkey") % 5).cast("string")).alias("STATE"))
+    return facility.exclusion_tiers(ex)["exclusions"].select("NPI", "EXCLTYPE", "STATE", "severity_tier",
+                                                             "npi_present", "is_individual")
+
+
+QUERIES = {"owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -693,3 +724,35 @@ def _hub_sql() -> str:
 
 
 SQL["facility_hub"] = _hub_sql()
+
+
+def _owner_sql() -> str:
+    return """
+    WITH o AS (SELECT 'E' || CAST(l_orderkey AS VARCHAR) AS eid, CASE WHEN l_linenumber = 1 THEN 'I' ELSE 'O' END AS t,
+                 CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS pe, CASE WHEN l_linestatus = 'O' THEN ' y' ELSE 'N' END AS reit,
+                 CASE WHEN l_discount > 0.05 THEN 'Y' ELSE '' END AS llc FROM lineitem)
+    SELECT eid AS enrollment_id, bool_or(COALESCE(upper(TRIM(pe)) = 'Y', false)) AS private_equity_company_owner,
+      bool_or(COALESCE(upper(TRIM(reit)) = 'Y', false)) AS reit_owner, bool_or(COALESCE(upper(TRIM(llc)) = 'Y', false)) AS llc_owner,
+      COUNT(*) AS owner_count, CAST(COUNT_IF(upper(TRIM(t)) = 'I') AS BIGINT) AS individual_owner_count
+    FROM o WHERE eid IS NOT NULL AND TRIM(eid) <> '' GROUP BY eid"""
+
+
+def _excl_sql() -> str:
+    codes = "[" + ", ".join(_q(x) for x in EXCL_CODES) + "]"
+    tiers = ", ".join(f"({_q(c)}, {_q(t)})" for c, t in K.EXCLUSION_TIERS.items())
+    return f"""
+    WITH e AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN '0000000000' WHEN c_custkey % 7 = 0 THEN ''
+                        ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '2') END AS NPI,
+                 CASE WHEN c_acctbal > 0 THEN 'LAST' || CAST(c_custkey AS VARCHAR) ELSE '' END AS LASTNAME,
+                 CASE WHEN c_acctbal <= 0 THEN c_name ELSE '' END AS BUSNAME,
+                 ({codes})[c_custkey % {len(EXCL_CODES)} + 1] AS EXCLTYPE,
+                 'S' || CAST(c_nationkey % 5 AS VARCHAR) AS STATE FROM customer),
+    t AS (SELECT * FROM (VALUES {tiers}) t(k, tier))
+    SELECT e.NPI, e.EXCLTYPE, e.STATE, COALESCE(t.tier, {_q(K.EXCLUSION_DEFAULT_TIER)}) AS severity_tier,
+      COALESCE(TRIM(e.NPI) IS NOT NULL AND TRIM(e.NPI) <> '' AND TRIM(e.NPI) <> '0000000000', false) AS npi_present,
+      COALESCE(TRIM(e.LASTNAME) <> '', false) AND NOT COALESCE(TRIM(e.BUSNAME) <> '', false) AS is_individual
+    FROM e LEFT JOIN t ON upper(replace(TRIM(e.EXCLTYPE), ' ', '')) = t.k"""
+
+
+SQL["owner_flags_domain"] = _owner_sql()
+SQL["exclusions_domain"] = _excl_sql()
