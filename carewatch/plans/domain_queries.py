@@ -349,7 +349,31 @@ def exclusions_domain(spark, d):
                                                              "npi_present", "is_individual")
 
 
-QUERIES = {"owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
+def pac_domain(spark, d):
+    """Provider-level rows only; therapy-intensity (both-needed sum) and dual flags."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(k.cast("string").alias("prvdr_id"),
+                   F.when(k % 10 == 0, F.lit("NATION")).otherwise(F.lit("provider ")).alias("smry_ctgry"),
+                   F.when(k % 7 == 0, F.lit("*")).otherwise((k % 400).cast("string")).alias("pt_mnts"),
+                   F.when(k % 11 == 0, F.lit("*")).when(k % 13 == 0, F.lit("")).otherwise(((k * 3) % 300).cast("string"))
+                    .alias("ot_mnts"),
+                   F.when(k % 5 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 70).cast("string")).alias("dual_pct"))
+    return measures.pac_puf(raw).select("prvdr_id", "high_therapy_intensity", "high_dual_pct")
+
+
+def survey_domain(spark, d):
+    """Computed health total = row-wise sum of category counts, NULL when all missing."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(k.cast("string").alias("ccn"),
+                   F.when(k % 3 == 0, F.lit("")).otherwise((k % 5).cast("string")).alias("cat_abuse"),
+                   F.when(k % 4 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 3).cast("string")).alias("cat_qol"),
+                   F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("1")).alias("cat_admin"))
+    return measures.survey_summary(raw).select("ccn", "computed_health_total")
+
+
+QUERIES = {"pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -756,3 +780,36 @@ def _excl_sql() -> str:
 
 SQL["owner_flags_domain"] = _owner_sql()
 SQL["exclusions_domain"] = _excl_sql()
+
+
+def _pac_sql() -> str:
+    sent = tuple(K.SENTINELS_PAC)
+    return f"""
+    WITH raw AS (SELECT CAST(o_orderkey AS VARCHAR) AS prvdr_id,
+                   CASE WHEN o_orderkey % 10 = 0 THEN 'NATION' ELSE 'provider ' END AS smry_ctgry,
+                   CASE WHEN o_orderkey % 7 = 0 THEN '*' ELSE CAST(o_orderkey % 400 AS VARCHAR) END AS pt_t,
+                   CASE WHEN o_orderkey % 11 = 0 THEN '*' WHEN o_orderkey % 13 = 0 THEN ''
+                        ELSE CAST((o_orderkey * 3) % 300 AS VARCHAR) END AS ot_t,
+                   CASE WHEN o_orderkey % 5 = 0 THEN 'N/A' ELSE CAST(o_custkey % 70 AS VARCHAR) END AS dual_t FROM orders),
+    p AS (SELECT prvdr_id, {_num('pt_t', sent)} AS pt, {_num('ot_t', sent)} AS ot, {_num('dual_t', sent)} AS dual
+          FROM raw WHERE upper(TRIM(smry_ctgry)) = 'PROVIDER')
+    SELECT prvdr_id, CASE WHEN pt IS NULL AND ot IS NULL THEN NULL ELSE COALESCE(pt + ot > {K.THERAPY_MINUTES_MIN}, false) END
+             AS high_therapy_intensity,
+           dual > {K.DUAL_PCT_MIN} AS high_dual_pct FROM p"""
+
+
+def _survey_sql() -> str:
+    sent = ("", "N/A")
+    return f"""
+    WITH raw AS (SELECT CAST(o_orderkey AS VARCHAR) AS ccn,
+                   CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(o_orderkey % 5 AS VARCHAR) END AS a,
+                   CASE WHEN o_orderkey % 4 = 0 THEN 'N/A' ELSE CAST(o_custkey % 3 AS VARCHAR) END AS q,
+                   CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE '1' END AS m FROM orders),
+    n AS (SELECT ccn, CAST({_num('a', sent)} AS BIGINT) AS a, CAST({_num('q', sent)} AS BIGINT) AS q,
+                 CAST({_num('m', sent)} AS BIGINT) AS m FROM raw)
+    SELECT ccn, CASE WHEN COALESCE(a, q, m) IS NULL THEN NULL ELSE COALESCE(a, 0) + COALESCE(q, 0) + COALESCE(m, 0) END
+             AS computed_health_total FROM n"""
+
+
+SQL["pac_domain"] = _pac_sql()
+SQL["survey_domain"] = _survey_sql()
