@@ -373,7 +373,24 @@ def survey_domain(spark, d):
     return measures.survey_summary(raw).select("ccn", "computed_health_total")
 
 
-QUERIES = {"pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
+def measures_domain(spark, d):
+    """Measure rows with collection dates looked up by measure code (blank default);
+    the interval table repeats codes, and the lookup keeps one row per code."""
+    li = table(spark, d, "lineitem")
+    raw = li.select(F.col("l_orderkey").cast("string").alias("ccn"),
+                    (F.col("l_partkey") % 60 + 400).cast("string").alias("measure_code"),
+                    F.col("l_quantity").cast("string").alias("four_quarter_average_score"))
+    p = table(spark, d, "part")
+    iv = p.select((F.col("p_partkey") % 40 + 400).cast("string").alias("measure_code"),
+                  F.concat(F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0"), F.lit("/01/2024"))
+                   .alias("data_collection_period_from_date"),
+                  F.concat(F.lit("12/"), F.lpad((F.col("p_partkey") % 28 + 1).cast("string"), 2, "0"), F.lit("/2024"))
+                   .alias("data_collection_period_through_date"))
+    out = measures.quality_measures(raw, iv, "mds")["measures"]
+    return out.select("ccn", "measure_code", "four_quarter_average", "collection_from", "collection_through")
+
+
+QUERIES = {"measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -813,3 +830,19 @@ def _survey_sql() -> str:
 
 SQL["pac_domain"] = _pac_sql()
 SQL["survey_domain"] = _survey_sql()
+
+
+def _measures_sql() -> str:
+    return """
+    WITH raw AS (SELECT CAST(l_orderkey AS VARCHAR) AS ccn, CAST(l_partkey % 60 + 400 AS VARCHAR) AS measure_code,
+                   CAST(l_quantity AS VARCHAR) AS four_quarter_average FROM lineitem),
+    iv AS (SELECT TRIM(CAST(p_partkey % 40 + 400 AS VARCHAR)) AS measure_code,
+                  max(struct_pack(f := lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '/01/2024',
+                                  t := '12/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/2024')) AS s
+           FROM part GROUP BY 1)
+    SELECT raw.ccn, TRIM(raw.measure_code) AS measure_code, TRIM(raw.four_quarter_average) AS four_quarter_average,
+           COALESCE(iv.s.f, '') AS collection_from, COALESCE(iv.s.t, '') AS collection_through
+    FROM raw LEFT JOIN iv ON TRIM(raw.measure_code) = iv.measure_code"""
+
+
+SQL["measures_domain"] = _measures_sql()
