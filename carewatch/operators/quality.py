@@ -144,17 +144,24 @@ FINDING_SCHEMA = "dataset string, check string, field string, metric double, mes
 
 def findings_from_profile(p: DataFrame, null_at: float = K.NULL_RATE_THRESHOLD,
                           min_rows: int = K.CONSTANT_MIN_ROWS, floor: float = K.NUMERIC_PARSE_FLOOR) -> DataFrame:
-    """Turn profile rows into findings (dataset, check, field, metric, message)."""
-    nr = p.where(F.col("null_rate") >= null_at).select(
-        "dataset", F.lit("null_rate").alias("check"), "field", F.col("null_rate").alias("metric"),
-        F.format_string("null rate %.3f", F.col("null_rate")).alias("message"))
-    cv = p.where(F.col("is_constant") & (F.col("row_count") >= min_rows)).select(
-        "dataset", F.lit("constant_value").alias("check"), "field", F.lit(None).cast("double").alias("metric"),
-        F.concat(F.lit("constant value "), F.col("min_value")).alias("message"))
-    ta = p.where((F.col("parse_rate") < floor) & (F.col("null_rate") < null_at)).select(
-        "dataset", F.lit("type_anomaly").alias("check"), "field", F.col("parse_rate").alias("metric"),
-        F.format_string("numeric parse rate %.3f", F.col("parse_rate")).alias("message"))
-    return nr.unionByName(cv).unionByName(ta)
+    """Turn profile rows into findings (dataset, check, field, metric, message) in one pass
+    over the profile: every row proposes its three candidate findings, the hits are kept."""
+    cand = F.array(
+        F.struct(F.lit("null_rate").alias("check"), (F.col("null_rate") >= null_at).alias("hit"),
+                 F.col("null_rate").alias("metric"),
+                 F.format_string("null rate %.3f", F.col("null_rate")).alias("message")),
+        F.struct(F.lit("constant_value").alias("check"),
+                 (F.col("is_constant") & (F.col("row_count") >= min_rows)).alias("hit"),
+                 F.lit(None).cast("double").alias("metric"),
+                 F.concat(F.lit("constant value "), F.col("min_value")).alias("message")),
+        F.struct(F.lit("type_anomaly").alias("check"),
+                 ((F.col("parse_rate") < floor) & (F.col("null_rate") < null_at)).alias("hit"),
+                 F.col("parse_rate").alias("metric"),
+                 F.format_string("numeric parse rate %.3f", F.col("parse_rate")).alias("message")))
+    return (p.select("dataset", "field", F.explode(cand).alias("_f"))
+            .where(F.coalesce(F.col("_f.hit"), F.lit(False)))
+            .select("dataset", F.col("_f.check").alias("check"), "field", F.col("_f.metric").alias("metric"),
+                    F.col("_f.message").alias("message")))
 
 
 def apply_suppressions(findings: DataFrame, known: DataFrame) -> DataFrame:

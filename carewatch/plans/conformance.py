@@ -37,12 +37,16 @@ def registry_frame(spark: SparkSession, registry: Sequence[Mapping]) -> tuple[Da
 def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequence[Mapping],
         previous_snapshot: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = (),
         expected_fields: Mapping[str, Sequence[str]] | None = None,
-        numeric_hints: Sequence[str] = K.NUMERIC_NAME_HINTS) -> dict[str, DataFrame]:
+        numeric_hints: Sequence[str] = K.NUMERIC_NAME_HINTS, materialize: str = "checkpoint"
+        ) -> dict[str, DataFrame]:
+    """Profiles feed findings, drift, cross-source and the snapshot; with the default
+    `materialize="checkpoint"` each dataset is scanned once however many outputs are
+    written. Use "none" when only one output is consumed."""
     ds, known, ff = registry_frame(spark, registry)
     computed = {r["name"]: r.get("fields_computed", []) for r in registry}
     profiles, findings = None, None
     for name, df in datasets.items():
-        p = Q.profile(df, name, numeric_hints=numeric_hints, materialize="checkpoint")  # one scan per dataset
+        p = Q.profile(df, name, numeric_hints=numeric_hints, materialize=materialize)
         profiles = p if profiles is None else profiles.unionByName(p)
         empty = Q.check_nonempty(df, "nonempty").where(~F.col("ok")).select(
             F.lit(name).alias("dataset"), F.lit("empty_output").alias("check"), F.lit("*").alias("field"))

@@ -51,10 +51,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is configured (local tests)
-    create a private scratch folder."""
+    """Use the shared folder the session names in `spark.checkpoint.dir`. Only in local
+    mode (tests) is a private scratch folder created when none is configured; on a
+    cluster a missing setting is an error, never a machine-local fallback."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="carewatch-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
