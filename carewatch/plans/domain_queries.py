@@ -390,7 +390,40 @@ def measures_domain(spark, d):
     return out.select("ccn", "measure_code", "four_quarter_average", "collection_from", "collection_through")
 
 
-QUERIES = {"measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
+def enrollments_domain(spark, d):
+    """P5: two differently spelled enrollment sources aligned to one labelled schema."""
+    c = table(spark, d, "customer")
+    snf = c.select(F.concat(F.lit("E"), F.col("c_custkey").cast("string")).alias("ENROLLMENT ID"),
+                   F.col("c_custkey").cast("string").alias("CCN"), F.col("c_name").alias("ORGANIZATION NAME"),
+                   F.concat(F.lit("S"), (F.col("c_nationkey") % 5).cast("string")).alias("STATE"),
+                   F.when(F.col("c_acctbal") > 0, "P").otherwise("N").alias("PROPRIETARY_NONPROFIT"))
+    sp = table(spark, d, "supplier")
+    hha = sp.select(F.concat(F.lit("H"), F.col("s_suppkey").cast("string")).alias("ENROLLMENT ID"),
+                    F.col("s_name").alias("ORGANIZATION NAME"),
+                    F.concat(F.lit("S"), (F.col("s_nationkey") % 5).cast("string")).alias("STATE"),
+                    F.when(F.col("s_acctbal") > 0, "P").otherwise("N").alias("PROPRIETARY NONPROFIT"))
+    u = facility.enrollments_all_types([(snf, "SNF"), (hha, "HHA")])
+    return u.select("enrollment_id", "ccn", "org_name", "address_state", "proprietary_nonprofit", "provider_type_label")
+
+
+def census_domain(spark, d):
+    """Total and 65+ population from the twelve age cells; suppressed cells count as
+    0 (parity) and are counted separately. Areas are nations, people are orders."""
+    o = table(spark, d, "orders").join(
+        table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    aggs = [F.count(F.lit(1)).cast("string").alias(K.CENSUS_TOTAL_CELL)]
+    for i, c in enumerate(K.CENSUS_65PLUS_CELLS):
+        n = F.count_if(F.col("o_orderkey") % 12 == i).cast("string")
+        if i % 5 == 0:  # some cells are suppressed in some areas
+            n = F.when(F.col("c_nationkey") % 6 == i % 6, F.lit("-666666666")).otherwise(n)
+        aggs.append(n.alias(c))
+    wide = o.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip code tabulation area"),
+                     "c_nationkey").agg(*aggs)
+    return access.census_65plus(wide, "2023-5yr")
+
+
+QUERIES = {"enrollments_domain": enrollments_domain, "census_domain": census_domain,
+           "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -846,3 +879,43 @@ def _measures_sql() -> str:
 
 
 SQL["measures_domain"] = _measures_sql()
+
+
+def _enroll_sql() -> str:
+    return """
+    SELECT 'E' || CAST(c_custkey AS VARCHAR) AS enrollment_id, CAST(c_custkey AS VARCHAR) AS ccn, c_name AS org_name,
+           'S' || CAST(c_nationkey % 5 AS VARCHAR) AS address_state,
+           CASE WHEN c_acctbal > 0 THEN 'P' ELSE 'N' END AS proprietary_nonprofit, 'SNF' AS provider_type_label
+    FROM customer
+    UNION ALL
+    SELECT 'H' || CAST(s_suppkey AS VARCHAR), CAST(NULL AS VARCHAR), s_name, 'S' || CAST(s_nationkey % 5 AS VARCHAR),
+           CASE WHEN s_acctbal > 0 THEN 'P' ELSE 'N' END, 'HHA'
+    FROM supplier"""
+
+
+def _census_sql() -> str:
+    sent = ", ".join(_q(x) for x in K.SENTINELS_CENSUS)
+    cols = []
+    for i, _ in enumerate(K.CENSUS_65PLUS_CELLS):
+        n = f"CAST(COUNT_IF(o_orderkey % 12 = {i}) AS VARCHAR)"
+        if i % 5 == 0:
+            n = f"CASE WHEN c_nationkey % 6 = {i % 6} THEN '-666666666' ELSE {n} END"
+        cols.append(f"{n} AS c{i}")
+
+    def parsed(c):
+        return f"(CASE WHEN {c} IS NULL OR TRIM({c}) IN ({sent}) THEN 0.0 ELSE COALESCE({_num(c, ())}, 0.0) END)"
+
+    def supp(c):
+        return f"CAST(({c} IS NULL OR TRIM({c}) IN ({sent})) AS INTEGER)"
+    cells = [f"c{i}" for i in range(len(K.CENSUS_65PLUS_CELLS))]
+    return f"""
+    WITH o AS (SELECT o.o_orderkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+    w AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zcta, c_nationkey, CAST(COUNT(*) AS VARCHAR) AS tot,
+                 {", ".join(cols)} FROM o GROUP BY 1, 2)
+    SELECT zcta AS ZIP, CAST({parsed('tot')} AS BIGINT) AS Population_Total,
+           CAST({" + ".join(parsed(c) for c in cells)} AS BIGINT) AS Population_65Plus,
+           {" + ".join(supp(c) for c in cells)} AS suppressed_cells, '2023-5yr' AS ACS_Year FROM w"""
+
+
+SQL["enrollments_domain"] = _enroll_sql()
+SQL["census_domain"] = _census_sql()
