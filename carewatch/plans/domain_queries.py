@@ -422,7 +422,34 @@ def census_domain(spark, d):
     return access.census_65plus(wide, "2023-5yr")
 
 
-QUERIES = {"enrollments_domain": enrollments_domain, "census_domain": census_domain,
+BENCH_METRICS = ["n_customers", "total_balance", "n_building"]
+
+
+def benchmark_table(spark, d) -> DataFrame:
+    """Wide text benchmark file: one row per state plus the national row."""
+    c = table(spark, d, "customer").withColumn("state_or_nation",
+                                               F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")))
+    aggs = [F.count(F.lit(1)).cast("string").alias("n_customers"),
+            F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("string").alias("total_balance"),
+            F.count_if(F.col("c_mktsegment") == "BUILDING").cast("string").alias("n_building")]
+    per = c.groupBy("state_or_nation").agg(*aggs)
+    nat = c.agg(*aggs).select(F.lit("NATION").alias("state_or_nation"), *BENCH_METRICS)
+    return per.unionByName(nat)
+
+
+def state_benchmark_compare(spark, d):
+    """One state vs the national row, metric by metric (HIGHER / LOWER / '')."""
+    return measures.state_benchmarks(benchmark_table(spark, d), "NATION_3", BENCH_METRICS)["comparison"]
+
+
+def state_benchmark_position(spark, d):
+    """The state's 1-based position among states on total balance."""
+    return measures.state_benchmarks(benchmark_table(spark, d), "NATION_3", BENCH_METRICS,
+                                     rank_metric="total_balance")["position"]
+
+
+QUERIES = {"state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
+           "enrollments_domain": enrollments_domain, "census_domain": census_domain,
            "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
@@ -919,3 +946,34 @@ def _census_sql() -> str:
 
 SQL["enrollments_domain"] = _enroll_sql()
 SQL["census_domain"] = _census_sql()
+
+
+def _bench_sql(kind: str) -> str:
+    sent = tuple(K.SENTINELS_COMMON)
+    base = f"""
+    WITH c AS (SELECT 'NATION_' || CAST(c_nationkey AS VARCHAR) AS s, c_acctbal, c_mktsegment FROM customer),
+    b AS (SELECT s, CAST(COUNT(*) AS VARCHAR) AS n_customers,
+                 CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR) AS total_balance,
+                 CAST(COUNT_IF(c_mktsegment = 'BUILDING') AS VARCHAR) AS n_building FROM c GROUP BY s
+          UNION ALL SELECT 'NATION', CAST(COUNT(*) AS VARCHAR), CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR),
+                 CAST(COUNT_IF(c_mktsegment = 'BUILDING') AS VARCHAR) FROM c),
+    n AS (SELECT s, {_num('n_customers', sent)} AS n_customers, {_num('total_balance', sent)} AS total_balance,
+                 {_num('n_building', sent)} AS n_building FROM b)"""
+    if kind == "position":
+        return base + """,
+    p AS (SELECT s, total_balance, ROW_NUMBER() OVER (ORDER BY total_balance DESC, s ASC) AS position, COUNT(*) OVER () AS of_n
+          FROM n WHERE s <> 'NATION' AND total_balance IS NOT NULL)
+    SELECT s AS state_or_nation, total_balance, position, of_n FROM p WHERE s = 'NATION_3'"""
+    unp = " UNION ALL ".join(f"SELECT s, {_q(m)} AS metric, {m} AS v FROM n" for m in BENCH_METRICS)
+    return base + f""",
+    lng AS ({unp}),
+    f AS (SELECT metric, v AS focus_value FROM lng WHERE s = 'NATION_3'),
+    bl AS (SELECT metric, v AS baseline_value FROM lng WHERE s = 'NATION'),
+    j AS (SELECT COALESCE(f.metric, bl.metric) AS metric, focus_value, baseline_value,
+                 ROUND(focus_value - baseline_value, 4) AS diff FROM f FULL OUTER JOIN bl ON f.metric = bl.metric)
+    SELECT metric, focus_value, baseline_value, diff,
+      CASE WHEN diff > 0 THEN 'HIGHER' WHEN diff < -0.1 THEN 'LOWER' ELSE '' END AS flag FROM j"""
+
+
+SQL["state_benchmark_compare"] = _bench_sql("compare")
+SQL["state_benchmark_position"] = _bench_sql("position")
