@@ -17,7 +17,7 @@ from ..sources.catalog import table
 from ..sources.readers import literal_table
 import datetime as dt
 
-from . import access, compliance, conformance, facility, measures, testbed, vbp
+from . import access, compliance, conformance, facility, measures, references, testbed, vbp
 from .testbed_sql import _num, _q
 
 SEGMENT_CODES = [("BUILDING", "314000000X"), ("AUTOMOBILE", "310400000X"), ("MACHINERY", "251e00000x"),
@@ -448,7 +448,21 @@ def state_benchmark_position(spark, d):
                                      rank_metric="total_balance")["position"]
 
 
-QUERIES = {"state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
+ICD_COLS = ["icd10_code", "icd10_dotted", "chapter", "chapter_title"] + [n for n, *_ in K.ICD10_INCIDENT_FLAGS]
+
+
+def icd_reference_domain(spark, d):
+    """P20: quoted ICD-10-CM code text -> undotted and dotted codes, chapter ladder, flags."""
+    p = table(spark, d, "part")
+    code = F.concat(F.upper(F.substring("p_name", 1, 1)), F.lpad(F.col("p_size").cast("string"), 2, "0"),
+                    (F.col("p_partkey") % 10).cast("string"))
+    raw = p.select(F.concat(F.lit("'"), code, F.lit("'")).alias("ICD-10-CM CODE"),
+                   F.concat(F.lit("'Condition "), F.col("p_partkey").cast("string"), F.lit("'"))
+                    .alias("ICD-10-CM CODE DESCRIPTION"))
+    return references.icd10_reference(raw).select(*ICD_COLS)
+
+
+QUERIES = {"icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
            "enrollments_domain": enrollments_domain, "census_domain": census_domain,
            "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
@@ -977,3 +991,26 @@ def _bench_sql(kind: str) -> str:
 
 SQL["state_benchmark_compare"] = _bench_sql("compare")
 SQL["state_benchmark_position"] = _bench_sql("position")
+
+
+def _icd_sql() -> str:
+    from .testbed_sql import _chapters_case, _flags_sql
+    lab, title = _chapters_case("cat3")
+    q = "''''"
+    return f"""
+    WITH raw AS (SELECT {q} || upper(substring(p_name, 1, 1)) || lpad(CAST(p_size AS VARCHAR), 2, '0')
+                   || CAST(p_partkey % 10 AS VARCHAR) || {q} AS code_text FROM part),
+    c AS (SELECT upper(replace(TRIM(replace(replace(code_text, chr(39), ''), chr(34), '')), '.', '')) AS icd10_code
+          FROM raw),
+    d AS (SELECT *, CASE WHEN length(icd10_code) >= 3 THEN substring(icd10_code, 1, 3) END AS cat3 FROM c
+          WHERE icd10_code IS NOT NULL AND icd10_code <> '')
+    SELECT icd10_code,
+      CASE WHEN length(icd10_code) <= 3 THEN icd10_code ELSE substring(icd10_code, 1, 3) || '.' || substring(icd10_code, 4) END
+        AS icd10_dotted,
+      CASE WHEN length(icd10_code) < 3 THEN '' ELSE {lab} END AS chapter,
+      CASE WHEN length(icd10_code) < 3 THEN '' WHEN ({lab}) = 'Unknown' THEN '' ELSE {title} END AS chapter_title,
+      {_flags_sql('cat3')}
+    FROM d"""
+
+
+SQL["icd_reference_domain"] = _icd_sql()
