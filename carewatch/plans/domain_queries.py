@@ -1014,3 +1014,28 @@ def _icd_sql() -> str:
 
 
 SQL["icd_reference_domain"] = _icd_sql()
+
+
+def fined_facilities_figure(spark, d):
+    """A published percentage recomputed from its declared numerator (facilities with
+    at least one fine, from the penalty roll-up) and denominator (the facility universe)."""
+    from ..operators import aggs as A
+    pen = measures.penalties(penalties_raw(spark, d), "page_pos")["by_facility"]
+    universe = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ccn"))
+    share = A.share_with_event(pen, universe, "ccn", F.col("fine_count") > 0)
+    computed = share.select(F.lit("fined_facilities").alias("figure"), F.col("with_event").alias("numerator"),
+                            F.col("universe").alias("denominator"))
+    figures = spark.createDataFrame([("fined_facilities", 45.5, 1)], "figure string, stated_pct double, digits int")
+    return conformance.published_figures(computed, figures)
+
+
+QUERIES["fined_facilities_figure"] = fined_facilities_figure
+SQL["fined_facilities_figure"] = """
+    WITH fined AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ccn FROM orders
+                   WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')),
+    u AS (SELECT CAST(COUNT_IF(fined.ccn IS NOT NULL) AS BIGINT) AS numerator, COUNT(*) AS denominator
+          FROM customer c LEFT JOIN fined ON CAST(c.c_custkey AS VARCHAR) = fined.ccn),
+    j AS (SELECT numerator, denominator, CAST(numerator AS DOUBLE) / NULLIF(CAST(denominator AS DOUBLE), 0) * 100.0 AS pct
+          FROM u)
+    SELECT 'fined_facilities' AS figure, numerator, denominator, 45.5::DOUBLE AS stated_pct,
+           ROUND(pct, 4) AS computed_pct, COALESCE(ABS(pct - 45.5) <= 0.5 * POW(10.0, -1), false) AS ok FROM j"""
