@@ -159,3 +159,13 @@ def test_compare_to_benchmark(spark):
     df = spark.createDataFrame([("HI", 5.0, 1.0, 2.0), ("NATION", 4.0, 1.05, 2.0)], "s string, a double, b double, c double")
     got = rows(A.compare_to_benchmark(df, "s", "HI", "NATION", ["a", "b", "c"]), "metric", "flag")
     assert got == [("a", "HIGHER"), ("b", ""), ("c", "")]
+
+
+def test_lookup_without_sequence_keeps_row_count(spark):
+    ref = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "k string, v string")
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "k string")
+    out = J.lookup(df, ref, "k", ["v"])
+    assert out.count() == 4
+    assert rows(out) == [("a", "y"), ("a", "y"), ("b", "z"), ("c", None)]
+    own = spark.createDataFrame([("a", "own")], "k string, own string")
+    assert J.lookup_or_self(own, ref, "k", {"v2": ("v", "own")}).count() == 1
