@@ -11,6 +11,9 @@ Conventions that hold for every operator here:
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +23,27 @@ from carewatch.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session, wherever they run:
+    its modules (a few dozen kilobytes) go out with Spark's own file distribution, once a session."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(), f"{root.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the data folder, for a registered query."""
+    ship_package(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

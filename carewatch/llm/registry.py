@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash
+from . import bpe, mixing, quality, sharding, simhash, toxicity
 from .common import table
 
 
@@ -18,6 +18,13 @@ def op2_byte_bpe(spark, sf_dir):
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "char_distance", "word_distance", "kept")
+
+
 def op4_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -34,6 +41,14 @@ def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted",
+        F.size("passages").cast("long").alias("n_passages"))
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, source,
@@ -77,9 +92,11 @@ FROM p
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_shards": op5_shards,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL = {
