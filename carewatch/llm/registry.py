@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, imatch, mixing, quality, sharding, simhash, toxicity
+from . import bpe, chat, imatch, mixing, quality, sharding, simhash, toxicity
 from .common import table
 
 
@@ -40,6 +40,14 @@ def op5_shards(spark, sf_dir):
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op6_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"  # control strings of other formats inside texts
+    more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)],
+                                 "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(more)))
+
+
 def op9_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -144,12 +152,29 @@ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
 FROM m
 """
 
+# 8 + 8 + 7 characters mark a turn and 1 ends its line; the mask takes 8 + 9
+_ESCAPED = "regexp_replace({}, '[\\\\<\\[|]', '--', 'g')"
+OP6_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(sum(24 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})
+                + CASE WHEN role = 'assistant' THEN 17 ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 QUERIES = {
     "op1_imatch": op1_imatch,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_shards": op5_shards,
+    "op6_chat_format": op6_chat_format,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
@@ -157,4 +182,5 @@ QUERIES = {
 SQL = {
     "op1_imatch": OP1_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op6_chat_format": OP6_SQL,
 }
