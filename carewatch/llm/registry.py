@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, imatch, mixing, quality, sharding, simhash, toxicity
+from . import bpe, chat, imatch, mixing, ngram, quality, sharding, simhash, toxicity
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_conversations(rows.unionByName(more)))
 
 
+def op8_ngram_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram.score_documents(docs, ngram.train(docs))
+
+
 def op9_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -175,6 +180,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_shards": op5_shards,
     "op6_chat_format": op6_chat_format,
+    "op8_ngram_score": op8_ngram_score,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
