@@ -20,17 +20,20 @@ from __future__ import annotations
 
 import base64
 import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import without
 
-MEMO = 150_000
+MEMO = 80_000
+ROWS_OUT = 256
 LONGEST_MEMO = 64
 PLAIN_MARKS = frozenset(",.;:!?")
 
@@ -197,7 +200,8 @@ class Encoder:
         import regex
 
         self.vocabulary = vocabulary
-        self.findall = regex.compile(pattern).findall
+        compiled = regex.compile(pattern)
+        self.findall, self.finditer = compiled.findall, compiled.finditer
         self.pieces = Memo(lambda piece: vocabulary.encode_piece(piece.encode("utf-8").decode("latin-1")))
         self.chunks = Memo(self._encode_chunk)
         # With the patterns of this family a piece holds a blank only at its start, and a
@@ -244,6 +248,11 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
 
 
+@lru_cache(maxsize=4)
+def _token_bytes(rank_lines: bytes) -> dict[int, bytes]:
+    return {int(b): base64.b64decode(a) for a, b in map(bytes.split, rank_lines.splitlines())}
+
+
 @lru_cache(maxsize=4)
 def _encoder(rank_lines: bytes, pattern: str) -> Encoder:
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_lines.splitlines())}
@@ -251,7 +260,7 @@ def _encoder(rank_lines: bytes, pattern: str) -> Encoder:
 
 
 class Tokenizer:
-    """Spark columns of one vocabulary. The rank file (under a megabyte, fixed size) is read
+    """One vocabulary on Spark. The rank file (under a megabyte, fixed size) is read
     by the driver and broadcast, so executors need no file of their own."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
@@ -259,42 +268,57 @@ class Tokenizer:
             self.lines = spark.sparkContext.broadcast(f.read())
         self.pattern = pattern
 
-    def encode_column(self, text: Column) -> Column:
+    def encoder(self):
+        """A function for the workers that gives their encoder, built once a worker."""
         lines, pattern = self.lines, self.pattern
-
-        @F.pandas_udf("array<int>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoder = _encoder(lines.value, pattern)
-            for texts in batches:
-                yield pd.Series([np.array(encoder.encode(t) if t else (), np.int32) for t in texts],
-                                dtype=object)
-
-        return encode(text)
-
-    def decode_column(self, ids: Column) -> Column:
-        lines, pattern = self.lines, self.pattern
-
-        @F.pandas_udf("binary")
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoder = _encoder(lines.value, pattern)
-            for rows in batches:
-                yield pd.Series([encoder.decode(r.tolist()) if r is not None else b"" for r in rows],
-                                dtype=object)
-
-        return decode(ids)
+        return lambda: _encoder(lines.value, pattern)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, *, text_col="text") -> DataFrame:
-    """`docs` with `ids` (array<int>)."""
-    tok = Tokenizer(docs.sparkSession, path, pattern)
+def encode_documents(docs: DataFrame, path: str, pattern: str, *, text_col="text", keep_text=True) -> DataFrame:
+    """`docs` with `ids` (array<int>), and without the text if `keep_text` is false."""
+    encoder = Tokenizer(docs.sparkSession, path, pattern).encoder()
     docs = without(docs, ("ids",), keep=(text_col,))
-    return docs.withColumn("ids", tok.encode_column(F.col(text_col)))
+    at = docs.columns.index(text_col)
+    out = [f for i, f in enumerate(docs.schema.fields) if keep_text or i != at]
+    schema = T.StructType([*out, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder()
+        for rb in batches:
+            # small results: ids take more room than their text
+            for start in range(0, rb.num_rows, ROWS_OUT):
+                part = rb.slice(start, ROWS_OUT)
+                flat, ends = array("i"), [0]
+                for t in part.column(at).to_pylist():
+                    if t:
+                        flat.extend(enc.encode(t))
+                    ends.append(len(flat))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+                columns = [c for i, c in enumerate(part.columns) if keep_text or i != at]
+                yield pa.RecordBatch.from_arrays([*columns, ids], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """`encoded` with `decoded` (the bytes of `ids`)."""
-    tok = Tokenizer(encoded.sparkSession, path, pattern)
-    return encoded.withColumn("decoded", tok.decode_column(F.col("ids")))
+    """`encoded` with `decoded` (the bytes of `ids`; null ids: no bytes)."""
+    lines = Tokenizer(encoded.sparkSession, path, pattern).lines
+    encoded = without(encoded, ("decoded",))
+    at = encoded.columns.index("ids")
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = _token_bytes(lines.value).__getitem__
+        for rb in batches:
+            for start in range(0, rb.num_rows, ROWS_OUT):
+                part = rb.slice(start, ROWS_OUT)
+                ids = part.column(at)
+                flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+                done = pa.array([b"".join(map(token, flat[a:b].tolist())) for a, b in
+                                 zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, done], names=schema.names)
+
+    return encoded.mapInArrow(run, schema)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def op2_byte_bpe(spark, sf_dir):
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode_documents(docs, path, pattern).select("doc_id", "ids")
+    encoded = bpe.encode_documents(docs, path, pattern, keep_text=False)
     return bpe.digests(bpe.decode_documents(encoded, path, pattern)).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
