@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, imatch, mixing, ngram, quality, sharding, simhash, toxicity
+from . import bpe, chat, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity
 from .common import table
 
 
@@ -48,6 +48,15 @@ def op6_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_conversations(rows.unionByName(more)))
 
 
+def op7_edit_counts(spark, sf_dir):
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_with_edits(docs, tokencount.usual_edits(F.col("text")), path, pattern).select(
+        "doc_id", "n_tokens", "n_pretokens", "edited_tokens", "edited_chars", "reencoded")
+
+
 def op8_ngram_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram.score_documents(docs, ngram.train(docs))
@@ -180,6 +189,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_shards": op5_shards,
     "op6_chat_format": op6_chat_format,
+    "op7_edit_counts": op7_edit_counts,
     "op8_ngram_score": op8_ngram_score,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
