@@ -289,9 +289,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, text_col="text
             for start in range(0, rb.num_rows, ROWS_OUT):
                 part = rb.slice(start, ROWS_OUT)
                 flat, ends = array("i"), [0]
+                before, own = None, []
                 for t in part.column(at).to_pylist():
-                    if t:
-                        flat.extend(enc.encode(t))
+                    if t != before:  # copies often follow each other
+                        before, own = t, enc.encode(t) if t else []
+                    flat.extend(own)
                     ends.append(len(flat))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
                 columns = [c for i, c in enumerate(part.columns) if keep_text or i != at]
