@@ -319,5 +319,7 @@ def differs(a: ColumnOrName, b: ColumnOrName) -> Column:
 def row_sum(cols: Sequence[ColumnOrName]) -> Column:
     """Horizontal sum treating NULL as 0, but NULL when every input is NULL."""
     cs = [_c(c) for c in cols]
+    if not cs:
+        return F.lit(None).cast("long")
     total = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in cs])
     return F.when(F.coalesce(*cs).isNull(), F.lit(None)).otherwise(total)

@@ -7,29 +7,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .expr import ColumnOrName, _all, _any, _c, clean, is_present, num
 
-# Beyond this many codes, membership becomes a semi join against a literal table.
-ISIN_LITERAL_LIMIT = 1000
-
 
 def where_in(df: DataFrame, col: str, codes: Sequence, active: Column | None = None,
              normalize: bool = True) -> DataFrame:
     """Rows whose code is in a list, optionally also `active`.
 
-    Codes are compared upper-cased and trimmed (T17). Small lists are an `IN` predicate
-    (pushed to the scan); long lists become a `left_semi` join against a literal table,
-    which is broadcast because its size is the list length."""
+    Codes are compared upper-cased and trimmed (T17), which a scan cannot test; with
+    `normalize=False` (columns cleaned when they were landed) the list is an `IN` predicate on
+    the raw column and reaches the scan. Codes that live in a table belong in a semi join."""
     key = clean(col, case="upper") if normalize else _c(col)
     codes = [str(c).strip().upper() for c in codes] if normalize else list(codes)
     out = df.where(active) if active is not None else df
-    if len(codes) <= ISIN_LITERAL_LIMIT:
-        return out.where(key.isin(codes))
-    spark = df.sparkSession
-    ref = spark.createDataFrame([(c,) for c in codes], T.StructType([T.StructField("_code", T.StringType())]))
-    return out.join(F.broadcast(ref), key == F.col("_code"), "left_semi")
+    return out.where(key.isin(codes))
 
 
 def present(*cols: ColumnOrName) -> Column:
@@ -45,17 +37,19 @@ def scope_eq(col: ColumnOrName, value: str) -> Column:
     return clean(col, case="upper") == str(value).strip().upper()
 
 
-def where_scope(df: DataFrame, col: str, value: str | None, check: bool = False,
-                max_listed: int = 100) -> DataFrame:
-    """One-scope filter (D3). With `check=True`, an empty result raises an error naming
-    (at most `max_listed`) available values; the probe reads one row only."""
+def available_values(df: DataFrame, col: str) -> DataFrame:
+    """All values a scope filter on `col` can take, cleaned, in order (D3)."""
+    return df.select(clean(col, case="upper").alias(col)).where(F.col(col).isNotNull()).distinct().orderBy(col)
+
+
+def where_scope(df: DataFrame, col: str, value: str | None, check: bool = False) -> DataFrame:
+    """One-scope filter (D3). With `check=True`, an empty result raises an error; the probe
+    reads one row only, and `available_values` lists what there is."""
     if value is None:
         return df
     out = df.where(scope_eq(col, value))
     if check and not out.limit(1).count():
-        avail = [r[0] for r in df.select(clean(col, case="upper").alias("v")).distinct()
-                 .orderBy("v").limit(max_listed).collect()]
-        raise ValueError(f"No rows for {col}={value!r}. Available: {avail}")
+        raise ValueError(f"No rows for {col}={value!r}; see available_values(df, {col!r})")
     return out
 
 

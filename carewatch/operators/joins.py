@@ -1,10 +1,9 @@
 """Joins (E1-E13).
 
-Broadcast policy: a side is broadcast only when its size is bounded — it is a literal
-table whose row count is known at construction, a caller asked for an explicit probe
-(`limit(n+1).count()`), or AQE measured the materialised side at runtime and found it
-under `spark.sql.adaptive.autoBroadcastJoinThreshold`. Beyond the bound the join stays
-a shuffled sort-merge join, and AQE splits skewed partitions of the large side.
+Broadcast policy: no operator here forces a broadcast of data. The planner broadcasts a
+scan or a literal table whose bytes are under `spark.sql.autoBroadcastJoinThreshold`, and AQE
+a side whose measured bytes are; beyond that the join is a shuffled sort-merge join, and AQE
+splits skewed partitions of the large side.
 """
 
 from __future__ import annotations
@@ -17,30 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnOrName, _c, clean, pad_key
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None, probe: bool = False) -> DataFrame:
-    """Broadcast hint only behind a proven size bound.
-
-    * `known_rows` (literal / constructed tables): hint iff within `max_rows`.
-    * `probe=True`: count at most max_rows + 1 rows now and hint iff within the bound.
-    * otherwise no hint: the planner broadcasts a scan whose file size is under the
-      threshold, and AQE converts a shuffled join to a broadcast join only after the
-      small side's shuffle stage has run and its real size is measured; beyond the
-      threshold the join stays a sort-merge join (with skew splitting)."""
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    if probe:
-        return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-    return df
-
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -61,8 +36,7 @@ def dedupe_last(ref: DataFrame, on, seq: str | None) -> DataFrame:
 
 # ------------------------------------------------------------------- E1 / E6
 def lookup(df: DataFrame, ref: DataFrame, on, cols: Sequence[str] | None = None,
-           seq: str | None = None, defaults: Mapping[str, object] | None = None,
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+           seq: str | None = None, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Left lookup of reference columns by key (E1, E6). Duplicated reference keys are
     resolved by `seq` (last wins) so the lookup can never fan out rows; missing matches
     take `defaults`."""
@@ -70,7 +44,7 @@ def lookup(df: DataFrame, ref: DataFrame, on, cols: Sequence[str] | None = None,
     cols = list(cols) if cols is not None else [c for c in ref.columns if c not in keys and c != seq]
     r = dedupe_last(ref.select(*keys, *cols, *([seq] if seq else [])), keys, seq)
     r = r.select(*keys, *cols)
-    out = df.join(bounded_broadcast(r, max_broadcast_rows, known_rows), keys, "left")
+    out = df.join(r, keys, "left")
     for c, v in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
@@ -82,7 +56,7 @@ def enrich(df: DataFrame, on: str, context: DataFrame, cols: Sequence[str],
            flag_key: str | None = None) -> DataFrame:
     """Left join a context table, then flag hits in a second table (E2). The flag table
     contributes only distinct keys, so it cannot fan out rows."""
-    out = df.join(context.select(on, *cols), on, "left")
+    out = df.join(dedupe_last(context.select(on, *cols), on, None), on, "left")
     if flag_ref is not None:
         fk = flag_key or on
         hits = flag_ref.select(F.col(fk).alias(on)).distinct().withColumn("_hit", F.lit(1))
@@ -109,6 +83,11 @@ class Source:
     pad: int | None = None
 
 
+def _spread(df: DataFrame) -> Column:
+    """A number from the whole row, 1 to 4096: rows that match nothing need no common key."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)).cast("int") + 1
+
+
 def build_hub(spine: DataFrame, sources: Sequence[Source]) -> DataFrame:
     """Spine left-joined to several sources on normalised keys, one match flag per source.
 
@@ -134,16 +113,20 @@ def build_hub(spine: DataFrame, sources: Sequence[Source]) -> DataFrame:
                      .select(kname, *[F.col("_r")[c].alias(c) for c in s.cols]) if s.cols else \
                   ref.select(kname).distinct()
         ref = ref.withColumn(f"_m{i}", F.lit(True))
-        out = out.withColumn(kname, norm(_c(s.key))).join(ref, kname, "left")
+        # blank keys match nothing; a spread second key keeps them out of one partition
+        key = norm(_c(s.key))
+        out = out.withColumn(kname, F.when(key != "", key)).withColumn(
+            f"_s{i}", F.when(F.col(kname).isNull(), _spread(out)).otherwise(F.lit(0)))
+        ref = ref.withColumn(f"_s{i}", F.lit(0))
+        out = out.join(ref, [kname, f"_s{i}"], "left")
         out = out.withColumn(s.flag or f"{s.name}_matched", F.coalesce(F.col(f"_m{i}"), F.lit(False)))
-        out = out.drop(kname, f"_m{i}")
+        out = out.drop(kname, f"_s{i}", f"_m{i}")
     return out
 
 
 # ------------------------------------------------------------------------ E5
 def lookup_or_self(df: DataFrame, ref: DataFrame, on, mapping: Mapping[str, tuple[str, str]],
-                   matched: str = "ref_matched", seq: str | None = None,
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   matched: str = "ref_matched", seq: str | None = None) -> DataFrame:
     """Composite-key lookup whose outputs fall back, per row, to the row's own value when
     the key is not in the reference (E5). `mapping` = {out: (ref_col, own_col)}.
     Adds a `matched` flag so misses can be counted."""
@@ -151,7 +134,7 @@ def lookup_or_self(df: DataFrame, ref: DataFrame, on, mapping: Mapping[str, tupl
     ref_cols = sorted({rc for rc, _ in mapping.values()})
     r = dedupe_last(ref.select(*keys, *ref_cols, *([seq] if seq else [])), keys, seq)
     r = r.select(*keys, *[F.col(c).alias(f"_ref_{c}") for c in ref_cols]).withColumn("_hit", F.lit(True))
-    out = df.join(bounded_broadcast(r, max_broadcast_rows), keys, "left")
+    out = df.join(r, keys, "left")
     out = out.withColumn(matched, F.coalesce(F.col("_hit"), F.lit(False)))
     for o, (rc, own) in mapping.items():
         out = out.withColumn(o, F.when(F.col(matched), F.col(f"_ref_{rc}")).otherwise(F.col(own)))
@@ -178,8 +161,9 @@ def outer_merge(dfs: Sequence[DataFrame], key: str, assume_unique: bool = True)
 
     With unique keys per table (the contract of the census tables) this runs as ONE
     shuffle: all tables are unioned by name and grouped by key, each column taking its
-    only non-NULL value. Otherwise it falls back to chained full joins with key coalescing
-    (duplicates then multiply like SQL)."""
+    only non-NULL value. A repeated key fails the job rather than mixing values of different
+    rows. Otherwise it falls back to chained full joins with key coalescing (duplicates then
+    multiply like SQL)."""
     if not assume_unique:
         out = dfs[0]
         for d in dfs[1:]:
@@ -188,10 +172,17 @@ def outer_merge(dfs: Sequence[DataFrame], key: str, assume_unique: bool = True)
     cols: list[str] = []
     for d in dfs:
         cols += [c for c in d.columns if c != key and c not in cols]
-    u = dfs[0]
-    for d in dfs[1:]:
-        u = u.unionByName(d, allowMissingColumns=True)
-    return u.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+    u = dfs[0].withColumn("_t", F.lit(0))
+    for i, d in enumerate(dfs[1:], 1):
+        u = u.unionByName(d.withColumn("_t", F.lit(i)), allowMissingColumns=True)
+    once = None
+    for i in range(len(dfs)):
+        ok = F.count_if(F.col("_t") == i) <= 1
+        once = ok if once is None else once & ok
+    g = u.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.max(c).alias(c) for c in cols], once.alias("_once"))
+    checked = F.when(F.col("_once"), F.col(key)).otherwise(
+        F.raise_error(F.concat(F.lit("outer_merge: repeated key "), F.col(key).cast("string"))))
+    return g.select(checked.alias(key), *cols)
 
 
 # ------------------------------------------------------------------------ E9
@@ -215,15 +206,25 @@ def interval_label(key: ColumnOrName, ranges: Sequence[tuple], default=None) ->
 
 
 def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str, hi: str,
-                    cols: Sequence[str], max_ranges: int = 100_000) -> DataFrame:
-    """Range join of rows to a (small, non-overlapping) table of ranges (E9). The range
-    table is broadcast after its size is checked; a larger one is refused rather than
-    joining two big sides by range."""
-    if not row_count_at_most(ranges, max_ranges):
-        raise ValueError(f"range table larger than {max_ranges} rows; bucket the key first")
-    r = F.broadcast(ranges.select(F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), *cols))
+                    cols: Sequence[str], seq: str | None = None, bin_width: float | None = None) -> DataFrame:
+    """Range join of rows to a table of ranges (E9); the first range that holds the key wins
+    (by `seq`, else the lowest bounds), and a row never becomes two.
+
+    Ranges are dealt into the bins they touch: bins of `bin_width` for numeric keys, the first
+    character for text keys. A bin is one row with its ranges in order, so the join is an
+    equi-join that cannot fan out, and the bounds are tested inside the bin."""
+    def bin_of(c: Column) -> Column:
+        return F.floor(c / F.lit(bin_width)).cast("long") if bin_width else F.ascii(c).cast("long")
+    order = F.col(seq) if seq else F.struct(F.col(lo), F.col(hi))
+    r = ranges.where(F.col(lo) <= F.col(hi)).select(
+        F.struct(order.alias("o"), F.col(lo).alias("lo"), F.col(hi).alias("hi"),
+                 *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("_r"),
+        F.explode(F.sequence(bin_of(F.col(lo)), bin_of(F.col(hi)))).alias("_bin"))
+    r = r.groupBy("_bin").agg(F.array_sort(F.collect_list("_r")).alias("_rs"))
     k = _c(key)
-    return df.join(r, k.between(F.col("_lo"), F.col("_hi")), "left").drop("_lo", "_hi")
+    hit = F.filter("_rs", lambda x: k.between(x["lo"], x["hi"]))
+    j = df.withColumn("_bin", bin_of(k)).join(r, "_bin", "left").withColumn("_hit", F.try_element_at(hit, F.lit(1)))
+    return j.select(*[f"`{c}`" for c in df.columns], *[F.col(f"_hit.c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 # ----------------------------------------------------------------------- E10
@@ -251,7 +252,7 @@ def override_lookup(df: DataFrame, manual: DataFrame, df_key: ColumnOrName, manu
                  *[F.col(c).alias(f"{prefix}{c}") for c in cols], F.col(seq).alias("_seq"))
          .where(F.col(f"{prefix}{date_col}").isNotNull() & F.col("_mk").isNotNull()))
     m = dedupe_last(m, "_mk", "_seq").drop("_seq")
-    out = df.withColumn("_mk", norm(_c(df_key))).join(bounded_broadcast(m), "_mk", "left")
+    out = df.withColumn("_mk", norm(_c(df_key))).join(m, "_mk", "left")
     return out.drop("_mk")
 
 

@@ -6,9 +6,10 @@ count table* built without any single-partition step over raw rows:
 
   1. `groupBy(by, value).count()`            - partial+final hash aggregate; a hot value
                                                collapses into one row with a big count.
-  2. value buckets from approximate quantiles of the distinct values (a bounded list of
-     `n_buckets - 1` edges, a one-row aggregate broadcast inside the same plan), so every
-     bucket holds a similar number of distinct values.
+  2. value buckets from approximate quantiles of the distinct values (`n_buckets - 1` edges,
+     a one-row aggregate broadcast inside the same plan), so every bucket holds a similar
+     number of distinct values; there are as many buckets as the shuffle is wide, which is
+     the figure that follows the input.
   3. running sum inside `(by, bucket)` windows  - many balanced partitions.
   4. bucket totals -> offsets with a window over `(by)` on at most groups x n_buckets
      rows, joined back on (by, bucket).
@@ -27,8 +28,12 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnOrName, _c
 
-DEFAULT_BUCKETS = 64
-MATERIALIZE = "checkpoint"
+MATERIALIZE = "none"
+
+
+def _buckets(df: DataFrame, n: int | None) -> int:
+    """Value buckets: as given, else the width of the session's shuffles."""
+    return max(2, n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _materialize(df: DataFrame, how: str) -> DataFrame:
@@ -67,17 +72,17 @@ def rollup_counts(counts: DataFrame, value: str, by=None, materialize: str = MAT
     return _materialize(counts.groupBy(*_by(by), value).agg(F.sum("n").alias("n")), materialize)
 
 
-def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAULT_BUCKETS,
+def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int | None = None,
                       rel_err: float = 0.001, materialize: str = MATERIALIZE,
                       counts: DataFrame | None = None) -> DataFrame:
     """(by..., value, n, cum_lt, cum_le, total) for every distinct non-NULL value.
 
     The distinct-value count table feeds three branches (bucket edges, running sums,
-    bucket totals). `materialize="checkpoint"` (default) writes it once to the session's
-    shared checkpoint folder, so the input is scanned and aggregated once, the plans
-    built on it stay small, and a lost executor does not force recomputation from the
-    source; "cache" keeps it in executor storage; "none" leaves pure lineage."""
+    bucket totals), which share its one exchange, so the input is scanned once and building
+    the plan runs no job. `materialize="checkpoint"` writes it to the session's shared
+    checkpoint folder instead; "cache" keeps it in executor storage."""
     keys = _by(by)
+    n_buckets = _buckets(df, n_buckets)
     v = F.col(value)
     vc = counts if counts is not None else distinct_value_counts(df, value, by, materialize)
     # Bucket edges: approximate quantiles of the distinct values, computed inside the plan
@@ -86,8 +91,14 @@ def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int = DEFAU
     acc = max(100, int(round(1.0 / rel_err)))
     edges = vc.agg(F.percentile_approx(v.cast("double"), probs, acc).alias("_edges")).withColumn("_g", F.lit(0))
     vc = vc.withColumn("_g", F.lit(0)).join(F.broadcast(edges), "_g")
-    vc = vc.withColumn("_b", F.coalesce(F.size(F.filter("_edges", lambda e: e < v.cast("double"))), F.lit(0))) \
-           .drop("_g", "_edges")
+    # number of edges below the value, in two steps of about sqrt(n_buckets) tests
+    step = max(1, int(n_buckets ** 0.5))
+    below = lambda arr: F.size(F.filter(arr, lambda e: e < v.cast("double")))
+    coarse = F.transform(F.sequence(F.lit(step), F.greatest(F.size("_edges"), F.lit(step)), F.lit(step)),
+                         lambda i: F.try_element_at("_edges", i))
+    vc = vc.withColumn("_c", below(coarse) * step)
+    vc = vc.withColumn("_b", F.coalesce(F.col("_c") + below(F.slice("_edges", F.col("_c") + 1, F.lit(step))), F.lit(0))) \
+           .drop("_g", "_edges", "_c")
     run = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     vc = vc.withColumn("_cum_b", F.sum("n").over(run))
     bt = vc.groupBy(*keys, "_b").agg(F.sum("n").alias("_bt"))
@@ -132,18 +143,19 @@ def quantiles_from_counts(cc: DataFrame, value: str, probs: Sequence[float], by=
     return g.select(*keys, "n", *outs)
 
 
-def _join_groups(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+def _join_groups(left: DataFrame, small: DataFrame, keys: list[str], few_groups: bool = False) -> DataFrame:
     """Attach one row per group: an equi-join on the group keys, or (no keys) a one-row
-    broadcast on a constant key."""
+    broadcast on a constant key. `few_groups`: the caller vouches that the keys are a fixed
+    small domain (states, nations), so the group table is broadcast and rows stay in place."""
     if keys:
-        return left.join(small, keys, "left")
+        return left.join(F.broadcast(small) if few_groups else small, keys, "left")
     return left.withColumn("_g", F.lit(0)).join(F.broadcast(small.withColumn("_g", F.lit(0))), "_g", "left") \
                .drop("_g")
 
 
 def rank_values(df: DataFrame, value: str, by=None, rank: str | None = None, rank_desc: bool = False,
                 pct: str | None = None, pct_digits: int | None = 3, tier: str | None = None,
-                n_buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+                n_buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """One row per (by..., value) with the requested order statistics, all read off ONE
     cumulative-count table:
 
@@ -170,8 +182,11 @@ def rank_values(df: DataFrame, value: str, by=None, rank: str | None = None, ran
 def attach_ranks(df: DataFrame, values: DataFrame, value: str, by=None, tier: str | None = None,
                  unscored: str | None = None) -> DataFrame:
     """Left-join a `rank_values` table back on (by..., value). NULL / NaN values match
-    nothing, so unscored rows keep NULL statistics and tier `unscored` (T6, E10)."""
-    out = df.join(values, [*_by(by), value], "left")
+    nothing, so unscored rows keep NULL statistics and tier `unscored` (T6, E10); a spread
+    second key keeps them from meeting in one partition."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)).cast("int") + 1
+    out = (df.withColumn("_spread", F.when(_valid(F.col(value)), 0).otherwise(spread))
+           .join(values.withColumn("_spread", F.lit(0)), [*_by(by), value, "_spread"], "left").drop("_spread"))
     if tier and unscored is not None:
         out = out.withColumn(tier, F.coalesce(F.col(tier), F.lit(unscored)))
     return out
@@ -179,7 +194,7 @@ def attach_ranks(df: DataFrame, values: DataFrame, value: str, by=None, tier: st
 
 def rank_table(df: DataFrame, value: str, by=None, rank: str | None = None, rank_desc: bool = False,
                pct: str | None = None, pct_digits: int | None = 3, tier: str | None = None,
-               unscored: str | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               unscored: str | None = None, n_buckets: int | None = None) -> DataFrame:
     """`rank_values` attached to `df` with one join."""
     vals = rank_values(df, value, by, rank, rank_desc, pct, pct_digits, tier, n_buckets)
     return attach_ranks(df, vals, value, by, tier, unscored)
@@ -187,14 +202,14 @@ def rank_table(df: DataFrame, value: str, by=None, rank: str | None = None, rank
 
 # ------------------------------------------------------------------- G1 / G2 / G3
 def rank_by(df: DataFrame, col: str, asc: bool = True, by=None, out: str = "rank",
-            n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            n_buckets: int | None = None) -> DataFrame:
     """SQL `RANK()` (ties share the lowest position, gaps follow) over `col`, nationally or
     within `by`, without a single-partition window (G1). NULL values get NULL rank."""
     return rank_table(df, col, by, rank=out, rank_desc=not asc, n_buckets=n_buckets)
 
 
 def pct_rank_avg(df: DataFrame, col: str, by=None, out: str = "pct_rank", digits: int | None = 3,
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """Average-rank percentile, pandas `rank(pct=True)` (G2, G3, trap T4):
     (mean of the tied positions) / (non-NULL count). Rounded half-even like pandas."""
     return rank_table(df, col, by, pct=out, pct_digits=digits, n_buckets=n_buckets)
@@ -216,7 +231,7 @@ def pct_rank_window(df: DataFrame, col: str, by=None, out: str = "pct_rank", dig
 
 # ------------------------------------------------------------------- F12 quantiles
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75), by=None,
-                    names: Sequence[str] | None = None, n_buckets: int = DEFAULT_BUCKETS,
+                    names: Sequence[str] | None = None, n_buckets: int | None = None,
                     counts: DataFrame | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy 'linear', SQL `percentile` /
     `quantile_cont`) per group. No per-group value map is held in memory: the order
@@ -237,14 +252,15 @@ def tier_label(score: ColumnOrName, q1: ColumnOrName, med: ColumnOrName, q3: Col
 
 
 def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored: str | None = None,
-                  n_buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+                  n_buckets: int | None = None, counts: DataFrame | None = None,
+                  few_groups: bool = False) -> DataFrame:
     """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
     scored rows only (T6), one row per group; that small table is joined to the rows on
-    the group keys (nationally: a one-row broadcast), so the rows themselves are never
-    shuffled by value. Unscored rows get `unscored` (default NULL)."""
+    the group keys (nationally, or with `few_groups`, as a broadcast), so the rows themselves
+    are never shuffled by value. Unscored rows get `unscored` (default NULL)."""
     keys = _by(by)
     q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets, counts).drop("n")
-    j = _join_groups(df, q, keys)
+    j = _join_groups(df, q, keys, few_groups)
     return j.withColumn(out, tier_label(col, "_q1", "_q2", "_q3", unscored)).drop("_q1", "_q2", "_q3")
 
 

@@ -63,7 +63,7 @@ def access_analysis(by_zip: DataFrame, census: DataFrame, military: DataFrame,
     c = census.select(F.col("ZIP"), F.col("Population_Total").cast("long").alias("population_total"),
                       F.col("Population_65Plus").cast("long").alias("population_65plus"),
                       F.col("ACS_Year").alias("acs_year"))
-    e = J.enrich(by_zip, "ZIP", J.bounded_broadcast(c), ["population_total", "population_65plus", "acs_year"],
+    e = J.enrich(by_zip, "ZIP", c, ["population_total", "population_65plus", "acs_year"],
                  flag_ref=military, flag_name="military_installation_flag", flag_key="ZIP")
     pop = F.col("population_65plus")
     out = e.select(

@@ -51,12 +51,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the session names in `spark.checkpoint.dir`. Only in local
-    mode (tests) is a private scratch folder created when none is configured; on a
-    cluster a missing setting is an error, never a machine-local fallback."""
+    """Use the shared folder the session names in `spark.checkpoint.dir`. Only where driver and
+    tasks are one process (tests) is a private scratch folder created when none is configured;
+    on any cluster a missing setting is an error, never a machine-local fallback."""
     d = checkpoint_dir(spark)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext._jsc.sc().isLocal():
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="carewatch-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
@@ -69,15 +69,15 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 
     * scan splits of ~256 MB (`spark.sql.files.maxPartitionBytes`), so a task's input fits
       comfortably in executor memory after decompression;
-    * an initial shuffle width of max(2 x cores, input / 1 GB), capped at 200,000 (a
+    * an initial shuffle width of max(2 x cores, input / 1 GB) (a
       shuffle carries pruned columns and partial aggregates, far less than the raw
-      input, and the driver tracks maps x reducers statuses); AQE coalesces it towards
+      input); AQE coalesces it towards
       128 MB partitions and splits (skew join) a partition 5x the median and over
       256 MB - the case of one key holding a third of the rows;
     * broadcasts only under 64 MB of measured size.
     Apply with `SparkSession.builder.config(map=...)` or `spark.conf.set` per key."""
     import math
-    shuffle = max(2 * total_cores, min(200_000, math.ceil(input_bytes / (1 << 30))))
+    shuffle = max(2 * total_cores, math.ceil(input_bytes / (1 << 30)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

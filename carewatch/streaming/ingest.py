@@ -9,6 +9,7 @@ safe: the next run resumes from the checkpoint's offset and commit logs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +38,19 @@ def page_stream(spark: SparkSession, landing: str, record_schema: T.StructType,
 
 def ingest_pages_stream(spark: SparkSession, landing: str, target: str, checkpoint: str,
                         record_schema: T.StructType, wrapper: str | None = "results",
-                        fmt: str = "parquet", partition_by: list[str] | None = None) -> dict:
-    """Append every not-yet-ingested landed page to `target`, then stop.
-    Returns the number of micro-batches and of landed page files read in this run."""
-    stream = page_stream(spark, landing, record_schema, wrapper)
+                        fmt: str = "parquet", partition_by: list[str] | None = None,
+                        max_files_per_trigger: int | None = None) -> dict:
+    """Append every not-yet-ingested landed page to `target`, then stop; a backlog goes in
+    batches of `max_files_per_trigger` files. Returns the number of page files whose records
+    this run added, counted from the target (a query's own progress keeps its latest hundred
+    batches only)."""
+    def pages() -> int:
+        try:
+            return spark.read.format(fmt).load(target).select("_source_file").distinct().count()
+        except AnalysisException:  # nothing has been written yet
+            return 0
+    before = pages()
+    stream = page_stream(spark, landing, record_schema, wrapper, max_files_per_trigger)
     w = (stream.writeStream.format(fmt).option("path", target)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True))
@@ -48,6 +58,4 @@ def ingest_pages_stream(spark: SparkSession, landing: str, target: str, checkpoi
         w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
-    progress = q.recentProgress
-    return {"batches": len(progress),
-            "pages": int(sum(p.get("numInputRows", 0) for p in progress))}
+    return {"pages": pages() - before}
