@@ -120,6 +120,11 @@ def _invert(mapping: Mapping[str, str | Sequence[str]]) -> dict[str, list[str]]:
     return inv
 
 
+def present_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """The listed columns that exist, in the listed order."""
+    return [c for c in cols if c in df.columns]
+
+
 def select_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keep the listed columns that exist, in the listed order."""
     return df.select(*[F.col(f"`{c}`") for c in cols if c in df.columns])

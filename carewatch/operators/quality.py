@@ -51,14 +51,15 @@ def check_counts(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
 
 # ------------------------------------------------------------- J2 / J3 / J4 / J9
 def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
-            words: Sequence[str] = K.SENTINELS_HARNESS, exact_distinct: bool = False,
+            words: Sequence[str] = K.SENTINELS_HARNESS, distinct: str | None = None,
             numeric_hints: Sequence[str] | None = None, materialize: str = "none") -> DataFrame:
     """One-pass column profile (J9, and the numbers behind J2-J4).
 
     Rows: (dataset, field, row_count, null_count, null_rate, nunique, min_value,
     max_value, is_constant, parse_rate). Blank words count as NULL (one definition, T32).
-    `nunique` is approximate (HLL) unless `exact_distinct`; constancy never depends on
-    it: a column is constant when its non-blank min equals its max. `parse_rate` (share of
+    `nunique` is NULL unless asked for: `distinct="exact"` counts in two phases, (field, value)
+    then field, so no column's values meet in one task; "approx" is HyperLogLog. Constancy
+    never depends on it: a column is constant when its non-blank min equals its max. `parse_rate` (share of
     non-blank values that are strict numbers) is computed for columns named by
     `numeric_hints`. Pass `materialize="checkpoint"` when the profile feeds several
     checks, so the dataset is scanned once rather than once per check."""
@@ -68,7 +69,7 @@ def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
         blank = _blank(c, words)
         s = F.when(~blank, clean(F.col(f"`{c}`")))
         aggs += [F.count_if(blank).alias(f"_n{i}"),
-                 (F.count_distinct(s) if exact_distinct else F.approx_count_distinct(s)).alias(f"_d{i}"),
+                 (F.approx_count_distinct(s) if distinct == "approx" else F.max(F.lit(None))).alias(f"_d{i}"),
                  F.min(s).alias(f"_lo{i}"), F.max(s).alias(f"_hi{i}")]
         if numeric_hints is not None and numeric_name(c, numeric_hints):
             aggs.append(F.count_if(num(F.col(f"`{c}`"), sentinels=list(words)).isNotNull()).alias(f"_p{i}"))
@@ -85,8 +86,16 @@ def profile(df: DataFrame, dataset: str, cols: Sequence[str] | None = None,
             F.col(f"_lo{i}").alias("min_value"), F.col(f"_hi{i}").alias("max_value"),
             F.coalesce(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.lit(False)).alias("is_constant"),
             F.round(parse.cast("double"), 6).alias("parse_rate")))
-    from .ranking import _materialize
-    return _materialize(_rows(one, st), materialize)
+    out = _rows(one, st)
+    if distinct == "exact":
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.when(~_blank(c, words), clean(F.col(f"`{c}`")))
+                                             .alias("v")) for c in cols])).alias("_p")
+        per = (df.select(pairs).where("_p.v is not null").groupBy("_p.f", "_p.v").agg(F.lit(1).alias("one"))
+               .groupBy(F.col("f").alias("field")).agg(F.count("*").alias("_u")))
+        out = out.join(per, "field", "left").withColumn("nunique", F.coalesce("_u", F.lit(0)).cast("long")) \
+                 .select(*out.columns)
+    from .ranking import materialize as kept
+    return kept(out, materialize)
 
 
 def null_rates(df: DataFrame, dataset: str = "table", threshold: float = K.NULL_RATE_THRESHOLD,
@@ -164,6 +173,11 @@ def findings_from_profile(p: DataFrame, null_at: float = K.NULL_RATE_THRESHOLD,
                     F.col("_f.message").alias("message")))
 
 
+#: An empty output blocks whatever it feeds; a suppression of an absent field only informs.
+BLOCKING_CHECKS = ("empty_output",)
+INFO_CHECKS = ("ghost_suppression",)
+
+
 def apply_suppressions(findings: DataFrame, known: DataFrame) -> DataFrame:
     """Drop findings registered as known anomalies (J7). `known`: (dataset, field, check)."""
     return findings.join(known.select("dataset", "field", "check").distinct(), ["dataset", "field", "check"],
@@ -175,18 +189,24 @@ def suppressed_findings(findings: DataFrame, known: DataFrame) -> DataFrame:
                          "left_semi")
 
 
-def ghost_suppressions(known: DataFrame, findings: DataFrame) -> DataFrame:
-    """Registered suppressions that no longer match any finding."""
-    return known.join(findings.select("dataset", "field", "check").distinct(), ["dataset", "field", "check"],
-                      "left_anti")
+def ghost_suppressions(known: DataFrame, fields: DataFrame) -> DataFrame:
+    """Registered suppressions whose field is no longer in the dataset's output.
+    `fields`: (dataset, field) of the datasets that were checked; a suppression of a dataset
+    that was not checked, or without a field, is no ghost."""
+    have = fields.select("dataset", "field").distinct()
+    return (known.where(F.coalesce(F.col("field") != "", F.lit(False)))
+            .join(have.select("dataset").distinct(), "dataset", "left_semi")
+            .join(have, ["dataset", "field"], "left_anti"))
 
 
 def classify(findings: DataFrame, finding_fields: DataFrame) -> DataFrame:
     """Severity tier (J8): BLOCKING when the exact (dataset, field) feeds a published
-    finding, else LATENT (exact names, never substring matching, T34)."""
+    finding (exact names, never substring matching, T34) or when an output is empty (J5),
+    INFO for suppressions of absent fields, else LATENT."""
     ff = finding_fields.select("dataset", "field").distinct().withColumn("_pub", F.lit(True))
     return (findings.join(ff, ["dataset", "field"], "left")
-            .withColumn("severity", F.when(F.col("_pub"), "BLOCKING").otherwise("LATENT")).drop("_pub"))
+            .withColumn("severity", F.when(F.col("_pub") | F.col("check").isin(*BLOCKING_CHECKS), "BLOCKING")
+                        .when(F.col("check").isin(*INFO_CHECKS), "INFO").otherwise("LATENT")).drop("_pub"))
 
 
 def dataset_status(classified: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
@@ -243,16 +263,15 @@ def drift(prev: DataFrame, curr: DataFrame, row_pct: float = K.DRIFT_ROW_PCT,
 
 
 def cross_source(counts: DataFrame, pairs: DataFrame, tolerance: float = K.CROSS_SOURCE_TOLERANCE) -> DataFrame:
-    """Paired datasets must agree in row count within `tolerance`.
-    counts: (dataset, rows); pairs: (left, right). Rows (left, right, left_rows,
-    right_rows, rel_diff, ok)."""
+    """Paired datasets must agree in row count within `tolerance` of the left one.
+    counts: (dataset, rows); pairs: (left, right). Rows (left, right, left_rows, right_rows,
+    rel_diff, ok); a pair with a missing side or an empty left side is skipped."""
     a = counts.select(F.col("dataset").alias("left"), F.col("rows").alias("left_rows"))
     b = counts.select(F.col("dataset").alias("right"), F.col("rows").alias("right_rows"))
-    j = pairs.join(a, "left", "left").join(b, "right", "left")
-    rel = F.abs(F.col("left_rows") - F.col("right_rows")) / F.nullif(
-        F.greatest("left_rows", "right_rows").cast("double"), F.lit(0.0))
+    j = pairs.join(a.where("left_rows > 0"), "left").join(b.where("right_rows is not null"), "right")
+    rel = F.abs(F.col("left_rows") - F.col("right_rows")) / F.col("left_rows").cast("double")
     return j.select("left", "right", "left_rows", "right_rows", F.round(rel, 6).alias("rel_diff"),
-                    F.coalesce(rel <= tolerance, F.lit(False)).alias("ok"))
+                    (rel <= tolerance).alias("ok"))
 
 
 # --------------------------------------------------------------- J13 - J16

@@ -36,7 +36,7 @@ def _buckets(df: DataFrame, n: int | None) -> int:
     return max(2, n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _materialize(df: DataFrame, how: str) -> DataFrame:
+def materialize(df: DataFrame, how: str) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's `spark.checkpoint.dir`
     (a private folder is set only when the session has none, as in local tests)."""
     if how == "checkpoint":
@@ -58,33 +58,33 @@ def _valid(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value.cast("double"))
 
 
-def distinct_value_counts(df: DataFrame, value: str, by=None, materialize: str = MATERIALIZE) -> DataFrame:
+def distinct_value_counts(df: DataFrame, value: str, by=None, how: str = MATERIALIZE) -> DataFrame:
     """(by..., value, n) over non-NULL, non-NaN values, materialised once. A coarser
     scope is derived from it without touching the input again: see `rollup_counts`."""
     v = F.col(value)
     vc = df.where(_valid(v)).groupBy(*_by(by), value).agg(F.count(F.lit(1)).alias("n"))
-    return _materialize(vc, materialize)
+    return materialize(vc, how)
 
 
-def rollup_counts(counts: DataFrame, value: str, by=None, materialize: str = MATERIALIZE) -> DataFrame:
+def rollup_counts(counts: DataFrame, value: str, by=None, how: str = MATERIALIZE) -> DataFrame:
     """Re-aggregate a (finer..., value, n) table to (by..., value, n), e.g. state -> nation,
     reading only the (small) finer table."""
-    return _materialize(counts.groupBy(*_by(by), value).agg(F.sum("n").alias("n")), materialize)
+    return materialize(counts.groupBy(*_by(by), value).agg(F.sum("n").alias("n")), how)
 
 
 def cumulative_counts(df: DataFrame, value: str, by=None, n_buckets: int | None = None,
-                      rel_err: float = 0.001, materialize: str = MATERIALIZE,
+                      rel_err: float = 0.001, how: str = MATERIALIZE,
                       counts: DataFrame | None = None) -> DataFrame:
     """(by..., value, n, cum_lt, cum_le, total) for every distinct non-NULL value.
 
     The distinct-value count table feeds three branches (bucket edges, running sums,
     bucket totals), which share its one exchange, so the input is scanned once and building
-    the plan runs no job. `materialize="checkpoint"` writes it to the session's shared
+    the plan runs no job. `how="checkpoint"` writes it to the session's shared
     checkpoint folder instead; "cache" keeps it in executor storage."""
     keys = _by(by)
     n_buckets = _buckets(df, n_buckets)
     v = F.col(value)
-    vc = counts if counts is not None else distinct_value_counts(df, value, by, materialize)
+    vc = counts if counts is not None else distinct_value_counts(df, value, by, how)
     # Bucket edges: approximate quantiles of the distinct values, computed inside the plan
     # as a one-row aggregate (n_buckets - 1 doubles) and broadcast on a constant key.
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])

@@ -20,13 +20,19 @@ from ..functions import predicates as P
 from ..operators import joins as J
 from ..operators import ranking as R
 
+# FIXED VALUES: texts of the published calendar.
+NO_LICENSE_SOURCE = "Not on file — add to input/manual_license_dates.csv"
+PBJ_REG_REF = "42 CFR §483.75(l)(2)"
+COST_REG_REF = "42 CFR §413.20(b)"
 PBJ_SOURCE = "CMS Payroll-Based Journal (PBJ) Submission Requirements"
 COST_SOURCE = "CMS Medicare Cost Report (CMS-2540-10)"
 
 
 def calendar(master: DataFrame, pos: DataFrame | None, manual: DataFrame | None, as_of: dt.date,
-             snf_label: str = "SNF", basis: str = "next", include_prior_q4: bool = False) -> DataFrame:
-    """`master` needs ccn and provider_type_label; `pos` prvdr_num + fy_end_mo_day_cd;
+             snf_label: str = "SNF", basis: str = "next", include_prior_q4: bool = False,
+             pos_seq: str | None = None) -> DataFrame:
+    """`master` needs ccn and provider_type_label; `pos` prvdr_num + fy_end_mo_day_cd, and of a
+    repeated provider the last row by `pos_seq` (the file's row order) with a value counts;
     `manual` ccn, term_date, license_type, source, regulatory_ref, notes and a `_seq`
     file-order column. `basis="next"` keeps the source's choice of the next fiscal year
     end for the cost report (T25); "most_recent" uses the last one."""
@@ -36,8 +42,10 @@ def calendar(master: DataFrame, pos: DataFrame | None, manual: DataFrame | None,
         m = J.override_lookup(m, manual, "_ccn", "ccn", "term_date", "_seq",
                               cols=["license_type", "source", "regulatory_ref", "notes"], pad=6, prefix="lic_")
     else:
-        m = m.withColumns({"lic_term_date": F.lit(None).cast("date"), "lic_license_type": F.lit(None).cast("string"),
-                           "lic_source": F.lit(None).cast("string")})
+        m = m.withColumns({"lic_term_date": F.lit(None).cast("date"),
+                           **{f"lic_{c}": F.lit(None).cast("string")
+                              for c in ("license_type", "source", "regulatory_ref", "notes")}})
+    m = m.withColumn("lic_source", F.when(F.col("lic_term_date").isNull(), F.lit(NO_LICENSE_SOURCE)).otherwise(F.col("lic_source")))
     m = m.withColumn("state_lic_action_date", F.date_sub("lic_term_date", K.STATE_LICENSE_ACTION_LEAD))
     m = m.withColumn("state_lic_alert", cal.alert("lic_term_date", "state_lic_action_date", as_of))
     nd = cal.next_deadline(as_of, include_prior_q4=include_prior_q4)
@@ -47,10 +55,12 @@ def calendar(master: DataFrame, pos: DataFrame | None, manual: DataFrame | None,
         "pbj_term_date": F.when(F.col("_snf"), F.col("_pbj_dl")),
         "pbj_action_date": F.when(F.col("_snf"), F.col("_pbj_act")),
         "pbj_source": F.when(F.col("_snf"), F.lit(PBJ_SOURCE)).otherwise(F.lit("")),
+        "pbj_reg_ref": F.when(F.col("_snf"), F.lit(PBJ_REG_REF)).otherwise(F.lit("")),
         "pbj_alert": F.when(F.col("_snf"), cal.alert("_pbj_dl", "_pbj_act", as_of)).otherwise(F.lit("N_A"))})
     if pos is not None:
-        fy = pos.select(X.pad_key("prvdr_num", 6).alias("_ccn"), X.clean("fy_end_mo_day_cd").alias("_fy"))
-        fy = fy.where(X.is_present("_fy")).groupBy("_ccn").agg(F.max("_fy").alias("_fy"))
+        fy = pos.select(X.pad_key("prvdr_num", 6).alias("_ccn"), X.clean("fy_end_mo_day_cd").alias("_fy"),
+                        *([F.col(pos_seq).alias("_seq")] if pos_seq else []))
+        fy = J.dedupe_last(fy.where(X.is_present("_fy")), "_ccn", "_seq" if pos_seq else None).select("_ccn", "_fy")
         m = m.join(fy, "_ccn", "left")
     else:
         m = m.withColumn("_fy", F.lit(None).cast("string"))
@@ -61,6 +71,7 @@ def calendar(master: DataFrame, pos: DataFrame | None, manual: DataFrame | None,
     m = m.withColumn("cost_report_action_date", F.date_sub("cost_report_term_date", K.COST_REPORT_ACTION_LEAD))
     m = m.withColumns({
         "cost_report_source": F.when(F.col("_snf"), F.lit(COST_SOURCE)).otherwise(F.lit("")),
+        "cost_report_reg_ref": F.when(F.col("_snf"), F.lit(COST_REG_REF)).otherwise(F.lit("")),
         "cost_report_alert": F.when(~F.col("_snf"), F.lit("N_A")).otherwise(
             cal.alert("cost_report_term_date", "cost_report_action_date", as_of))})
     m = m.withColumn("overall_alert", cal.worst("state_lic_alert", "pbj_alert", "cost_report_alert"))
@@ -71,12 +82,12 @@ URGENT = ["OVERDUE", "CRITICAL", "WARNING"]
 
 
 def hotlist(cal_df: DataFrame) -> DataFrame:
-    """Urgent subset sorted by severity, then the nearest term date, then CCN.
-    A cheap non-deterministic column referenced by the filter keeps the optimizer from
-    re-inlining every staged date expression into the filter."""
-    c = cal_df.withColumn("_stage", F.monotonically_increasing_id())
-    h = P.where_in(c, "overall_alert", URGENT, normalize=False, active=F.col("_stage") >= 0).drop("_stage")
+    """Urgent subset by severity, then the licence term date, then the staffing-report term
+    date (D1, H3), missing dates first as in a file where they are empty text; CCN decides
+    ties. Reads a
+    finished calendar: over an unwritten one the filter would repeat every date expression."""
+    h = P.where_in(cal_df, "overall_alert", URGENT, normalize=False)
     h = h.withColumn("alert_priority", cal.alert_priority("overall_alert"))
-    nearest = F.least("lic_term_date", "pbj_term_date", "cost_report_term_date")
-    return R.sort_rows(h.withColumn("nearest_term_date", nearest),
-                       [("alert_priority", "desc", "last"), ("nearest_term_date", "asc", "last"), ("ccn", "asc", "last")])
+    order = [("alert_priority", "desc", "last"), ("lic_term_date", "asc", "first"),
+             ("pbj_term_date", "asc", "first"), ("ccn", "asc", "last")]
+    return R.sort_rows(h, order)

@@ -15,9 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import aggs as A
-from ..operators import contracts as C
-from ..operators import joins as J
 from ..operators import quality as Q
 
 
@@ -37,8 +34,8 @@ def registry_frame(spark: SparkSession, registry: Sequence[Mapping]) -> tuple[Da
 def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequence[Mapping],
         previous_snapshot: DataFrame | None = None, pairs: Sequence[tuple[str, str]] = (),
         expected_fields: Mapping[str, Sequence[str]] | None = None,
-        numeric_hints: Sequence[str] = K.NUMERIC_NAME_HINTS, materialize: str = "checkpoint"
-        ) -> dict[str, DataFrame]:
+        numeric_hints: Sequence[str] = K.NUMERIC_NAME_HINTS, materialize: str = "checkpoint",
+        distinct: str | None = "exact") -> dict[str, DataFrame]:
     """Profiles feed findings, drift, cross-source and the snapshot; with the default
     `materialize="checkpoint"` each dataset is scanned once however many outputs are
     written. Use "none" when only one output is consumed."""
@@ -46,20 +43,24 @@ def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequen
     computed = {r["name"]: r.get("fields_computed", []) for r in registry}
     profiles, findings = None, None
     for name, df in datasets.items():
-        p = Q.profile(df, name, numeric_hints=numeric_hints, materialize=materialize)
+        p = Q.profile(df, name, numeric_hints=numeric_hints, materialize=materialize, distinct=distinct)
         profiles = p if profiles is None else profiles.unionByName(p)
-        empty = Q.check_nonempty(df, "nonempty").where(~F.col("ok")).select(
-            F.lit(name).alias("dataset"), F.lit("empty_output").alias("check"), F.lit("*").alias("field"))
-        f = Q.findings_from_profile(p).select("dataset", "check", "field").unionByName(empty)
+        f = Q.findings_from_profile(p).select("dataset", "check", "field")
         if expected_fields and name in expected_fields:
             diff = Q.field_set_diff(expected_fields[name], df, computed.get(name, [])).where(F.col("status") != "present")
             f = f.unionByName(diff.select(F.lit(name).alias("dataset"),
                                           F.concat(F.lit("field_"), F.col("status")).alias("check"), "field"))
         findings = f if findings is None else findings.unionByName(f)
-    kept = Q.apply_suppressions(findings, known)
+    # an empty output: the profile's own row count says so
+    findings = findings.unionByName(profiles.groupBy("dataset").agg(F.max("row_count").alias("_n")).where("_n = 0").select(
+        "dataset", F.lit("empty_output").alias("check"), F.lit("*").alias("field")))
+    fields = spark.createDataFrame([(n, c) for n, df in datasets.items() for c in df.columns], "dataset string, field string")
+    ghosts = Q.ghost_suppressions(known.select("dataset", "field", "check"), fields)
+    kept = Q.apply_suppressions(findings, known).unionByName(
+        ghosts.select("dataset", F.lit("ghost_suppression").alias("check"), "field").distinct())
     classified = Q.classify(kept, ff)
     out = {"profile": profiles, "findings": classified,
-           "ghost_suppressions": Q.ghost_suppressions(known.select("dataset", "field", "check"), findings),
+           "ghost_suppressions": ghosts,
            "status": Q.dataset_status(classified, ds),
            "summary": Q.findings_summary(classified, Q.suppressed_findings(findings, known))}
     if previous_snapshot is not None:
@@ -69,25 +70,3 @@ def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequen
         pr = spark.createDataFrame(list(pairs), "left string, right string")
         out["cross_source"] = Q.cross_source(counts, pr)
     return out
-
-
-# ----------------------------------------------------------------------- P23
-def universe_reconciliation(spine: DataFrame, spine_key: str, sources: Mapping[str, tuple[DataFrame, str]]
-                            ) -> DataFrame:
-    """Matched / spine-only / source-only keys per source."""
-    return J.reconcile_keys(spine, spine_key, sources)
-
-
-def published_figures(computed: DataFrame, figures: DataFrame) -> DataFrame:
-    """Recompute every stated percentage from its declared numerator and denominator."""
-    return Q.check_figures(computed, figures)
-
-
-def league(universe: DataFrame, group: str, measures: Mapping[str, object]) -> DataFrame:
-    """State league table over the declared universe."""
-    return A.league_table(universe, group, measures)
-
-
-def schema_report(df: DataFrame, expected: Sequence[str], computed: Sequence[str] = ()) -> DataFrame:
-    return C.schema_diff(df, expected, computed)
-

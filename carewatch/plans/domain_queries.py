@@ -9,13 +9,16 @@ the source's sentinels and footnotes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..operators import quality as Q
+from ..operators import ranking as R
 from ..sources.catalog import table
 from ..sources.readers import literal_table
-import datetime as dt
 
 from . import access, compliance, conformance, facility, measures, references, testbed, vbp
 from .testbed_sql import _num, _q
@@ -103,19 +106,29 @@ def vbp_raw_from_customers(spark, d) -> DataFrame:
         note.alias(SNFRM_NOTE))
 
 
-VBP_FACILITY_COLS = ["ccn", "state", "performance_score", "incentive_multiplier", "payment_direction",
+VBP_FACILITY_COLS = ["ccn", "state", "in_vbp", "performance_score", "incentive_multiplier", "payment_direction",
                      "national_pct_rank", "national_vbp_tier", "state_pct_rank", "state_vbp_tier",
                      "snfrm_base", "snfrm_perf", "snfrm_delta", "fn_snfrm_flag"]
 
 
 def vbp_chain(spark, d):
     """National and state percentile ranks and tiers, direction, deltas, footnotes."""
-    return vbp.build(vbp_raw_from_customers(spark, d))["facility"].select(*VBP_FACILITY_COLS)
+    return vbp.facility(vbp_raw_from_customers(spark, d)).select(*VBP_FACILITY_COLS)
 
 
 def vbp_state(spark, d):
     """P14 output 2: state summary of scored facilities."""
-    return vbp.build(vbp_raw_from_customers(spark, d))["state"]
+    return vbp.states(vbp_raw_from_customers(spark, d))
+
+
+def vbp_components(spark, d):
+    """P14 output 3: measure components beside score and tiers."""
+    return vbp.components(vbp_raw_from_customers(spark, d))
+
+
+def vbp_summary(spark, d):
+    """Figures of the narrative summary."""
+    return vbp.summary(vbp_raw_from_customers(spark, d))
 
 
 PENALTY_TYPES = [("1-URGENT", "Fine"), ("2-HIGH", "Payment Denial"), ("3-MEDIUM", "Fine and Payment Denial"),
@@ -158,9 +171,17 @@ def cost_raw(spark, d) -> DataFrame:
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     med, mcd, oth = k % 50, k % 30, k % 20
+    # the published file holds days and beds of other units too, before those of the SNF unit
     return o.select(
-        F.col("o_custkey").cast("string").alias("Provider CCN"),
+        F.col("o_custkey").cast("string").alias("Provider CCN"), F.col("o_orderstatus").alias("Facility Name"),
+        F.col("o_orderpriority").alias("State Code"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("Fiscal Year Begin Date"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("Fiscal Year End Date"),
+        (k % 700 + 1000).cast("string").alias("Total Days Title XVIII"),
+        (k % 70 + 5).cast("string").alias("Total Days Title V"),
+        (k % 90 + 100).cast("string").alias("Total Days Title XIX"),
+        (k % 1000 + 2000).cast("string").alias("Total Bed Days Available"),
+        (k % 800).cast("string").alias("Total Costs"),
         med.cast("string").alias("SNF Days Title XVIII"), mcd.cast("string").alias("SNF Days Title XIX"),
         oth.cast("string").alias("SNF Days Other"), (med + mcd + oth).cast("string").alias("SNF Days Total"),
         F.when(k % 17 == 0, F.lit("N/A")).otherwise((k % 200).cast("string")).alias("SNF Bed Days Available"),
@@ -180,8 +201,9 @@ def cost_report_domain(spark, d):
 
 
 CAL_AS_OF = dt.date(1999, 6, 30)
-CAL_COLS = ["ccn", "lic_term_date", "lic_license_type", "state_lic_alert", "pbj_quarter", "pbj_alert",
-            "cost_report_fy_end", "cost_report_term_date", "cost_report_alert", "overall_alert"]
+CAL_COLS = ["ccn", "lic_term_date", "lic_license_type", "lic_source", "state_lic_alert", "pbj_quarter", "pbj_reg_ref",
+            "pbj_alert", "cost_report_fy_end", "cost_report_term_date", "cost_report_reg_ref", "cost_report_alert",
+            "overall_alert"]
 
 
 def calendar_inputs(spark, d):
@@ -192,7 +214,12 @@ def calendar_inputs(spark, d):
     fy = (F.when(k % 7 == 0, F.lit("Not Available")).when(k % 7 == 1, F.lit("13-01"))
            .otherwise(F.concat(F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lit("-"),
                                F.lpad((k % 31 + 1).cast("string"), 2, "0"))))
-    pos = c.select(F.lpad(k.cast("string"), 6, "0").alias("prvdr_num"), fy.alias("fy_end_mo_day_cd"))
+    # some providers stand in the file twice; the later row with a value counts
+    pos = (c.select(F.lpad(k.cast("string"), 6, "0").alias("prvdr_num"), fy.alias("fy_end_mo_day_cd"), k.alias("_row"))
+           .unionByName(c.where(k % 5 == 0).select(
+               F.lpad(k.cast("string"), 6, "0").alias("prvdr_num"),
+               F.when(k % 2 == 0, F.lit("06-30")).otherwise(F.lit("")).alias("fy_end_mo_day_cd"),
+               (k + 10 ** 9).alias("_row"))))
     o = table(spark, d, "orders")
     manual = o.select(F.col("o_custkey").cast("string").alias("ccn"),
                       F.when(F.col("o_orderkey") % 9 == 0, F.lit("pending"))
@@ -205,7 +232,28 @@ def calendar_inputs(spark, d):
 def compliance_calendar(spark, d):
     """Licence (manual overrides), staffing-report and cost-report alerts, worst alert."""
     master, pos, manual = calendar_inputs(spark, d)
-    return compliance.calendar(master, pos, manual, CAL_AS_OF).select(*CAL_COLS)
+    return compliance.calendar(master, pos, manual, CAL_AS_OF, pos_seq="_row").select(*CAL_COLS)
+
+
+def compliance_hotlist(spark, d):
+    """Urgent facilities, with the position the sort gives them."""
+    master, pos, manual = calendar_inputs(spark, d)
+    # the hotlist reads the finished calendar, as it does when the calendar is a file
+    whole = R.materialize(compliance.calendar(master, pos, manual, CAL_AS_OF, pos_seq="_row"), "checkpoint")
+    h = compliance.hotlist(whole)
+    return with_position(h.select("ccn", "overall_alert", "lic_term_date", "pbj_term_date"))
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """`df`, which is sorted, with the number of each row in that order: row counts of the
+    sorted partitions give each partition its start, so no task holds all rows."""
+    parts = df.withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    starts = (parts.groupBy("_part").agg(F.count("*").alias("_n"))
+              .withColumn("_start", F.coalesce(F.sum("_n").over(
+                  Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n"))
+    row = F.row_number().over(Window.partitionBy("_part").orderBy("_id"))
+    return (parts.withColumn("_row", row).join(starts, "_part")
+            .withColumn("position", F.col("_start") + F.col("_row")).drop("_part", "_id", "_start", "_row"))
 
 
 def citation_inputs(spark, d):
@@ -274,16 +322,18 @@ CONF_REGISTRY = [
     {"name": "customer_x", "known_anomalies": [{"field": "const_col", "check": "constant_value"}],
      "finding_fields": ["sparse_name"]},
     {"name": "orders", "known_anomalies": [{"field": "o_comment", "check": "null_rate"}]},
+    {"name": "no_rows"},
     {"name": "supplier", "fields_computed": ["s_acctbal"], "finding_fields": ["s_name"]},
 ]
 CONF_EXPECTED = {"supplier": ["s_suppkey", "s_name", "s_nationkey", "s_phone"]}
 
 
-def _conformance(spark, d) -> dict:
-    datasets = {"customer_x": testbed.profiled_frame(spark, d), "orders": table(spark, d, "orders"),
-                "supplier": table(spark, d, "supplier")}
+def _conformance(spark, d, distinct=None) -> dict:
+    orders = table(spark, d, "orders")
+    datasets = {"customer_x": testbed.profiled_frame(spark, d), "orders": orders, "supplier": table(spark, d, "supplier"),
+                "no_rows": orders.select("o_orderkey").join(orders.select("o_orderkey"), "o_orderkey", "left_anti")}
     return conformance.run(spark, datasets, CONF_REGISTRY, pairs=[("customer_x", "supplier")],
-                           expected_fields=CONF_EXPECTED, materialize="none")  # one output read per query
+                           expected_fields=CONF_EXPECTED, materialize="none", distinct=distinct)  # one output read per query
 
 
 def conformance_findings(spark, d):
@@ -291,6 +341,22 @@ def conformance_findings(spark, d):
     return _conformance(spark, d)["findings"]
 
 
+def conformance_profile(spark, d):
+    """The column profile with exact distinct counts."""
+    return _conformance(spark, d, "exact")["profile"].select(
+        "dataset", "field", "row_count", "null_count", "nunique", "is_constant")
+
+
+def conformance_ghosts(spark, d):
+    """Suppressions of fields that are not in the output."""
+    return _conformance(spark, d)["ghost_suppressions"].select("dataset", "field", "check")
+
+
+def conformance_summary(spark, d):
+    """Findings by severity, and how many were suppressed."""
+    return _conformance(spark, d)["summary"]
+
+
 def conformance_status(spark, d):
     """Worst severity per registered dataset."""
     return _conformance(spark, d)["status"]
@@ -354,11 +420,11 @@ def pac_domain(spark, d):
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     raw = o.select(k.cast("string").alias("prvdr_id"),
-                   F.when(k % 10 == 0, F.lit("NATION")).otherwise(F.lit("provider ")).alias("smry_ctgry"),
-                   F.when(k % 7 == 0, F.lit("*")).otherwise((k % 400).cast("string")).alias("pt_mnts"),
+                   F.when(k % 10 == 0, F.lit("NATION")).otherwise(F.lit("provider ")).alias("SMRY_CTGRY"),
+                   F.when(k % 7 == 0, F.lit("*")).otherwise((k % 400).cast("string")).alias("TOT_PT_MNTS"),
                    F.when(k % 11 == 0, F.lit("*")).when(k % 13 == 0, F.lit("")).otherwise(((k * 3) % 300).cast("string"))
-                    .alias("ot_mnts"),
-                   F.when(k % 5 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 70).cast("string")).alias("dual_pct"))
+                    .alias("TOT_OT_MNTS"),
+                   F.when(k % 5 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 70).cast("string")).alias("BENE_DUAL_PCT"))
     return measures.pac_puf(raw).select("prvdr_id", "high_therapy_intensity", "high_dual_pct")
 
 
@@ -366,16 +432,22 @@ def survey_domain(spark, d):
     """Computed health total = row-wise sum of category counts, NULL when all missing."""
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
-    raw = o.select(k.cast("string").alias("ccn"),
-                   F.when(k % 3 == 0, F.lit("")).otherwise((k % 5).cast("string")).alias("cat_abuse"),
-                   F.when(k % 4 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 3).cast("string")).alias("cat_qol"),
-                   F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("1")).alias("cat_admin"))
-    return measures.survey_summary(raw).select("ccn", "computed_health_total")
+    count = {"freedom_from_abuse_and_neglect_and_exploitation": F.when(k % 3 == 0, F.lit("")).otherwise((k % 5).cast("string")),
+             "quality_of_life_and_care": F.when(k % 4 == 0, F.lit("N/A")).otherwise((F.col("o_custkey") % 3).cast("string")),
+             "administration": F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("1")),
+             "nursing_and_physician_services": F.when(k % 6 == 1, F.lit("3.5")).otherwise(F.lit("N/A"))}
+    rest = ("resident_assessment_and_care_planning", "resident_rights", "nutrition_and_dietary", "pharmacy_service",
+            "environmental", "infection_control", "emergency_preparedness")
+    raw = o.select(k.cast("string").alias("cms_certification_number_ccn"), F.lit("HI").alias("state"),
+                   F.lit("1").alias("inspection_cycle"), F.col("o_orderdate").cast("string").alias("health_survey_date"),
+                   *[c.alias(f"count_of_{n}_deficiencies") for n, c in count.items()],
+                   *[F.lit("").alias(f"count_of_{n}_deficiencies") for n in rest])
+    return measures.survey_summary(raw).select(F.col("cms_certification_number_ccn").alias("ccn"), "computed_health_total")
 
 
 def measures_domain(spark, d):
     """Measure rows with collection dates looked up by measure code (blank default);
-    the interval table repeats codes, and the lookup keeps one row per code."""
+    the interval table repeats codes, and the last row of a code counts."""
     li = table(spark, d, "lineitem")
     raw = li.select(F.col("l_orderkey").cast("string").alias("ccn"),
                     (F.col("l_partkey") % 60 + 400).cast("string").alias("measure_code"),
@@ -385,8 +457,8 @@ def measures_domain(spark, d):
                   F.concat(F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0"), F.lit("/01/2024"))
                    .alias("data_collection_period_from_date"),
                   F.concat(F.lit("12/"), F.lpad((F.col("p_partkey") % 28 + 1).cast("string"), 2, "0"), F.lit("/2024"))
-                   .alias("data_collection_period_through_date"))
-    out = measures.quality_measures(raw, iv, "mds")["measures"]
+                   .alias("data_collection_period_through_date"), F.col("p_partkey").alias("_row"))
+    out = measures.quality_measures(raw, iv, "mds", seq="_row")["measures"]
     return out.select("ccn", "measure_code", "four_quarter_average", "collection_from", "collection_through")
 
 
@@ -462,7 +534,9 @@ def icd_reference_domain(spark, d):
     return references.icd10_reference(raw).select(*ICD_COLS)
 
 
-QUERIES = {"icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
+QUERIES = {"vbp_components": vbp_components, "vbp_summary": vbp_summary, "compliance_hotlist": compliance_hotlist,
+           "conformance_profile": conformance_profile, "conformance_ghosts": conformance_ghosts,
+           "conformance_summary": conformance_summary, "icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
            "enrollments_domain": enrollments_domain, "census_domain": census_domain,
            "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
@@ -569,11 +643,13 @@ def _vbp_sql() -> str:
              round_even((RANK() OVER (PARTITION BY state ORDER BY performance_score)
                          + (COUNT(*) OVER (PARTITION BY state, performance_score) - 1) / 2.0)
                         / COUNT(*) OVER (PARTITION BY state), 3) AS state_pct_rank FROM s),
-    fac AS (SELECT d.ccn, d.state, d.performance_score, d.incentive_multiplier,
-              CASE WHEN d.incentive_multiplier > 1.0 THEN 'BONUS' WHEN d.incentive_multiplier < 1.0 THEN 'PENALTY'
+    fac AS (SELECT d.ccn, d.state, d.performance_score IS NOT NULL AS in_vbp, d.performance_score, d.incentive_multiplier,
+              CASE WHEN d.performance_score IS NULL THEN NULL WHEN d.incentive_multiplier > 1.0 THEN 'BONUS' WHEN d.incentive_multiplier < 1.0 THEN 'PENALTY'
                    ELSE 'NEUTRAL' END AS payment_direction,
               nr.national_pct_rank, {tier('nq')} AS national_vbp_tier, nr.state_pct_rank, {tier('sq')} AS state_vbp_tier,
-              d.snfrm_base, d.snfrm_perf, round_even(d.snfrm_perf - d.snfrm_base, 4) AS snfrm_delta, d.fn_snfrm_flag
+              d.snfrm_base, d.snfrm_perf,
+              CASE WHEN d.performance_score IS NOT NULL THEN round_even(d.snfrm_perf - d.snfrm_base, 4) END AS snfrm_delta,
+              d.fn_snfrm_flag
             FROM d LEFT JOIN nr ON d.ccn = nr.ccn CROSS JOIN nq LEFT JOIN sq ON d.state = sq.state)"""
 
 
@@ -581,6 +657,14 @@ SQL = {
     "access_zip": _access_sql() + "\n    SELECT * FROM analysis",
     "access_chain": _access_state_sql(),
     "vbp_chain": _vbp_sql() + "\n    SELECT * FROM fac",
+    "vbp_components": _vbp_sql() + """
+    SELECT fac.ccn, c.c_name AS provider_name, fac.state, performance_score, national_vbp_tier, state_vbp_tier, fn_snfrm_flag
+    FROM fac JOIN customer c ON fac.ccn = lpad(CAST(c.c_custkey AS VARCHAR), 6, '0')""",
+    "vbp_summary": _vbp_sql() + """
+    SELECT COUNT(*) AS n_facilities, CAST(COUNT_IF(payment_direction = 'BONUS') AS BIGINT) AS bonus,
+      CAST(COUNT_IF(payment_direction = 'PENALTY') AS BIGINT) AS penalty, COUNT(performance_score) AS n_scored,
+      quantile_cont(performance_score, 0.25) AS q25, quantile_cont(performance_score, 0.5) AS median,
+      quantile_cont(performance_score, 0.75) AS q75 FROM fac""",
     "vbp_state": _vbp_sql() + """
     SELECT state, COUNT(ccn) AS facility_count, round_even(AVG(performance_score), 2) AS avg_performance_score,
       round_even(MIN(performance_score), 2) AS min_performance_score, round_even(MAX(performance_score), 2) AS max_performance_score,
@@ -673,7 +757,8 @@ def _cal_domain_sql() -> str:
     return f"""
     WITH master AS (SELECT CAST(c_custkey AS VARCHAR) AS ccn, lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS k6,
                       c_mktsegment = 'BUILDING' AS snf,
-                      CASE WHEN c_custkey % 7 = 0 THEN 'Not Available' WHEN c_custkey % 7 = 1 THEN '13-01'
+                      CASE WHEN c_custkey % 10 = 0 THEN '06-30'
+                           WHEN c_custkey % 7 = 0 THEN 'Not Available' WHEN c_custkey % 7 = 1 THEN '13-01'
                            ELSE lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') || '-' || lpad(CAST(c_custkey % 31 + 1 AS VARCHAR), 2, '0')
                       END AS fy FROM customer),
     man AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS k6,
@@ -693,16 +778,26 @@ def _cal_domain_sql() -> str:
                       ELSE this_end END AS fy_next FROM g),
     i AS (SELECT *, CASE WHEN snf THEN fy_next END AS cost_report_fy_end FROM h),
     j AS (SELECT *, CAST(last_day(cost_report_fy_end + INTERVAL 5 MONTH) AS DATE) AS cost_report_term_date FROM i),
-    r AS (SELECT ccn, lic_term_date, lic_license_type, {lic} AS state_lic_alert,
+    r AS (SELECT ccn, lic_term_date, lic_license_type,
+                 CASE WHEN lic_term_date IS NULL THEN 'Not on file — add to input/manual_license_dates.csv' ELSE 'manual' END
+                   AS lic_source, {lic} AS state_lic_alert,
+                 CASE WHEN snf THEN '42 CFR §483.75(l)(2)' ELSE '' END AS pbj_reg_ref,
+                 CASE WHEN snf THEN '42 CFR §413.20(b)' ELSE '' END AS cost_report_reg_ref,
+                 CASE WHEN snf THEN pbj_dl END AS pbj_term_date,
                  CASE WHEN snf THEN pbj_lab ELSE '' END AS pbj_quarter,
                  CASE WHEN snf THEN {pbj} ELSE 'N_A' END AS pbj_alert,
                  cost_report_fy_end, cost_report_term_date,
                  CASE WHEN NOT snf THEN 'N_A' ELSE {cost} END AS cost_report_alert FROM j)
-    SELECT *, {_label_of(f"greatest({_priority('state_lic_alert')}, {_priority('pbj_alert')}, {_priority('cost_report_alert')})")}
-           AS overall_alert FROM r"""
+    , whole AS (SELECT *, {_label_of(f"greatest({_priority('state_lic_alert')}, {_priority('pbj_alert')}, {_priority('cost_report_alert')})")}
+           AS overall_alert FROM r)"""
 
 
-SQL["compliance_calendar"] = _cal_domain_sql()
+SQL["compliance_calendar"] = _cal_domain_sql() + "\n    SELECT * EXCLUDE (pbj_term_date) FROM whole"
+SQL["compliance_hotlist"] = _cal_domain_sql() + """
+    SELECT ccn, overall_alert, lic_term_date, pbj_term_date, row_number() OVER (ORDER BY
+      CASE overall_alert WHEN 'OVERDUE' THEN 3 WHEN 'CRITICAL' THEN 2 ELSE 1 END DESC, lic_term_date ASC NULLS FIRST,
+      pbj_term_date ASC NULLS FIRST, ccn) AS position
+    FROM whole WHERE overall_alert IN ('OVERDUE', 'CRITICAL', 'WARNING')"""
 
 
 def _cit_sql() -> str:
@@ -775,7 +870,9 @@ def _conf_sql(kind: str) -> str:
     srcs = {"customer_x": (PROFILED, PROFILED_COLS),
             "orders": ("SELECT * FROM orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                 "o_orderdate", "o_orderpriority"]),
-            "supplier": ("SELECT * FROM supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])}
+            "supplier": ("SELECT * FROM supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]),
+            "no_rows": ("SELECT o_orderkey FROM orders WHERE o_orderkey IS NULL", ["o_orderkey"])}
+    fields = [(n, c) for n, (_, cols) in srcs.items() for c in cols]
     profs = []
     for name, (src, cols) in srcs.items():
         hinted = [c for c in cols if numeric_name(c)]
@@ -790,6 +887,7 @@ def _conf_sql(kind: str) -> str:
     findings AS (
         SELECT dataset, 'null_rate' AS "check", field FROM prof WHERE null_rate >= {K.NULL_RATE_THRESHOLD}
         UNION ALL SELECT dataset, 'constant_value', field FROM prof WHERE is_constant AND row_count >= {K.CONSTANT_MIN_ROWS}
+        UNION ALL SELECT 'no_rows', 'empty_output', '*'
         UNION ALL SELECT dataset, 'type_anomaly', field FROM prof
           WHERE parse_rate < {K.NUMERIC_PARSE_FLOOR} AND null_rate < {K.NULL_RATE_THRESHOLD}
         UNION ALL SELECT e.dataset, 'field_missing', e.field FROM (VALUES {_values(exp)}) e(dataset, field)
@@ -801,9 +899,32 @@ def _conf_sql(kind: str) -> str:
     ff AS (SELECT * FROM (VALUES {_values(ff)}) t(dataset, field)),
     kept AS (SELECT * FROM findings f WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dataset = f.dataset
              AND k.field = f.field AND k."check" = f."check")),
+    ghosts AS (SELECT * FROM known k WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_values(fields)}) v(dataset, field)
+               WHERE v.dataset = k.dataset AND v.field = k.field)),
     cls AS (SELECT kept.dataset, kept."check", kept.field,
-                   CASE WHEN EXISTS (SELECT 1 FROM ff WHERE ff.dataset = kept.dataset AND ff.field = kept.field)
-                        THEN 'BLOCKING' ELSE 'LATENT' END AS severity FROM kept)"""
+                   CASE WHEN kept."check" = 'empty_output' THEN 'BLOCKING' WHEN kept."check" = 'ghost_suppression' THEN 'INFO'
+                        WHEN EXISTS (SELECT 1 FROM ff WHERE ff.dataset = kept.dataset AND ff.field = kept.field)
+                        THEN 'BLOCKING' ELSE 'LATENT' END AS severity
+            FROM (SELECT dataset, "check", field FROM kept
+                  UNION ALL SELECT dataset, 'ghost_suppression', field FROM ghosts) kept)"""
+    if kind == "ghosts":
+        return body + "\n    SELECT dataset, field, \"check\" FROM ghosts"
+    if kind == "summary":
+        return body + """
+    SELECT severity, COUNT(*) AS n FROM cls GROUP BY severity
+    UNION ALL SELECT 'SUPPRESSED', COUNT(*) FROM findings f WHERE EXISTS (SELECT 1 FROM known k WHERE k.dataset = f.dataset
+             AND k.field = f.field AND k."check" = f."check")"""
+    if kind == "profile":
+        blank = "('', 'nan', 'NaN', 'NULL', 'null')"
+        parts = []
+        for name, (src, cols) in srcs.items():
+            for c in cols:
+                v = f"TRIM(CAST({c} AS VARCHAR))"
+                parts.append(f"SELECT '{name}' AS dataset, '{c}' AS field, COUNT(*) AS row_count, "
+                             f"COALESCE(CAST(COUNT_IF({c} IS NULL OR {v} IN {blank}) AS BIGINT), 0) AS null_count, "
+                             f"COUNT(DISTINCT CASE WHEN {v} NOT IN {blank} THEN {v} END) AS nunique, "
+                             f"COUNT(DISTINCT CASE WHEN {v} NOT IN {blank} THEN {v} END) = 1 AS is_constant FROM ({src}) x")
+        return " UNION ALL ".join(parts)
     if kind == "findings":
         return body + "\n    SELECT * FROM cls"
     names = ", ".join(f"({_q(r['name'])})" for r in CONF_REGISTRY)
@@ -815,6 +936,9 @@ def _conf_sql(kind: str) -> str:
 
 SQL["conformance_findings"] = _conf_sql("findings")
 SQL["conformance_status"] = _conf_sql("status")
+SQL["conformance_profile"] = _conf_sql("profile")
+SQL["conformance_ghosts"] = _conf_sql("ghosts")
+SQL["conformance_summary"] = _conf_sql("summary")
 
 
 def _hub_sql() -> str:
@@ -911,8 +1035,8 @@ def _measures_sql() -> str:
     WITH raw AS (SELECT CAST(l_orderkey AS VARCHAR) AS ccn, CAST(l_partkey % 60 + 400 AS VARCHAR) AS measure_code,
                    CAST(l_quantity AS VARCHAR) AS four_quarter_average FROM lineitem),
     iv AS (SELECT TRIM(CAST(p_partkey % 40 + 400 AS VARCHAR)) AS measure_code,
-                  max(struct_pack(f := lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '/01/2024',
-                                  t := '12/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/2024')) AS s
+                  arg_max(struct_pack(f := lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '/01/2024',
+                                      t := '12/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/2024'), p_partkey) AS s
            FROM part GROUP BY 1)
     SELECT raw.ccn, TRIM(raw.measure_code) AS measure_code, TRIM(raw.four_quarter_average) AS four_quarter_average,
            COALESCE(iv.s.f, '') AS collection_from, COALESCE(iv.s.t, '') AS collection_through
@@ -1026,7 +1150,7 @@ def fined_facilities_figure(spark, d):
     computed = share.select(F.lit("fined_facilities").alias("figure"), F.col("with_event").alias("numerator"),
                             F.col("universe").alias("denominator"))
     figures = spark.createDataFrame([("fined_facilities", 45.5, 1)], "figure string, stated_pct double, digits int")
-    return conformance.published_figures(computed, figures)
+    return Q.check_figures(computed, figures)
 
 
 QUERIES["fined_facilities_figure"] = fined_facilities_figure

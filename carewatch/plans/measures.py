@@ -178,9 +178,11 @@ def penalties(raw: DataFrame, seq: str) -> dict[str, DataFrame]:
 
 
 # -------------------------------------------------------------------- P12
-def quality_measures(raw: DataFrame, intervals: DataFrame | None, shape: str = "mds") -> dict[str, DataFrame]:
+def quality_measures(raw: DataFrame, intervals: DataFrame | None, shape: str = "mds",
+                     seq: str | None = None) -> dict[str, DataFrame]:
     """One of the three measure shapes (mds, claims, qrp) resolved by substrings,
-    with the measure-code lookup of collection dates (E6, blank default). The lookup's
+    with the measure-code lookup of collection dates (E6, blank default; of a repeated code
+    the last row by `seq`, the row order of the file, counts). The lookup's
     match rate is always reported (J13; a rate of 0 means the codes did not bind, T40)."""
     common = [Field("ccn", [["ccn"], ["certification"]], match="substr", required=True),
               Field("provider_name", [["provider_name"]], match="substr"),
@@ -207,9 +209,10 @@ def quality_measures(raw: DataFrame, intervals: DataFrame | None, shape: str = "
     if intervals is not None:
         iv = intervals.select(X.clean("measure_code").alias("measure_code"),
                               F.col("data_collection_period_from_date").alias("collection_from"),
-                              F.col("data_collection_period_through_date").alias("collection_through"))
+                              F.col("data_collection_period_through_date").alias("collection_through"),
+                              *([F.col(seq).alias("_seq")] if seq else []))
         d = d.withColumn("measure_code", X.clean("measure_code"))
-        d = J.lookup(d, iv.withColumn("_hit", F.lit(True)), "measure_code",
+        d = J.lookup(d, iv.withColumn("_hit", F.lit(True)), "measure_code", ["collection_from", "collection_through", "_hit"], seq="_seq" if seq else None,
                      defaults={"collection_from": "", "collection_through": "", "_hit": False})
         rate = A.match_rate(d, "_hit")
         d = d.drop("_hit")
@@ -227,38 +230,57 @@ def measure_means(measures: DataFrame, value: str, by=("measure_code",), top: in
 
 
 # -------------------------------------------------------------------- P15
+# FIXED VALUES: source header substrings, newer spelling first.
+PAC_CONTRACT = {
+    "smry_ctgry": Field("smry_ctgry", [["smry_ctgry"]], match="substr", required=True),
+    "pt": Field("pt", [["pt_mnts"], ["tot_pt"]], match="substr"),
+    "ot": Field("ot", [["ot_mnts"], ["tot_ot"]], match="substr"),
+    "dual": Field("dual", [["dual_pct"], ["dual"]], match="substr", required=True),
+}
+
+
 def pac_puf(raw: DataFrame, summary_category: str = "PROVIDER") -> DataFrame:
-    """Provider-level rows only (A7, pushed to the scan when the source is
-    columnar), all source columns kept, plus the therapy flag (K18: NULL when both
-    minutes are missing, False when one is) and the dual-eligible flag (K17)."""
-    d = raw.where(P.scope_eq("smry_ctgry", summary_category)) if "smry_ctgry" in raw.columns else raw
-    pt, ot = X.num("pt_mnts", K.SENTINELS_PAC), X.num("ot_mnts", K.SENTINELS_PAC)
-    dual = X.num("dual_pct", K.SENTINELS_PAC) if "dual_pct" in d.columns else F.lit(None).cast("double")
-    return d.withColumns({"high_therapy_intensity": X.pair_sum_flag(pt, ot, K.THERAPY_MINUTES_MIN),
-                          "high_dual_pct": X.gt_flag(dual, K.DUAL_PCT_MIN, missing=None)})
+    """Provider-level rows only (A7), all source columns kept, plus the therapy flag
+    (K18: NULL when both minutes are missing, False when one is) and the dual-eligible flag
+    (K17). Columns are found by the substrings of the contract."""
+    at = {k: C.find_column(raw.columns, f) for k, f in PAC_CONTRACT.items()}
+    lacking = [k for k, f in PAC_CONTRACT.items() if f.required and at[k] is None]
+    if lacking:
+        raise KeyError(f"required columns not found: {lacking}")
+    d = raw.where(P.scope_eq(F.col(f"`{at['smry_ctgry']}`"), summary_category))
+
+    def number(k: str):
+        return X.num(F.col(f"`{at[k]}`"), K.SENTINELS_PAC) if at[k] else F.lit(None).cast("double")
+    return d.withColumns({"high_therapy_intensity": X.pair_sum_flag(number("pt"), number("ot"), K.THERAPY_MINUTES_MIN),
+                          "high_dual_pct": X.gt_flag(number("dual"), K.DUAL_PCT_MIN, missing=None)})
 
 
 # -------------------------------------------------------------------- P16
+# FIXED VALUES: source header substrings. The file holds each day and bed count several times;
+# only the columns of the skilled-nursing unit carry `SNF`.
+def _money(out: str, *names: str, required: bool = False) -> Field:
+    return Field(out, [[n] for n in names], match="substr", parse="number", sentinels=K.SENTINELS_COMMON,
+                 required=required)
+
+
 COST_CONTRACT = [
-    Field("ccn_raw", [["provider", "ccn"], ["provider_ccn"], ["ccn"]], match="substr", required=True),
-    Field("facility_name", [["facility", "name"]], match="substr"),
-    Field("state", [["state", "code"], ["state"]], match="substr"),
-    Field("type_of_control", [["type", "control"]], match="substr"),
-    Field("fy_begin", [["fiscal", "begin"]], match="substr"),
-    Field("fy_end", [["fiscal", "end"]], match="substr"),
-    Field("beds", [["number", "beds"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("days_medicare", [["days", "xviii"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("days_medicaid", [["days", "xix"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("days_other", [["days", "other"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("days_total", [["days", "total"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("bed_days_available", [["bed", "days", "available"]], match="substr", parse="number",
-          sentinels=K.SENTINELS_COMMON),
-    Field("net_patient_revenue", [["net", "patient", "revenue"]], match="substr", parse="number",
-          sentinels=K.SENTINELS_COMMON),
-    Field("net_income", [["net", "income"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("total_costs", [["total", "costs"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("total_salaries", [["total", "salaries"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
-    Field("contract_labor", [["contract", "labor"]], match="substr", parse="number", sentinels=K.SENTINELS_COMMON),
+    Field("ccn_raw", [["provider ccn"], ["ccn"]], match="substr", required=True),
+    Field("facility_name", [["facility name"], ["provider name"]], match="substr", required=True),
+    Field("state", [["state code"], ["state"]], match="substr", required=True),
+    Field("type_of_control", [["type of control"]], match="substr"),
+    Field("fy_begin", [["fiscal year begin"], ["fy begin"]], match="substr", required=True),
+    Field("fy_end", [["fiscal year end"], ["fy end"]], match="substr", required=True),
+    _money("beds", "snf number of beds", "number of beds"),
+    _money("days_medicare", "snf days title xviii", required=True),
+    _money("days_medicaid", "snf days title xix", required=True),
+    _money("days_other", "snf days other"),
+    _money("days_total", "snf days total", required=True),
+    _money("bed_days_available", "snf bed days available", required=True),
+    _money("net_patient_revenue", "net patient revenue", required=True),
+    _money("net_income", "net income", required=True),
+    _money("total_costs", "total costs", required=True),
+    _money("total_salaries", "total salaries"),
+    _money("contract_labor", "contract labor"),
 ]
 
 
@@ -296,12 +318,43 @@ def margin_summary(cost: DataFrame, by=None, below: float = K.STRESSED_MARGIN_PC
 
 
 # -------------------------------------------------------------------- P17
-def survey_summary(raw: DataFrame, categories: Sequence[str] = K.SURVEY_CATEGORIES) -> DataFrame:
-    """All source columns plus the computed health total: the row-wise sum of the
-    category counts, NULL only when every count is missing (F14)."""
-    present = [c for c in categories if c in raw.columns]
-    nums = [X.num(c, ["", "N/A"]).cast("long") for c in present]
-    return raw.withColumn("computed_health_total", X.row_sum(nums))
+# FIXED VALUES: source header substrings, newer spelling first.
+SURVEY_CONTRACT = [
+    Field("ccn", [["cms_certification_number"], ["ccn"]], match="substr", required=True),
+    Field("state", [["state"]], match="substr", required=True),
+    Field("cycle", [["cycle"]], match="substr", required=True),
+    Field("date", [["survey_date"], ["date"]], match="substr", required=True),
+]
+SURVEY_COUNTS = [
+    Field("cat_abuse", [["abuse"]], match="substr", required=True),
+    Field("cat_qol", [["quality_of_life"], ["qol"]], match="substr", required=True),
+    Field("cat_assess", [["resident_assessment"], ["assessment"]], match="substr", required=True),
+    Field("cat_nursing", [["nursing"]], match="substr", required=True),
+    Field("cat_rights", [["resident_rights"], ["rights"]], match="substr", required=True),
+    Field("cat_nutrition", [["nutrition"]], match="substr", required=True),
+    Field("cat_pharmacy", [["pharmacy"]], match="substr", required=True),
+    Field("cat_environ", [["environmental"], ["environ"]], match="substr", required=True),
+    Field("cat_admin", [["administration"]], match="substr", required=True),
+    Field("cat_infection", [["infection_control"], ["infection"]], match="substr", required=True),
+    Field("cat_emergency", [["emergency_preparedness"], ["emergency"]], match="substr", required=True),
+]
+
+
+def survey_summary(raw: DataFrame) -> DataFrame:
+    """All source columns, trimmed, plus the computed health total: the row-wise sum of
+    the category counts, NULL only when every count is missing (F14). Counts are whole
+    numbers; any other text is missing."""
+    at = {f.out: C.find_column(raw.columns, f) for f in SURVEY_CONTRACT + SURVEY_COUNTS}
+    lacking = [k for k, c in at.items() if c is None]
+    if lacking:
+        raise KeyError(f"required columns not found: {lacking}")
+
+    def count(name: str):
+        c = F.btrim(F.col(f"`{at[name]}`").cast("string"))
+        return F.when(c.rlike("^[+-]?[0-9]+$"), c.try_cast("long"))
+    total = X.row_sum([count(f.out) for f in SURVEY_COUNTS])
+    return raw.select(*[F.btrim(F.col(f"`{c}`").cast("string")).alias(c) for c in raw.columns],
+                      total.alias("computed_health_total"))
 
 
 # -------------------------------------------------------------------- P18

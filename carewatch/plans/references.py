@@ -60,9 +60,12 @@ def ftag_reference(pages: DataFrame) -> DataFrame:
                         exclude=["prefix", "description", "category"]),
                 C.Field("description", [["description"]], match="substr"),
                 C.Field("category", [["category"]], match="substr")]
-    d, _ = C.resolve_columns(pages, contract)
-    d = d.withColumn("_seq", F.monotonically_increasing_id()) if "_pos" not in pages.columns else \
-        d.withColumn("_seq", F.lit(0))
+    # the order of landed records: page file, then position in the page
+    order = [c for c in ("_source_file", "_pos") if c in pages.columns]
+    if not order:
+        raise ValueError("landed pages carry _source_file and _pos; without them `last row` has no meaning")
+    d, _ = C.resolve_columns(pages, contract + [C.Field(c, [c]) for c in order])
+    d = d.withColumn("_seq", F.struct(*[F.col(c).cast("long") if c == "_pos" else F.col(c) for c in order])).drop(*order)
     d = d.withColumn("tag_prefix", X.clean("tag_prefix", case="upper")).withColumn("tag_number", X.clean("tag_number"))
     d = J.dedupe_last(d, ["tag_prefix", "tag_number"], "_seq").drop("_seq")
     return d.withColumn("prefix_tag", X.join_code("tag_prefix", "tag_number"))

@@ -271,9 +271,9 @@ def reconcile_universes(spark, d):
 
 
 def missing_by_group(spark, d):
-    """Customers with no orders, counted per nation."""
+    """Customers whose key no supplier has, counted per nation."""
     return J.missing_by_group(_t(spark, d, "customer"),
-                              _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")),
+                              _t(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey")),
                               "c_custkey", "c_nationkey")
 
 
@@ -568,11 +568,9 @@ def calendar_alerts(spark, d, as_of: dt.date = AS_OF):
 
 def hotlist(spark, d, as_of: dt.date = AS_OF):
     """H3 urgent subset (D1 on alert labels) sorted by severity then key.
-    The calendar is cut off from the filter by a cheap non-deterministic column so the
-    optimizer does not push the filter down by re-inlining every staged date expression."""
-    c = calendar_alerts(spark, d, as_of).withColumn("_stage", F.monotonically_increasing_id())
-    h = P.where_in(c, "overall_alert", ["OVERDUE", "CRITICAL", "WARNING"], normalize=False,
-                   active=F.col("_stage") >= 0)  # references the barrier, so it stays in place
+    It reads the finished calendar, as it does when the calendar is a file."""
+    c = R.materialize(calendar_alerts(spark, d, as_of), "checkpoint")
+    h = P.where_in(c, "overall_alert", ["OVERDUE", "CRITICAL", "WARNING"], normalize=False)
     h = h.withColumn("priority", cal.alert_priority("overall_alert"))
     return R.sort_rows(h.select("o_orderkey", "overall_alert", "priority", "cost_report_due"),
                        [("priority", "desc", "last"), ("cost_report_due", "asc", "last"), ("o_orderkey", "asc", "last")])
@@ -655,7 +653,8 @@ def findings_summary(spark, d):
     ff = literal_table(spark, FINDING_FIELDS, "dataset string, field string")
     cls = Q.classify(Q.apply_suppressions(findings, known), ff)
     s = Q.findings_summary(cls, Q.suppressed_findings(findings, known))
-    ghosts = Q.ghost_suppressions(known, findings).agg(F.count(F.lit(1)).alias("n")).select(
+    fields = literal_table(spark, [("customer_x", c) for c in profiled_frame(spark, d).columns], "dataset string, field string")
+    ghosts = Q.ghost_suppressions(known, fields).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("GHOST").alias("severity"), "n")
     return s.unionByName(ghosts)
 

@@ -323,7 +323,7 @@ def build() -> dict[str, str]:
 
     S["missing_by_group"] = """
     SELECT c_nationkey, COUNT(*) AS missing FROM customer c
-    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey) GROUP BY c_nationkey"""
+    WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = c.c_custkey) GROUP BY c_nationkey"""
 
     S["event_rollup"] = """
     SELECT o_custkey, arg_min(o_orderstatus, o_orderkey) AS o_orderstatus, COUNT(*) AS total_events,
@@ -580,8 +580,8 @@ def build() -> dict[str, str]:
     SELECT severity, COUNT(*) AS n FROM cls GROUP BY severity
     UNION ALL SELECT 'SUPPRESSED', COUNT(*) FROM findings a WHERE EXISTS (SELECT 1 FROM known k
               WHERE k.dataset = a.dataset AND k.field = a.field AND k."check" = a."check")
-    UNION ALL SELECT 'GHOST', COUNT(*) FROM known k WHERE NOT EXISTS (SELECT 1 FROM findings a
-              WHERE k.dataset = a.dataset AND k.field = a.field AND k."check" = a."check")"""
+    UNION ALL SELECT 'GHOST', COUNT(*) FROM known k
+    WHERE k.field NOT IN ({", ".join(f"'{c}'" for c in PROFILED_COLS)})"""
 
     prev_src = (f"SELECT c_custkey, c_mktsegment, sparse_name, const_col FROM ({PROFILED}) f "
                 f"WHERE c_mktsegment <> 'HOUSEHOLD'")
@@ -610,9 +610,9 @@ def build() -> dict[str, str]:
                     UNION ALL SELECT 'ordered_lines', COUNT(DISTINCT l_orderkey) FROM lineitem),
     pairs AS (SELECT * FROM (VALUES ('customer', 'ordering_customers'), ('orders', 'ordered_lines')) t("left", "right")),
     j AS (SELECT pairs."left", pairs."right", a.rows AS left_rows, b.rows AS right_rows,
-                 ABS(a.rows - b.rows) / NULLIF(CAST(greatest(a.rows, b.rows) AS DOUBLE), 0) AS rel
-          FROM pairs LEFT JOIN counts a ON pairs."left" = a.dataset LEFT JOIN counts b ON pairs."right" = b.dataset)
-    SELECT "left", "right", left_rows, right_rows, ROUND(rel, 6) AS rel_diff, COALESCE(rel <= 0.001, false) AS ok FROM j"""
+                 ABS(a.rows - b.rows) / CAST(a.rows AS DOUBLE) AS rel
+          FROM pairs JOIN counts a ON pairs."left" = a.dataset AND a.rows > 0 JOIN counts b ON pairs."right" = b.dataset)
+    SELECT "left", "right", left_rows, right_rows, ROUND(rel, 6) AS rel_diff, rel <= 0.001 AS ok FROM j"""
 
     S["vintage_changes"] = """
     WITH p AS (SELECT c_custkey, c_name, c_mktsegment FROM customer),

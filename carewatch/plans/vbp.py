@@ -39,8 +39,8 @@ def conform(raw: DataFrame) -> DataFrame:
 
 def score(d: DataFrame, by: str = "state", unscored: str | None = None) -> DataFrame:
     """National and within-state average-rank percentiles (G2, G3) and quartile tiers
-    (G4), payment direction (K19), period deltas (K20). Unscored rows are kept with NULL
-    ranks/tiers (E10, T6)."""
+    (G4), payment direction (K19), period deltas (K20), and `in_vbp`. Unscored rows are kept,
+    with NULL in all of them (E10, T6)."""
     v = "performance_score"
     per_state = R.distinct_value_counts(d, v, by)  # one scan; the national table is its roll-up
     nat = R.rank_values(d, v, pct="national_pct_rank", tier="national_vbp_tier",
@@ -48,10 +48,11 @@ def score(d: DataFrame, by: str = "state", unscored: str | None = None) -> DataF
     st = R.rank_values(d, v, by, pct="state_pct_rank", tier="state_vbp_tier", counts=per_state)
     s = R.attach_ranks(d, nat, v, tier="national_vbp_tier", unscored=unscored)
     s = R.attach_ranks(s, st, v, by, tier="state_vbp_tier", unscored=unscored)
-    s = s.withColumn("payment_direction", X.direction("incentive_multiplier"))
+    has = F.col(v).isNotNull()
+    s = s.withColumn("in_vbp", has).withColumn("payment_direction", F.when(has, X.direction("incentive_multiplier")))
     for base, perf, out in K.VBP_DELTAS:
         if base in s.columns and perf in s.columns:
-            s = s.withColumn(out, X.delta(perf, base))
+            s = s.withColumn(out, F.when(has, X.delta(perf, base)))
     return s
 
 
@@ -78,15 +79,30 @@ def national_summary(scored: DataFrame) -> DataFrame:
     return d.withColumn("_g", F.lit(0)).join(F.broadcast(q.withColumn("_g", F.lit(0))), "_g").drop("_g")
 
 
-def build(raw: DataFrame, scope: str | None = None) -> dict[str, DataFrame]:
-    scored = score(conform(raw))
-    view = P.where_scope(scored, "state", scope)  # ranks stay national (B4)
-    measures = [c for c in ["ccn", "provider_name", "state", "performance_score", "national_vbp_tier",
-                            "state_vbp_tier", "snfrm_score", "fn_snfrm_flag", "hai_score", "fn_hai_flag",
-                            "turnover_score", "fn_turnover_flag", "staffing_score", "fn_staffing_flag"]
-                if c in view.columns]
-    return {"facility": view, "state": state_summary(view), "measures": view.select(*measures),
-            "summary": national_summary(view)}
+MEASURE_COLS = ["ccn", "provider_name", "state", "performance_score", "national_vbp_tier", "state_vbp_tier",
+                "snfrm_score", "fn_snfrm_flag", "hai_score", "fn_hai_flag", "turnover_score", "fn_turnover_flag",
+                "staffing_score", "fn_staffing_flag"]
+
+
+def facility(raw: DataFrame, scope: str | None = None) -> DataFrame:
+    """Output 1: every facility; a scope filters after ranking, ranks stay national."""
+    return P.where_scope(score(conform(raw)), "state", scope)
+
+
+def states(raw: DataFrame, scope: str | None = None) -> DataFrame:
+    """Output 2: the state summary."""
+    return state_summary(facility(raw, scope))
+
+
+def components(raw: DataFrame, scope: str | None = None) -> DataFrame:
+    """Output 3: measure scores and suppression reasons beside score and tiers."""
+    view = facility(raw, scope)
+    return view.select(*C.present_columns(view, MEASURE_COLS))
+
+
+def summary(raw: DataFrame, scope: str | None = None) -> DataFrame:
+    """The figures of the narrative summary."""
+    return national_summary(facility(raw, scope))
 
 
 def snf_vbp_simple(raw: DataFrame) -> DataFrame:
@@ -102,4 +118,5 @@ def snf_vbp_simple(raw: DataFrame) -> DataFrame:
                 sentinels=K.SENTINELS_COMMON),
     ]
     d, _ = C.resolve_columns(raw, contract)
-    return d.withColumn("earns_bonus", X.gt_flag("incentive_multiplier", 1.0, missing=None))
+    return d.withColumns({"vbp_penalty": F.col("incentive_multiplier") < 1.0,
+                          "vbp_bonus": X.gt_flag("incentive_multiplier", 1.0, missing=None)})

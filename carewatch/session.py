@@ -56,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     on any cluster a missing setting is an error, never a machine-local fallback."""
     d = checkpoint_dir(spark)
     if not d:
-        if not spark.sparkContext._jsc.sc().isLocal():
+        master = spark.sparkContext.master  # `local-cluster[...]` has executors of its own
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="carewatch-ckpt-")
     if not spark.sparkContext.getCheckpointDir():

@@ -71,3 +71,20 @@ def test_share_with_event_and_flag_rates(spark):
     ev = spark.createDataFrame([(1, True), (1, True), (2, False)], "k int, fine boolean")
     assert rows(A.share_with_event(ev, uni, "k", F.col("fine")), "universe", "with_event", "share") == [(4, 1, 0.25)]
     assert rows(A.flag_rates(ev, ["fine"], denom=4), "fine_n", "fine_rate") == [(2, 0.5)]
+
+
+def test_overlapping_ranges_and_repeated_keys(spark):
+    df = spark.createDataFrame([("B20",), ("C10",), (None,)], "code string")
+    ranges = spark.createDataFrame([("A00", "C99", "first", 1), ("B00", "B99", "second", 2)],
+                                   "lo string, hi string, ch string, pos int")
+    got = rows(J.interval_lookup(df, ranges, "code", "lo", "hi", ["ch"], seq="pos"))
+    assert got == [("B20", "first"), ("C10", "first"), (None, None)]
+    nums = spark.createDataFrame([(5.0,), (250.0,)], "x double")
+    bands = spark.createDataFrame([(0.0, 9.0, "low"), (100.0, 400.0, "high")], "lo double, hi double, b string")
+    assert rows(J.interval_lookup(nums, bands, "x", "lo", "hi", ["b"], bin_width=50.0)) == [(250.0, "high"), (5.0, "low")]
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    try:
+        J.outer_merge([twice, spark.createDataFrame([(1, 2)], "k int, w int")], "k").collect()
+        raise AssertionError("a repeated key passed")
+    except Exception as e:  # noqa: BLE001
+        assert "repeated key" in str(e)

@@ -9,8 +9,11 @@ from conftest import rows
 
 
 def test_cost_report_ratios_and_guards(spark):
-    raw = spark.createDataFrame([("12009", "50", "30", "20", "100", "200", "0", "5", "10", "40")],
-                                "`Provider CCN` string, `SNF Days Title XVIII` string, `SNF Days Title XIX` string, "
+    raw = spark.createDataFrame([("12009", "n", "HI", "a", "b", "500", "90", "999", "7", "50", "30", "20", "100", "200", "0",
+                                  "5", "10", "40")],
+                                "`Provider CCN` string, `Facility Name` string, `State Code` string, `Fiscal Year Begin Date` "
+                                "string, `Fiscal Year End Date` string, `Total Days Title XVIII` string, `Total Days Title V` "
+                                "string, `Total Bed Days Available` string, `Total Costs` string, `SNF Days Title XVIII` string, `SNF Days Title XIX` string, "
                                 "`SNF Days Other` string, `SNF Days Total` string, `SNF Bed Days Available` string, "
                                 "`Net Patient Revenue` string, `Net Income` string, `Contract Labor` string, "
                                 "`Total Salaries` string")
@@ -79,16 +82,18 @@ def test_vbp_scoring(spark):
                                 "`CMS Certification Number (CCN)` string, State string, `Performance Score` string, "
                                 "`Incentive Payment Multiplier` string, "
                                 "`Footnote -- Performance Period: FY 2024 Risk-Standardized Readmission Rate` string")
-    out = vbp.build(raw)
-    got = rows(out["facility"], "ccn", "national_pct_rank", "national_vbp_tier", "state_pct_rank", "payment_direction",
+    got = rows(vbp.facility(raw), "ccn", "national_pct_rank", "national_vbp_tier", "state_pct_rank", "payment_direction",
                "fn_snfrm_flag")
     assert got == [("000001", 0.333, "BOTTOM_QUARTILE", 0.5, "BONUS", ""),
                    ("000002", 0.667, "BELOW_MEDIAN", 1.0, "PENALTY", ""),
-                   ("000003", None, None, None, "NEUTRAL", "VOL_SUPPRESSED"),
+                   ("000003", None, None, None, None, "VOL_SUPPRESSED"),
                    ("000004", 1.0, "TOP_QUARTILE", 1.0, "NEUTRAL", "SUPPRESSED")]
-    st = {r["state"]: r["facility_count"] for r in out["state"].collect()}
+    st = {r["state"]: r["facility_count"] for r in vbp.states(raw).collect()}
     assert st == {"HI": 2, "CA": 1}
-    scoped = vbp.build(raw, scope="ca")["facility"]
+    s = vbp.summary(raw).first()
+    assert (s["n_facilities"], s["n_scored"], s["bonus"], s["penalty"]) == (4, 3, 1, 1)
+    assert rows(vbp.components(raw), "ccn", "fn_snfrm_flag")[2] == ("000003", "VOL_SUPPRESSED")
+    scoped = vbp.facility(raw, scope="ca")
     assert rows(scoped, "ccn", "national_pct_rank") == [("000004", 1.0)]
 
 
@@ -124,17 +129,29 @@ def test_pac_and_survey(spark):
     pac = spark.createDataFrame([("PROVIDER", "300", "250", "40"), ("PROVIDER", "300", "*", "*"), ("NATION", "1", "1", "1")],
                                 "smry_ctgry string, pt_mnts string, ot_mnts string, dual_pct string")
     assert rows(measures.pac_puf(pac), "high_therapy_intensity", "high_dual_pct") == [(False, None), (True, True)]
-    sv = spark.createDataFrame([("2", "", "N/A"), ("", "", "")], "cat_abuse string, cat_qol string, cat_admin string")
-    assert rows(measures.survey_summary(sv), "computed_health_total") == [(2,), (None,)]
+    old = spark.createDataFrame([("PROVIDER", "300", "250", "40")], "smry_ctgry string, tot_pt string, tot_ot string, dual string")
+    assert rows(measures.pac_puf(old), "high_therapy_intensity", "high_dual_pct") == [(True, True)]
+    names = ["ccn", "state", "cycle", "survey_date", "count_of_abuse", "count_of_quality_of_life", "count_of_assessment",
+             "count_of_nursing", "count_of_rights", "count_of_nutrition", "count_of_pharmacy", "count_of_environ",
+             "count_of_administration", "count_of_infection", "count_of_emergency"]
+    sv = spark.createDataFrame([("1", "HI", "1", "d", " 2 ", "", "N/A", "3.5", "4", "", "", "", "", "", ""),
+                                ("2", "HI", "1", "d", *[""] * 11)], ", ".join(f"{n} string" for n in names))
+    assert rows(measures.survey_summary(sv), "ccn", "computed_health_total") == [("1", 6), ("2", None)]
+    try:
+        measures.survey_summary(sv.drop("count_of_abuse"))
+        raise AssertionError("a missing category passed")
+    except KeyError:
+        pass
 
 
 def test_compliance_calendar_and_hotlist(spark):
     master = spark.createDataFrame([("12009", "SNF"), ("55", "HHA")], "ccn string, provider_type_label string")
-    pos = spark.createDataFrame([("012009", "12-31")], "prvdr_num string, fy_end_mo_day_cd string")
+    pos = spark.createDataFrame([("012009", "06-30", 1), ("012009", "12-31", 2), ("012009", "", 3)],
+                                "prvdr_num string, fy_end_mo_day_cd string, row int")
     manual = spark.createDataFrame([("12009", "2026-07-31", "State License", "m", "", "", 1)],
                                    "ccn string, term_date string, license_type string, source string, "
                                    "regulatory_ref string, notes string, _seq int")
-    c = compliance.calendar(master, pos, manual, dt.date(2026, 7, 15))
+    c = compliance.calendar(master, pos, manual, dt.date(2026, 7, 15), pos_seq="row")
     got = rows(c.select("ccn", "state_lic_alert", "pbj_alert", F.col("cost_report_term_date").cast("string"),
                         "cost_report_alert", "overall_alert"))
     assert got == [("12009", "CRITICAL", "CRITICAL", "2027-05-31", "OK", "CRITICAL"),
@@ -158,6 +175,9 @@ def test_conformance_run(spark):
     f = rows(out["findings"], "check", "field", "severity")
     assert ("null_rate", "a", "BLOCKING") in f and ("field_missing", "gone", "LATENT") in f
     assert all(x[1] != "b" for x in f)
+    none = conformance.run(spark, {"t": df.limit(0)}, reg)
+    assert ("empty_output", "*", "BLOCKING") in rows(none["findings"], "check", "field", "severity")
+    assert {r["field"]: r["nunique"] for r in out["profile"].collect()} == {"a": 1, "b": 1, "n_count": 120}
     assert rows(out["status"]) == [("t", "BLOCKING")]
     assert rows(out["cross_source"], "ok") == [(True,)]
     snap = out["profile"]

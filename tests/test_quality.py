@@ -31,7 +31,8 @@ def test_suppression_and_ghosts(spark):
     known = spark.createDataFrame([("d", "b", "constant_value"), ("d", "zz", "null_rate")], "dataset string, field string, check string")
     kept = rows(Q.apply_suppressions(f, known), "field", "check")
     assert ("b", "constant_value") not in kept and ("a", "null_rate") in kept
-    assert rows(Q.ghost_suppressions(known, f), "field") == [("zz",)]
+    have = spark.createDataFrame([("d", c) for c in frame(spark).columns], "dataset string, field string")
+    assert rows(Q.ghost_suppressions(known, have), "field") == [("zz",)]
     ff = spark.createDataFrame([("d", "a")], "dataset string, field string")
     cls = rows(Q.classify(Q.apply_suppressions(f, known), ff), "field", "severity")
     assert ("a", "BLOCKING") in cls and ("c_rate", "LATENT") in cls
@@ -76,8 +77,8 @@ def test_join_check_and_cross_source(spark):
     after = spark.createDataFrame([(1, True), (2, False)], "k int, m boolean")
     assert rows(Q.check_join(before, after, "m", 0.5), "check", "ok") == [("match_rate", True), ("row_count_unchanged", True)]
     counts = spark.createDataFrame([("a", 1000), ("b", 1001), ("c", 900)], "dataset string, rows long")
-    pairs = spark.createDataFrame([("a", "b"), ("a", "c")], "left string, right string")
-    assert rows(Q.cross_source(counts, pairs), "right", "ok") == [("b", True), ("c", False)]
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "none")], "left string, right string")
+    assert rows(Q.cross_source(counts, pairs), "right", "rel_diff", "ok") == [("b", 0.001, True), ("c", 0.1, False)]
 
 
 def test_reconcile_figures_vintage(spark):
