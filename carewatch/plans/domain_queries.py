@@ -309,7 +309,7 @@ def provider_info_raw(spark, d) -> DataFrame:
 
 
 PROVIDER_COLS = ["ccn", "rn_hprd", "lm_rn_meets_3442f", "lm_aide_meets_3442f", "lm_total_meets_3442f",
-                 "lm_rn_weekend_meets_3442f", "lm_meets_3442f_thresholds", "lm_missing_parts", "chain_affiliated"]
+                 "lm_rn_weekend_meets_3442f", "lm_meets_3442f_thresholds", "lm_missing_parts", "lm_chain_affiliated"]
 
 
 def provider_staffing(spark, d):
@@ -396,8 +396,8 @@ def owner_flags_domain(spark, d):
         F.when(F.col("l_linenumber") == 1, "I").otherwise("O").alias("TYPE - OWNER"),
         F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("PRIVATE EQUITY COMPANY - OWNER"),
         F.when(F.col("l_linestatus") == "O", " y").otherwise("N").alias("REIT - OWNER"),
-        F.when(F.col("l_discount") > 0.05, "Y").otherwise("").alias("LLC - OWNER"))
-    return facility.owner_flags(o)
+        F.when(F.col("l_discount") > 0.05, "Y").otherwise("").alias("LLC - OWNER"), (F.col("l_linenumber").cast("long") * 10 ** 9 + F.col("l_suppkey")).alias("_row"))
+    return facility.owners_public(facility.owner_flags(o, seq="_row"))
 
 
 def exclusions_domain(spark, d):
@@ -459,7 +459,47 @@ def measures_domain(spark, d):
                   F.concat(F.lit("12/"), F.lpad((F.col("p_partkey") % 28 + 1).cast("string"), 2, "0"), F.lit("/2024"))
                    .alias("data_collection_period_through_date"), F.col("p_partkey").alias("_row"))
     out = measures.quality_measures(raw, iv, "mds", seq="_row")["measures"]
-    return out.select("ccn", "measure_code", "four_quarter_average", "collection_from", "collection_through")
+    return out.select("ccn", "measure_code", "four_qtr_avg", "collection_from", "collection_through")
+
+
+def _intervals(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier")
+    return s.select((F.col("s_suppkey") % 30).cast("string").alias("measure_code"),
+                    F.concat(F.lit("from "), F.col("s_suppkey").cast("string")).alias("data_collection_period_from_date"),
+                    F.concat(F.lit("to "), F.col("s_suppkey").cast("string")).alias("data_collection_period_through_date"),
+                    F.col("s_suppkey").alias("_row"))
+
+
+def measures_claims_domain(spark, d):
+    """P12 claims shape: older header spellings bind through the fallbacks."""
+    li = table(spark, d, "lineitem")
+    raw = li.select(F.col("l_orderkey").cast("string").alias("ccn"), F.col("l_returnflag").alias("state"),
+                    (F.col("l_partkey") % 40).cast("string").alias("measure_id"),
+                    F.col("l_linestatus").alias("stay_type"), F.col("l_quantity").cast("string").alias("risk_adjusted"),
+                    F.col("l_linenumber").cast("string").alias("observed_score"),
+                    F.col("l_linestatus").alias("used_in_five_star"))
+    out = measures.quality_measures(raw, _intervals(spark, d), "claims", seq="_row")["measures"]
+    return out.select("ccn", "state", "measure_code", "resident_type", "adjusted_score", "observed_score", "expected_score",
+                      "used_in_five_star", "collection_from", "collection_through")
+
+
+def measures_qrp_domain(spark, d):
+    """P12 QRP shape."""
+    o = table(spark, d, "orders")
+    raw = o.select(F.col("o_custkey").cast("string").alias("cms_certification_number_ccn"),
+                   F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("countyparish"),
+                   (F.col("o_orderkey") % 40).cast("string").alias("measure_code"),
+                   (F.col("o_orderkey") % 7).cast("string").alias("score"),
+                   F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"))
+    out = measures.quality_measures(raw, _intervals(spark, d), "qrp", seq="_row")["measures"]
+    return out.select("ccn", "state", "county", "measure_code", "score", "start_date", "end_date", "collection_from",
+                      "collection_through")
+
+
+def vbp_simple(spark, d):
+    """The simple table with bonus and penalty flags."""
+    return vbp.snf_vbp_simple(vbp_raw_from_customers(spark, d)).select(
+        "ccn", "performance_score", "incentive_multiplier", "vbp_penalty", "vbp_bonus")
 
 
 def enrollments_domain(spark, d):
@@ -534,7 +574,8 @@ def icd_reference_domain(spark, d):
     return references.icd10_reference(raw).select(*ICD_COLS)
 
 
-QUERIES = {"vbp_components": vbp_components, "vbp_summary": vbp_summary, "compliance_hotlist": compliance_hotlist,
+QUERIES = {"measures_claims_domain": measures_claims_domain, "measures_qrp_domain": measures_qrp_domain,
+           "vbp_simple": vbp_simple, "vbp_components": vbp_components, "vbp_summary": vbp_summary, "compliance_hotlist": compliance_hotlist,
            "conformance_profile": conformance_profile, "conformance_ghosts": conformance_ghosts,
            "conformance_summary": conformance_summary, "icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
            "enrollments_domain": enrollments_domain, "census_domain": census_domain,
@@ -857,7 +898,7 @@ def _prov_sql() -> str:
                AND wk >= {K.RN_HPRD_MIN}, false) AS lm_meets_3442f_thresholds,
       CAST(rn_hprd IS NULL AS INTEGER) + CAST(cna IS NULL AS INTEGER) + CAST(tot IS NULL AS INTEGER)
         + CAST(wk IS NULL AS INTEGER) AS lm_missing_parts,
-      CASE WHEN TRIM(chain) IS NOT NULL AND TRIM(chain) NOT IN ('', 'N/A') THEN 'Y' ELSE 'N' END AS chain_affiliated
+      CASE WHEN TRIM(chain) IS NOT NULL AND TRIM(chain) NOT IN ('', 'N/A') THEN 'Y' ELSE 'N' END AS lm_chain_affiliated
     FROM p"""
 
 
@@ -969,10 +1010,12 @@ def _owner_sql() -> str:
     return """
     WITH o AS (SELECT 'E' || CAST(l_orderkey AS VARCHAR) AS eid, CASE WHEN l_linenumber = 1 THEN 'I' ELSE 'O' END AS t,
                  CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS pe, CASE WHEN l_linestatus = 'O' THEN ' y' ELSE 'N' END AS reit,
-                 CASE WHEN l_discount > 0.05 THEN 'Y' ELSE '' END AS llc FROM lineitem)
+                 CASE WHEN l_discount > 0.05 THEN 'Y' ELSE '' END AS llc, 'Org ' || CAST(l_suppkey AS VARCHAR) AS org,
+                 CAST(l_linenumber AS BIGINT) * 1000000000 + l_suppkey AS n FROM lineitem)
     SELECT eid AS enrollment_id, bool_or(COALESCE(upper(TRIM(pe)) = 'Y', false)) AS private_equity_company_owner,
       bool_or(COALESCE(upper(TRIM(reit)) = 'Y', false)) AS reit_owner, bool_or(COALESCE(upper(TRIM(llc)) = 'Y', false)) AS llc_owner,
-      COUNT(*) AS owner_count, CAST(COUNT_IF(upper(TRIM(t)) = 'I') AS BIGINT) AS individual_owner_count
+      COUNT(*) AS owner_count, CAST(COUNT_IF(upper(TRIM(t)) = 'I') AS BIGINT) AS individual_owner_count,
+      arg_max(org, n) AS organization_name
     FROM o WHERE eid IS NOT NULL AND TRIM(eid) <> '' GROUP BY eid"""
 
 
@@ -1033,17 +1076,36 @@ SQL["survey_domain"] = _survey_sql()
 def _measures_sql() -> str:
     return """
     WITH raw AS (SELECT CAST(l_orderkey AS VARCHAR) AS ccn, CAST(l_partkey % 60 + 400 AS VARCHAR) AS measure_code,
-                   CAST(l_quantity AS VARCHAR) AS four_quarter_average FROM lineitem),
+                   CAST(l_quantity AS VARCHAR) AS four_qtr_avg FROM lineitem),
     iv AS (SELECT TRIM(CAST(p_partkey % 40 + 400 AS VARCHAR)) AS measure_code,
                   arg_max(struct_pack(f := lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '/01/2024',
                                       t := '12/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/2024'), p_partkey) AS s
            FROM part GROUP BY 1)
-    SELECT raw.ccn, TRIM(raw.measure_code) AS measure_code, TRIM(raw.four_quarter_average) AS four_quarter_average,
+    SELECT raw.ccn, TRIM(raw.measure_code) AS measure_code, TRIM(raw.four_qtr_avg) AS four_qtr_avg,
            COALESCE(iv.s.f, '') AS collection_from, COALESCE(iv.s.t, '') AS collection_through
     FROM raw LEFT JOIN iv ON TRIM(raw.measure_code) = iv.measure_code"""
 
 
 SQL["measures_domain"] = _measures_sql()
+_IV_SQL = """
+    WITH iv AS (SELECT CAST(s_suppkey % 30 AS VARCHAR) AS measure_code,
+                       'from ' || CAST(max(s_suppkey) AS VARCHAR) AS f, 'to ' || CAST(max(s_suppkey) AS VARCHAR) AS t
+                FROM supplier GROUP BY 1)"""
+SQL["measures_claims_domain"] = _IV_SQL + """
+    SELECT CAST(l_orderkey AS VARCHAR) AS ccn, l_returnflag AS state, CAST(l_partkey % 40 AS VARCHAR) AS measure_code,
+           l_linestatus AS resident_type, CAST(l_quantity AS VARCHAR) AS adjusted_score,
+           CAST(l_linenumber AS VARCHAR) AS observed_score, CAST(NULL AS VARCHAR) AS expected_score,
+           l_linestatus AS used_in_five_star, COALESCE(f, '') AS collection_from, COALESCE(t, '') AS collection_through
+    FROM lineitem LEFT JOIN iv ON CAST(l_partkey % 40 AS VARCHAR) = iv.measure_code"""
+SQL["measures_qrp_domain"] = _IV_SQL + """
+    SELECT CAST(o_custkey AS VARCHAR) AS ccn, o_orderstatus AS state, o_orderpriority AS county,
+           CAST(o_orderkey % 40 AS VARCHAR) AS measure_code, CAST(o_orderkey % 7 AS VARCHAR) AS score,
+           strftime(o_orderdate, '%Y-%m-%d') AS start_date, CAST(NULL AS VARCHAR) AS end_date,
+           COALESCE(f, '') AS collection_from, COALESCE(t, '') AS collection_through
+    FROM orders LEFT JOIN iv ON CAST(o_orderkey % 40 AS VARCHAR) = iv.measure_code"""
+SQL["vbp_simple"] = _vbp_sql() + """
+    SELECT ccn, performance_score, incentive_multiplier, incentive_multiplier < 1.0 AS vbp_penalty,
+           incentive_multiplier > 1.0 AS vbp_bonus FROM d"""
 
 
 def _enroll_sql() -> str:

@@ -51,12 +51,13 @@ def owner_flags(owners: DataFrame, flag_cols: Sequence[str] = K.OWNER_FLAG_COLS,
     o = owners.where(X.is_present("ENROLLMENT ID"))
     agg = A.any_flags(o, "ENROLLMENT ID", present, type_col="TYPE - OWNER",
                       name_col="ORGANIZATION NAME" if seq else None, seq=seq, suffix="")
-    agg = agg.withColumnRenamed("n_rows", "owner_count").withColumnRenamed("n_individual", "individual_owner_count")
+    agg = agg.withColumnRenamed("last_ORGANIZATION NAME", "ORGANIZATION NAME").withColumnRenamed("n_rows", "owner_count").withColumnRenamed("n_individual", "individual_owner_count")
     return C.normalize_headers(agg)
 
 
-def owners_public(flags: DataFrame, restricted: Sequence[str] = ("last_organization_name",)) -> DataFrame:
-    """Name-free aggregate for the public sink."""
+def owners_public(flags: DataFrame, restricted: Sequence[str] = ()) -> DataFrame:
+    """The facility aggregate for the public sink (B5): it holds the facility's organisation
+    name and no name of a person; `restricted` columns are left out."""
     return flags.drop(*[c for c in restricted if c in flags.columns])
 
 

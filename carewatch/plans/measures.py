@@ -27,26 +27,61 @@ Field = C.Field
 
 
 # --------------------------------------------------------------------- P9
-PROVIDER_INFO_CONTRACT = [
-    Field("ccn", ["cms_certification_number_ccn"], required=True),
-    Field("provider_name", ["provider_name"]),
-    Field("state", ["state"]),
-    Field("zip", ["zip_code"]),
-    Field("ownership_type", ["ownership_type"]),
-    Field("certified_beds", ["number_of_certified_beds"], parse="number"),
-    Field("overall_star", ["overall_rating"]),
-    Field("staffing_star", ["staffing_rating"]),
-    Field("total_hprd", ["reported_total_nurse_staffing_hours_per_resident_per_day"], parse="number"),
-    Field("rn_hprd", ["reported_rn_staffing_hours_per_resident_per_day"], parse="number"),
-    Field("cna_hprd", ["reported_nurse_aide_staffing_hours_per_resident_per_day"], parse="number"),
-    Field("rn_weekend_hprd", ["registered_nurse_hours_per_resident_per_day_on_the_weekend"], parse="number"),
-    Field("total_nurse_turnover", ["total_nursing_staff_turnover"], parse="number"),
-    Field("special_focus_status", ["special_focus_status"]),
-    Field("chain_name", ["chain_name"]),
-    Field("fine_count", ["number_of_fines"], parse="number"),
-    Field("fine_total", ["total_amount_of_fines_in_dollars"], parse="number"),
-    Field("payment_denials", ["number_of_payment_denials"], parse="number"),
-]
+# FIXED VALUES: output name -> header of the published provider file.
+PROVIDER_INFO_HEADERS = {
+    "ccn": "cms_certification_number_ccn",
+    "provider_name": "provider_name",
+    "legal_business_name": "legal_business_name",
+    "address": "provider_address",
+    "city": "citytown",
+    "state": "state",
+    "zip": "zip_code",
+    "phone": "telephone_number",
+    "county": "countyparish",
+    "urban_rural": "urban",
+    "lat": "latitude",
+    "lon": "longitude",
+    "ownership_type": "ownership_type",
+    "provider_type": "provider_type",
+    "in_hospital": "provider_resides_in_hospital",
+    "certified_beds": "number_of_certified_beds",
+    "avg_daily_census": "average_number_of_residents_per_day",
+    "overall_star": "overall_rating",
+    "health_inspection_star": "health_inspection_rating",
+    "qm_star": "qm_rating",
+    "longstay_qm_star": "longstay_qm_rating",
+    "shortstay_qm_star": "shortstay_qm_rating",
+    "staffing_star": "staffing_rating",
+    "total_hprd": "reported_total_nurse_staffing_hours_per_resident_per_day",
+    "rn_hprd": "reported_rn_staffing_hours_per_resident_per_day",
+    "lpn_hprd": "reported_lpn_staffing_hours_per_resident_per_day",
+    "cna_hprd": "reported_nurse_aide_staffing_hours_per_resident_per_day",
+    "rn_weekend_hprd": "registered_nurse_hours_per_resident_per_day_on_the_weekend",
+    "total_weekend_hprd": "total_number_of_nurse_staff_hours_per_resident_per_day_on_t_4a14",
+    "casemix_index": "nursing_casemix_index",
+    "total_nurse_turnover": "total_nursing_staff_turnover",
+    "rn_turnover": "registered_nurse_turnover",
+    "admin_left_count": "number_of_administrators_who_have_left_the_nursing_home",
+    "special_focus_status": "special_focus_status",
+    "abuse_icon": "abuse_icon",
+    "chain_name": "chain_name",
+    "chain_id": "chain_id",
+    "latest_standard_survey": "rating_cycle_1_standard_survey_health_date",
+    "health_defic_cycle1": "rating_cycle_1_total_number_of_health_deficiencies",
+    "weighted_health_score": "total_weighted_health_survey_score",
+    "infection_control_citations": "number_of_citations_from_infection_control_inspections",
+    "fine_count": "number_of_fines",
+    "fine_total_dollars": "total_amount_of_fines_in_dollars",
+    "payment_denials": "number_of_payment_denials",
+    "total_penalties": "total_number_of_penalties",
+}
+# End of fixed values.
+NUMERIC_INFO = {"certified_beds", "avg_daily_census", "total_hprd", "rn_hprd", "lpn_hprd", "cna_hprd", "rn_weekend_hprd",
+                "total_weekend_hprd", "casemix_index", "total_nurse_turnover", "rn_turnover", "admin_left_count",
+                "health_defic_cycle1", "weighted_health_score", "infection_control_citations", "fine_count",
+                "fine_total_dollars", "payment_denials", "total_penalties", "lat", "lon"}
+PROVIDER_INFO_CONTRACT = [Field(out, [src], required=out == "ccn", parse="number" if out in NUMERIC_INFO else "text")
+                          for out, src in PROVIDER_INFO_HEADERS.items()]
 
 
 def provider_info(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,7 +98,7 @@ def provider_info(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
                  parts["_m_rn_weekend_hprd"].alias("lm_rn_weekend_meets_3442f"),
                  parts["_m_all"].alias("lm_meets_3442f_thresholds"),
                  parts["n_missing_parts"].alias("lm_missing_parts"),
-                 X.yn_present("chain_name", ["", "N/A"]).alias("chain_affiliated"))
+                 X.yn_present("chain_name", ["", "N/A"]).alias("lm_chain_affiliated"))
     return d, mapping
 
 
@@ -149,6 +184,8 @@ PENALTY_CONTRACT = [
     Field("ccn", [["cms_certification_number"], ["ccn"]], match="substr", required=True),
     Field("provider_name", [["provider_name"]], match="substr"),
     Field("state", [["state"]], match="substr"),
+    Field("city", [["city"]], match="substr"),
+    Field("zip", [["zip"]], match="substr"),
     Field("penalty_date", [["penalty_date"]], match="substr", required=True),
     Field("penalty_type", [["penalty_type"]], match="substr", required=True),
     Field("fine_id", [["fine_id"]], match="substr"),
@@ -178,34 +215,51 @@ def penalties(raw: DataFrame, seq: str) -> dict[str, DataFrame]:
 
 
 # -------------------------------------------------------------------- P12
+# FIXED VALUES: source header substrings, newer spelling first.
+MEASURE_COMMON = [
+    Field("ccn", [["cms_certification_number"], ["ccn"]], match="substr", required=True),
+    Field("provider_name", [["provider_name"]], match="substr"),
+    Field("state", [["state"]], match="substr"),
+    Field("measure_code", [["measure_code"], ["measure_id"]], match="substr", required=True),
+]
+MEASURE_SHAPES = {
+    "mds": [
+        Field("measure_desc", [["measure_description"], ["measure_name"]], match="substr"),
+        Field("resident_type", [["resident_type"], ["stay_type"]], match="substr"),
+        Field("q1_score", [["q1"], ["quarter_1"]], match="substr"),
+        Field("q2_score", [["q2"], ["quarter_2"]], match="substr"),
+        Field("q3_score", [["q3"], ["quarter_3"]], match="substr"),
+        Field("q4_score", [["q4"], ["quarter_4"]], match="substr"),
+        Field("four_qtr_avg", [["four_quarter_average"], ["average_score"]], match="substr"),
+        Field("used_in_five_star", [["used_in_qm_five_star"], ["used_in_five_star"]], match="substr"),
+        Field("footnote", [["footnote"]], match="substr"),
+    ],
+    "claims": [
+        Field("measure_desc", [["measure_description"], ["measure_name"]], match="substr"),
+        Field("resident_type", [["resident_type"], ["stay_type"]], match="substr"),
+        Field("adjusted_score", [["adjusted_score"], ["risk_adjusted"]], match="substr"),
+        Field("observed_score", [["observed_score"]], match="substr"),
+        Field("expected_score", [["expected_score"]], match="substr"),
+        Field("used_in_five_star", [["used_in_qm_five_star"], ["used_in_five_star"]], match="substr"),
+        Field("footnote", [["footnote"]], match="substr"),
+    ],
+    "qrp": [
+        Field("county", [["county"]], match="substr"),
+        Field("score", [["score"]], match="substr", required=True),
+        Field("footnote", [["footnote"]], match="substr"),
+        Field("start_date", [["start_date"]], match="substr"),
+        Field("end_date", [["end_date"]], match="substr"),
+    ],
+}
+
+
 def quality_measures(raw: DataFrame, intervals: DataFrame | None, shape: str = "mds",
                      seq: str | None = None) -> dict[str, DataFrame]:
     """One of the three measure shapes (mds, claims, qrp) resolved by substrings,
     with the measure-code lookup of collection dates (E6, blank default; of a repeated code
     the last row by `seq`, the row order of the file, counts). The lookup's
     match rate is always reported (J13; a rate of 0 means the codes did not bind, T40)."""
-    common = [Field("ccn", [["ccn"], ["certification"]], match="substr", required=True),
-              Field("provider_name", [["provider_name"]], match="substr"),
-              Field("state", [["state"]], match="substr"),
-              Field("measure_code", [["measure_code"]], match="substr", required=True)]
-    extra = {
-        "mds": [Field("measure_description", [["measure_description"]], match="substr"),
-                Field("resident_type", [["resident_type"]], match="substr"),
-                Field("q1", [["q1"]], match="substr"), Field("q2", [["q2"]], match="substr"),
-                Field("q3", [["q3"]], match="substr"), Field("q4", [["q4"]], match="substr"),
-                Field("four_quarter_average", [["four_quarter"]], match="substr"),
-                Field("used_in_qm_five_star", [["five_star"]], match="substr"),
-                Field("footnote", [["footnote"]], match="substr")],
-        "claims": [Field("measure_description", [["measure_description"]], match="substr"),
-                   Field("adjusted_score", [["adjusted"]], match="substr"),
-                   Field("observed_score", [["observed"]], match="substr"),
-                   Field("expected_score", [["expected"]], match="substr"),
-                   Field("footnote", [["footnote"]], match="substr")],
-        "qrp": [Field("county", [["county"]], match="substr"), Field("score", [["score"]], match="substr"),
-                Field("footnote", [["footnote"]], match="substr"),
-                Field("start_date", [["start_date"]], match="substr"), Field("end_date", [["end_date"]], match="substr")],
-    }[shape]
-    d, mapping = C.resolve_columns(raw, common + extra)
+    d, mapping = C.resolve_columns(raw, MEASURE_COMMON + MEASURE_SHAPES[shape])
     if intervals is not None:
         iv = intervals.select(X.clean("measure_code").alias("measure_code"),
                               F.col("data_collection_period_from_date").alias("collection_from"),

@@ -104,7 +104,7 @@ def test_provider_info_staffing(spark):
                                 "reported_nurse_aide_staffing_hours_per_resident_per_day string, "
                                 "reported_total_nurse_staffing_hours_per_resident_per_day string, chain_name string")
     info, mapping = measures.provider_info(raw)
-    assert rows(info, "ccn", "lm_rn_meets_3442f", "lm_meets_3442f_thresholds", "chain_affiliated") == \
+    assert rows(info, "ccn", "lm_rn_meets_3442f", "lm_meets_3442f_thresholds", "lm_chain_affiliated") == \
         [("1", True, True, "Y"), ("2", None, False, "N")]
     assert rows(measures.staffing_summary(info), "facilities", "would_not_meet") == [(2, 1)]
     assert "missing_optional" in {r["status"] for r in mapping.collect()}
