@@ -330,9 +330,10 @@ def check_expected(actual: DataFrame, key: str, expected: DataFrame, metrics: Se
 # ------------------------------------------------------------------------ J18
 def audit_pages(pages: DataFrame, page_size: int | None = None) -> DataFrame:
     """Page completeness (J18). `pages`: (dataset, offset, declared, n_rows[, page_size]),
-    one row per landed page. Expected offsets are generated per dataset with `sequence`
-    and anti-joined with the landed ones (distributed: each dataset's offsets are exploded
-    from its own row). Rows (dataset, declared, landed, missing_rows, missing_pages,
+    one row per landed page. The number of missing pages is the number of pages the declared
+    rows need minus the landed offsets on the grid; the first missing offset follows a landed
+    page (or is 0), so it is found by joining each page with the next one. No offset that did
+    not land is ever generated. Rows (dataset, declared, landed, missing_rows, missing_pages,
     first_missing_offset, duplicate_pages, short_pages)."""
     size = F.col("page_size") if "page_size" in pages.columns else F.lit(page_size)
     p = pages.withColumn("_size", size)
@@ -344,13 +345,19 @@ def audit_pages(pages: DataFrame, page_size: int | None = None) -> DataFrame:
         F.max("declared").alias("declared"), F.max("_size").alias("_size"),
         F.sum("n_rows").alias("landed"), F.count_if(F.col("_copies") > 1).alias("duplicate_pages"),
         F.count_if(F.col("n_rows") < F.least(F.col("_size"), F.col("declared") - F.col("offset"))).alias("short_pages"))
-    expected = ds.select("dataset", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         (F.col("declared") - 1).cast("long"),
-                                                         F.col("_size").cast("long"))).alias("offset"))
-    missing = expected.join(per_page.select("dataset", F.col("offset").cast("long").alias("offset")),
-                            ["dataset", "offset"], "left_anti")
-    mstat = missing.groupBy("dataset").agg(F.count(F.lit(1)).alias("missing_pages"),
-                                           F.min("offset").alias("first_missing_offset"))
+    grid = per_page.select("dataset", F.col("offset").cast("long").alias("offset")).join(
+        ds.select("dataset", "declared", "_size"), "dataset").where(
+        (F.col("offset") % F.col("_size") == 0) & (F.col("offset") >= 0) & (F.col("offset") < F.col("declared")))
+    here = grid.select("dataset", "offset")
+    nexts = (grid.select("dataset", "declared", (F.col("offset") + F.col("_size")).alias("offset"))
+             .unionByName(ds.select("dataset", "declared", F.lit(0).cast("long").alias("offset")))
+             .where(F.col("offset") < F.col("declared")))
+    gaps = nexts.join(here, ["dataset", "offset"], "left_anti").groupBy("dataset").agg(
+        F.min("offset").alias("first_missing_offset"))
+    found = grid.groupBy("dataset").agg(F.count(F.lit(1)).alias("_found"))
+    mstat = (ds.select("dataset", "declared", "_size").join(found, "dataset", "left").join(gaps, "dataset", "left")
+             .select("dataset", (F.ceil(F.col("declared") / F.col("_size")) - F.coalesce("_found", F.lit(0)))
+                     .alias("missing_pages"), "first_missing_offset"))
     return (ds.join(mstat, "dataset", "left")
             .select("dataset", "declared", F.col("landed").cast("long").alias("landed"),
                     (F.col("declared") - F.col("landed")).cast("long").alias("missing_rows"),

@@ -50,9 +50,9 @@ def npi_from_customers(spark, d) -> DataFrame:
 def census_from_orders(spark, d) -> DataFrame:
     o = table(spark, d, "orders").select("o_custkey", "o_orderpriority")
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    n = table(spark, d, "nation").where(F.col("n_regionkey") != 3).select(F.col("n_nationkey").alias("c_nationkey"))
-    j = o.join(c, "o_custkey").join(n, "c_nationkey")
-    return j.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("ZIP")).agg(
+    j = o.join(c, "o_custkey")
+    # census ZIPs and provider ZIPs overlap in part, as they do in the published files
+    return j.groupBy(F.lpad((F.col("c_nationkey") + 3).cast("string"), 5, "0").alias("ZIP")).agg(
         F.count(F.lit(1)).alias("Population_Total"),
         F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("Population_65Plus"),
         F.lit("2023-5yr").alias("ACS_Year"))
@@ -378,8 +378,8 @@ def facility_hub(spark, d):
     pos = table(spark, d, "supplier").select(
         F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("prvdr_num"), F.col("s_name").alias("pos_fac_name"),
         F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("pos_state"))
-    demo = table(spark, d, "nation").where(F.col("n_regionkey") != 2).select(
-        F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("zcta"), F.col("n_regionkey").alias("region"))
+    demo = table(spark, d, "nation").select(
+        F.lpad((F.col("n_nationkey") + 2).cast("string"), 5, "0").alias("zcta"), F.col("n_regionkey").alias("region"))
     master, _ = facility.facility_master(enroll, pos, None, demo, None)
     return master.select(*HUB_COLS)
 
@@ -609,11 +609,10 @@ def _access_sql() -> str:
                  CAST(COUNT_IF(NOT COALESCE(tax IN ({all_b}), false)) AS BIGINT) AS other_count,
                  CAST(COUNT_IF(COALESCE(mz <> pz AND mz <> '', false)) AS BIGINT) AS multi_location_indicator
           FROM prov WHERE pz IS NOT NULL AND TRIM(pz) <> '' GROUP BY pz, State),
-    cen AS (SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS ZIP, COUNT(*) AS population_total,
+    cen AS (SELECT lpad(CAST(c.c_nationkey + 3 AS VARCHAR), 5, '0') AS ZIP, COUNT(*) AS population_total,
                    CAST(COUNT_IF(o.o_orderpriority IN ('1-URGENT', '2-HIGH')) AS BIGINT) AS population_65plus,
                    '2023-5yr' AS acs_year
-            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-            WHERE n.n_regionkey <> 3 GROUP BY 1),
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
     mil AS (SELECT DISTINCT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS ZIP FROM nation WHERE n_regionkey = 4),
     a AS (SELECT z.*, cen.population_total, cen.population_65plus, cen.acs_year,
                  CASE WHEN mil.ZIP IS NOT NULL THEN 1 ELSE 0 END AS military_installation_flag
@@ -996,8 +995,7 @@ def _hub_sql() -> str:
            FROM e),
     pos AS (SELECT {pad("lpad(CAST(s_suppkey AS VARCHAR), 6, '0')", 6)} AS k, s_name AS pos_fac_name,
                    'S' || CAST(s_nationkey AS VARCHAR) AS pos_state FROM supplier),
-    demo AS (SELECT {pad("lpad(CAST(n_nationkey AS VARCHAR), 5, '0')", 5)} AS z, n_regionkey AS region
-             FROM nation WHERE n_regionkey <> 2)
+    demo AS (SELECT {pad("lpad(CAST(n_nationkey + 2 AS VARCHAR), 5, '0')", 5)} AS z, n_regionkey AS region FROM nation)
     SELECT e2.enrollment_id, e2.ccn, e2.zip5, e2.npi_uri, pos.pos_fac_name, pos.pos_state, pos.k IS NOT NULL AS pos_matched,
            demo.region, demo.z IS NOT NULL AS zcta_matched
     FROM e2 LEFT JOIN pos ON e2.k = pos.k LEFT JOIN demo ON {pad('e2.zip5', 5)} = demo.z"""

@@ -130,12 +130,12 @@ def naive_vs_weighted(spark, d):
 
 
 # ---------------------------------------------------------------- small_flag_label
-def small_flag_label(spark, d, threshold: int = 30):
+def small_flag_label(spark, d, threshold: int = 60):
     """E2 two context joins (population, military flag), K15 guarded ratio, K23 small
     denominator, K22 precedence label."""
     z = _t(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("nk")).agg(F.count(F.lit(1)).alias("providers"))
     nat = _t(spark, d, "nation").select(F.col("n_nationkey").alias("nk"), "n_name")
-    pop = _t(spark, d, "customer").where(F.col("c_acctbal") > 5000).groupBy(F.col("c_nationkey").alias("nk")) \
+    pop = _t(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nk")) \
         .agg(F.count(F.lit(1)).alias("population"))
     mil = _t(spark, d, "nation").where(F.col("n_regionkey") == 4).select(F.col("n_nationkey").alias("nk"))
     base = z.join(nat, "nk", "left")
@@ -208,7 +208,7 @@ def match_rates(spark, d):
 def lookup_or_self(spark, d):
     """E5: reference value when the key is in the reference, else the row's own value,
     with a matched flag for miss counting."""
-    ref = _t(spark, d, "part").where(F.col("p_size") > 10).select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    ref = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_partkey"), F.col("s_name").alias("p_name"))
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                          F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("own_name"))
     out = J.lookup_or_self(li, ref, "l_partkey", {"part_name": ("p_name", "own_name")}, matched="ref_matched")
@@ -231,14 +231,12 @@ def override_lookup(spark, d):
 
 # --------------------------------------------------------------------- outer_merge
 def outer_merge(spark, d):
-    """E8 full outer merge of three partial key sets in one shuffle; I2 union of keys."""
-    cust = _t(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING").groupBy(
-        F.col("c_nationkey").alias("nk")).agg(F.count(F.lit(1)).alias("n_customers"),
-                                             F.sum(money("c_acctbal")).cast("double").alias("cust_balance"))
-    supp = _t(spark, d, "supplier").where(F.col("s_acctbal") > 5000).groupBy(
-        F.col("s_nationkey").alias("nk")).agg(F.count(F.lit(1)).alias("n_suppliers"))
-    nat = _t(spark, d, "nation").where(F.col("n_regionkey") <= 1).select(F.col("n_nationkey").alias("nk"), "n_name")
-    return J.outer_merge([cust, supp, nat], "nk")
+    """E8 full outer merge of three tables whose keys overlap in part, in one shuffle; I2
+    union of keys."""
+    cust = _t(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("k"), "c_acctbal")
+    supp = _t(spark, d, "supplier").select((F.col("s_suppkey") * 31).cast("long").alias("k"), "s_name")
+    nat = _t(spark, d, "nation").select((F.col("n_nationkey") * -3).cast("long").alias("k"), "n_name")
+    return J.outer_merge([cust, supp, nat], "k")
 
 
 # ------------------------------------------------------------------ interval_lookup
@@ -595,7 +593,7 @@ def singleton_nonempty(spark, d):
     """J17 exactly-one-row and J5 non-empty checks."""
     n = _t(spark, d, "nation")
     return Q.check_singleton(n, F.col("n_name") == "NATION_3", "nation_3_singleton").unionByName(
-        Q.check_nonempty(n.where(F.col("n_regionkey") == 2), "region_2_nonempty").select(
+        Q.check_nonempty(n, "nation_nonempty").select(
             "check", F.lit(None).cast("long").alias("value"), "ok"))
 
 
@@ -661,12 +659,12 @@ def findings_summary(spark, d):
 
 def drift(spark, d):
     """J9 profiles of two vintages, J10 drift signals."""
-    full = profiled_frame(spark, d)
-    prev = Q.profile(full.where(F.col("c_mktsegment") != "HOUSEHOLD").drop("balance_rate"), "customer_x",
+    s, c = _t(spark, d, "supplier"), _t(spark, d, "customer")
+    prev = Q.profile(s.select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance"), F.lit("x").alias("segment"),
+                              "s_name", F.col("s_name").alias("note")), "party", materialize="checkpoint")
+    curr = Q.profile(c.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance"),
+                              F.col("c_mktsegment").alias("segment"), "c_name", F.lit("").alias("note")), "party",
                      materialize="checkpoint")
-    curr = Q.profile(full.withColumn("const_col", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "y").otherwise("x"))
-                     .withColumn("sparse_name", F.when(F.col("c_custkey") % 40 == 0, F.col("sparse_name")).otherwise("")),
-                     "customer_x", materialize="checkpoint")
     return Q.drift(prev, curr, row_pct=0.05, null_at=0.96).select("dataset", "field", "signal")
 
 
@@ -685,15 +683,13 @@ def cross_source(spark, d):
 
 
 def vintage_changes(spark, d):
-    """J21 two vintages of customer: added, removed and changed values."""
-    base = _t(spark, d, "customer")
-    c = base.select("c_custkey", "c_name", "c_mktsegment")
-    curr = base.where(F.col("c_acctbal") >= -900).select(
-        "c_custkey", "c_name",
-        F.when(F.col("c_acctbal") > 9900, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
-    added = _t(spark, d, "supplier").select((F.col("s_suppkey") + 1000000).alias("c_custkey"),
-                                            F.col("s_name").alias("c_name"), F.lit("NEW").alias("c_mktsegment"))
-    return Q.vintage_changes(c, curr.unionByName(added), "c_custkey", ["c_name", "c_mktsegment"])
+    """J21 two vintages of one keyed table (customers, then suppliers under keys of their
+    own): added, removed and changed values."""
+    prev = _t(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("k"), F.col("c_name").alias("name"),
+                                           F.col("c_nationkey").alias("nation"))
+    curr = _t(spark, d, "supplier").select((F.col("s_suppkey") * 31).cast("long").alias("k"), F.col("s_name").alias("name"),
+                                           F.col("s_nationkey").alias("nation"))
+    return Q.vintage_changes(prev, curr, "k", ["name", "nation"])
 
 
 def unique_keys(spark, d):
@@ -712,24 +708,22 @@ def expected_bands(spark, d):
 
 
 # ------------------------------------------------------------------------ page_audit
-PAGE_SIZE = 100
+PAGE_SIZE = 3
 
 
 def landed_pages(spark, d) -> DataFrame:
-    """Pages of `events` serialised as API pages (count + results), one page lost and one
-    short page, then parsed back (A6 round trip). Each page holds at most PAGE_SIZE
-    records, so collect_list is bounded."""
-    e = _t(spark, d, "events")
-    total = e.agg(F.count(F.lit(1)).alias("declared"))
-    e = e.withColumn("offset", (F.floor(F.col("event_id") / PAGE_SIZE) * PAGE_SIZE).cast("long"))
-    e = e.where(~((F.col("offset") == 500) | ((F.col("offset") == 900) & (F.col("event_id") >= 995))))
-    pages = e.groupBy("offset").agg(F.collect_list(F.struct(F.col("event_id").cast("string").alias("event_id"),
-                                                            "event_type")).alias("results"))
+    """Labels as API pages over all documents (count + results), then parsed back (A6 round
+    trip). Labels cover some documents only, so pages are short or missing. A page holds at
+    most PAGE_SIZE records, so collect_list is bounded."""
+    total = _t(spark, d, "documents").agg(F.count(F.lit(1)).alias("declared"))
+    e = _t(spark, d, "labels").withColumn("offset", (F.floor(F.col("doc_id") / PAGE_SIZE) * PAGE_SIZE).cast("long"))
+    pages = e.groupBy("offset").agg(F.collect_list(F.struct(F.col("doc_id").cast("string").alias("event_id"),
+                                                            F.col("toxic").cast("string").alias("event_type"))).alias("results"))
     pages = pages.withColumn("_g", F.lit(0)).join(F.broadcast(total.withColumn("_g", F.lit(0))), "_g").drop("_g")
     js = pages.select("offset", F.to_json(F.struct(F.col("declared").alias("count"), "results")).alias("page"))
     rec_t = "struct<count:bigint, results:array<struct<event_id:string, event_type:string>>>"
     parsed = js.select("offset", F.from_json("page", rec_t).alias("p"))
-    return parsed.select(F.lit("events").alias("dataset"), "offset", F.col("p.count").alias("declared"),
+    return parsed.select(F.lit("labels").alias("dataset"), "offset", F.col("p.count").alias("declared"),
                          F.size("p.results").cast("long").alias("n_rows"))
 
 
@@ -746,11 +740,12 @@ def json_props(spark, d):
 
 # ------------------------------------------------------------ reconcile / figures
 def reconcile_totals(spark, d):
-    """J19 detail roll-up vs pre-aggregated totals (the 'summary' misses line 3)."""
+    """J19 detail roll-up vs pre-aggregated totals: lines counted per order, and the highest
+    line number an order states."""
     li = _t(spark, d, "lineitem")
     detail = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    summary = li.where(F.col("l_linenumber") != 3).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    return Q.reconcile_totals(detail, summary, "l_orderkey", ["n_lines"]).where(~F.col("agree"))
+    summary = li.groupBy("l_orderkey").agg(F.max("l_linenumber").cast("long").alias("n_lines"))
+    return Q.reconcile_totals(detail, summary, "l_orderkey", ["n_lines"])
 
 
 def published_figures(spark, d):

@@ -230,15 +230,15 @@ def build() -> dict[str, str]:
     S["small_flag_label"] = """
     WITH z AS (SELECT s_nationkey AS nk, COUNT(*) AS providers FROM supplier GROUP BY s_nationkey),
     nat AS (SELECT n_nationkey AS nk, n_name FROM nation),
-    pop AS (SELECT c_nationkey AS nk, COUNT(*) AS population FROM customer WHERE c_acctbal > 5000 GROUP BY c_nationkey),
+    pop AS (SELECT c_nationkey AS nk, COUNT(*) AS population FROM customer GROUP BY c_nationkey),
     mil AS (SELECT DISTINCT n_nationkey AS nk FROM nation WHERE n_regionkey = 4),
     e AS (SELECT z.nk, nat.n_name, z.providers, pop.population,
                  CASE WHEN mil.nk IS NOT NULL THEN 1 ELSE 0 END AS military_flag
           FROM z LEFT JOIN nat ON z.nk = nat.nk LEFT JOIN pop ON z.nk = pop.nk LEFT JOIN mil ON z.nk = mil.nk)
     SELECT nk, n_name, providers, population, military_flag,
-      CASE WHEN population IS NULL OR population < 30 THEN 1 ELSE 0 END AS small_denominator_flag,
+      CASE WHEN population IS NULL OR population < 60 THEN 1 ELSE 0 END AS small_denominator_flag,
       CASE WHEN military_flag = 1 THEN n_name || ' **' WHEN population IS NULL THEN n_name || ' ***'
-           WHEN population < 30 THEN n_name || ' *' ELSE n_name END AS label,
+           WHEN population < 60 THEN n_name || ' *' ELSE n_name END AS label,
       CASE WHEN population > 0 THEN ROUND(CAST(providers AS DOUBLE) / NULLIF(CAST(population AS DOUBLE), 0) * 1000.0, 2)
       END AS providers_per_thousand
     FROM e"""
@@ -273,7 +273,7 @@ def build() -> dict[str, str]:
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang"""
 
     S["lookup_or_self"] = """
-    WITH ref AS (SELECT p_partkey, p_name FROM part WHERE p_size > 10)
+    WITH ref AS (SELECT s_suppkey AS p_partkey, s_name AS p_name FROM supplier)
     SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
       CASE WHEN ref.p_partkey IS NOT NULL THEN ref.p_name ELSE 'part-' || CAST(l.l_partkey AS VARCHAR) END AS part_name,
       (ref.p_partkey IS NOT NULL) AS ref_matched
@@ -291,13 +291,11 @@ def build() -> dict[str, str]:
     FROM customer c LEFT JOIN lst ON CAST(c.c_custkey AS VARCHAR) = lst.k"""
 
     S["outer_merge"] = """
-    WITH cust AS (SELECT c_nationkey AS nk, COUNT(*) AS n_customers,
-                    CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS cust_balance
-                  FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey),
-    supp AS (SELECT s_nationkey AS nk, COUNT(*) AS n_suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey),
-    nat AS (SELECT n_nationkey AS nk, n_name FROM nation WHERE n_regionkey <= 1)
-    SELECT COALESCE(cust.nk, supp.nk, nat.nk) AS nk, n_customers, cust_balance, n_suppliers, n_name
-    FROM cust FULL OUTER JOIN supp ON cust.nk = supp.nk FULL OUTER JOIN nat ON COALESCE(cust.nk, supp.nk) = nat.nk"""
+    WITH cust AS (SELECT CAST(c_custkey AS BIGINT) AS k, c_acctbal FROM customer),
+    supp AS (SELECT CAST(s_suppkey * 31 AS BIGINT) AS k, s_name FROM supplier),
+    nat AS (SELECT CAST(n_nationkey * -3 AS BIGINT) AS k, n_name FROM nation)
+    SELECT COALESCE(cust.k, supp.k, nat.k) AS k, c_acctbal, s_name, n_name
+    FROM cust FULL OUTER JOIN supp ON cust.k = supp.k FULL OUTER JOIN nat ON COALESCE(cust.k, supp.k) = nat.k"""
 
     S["interval_lookup"] = f"""
     WITH p AS (SELECT p_partkey, upper(substring(p_name, 1, 1)) || lpad(CAST(p_size AS VARCHAR), 2, '0')
@@ -543,7 +541,7 @@ def build() -> dict[str, str]:
     S["singleton_nonempty"] = """
     SELECT 'nation_3_singleton' AS "check", CAST(COUNT_IF(n_name = 'NATION_3') AS BIGINT) AS value,
            COUNT_IF(n_name = 'NATION_3') = 1 AS ok FROM nation
-    UNION ALL SELECT 'region_2_nonempty', CAST(NULL AS BIGINT), COUNT(*) > 0 FROM nation WHERE n_regionkey = 2"""
+    UNION ALL SELECT 'nation_nonempty', CAST(NULL AS BIGINT), COUNT(*) > 0 FROM nation"""
 
     prof = _profile_sql(PROFILED, "customer_x", PROFILED_COLS)
     S["null_rates"] = f"""WITH p AS ({prof})
@@ -583,13 +581,11 @@ def build() -> dict[str, str]:
     UNION ALL SELECT 'GHOST', COUNT(*) FROM known k
     WHERE k.field NOT IN ({", ".join(f"'{c}'" for c in PROFILED_COLS)})"""
 
-    prev_src = (f"SELECT c_custkey, c_mktsegment, sparse_name, const_col FROM ({PROFILED}) f "
-                f"WHERE c_mktsegment <> 'HOUSEHOLD'")
-    curr_src = (f"SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 40 = 0 THEN sparse_name ELSE '' END AS sparse_name, "
-                f"CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'y' ELSE 'x' END AS const_col, balance_rate FROM ({PROFILED}) f")
+    prev_src = "SELECT s_suppkey AS key, s_acctbal AS balance, 'x' AS segment, s_name, s_name AS note FROM supplier"
+    curr_src = "SELECT c_custkey AS key, c_acctbal AS balance, c_mktsegment AS segment, c_name, '' AS note FROM customer"
     S["drift"] = f"""
-    WITH p AS ({_profile_sql(prev_src, 'customer_x', ['c_custkey', 'c_mktsegment', 'sparse_name', 'const_col'])}),
-    c AS ({_profile_sql(curr_src, 'customer_x', PROFILED_COLS)}),
+    WITH p AS ({_profile_sql(prev_src, 'party', ['key', 'balance', 'segment', 's_name', 'note'])}),
+    c AS ({_profile_sql(curr_src, 'party', ['key', 'balance', 'segment', 'c_name', 'note'])}),
     j AS (SELECT COALESCE(p.dataset, c.dataset) AS dataset, COALESCE(p.field, c.field) AS field,
                  p.row_count AS p_rows, c.row_count AS c_rows, p.null_rate AS p_null, c.null_rate AS c_null,
                  p.is_constant AS p_const, c.is_constant AS c_const
@@ -615,18 +611,15 @@ def build() -> dict[str, str]:
     SELECT "left", "right", left_rows, right_rows, ROUND(rel, 6) AS rel_diff, rel <= 0.001 AS ok FROM j"""
 
     S["vintage_changes"] = """
-    WITH p AS (SELECT c_custkey, c_name, c_mktsegment FROM customer),
-    c AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal > 9900 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment
-          FROM customer WHERE c_acctbal >= -900
-          UNION ALL SELECT s_suppkey + 1000000, s_name, 'NEW' FROM supplier),
-    j AS (SELECT COALESCE(p.c_custkey, c.c_custkey) AS c_custkey, p.c_custkey IS NOT NULL AS inp,
-                 c.c_custkey IS NOT NULL AS inc, p.c_name AS pn, c.c_name AS cn, p.c_mktsegment AS ps, c.c_mktsegment AS cs
-          FROM p FULL OUTER JOIN c ON p.c_custkey = c.c_custkey)
-    SELECT c_custkey, 'added' AS change, CAST(NULL AS VARCHAR) AS col, CAST(NULL AS VARCHAR) AS "old",
+    WITH p AS (SELECT CAST(c_custkey AS BIGINT) AS k, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer),
+    c AS (SELECT CAST(s_suppkey * 31 AS BIGINT) AS k, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier),
+    j AS (SELECT COALESCE(p.k, c.k) AS k, p.k IS NOT NULL AS inp, c.k IS NOT NULL AS inc, p.name AS pn, c.name AS cn,
+                 p.nation AS ps, c.nation AS cs FROM p FULL OUTER JOIN c ON p.k = c.k)
+    SELECT k, 'added' AS change, CAST(NULL AS VARCHAR) AS col, CAST(NULL AS VARCHAR) AS "old",
            CAST(NULL AS VARCHAR) AS "new" FROM j WHERE NOT inp
-    UNION ALL SELECT c_custkey, 'removed', NULL, NULL, NULL FROM j WHERE NOT inc
-    UNION ALL SELECT c_custkey, 'changed', 'c_name', pn, cn FROM j WHERE inp AND inc AND pn IS DISTINCT FROM cn
-    UNION ALL SELECT c_custkey, 'changed', 'c_mktsegment', ps, cs FROM j WHERE inp AND inc AND ps IS DISTINCT FROM cs"""
+    UNION ALL SELECT k, 'removed', NULL, NULL, NULL FROM j WHERE NOT inc
+    UNION ALL SELECT k, 'changed', 'name', pn, cn FROM j WHERE inp AND inc AND pn IS DISTINCT FROM cn
+    UNION ALL SELECT k, 'changed', 'nation', ps, cs FROM j WHERE inp AND inc AND ps IS DISTINCT FROM cs"""
 
     S["unique_keys"] = """
     SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
@@ -641,16 +634,15 @@ def build() -> dict[str, str]:
 
     ps = TB.PAGE_SIZE
     S["page_audit"] = f"""
-    WITH e AS (SELECT event_id, CAST(floor(event_id / {ps}) * {ps} AS BIGINT) AS "offset" FROM events),
-    tot AS (SELECT COUNT(*) AS declared FROM events),
-    kept AS (SELECT * FROM e WHERE NOT ("offset" = 500 OR ("offset" = 900 AND event_id >= 995))),
-    pages AS (SELECT "offset", COUNT(*) AS n_rows FROM kept GROUP BY "offset"),
+    WITH e AS (SELECT doc_id, CAST(floor(doc_id / {ps}) * {ps} AS BIGINT) AS "offset" FROM labels),
+    tot AS (SELECT COUNT(*) AS declared FROM documents),
+    pages AS (SELECT "offset", COUNT(*) AS n_rows FROM e GROUP BY "offset"),
     ds AS (SELECT MAX(tot.declared) AS declared, CAST(SUM(n_rows) AS BIGINT) AS landed,
                   CAST(COUNT_IF(n_rows < LEAST({ps}, tot.declared - "offset")) AS BIGINT) AS short_pages
            FROM pages, tot),
     ex AS (SELECT CAST(generate_series AS BIGINT) AS "offset" FROM generate_series(0, (SELECT declared FROM tot) - 1, {ps})),
     missing AS (SELECT "offset" FROM ex WHERE "offset" NOT IN (SELECT "offset" FROM pages))
-    SELECT 'events' AS dataset, ds.declared, ds.landed, ds.declared - ds.landed AS missing_rows,
+    SELECT 'labels' AS dataset, ds.declared, ds.landed, ds.declared - ds.landed AS missing_rows,
       (SELECT COUNT(*) FROM missing) AS missing_pages, (SELECT MIN("offset") FROM missing) AS first_missing_offset,
       (SELECT COUNT(*) FROM (SELECT "offset" FROM pages GROUP BY "offset" HAVING COUNT(*) > 1) d) AS duplicate_pages,
       ds.short_pages FROM ds"""
@@ -661,11 +653,11 @@ def build() -> dict[str, str]:
 
     S["reconcile_totals"] = """
     WITH d AS (SELECT l_orderkey, COUNT(*) AS n_lines FROM lineitem GROUP BY l_orderkey),
-    s AS (SELECT l_orderkey, COUNT(*) AS n_lines FROM lineitem WHERE l_linenumber <> 3 GROUP BY l_orderkey),
+    s AS (SELECT l_orderkey, CAST(MAX(l_linenumber) AS BIGINT) AS n_lines FROM lineitem GROUP BY l_orderkey),
     j AS (SELECT COALESCE(d.l_orderkey, s.l_orderkey) AS l_orderkey, d.n_lines AS detail_n_lines, s.n_lines AS summary_n_lines,
                  COALESCE(d.n_lines, 0) - COALESCE(s.n_lines, 0) AS diff_n_lines
           FROM d FULL OUTER JOIN s ON d.l_orderkey = s.l_orderkey)
-    SELECT *, diff_n_lines = 0 AS agree FROM j WHERE NOT (diff_n_lines = 0)"""
+    SELECT *, diff_n_lines = 0 AS agree FROM j"""
 
     S["published_figures"] = """
     WITH urg AS (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderpriority = '1-URGENT'),
