@@ -116,6 +116,66 @@ def census_65plus(rows: DataFrame, year_label: str, zcta_col: str = "zip code ta
         F.lit(year_label).alias("ACS_Year"))
 
 
+# FIXED VALUES: census variable -> output name, by table.
+RACE_CELLS = {
+    "B02001_001E": "race_total",
+    "B02001_002E": "race_white",
+    "B02001_003E": "race_black",
+    "B02001_004E": "race_aian",
+    "B02001_005E": "race_asian",
+    "B02001_006E": "race_nhpi",
+    "B02001_007E": "race_other",
+    "B02001_008E": "race_multi",
+}
+RACE_PERCENTS = ("white", "black", "asian", "nhpi")
+ORIGIN_CELLS = {
+    "B03002_001E": "hispanic_total",
+    "B03002_012E": "hispanic_count",
+    "B03002_003E": "non_hisp_white",
+}
+INCOME_CELL = "B19013_001E"
+DISABILITY_CELLS = {
+    "S1811_C01_001E": "disability_pop_total",
+    "S1811_C02_001E": "disability_count",
+}
+DISABILITY_PERCENT = "S1811_C03_001E"
+# End of fixed values.
+
+
+def _count(cell: str) -> Column:
+    """A census count; suppressed is 0 like the source."""
+    return X.num(cell, K.SENTINELS_CENSUS, on_missing=0, on_bad=0).cast("long")
+
+
+def _percent(part: str, total: str) -> Column:
+    return X.ratio(part, total, 100, 1, "half_even")
+
+
+def census_race(rows: DataFrame, zcta_col: str = "zip code tabulation area") -> DataFrame:
+    """P4 race table: counts, and percents of the total (NULL where the total is 0)."""
+    d = rows.select(F.col(f"`{zcta_col}`").alias("zcta"), *[_count(c).alias(o) for c, o in RACE_CELLS.items()])
+    return d.select("*", *[_percent(f"race_{r}", "race_total").alias(f"pct_{r}") for r in RACE_PERCENTS])
+
+
+def census_origin(rows: DataFrame, zcta_col: str = "zip code tabulation area") -> DataFrame:
+    """P4 Hispanic-origin table."""
+    d = rows.select(F.col(f"`{zcta_col}`").alias("zcta"), *[_count(c).alias(o) for c, o in ORIGIN_CELLS.items()])
+    return d.select("zcta", "hispanic_total", "hispanic_count",
+                    _percent("hispanic_count", "hispanic_total").alias("pct_hispanic"), "non_hisp_white")
+
+
+def census_income(rows: DataFrame, zcta_col: str = "zip code tabulation area") -> DataFrame:
+    """P4 median household income; suppressed is NULL."""
+    return rows.select(F.col(f"`{zcta_col}`").alias("zcta"),
+                       X.num(INCOME_CELL, K.SENTINELS_CENSUS).cast("long").alias("median_hh_income"))
+
+
+def census_disability(rows: DataFrame, zcta_col: str = "zip code tabulation area") -> DataFrame:
+    """P4 disability table; the published percent, NULL where suppressed."""
+    return rows.select(F.col(f"`{zcta_col}`").alias("zcta"), *[_count(c).alias(o) for c, o in DISABILITY_CELLS.items()],
+                       X.round_to(X.num(DISABILITY_PERCENT, K.SENTINELS_CENSUS), 1, "half_even").alias("pct_disability"))
+
+
 def census_demographics(tables: list[DataFrame], key: str = "zcta") -> DataFrame:
     """Merge several ZCTA-keyed census tables (P4): union of keys, every table's columns
     (E8) in one shuffle."""

@@ -23,7 +23,7 @@ from ..operators import sets as S
 from ..session import ensure_checkpoint_dir
 from ..sources import readers, sinks
 from ..sources.catalog import table
-from . import testbed
+from . import access, references, testbed
 from .domain_queries import with_position
 
 
@@ -144,7 +144,40 @@ def text_means(spark, d) -> DataFrame:
     return A.mean_by(li.withColumn("v", X.num("text")), "l_returnflag", "v", out="mean_value", digits=4)
 
 
+def census_demographics(spark, d) -> DataFrame:
+    """Race, origin, income and disability tables derived and merged on the area."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    areas = o.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip code tabulation area"), "c_nationkey").agg(
+        *[F.count_if(F.col("o_orderkey") % 9 == i).alias(f"n{i}") for i in range(9)], F.count(F.lit(1)).alias("n"))
+
+    def cell(i, bad="-666666666"):
+        return F.when(F.col("c_nationkey") % 7 == i, F.lit(bad)).otherwise(F.col(f"n{i}").cast("string"))
+    raw = areas.select("zip code tabulation area", F.when(F.col("c_nationkey") % 5 == 4, F.lit("0")).otherwise(
+        F.col("n").cast("string")).alias("B02001_001E"), *[cell(i - 1).alias(f"B02001_00{i}E") for i in range(2, 9)],
+        F.col("n").cast("string").alias("B03002_001E"), cell(0).alias("B03002_003E"), cell(1).alias("B03002_012E"),
+        cell(2, "N").alias("B19013_001E"), F.col("n").cast("string").alias("S1811_C01_001E"), cell(3).alias("S1811_C02_001E"),
+        F.when(F.col("c_nationkey") % 6 == 1, F.lit("null")).otherwise(
+            F.concat((F.col("n4") % 90).cast("string"), F.lit(".4"))).alias("S1811_C03_001E"))
+    return access.census_demographics([access.census_race(raw), access.census_origin(raw), access.census_income(raw),
+                                       access.census_disability(raw)])
+
+
+def icd_categories(spark, d) -> DataFrame:
+    """P20: body system, categories and version of the code reference, quotes removed."""
+    p = table(spark, d, "part")
+    k = F.col("p_partkey").cast("string")
+    raw = p.select(F.concat(F.lit("'A"), k, F.lit("'")).alias("'ICD-10-CM CODE'"), F.lit("x").alias("'ICD-10-CM CODE DESCRIPTION'"),
+                   F.concat(F.lit("'B"), k, F.lit("'")).alias("'BODY SYSTEM'"),
+                   *[c for n in (1, 2, 3) for c in (
+                       F.concat(F.lit(f"'C{n}-"), k, F.lit("'")).alias(f"'CCSR CATEGORY {n}'"),
+                       F.lit(f"'text {n}'").alias(f"'CCSR CATEGORY {n} DESCRIPTION'"))])
+    return references.icd10_reference(raw, "v2026-1").select(
+        "icd10_code", "body_system", "ccsr_cat_1", "ccsr_cat_1_desc", "ccsr_cat_3", "ccsr_cat_3_desc", "ccsr_cat_6", "ccsr_version")
+
+
 QUERIES = {f.__name__: f for f in (
+    census_demographics, icd_categories,
     csv_round_trip, scoped_parquet_round_trip, page_json_round_trip, snapshot_round_trip, scope_report, interval_join,
     join_checks, score_universe, sort_numeric_text, sort_mixed, rollup_rows, key_sets, wide_metrics, text_means)}
 
@@ -153,7 +186,24 @@ def _chapters() -> str:
     return "CASE " + " ".join(f"WHEN cat BETWEEN '{r[1]}' AND '{r[2]}' THEN '{r[0]}'" for r in K.ICD10_CHAPTERS) + " END"
 
 
+_CELL = "CASE WHEN c_nationkey % 7 = {0} THEN 0 ELSE n{0} END"
+_PCT = "round_even({0} / NULLIF(CAST({1} AS DOUBLE), 0.0) * 100.0, 1)"
 SQL = {
+    "census_demographics": f"""
+    WITH a AS (SELECT c_nationkey, COUNT(*) AS n, {", ".join(f"COUNT(*) FILTER (o_orderkey % 9 = {i}) AS n{i}" for i in range(9))}
+               FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
+    b AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zcta, CASE WHEN c_nationkey % 5 = 4 THEN 0 ELSE n END AS race_total,
+            {", ".join(f"{_CELL.format(i)} AS r{i}" for i in range(8))}, n, c_nationkey, n2, n3, n4 FROM a)
+    SELECT zcta, race_total, r1 AS race_white, r2 AS race_black, r3 AS race_aian, r4 AS race_asian, r5 AS race_nhpi,
+      r6 AS race_other, r7 AS race_multi, {_PCT.format("r1", "race_total")} AS pct_white, {_PCT.format("r2", "race_total")} AS pct_black,
+      {_PCT.format("r4", "race_total")} AS pct_asian, {_PCT.format("r5", "race_total")} AS pct_nhpi,
+      n AS hispanic_total, r1 AS hispanic_count, {_PCT.format("r1", "n")} AS pct_hispanic, r0 AS non_hisp_white,
+      CASE WHEN c_nationkey % 7 = 2 THEN NULL ELSE n2 END AS median_hh_income, n AS disability_pop_total, r3 AS disability_count,
+      CASE WHEN c_nationkey % 6 = 1 THEN NULL ELSE CAST(CAST(n4 % 90 AS VARCHAR) || '.4' AS DOUBLE) END AS pct_disability FROM b""",
+    "icd_categories": """
+    SELECT 'A' || CAST(p_partkey AS VARCHAR) AS icd10_code, 'B' || CAST(p_partkey AS VARCHAR) AS body_system,
+      'C1-' || CAST(p_partkey AS VARCHAR) AS ccsr_cat_1, 'text 1' AS ccsr_cat_1_desc, 'C3-' || CAST(p_partkey AS VARCHAR) AS ccsr_cat_3,
+      'text 3' AS ccsr_cat_3_desc, CAST(NULL AS VARCHAR) AS ccsr_cat_6, 'v2026-1' AS ccsr_version FROM part""",
     "csv_round_trip": """
     SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
            CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS balance FROM supplier""",

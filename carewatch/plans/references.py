@@ -22,17 +22,22 @@ CCSR_CONTRACT = [
     C.Field("description", [["icd_10_cm", "description"], ["description"]], match="substr"),
     C.Field("default_ccsr_ip", [["default", "ip"]], match="substr"),
     C.Field("default_ccsr_op", [["default", "op"]], match="substr"),
-    C.Field("ccsr_category_1", [["ccsr category 1"], ["ccsr_category_1"]], match="substr",
-            exclude=["description"]),
+    C.Field("body_system", [["body"]], match="substr"),
+    *[f for n in range(1, 7) for f in (
+        C.Field(f"ccsr_cat_{n}", [[f"category_{n}"]], match="substr", exclude=["description"]),
+        C.Field(f"ccsr_cat_{n}_desc", [[f"category_{n}_description"]], match="substr"))],
 ]
 
 
-def icd10_reference(raw: DataFrame) -> DataFrame:
+def icd10_reference(raw: DataFrame, version: str = "") -> DataFrame:
     """ICD-10-CM codes (undotted and dotted, K8) with chapter and title by an ordered
-    range ladder over the literal chapter table (E9) and the incident flags (K24).
+    range ladder over the literal chapter table (E9), the incident flags (K24), body system,
+    the six categories with their descriptions, and the file's version. Quotes around cells go.
     `raw` is the CSV read with `read_csv_with_preamble`, headers normalised (C6)."""
     d, _ = C.resolve_columns(C.normalize_headers(raw), CCSR_CONTRACT)
+    d = d.select(*[F.btrim(F.regexp_replace(c, "^['\"]+|['\"]+$", "")).alias(c) for c in d.columns])
     d = d.withColumn("icd10_code", X.undot_code(F.regexp_replace("icd10_code", "['\"]", "")))
+    d = d.withColumn("ccsr_version", F.lit(version))
     d = d.where(X.is_present("icd10_code"))
     ch = J.interval_label(X.category3("icd10_code"), K.ICD10_CHAPTERS, default="Unknown")
     chapter = F.when(F.length("icd10_code") < 3, F.lit("")).otherwise(ch["label"])
