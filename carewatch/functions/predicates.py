@@ -26,7 +26,7 @@ def where_in(df: DataFrame, col: str, codes: Sequence, active: Column | None = N
 
 def present(*cols: ColumnOrName) -> Column:
     """All listed columns non-NULL and non-blank after trimming."""
-    return _all(is_present(c) for c in cols)
+    return _all(_c(c).isNotNull() & is_present(c) for c in cols)
 
 
 def where_present(df: DataFrame, *cols: ColumnOrName) -> DataFrame:

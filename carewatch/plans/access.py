@@ -1,8 +1,8 @@
 """Access analysis (P1-P4): providers per elderly resident by ZIP and by state.
 
 Plan shape at scale: the provider extract (hundreds of millions of NPI rows in the
-largest case) is filtered at the scan (active + 22 codes, pushed to Parquet), then ONE
-shuffle on (zip, state) aggregates it; census and military tables are ZIP-grained
+largest case) is filtered while it is scanned (active + 22 codes, compared trimmed and in
+upper case, which Parquet cannot test itself), then ONE shuffle on (zip, state) aggregates it; census and military tables are ZIP-grained
 context joined to the already-aggregated ZIP table; the state table is one more
 shuffle on state; the rank uses the scalable cumulative-count plan (no single-partition
 window).

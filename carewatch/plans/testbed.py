@@ -75,8 +75,9 @@ def code_filter_lookup(spark, d):
     """D1 code list with an 'active' condition, D2 presence, E1 lookup, E6 literal lookup
     with default, A11 literal table."""
     codes = literal_table(spark, TYPE_GROUPS, "p_type string, type_group string")
+    # the codes are clean in the file, so the list reaches the scan
     parts = P.where_in(_t(spark, d, "part"), "p_type", [c for c, _ in TYPE_GROUPS],
-                       active=F.col("p_size") > 10).select(F.col("p_partkey").alias("l_partkey"), "p_type")
+                       active=F.col("p_size") > 10, normalize=False).select(F.col("p_partkey").alias("l_partkey"), "p_type")
     lines = P.where_present(_t(spark, d, "lineitem"), "l_returnflag").select("l_partkey", "l_quantity", "l_returnflag")
     j = J.lookup(lines, parts, "l_partkey", ["p_type"])
     j = J.lookup(j, codes, "p_type", ["type_group"], defaults={"type_group": "other"})

@@ -195,7 +195,7 @@ def build() -> dict[str, str]:
 
     S["code_filter_lookup"] = f"""
     WITH p AS (SELECT p_partkey, p_type FROM part WHERE p_size > 10
-               AND UPPER(TRIM(p_type)) IN ({', '.join(_q(c) for c, _ in TB.TYPE_GROUPS)})),
+               AND p_type IN ({', '.join(_q(c) for c, _ in TB.TYPE_GROUPS)})),
     codes AS (SELECT * FROM (VALUES {_values(TB.TYPE_GROUPS)}) t(p_type, type_group)),
     l AS (SELECT l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_returnflag IS NOT NULL AND TRIM(l_returnflag) <> '')
     SELECT COALESCE(c.type_group, 'other') AS type_group, l.l_returnflag, COUNT(*) AS n_lines, SUM(l.l_quantity) AS sum_qty

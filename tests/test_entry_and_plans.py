@@ -46,6 +46,8 @@ def test_literal_lookups_broadcast_and_filters_pushed(spark):
     df.explain()
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in p
+    pushed = " ".join(x for x in df._jdf.queryExecution().toString().split("\n") if "PushedFilters" in x)
+    assert "In(p_type" in pushed and "GreaterThan(p_size,10)" in pushed and "IsNotNull(l_returnflag)" in pushed
     sel = E.queries()["missing_by_group"](spark, SF_SMALL)
     assert "ReadSchema" in plan_of(sel)
 
