@@ -154,7 +154,8 @@ FINDING_SCHEMA = "dataset string, check string, field string, metric double, mes
 def findings_from_profile(p: DataFrame, null_at: float = K.NULL_RATE_THRESHOLD,
                           min_rows: int = K.CONSTANT_MIN_ROWS, floor: float = K.NUMERIC_PARSE_FLOOR) -> DataFrame:
     """Turn profile rows into findings (dataset, check, field, metric, message) in one pass
-    over the profile: every row proposes its three candidate findings, the hits are kept."""
+    over the profile: every row proposes its candidate findings, the hits are kept (J5: an
+    empty output is one finding of its dataset)."""
     cand = F.array(
         F.struct(F.lit("null_rate").alias("check"), (F.col("null_rate") >= null_at).alias("hit"),
                  F.col("null_rate").alias("metric"),
@@ -166,11 +167,16 @@ def findings_from_profile(p: DataFrame, null_at: float = K.NULL_RATE_THRESHOLD,
         F.struct(F.lit("type_anomaly").alias("check"),
                  ((F.col("parse_rate") < floor) & (F.col("null_rate") < null_at)).alias("hit"),
                  F.col("parse_rate").alias("metric"),
-                 F.format_string("numeric parse rate %.3f", F.col("parse_rate")).alias("message")))
+                 F.format_string("numeric parse rate %.3f", F.col("parse_rate")).alias("message")),
+        # every field of an empty output says so; one finding is kept
+        F.struct(F.lit("empty_output").alias("check"), (F.col("row_count") == 0).alias("hit"),
+                 F.lit(None).cast("double").alias("metric"), F.lit("no rows").alias("message")))
     return (p.select("dataset", "field", F.explode(cand).alias("_f"))
             .where(F.coalesce(F.col("_f.hit"), F.lit(False)))
-            .select("dataset", F.col("_f.check").alias("check"), "field", F.col("_f.metric").alias("metric"),
-                    F.col("_f.message").alias("message")))
+            .select("dataset", F.col("_f.check").alias("check"),
+                    F.when(F.col("_f.check") == "empty_output", "*").otherwise(F.col("field")).alias("field"),
+                    F.col("_f.metric").alias("metric"), F.col("_f.message").alias("message"))
+            .dropDuplicates(["dataset", "check", "field"]))
 
 
 #: An empty output blocks whatever it feeds; a suppression of an absent field only informs.

@@ -16,17 +16,18 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import quality as Q
+from ..sources.readers import literal_table
 
 
 def registry_frame(spark: SparkSession, registry: Sequence[Mapping]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Registry entries -> (datasets, known anomalies, published finding fields).
     Entry keys: name, fields_computed [..], known_anomalies [{field, check, reason}],
     finding_fields [..]."""
-    ds = spark.createDataFrame([(r["name"],) for r in registry], "dataset string")
-    known = spark.createDataFrame(
-        [(r["name"], a["field"], a["check"], a.get("reason", "")) for r in registry
+    ds = literal_table(spark, [(r["name"],) for r in registry], "dataset string")
+    known = literal_table(
+        spark, [(r["name"], a["field"], a["check"], a.get("reason", "")) for r in registry
          for a in r.get("known_anomalies", [])], "dataset string, field string, check string, reason string")
-    ff = spark.createDataFrame([(r["name"], f) for r in registry for f in r.get("finding_fields", [])],
+    ff = literal_table(spark, [(r["name"], f) for r in registry for f in r.get("finding_fields", [])],
                                "dataset string, field string")
     return ds, known, ff
 
@@ -51,10 +52,7 @@ def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequen
             f = f.unionByName(diff.select(F.lit(name).alias("dataset"),
                                           F.concat(F.lit("field_"), F.col("status")).alias("check"), "field"))
         findings = f if findings is None else findings.unionByName(f)
-    # an empty output: the profile's own row count says so
-    findings = findings.unionByName(profiles.groupBy("dataset").agg(F.max("row_count").alias("_n")).where("_n = 0").select(
-        "dataset", F.lit("empty_output").alias("check"), F.lit("*").alias("field")))
-    fields = spark.createDataFrame([(n, c) for n, df in datasets.items() for c in df.columns], "dataset string, field string")
+    fields = literal_table(spark, [(n, c) for n, df in datasets.items() for c in df.columns], "dataset string, field string")
     ghosts = Q.ghost_suppressions(known.select("dataset", "field", "check"), fields)
     kept = Q.apply_suppressions(findings, known).unionByName(
         ghosts.select("dataset", F.lit("ghost_suppression").alias("check"), "field").distinct())
@@ -67,6 +65,6 @@ def run(spark: SparkSession, datasets: Mapping[str, DataFrame], registry: Sequen
         out["drift"] = Q.drift(previous_snapshot, profiles)
     if pairs:
         counts = profiles.groupBy("dataset").agg(F.max("row_count").alias("rows"))
-        pr = spark.createDataFrame(list(pairs), "left string, right string")
+        pr = literal_table(spark, list(pairs), "left string, right string")
         out["cross_source"] = Q.cross_source(counts, pr)
     return out

@@ -122,6 +122,19 @@ def load_table(spark: SparkSession, csv_path: str, schema: T.StructType | str, t
     return spark.read.parquet(target)
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool) or not isinstance(value, str):
+        return str(value) if not hasattr(value, "isoformat") else f"'{value.isoformat()}'"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """Literal reference rows (A11): small by construction, so safe to broadcast."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small in-program table (A11) as inline values: a local relation of known size, which
+    the planner broadcasts by its bytes and scans without a job."""
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in st.fields)
+    names = ", ".join(f"`{f.name}`" for f in st.fields)
+    body = ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows) or "(" + ", ".join(["NULL"] * len(st)) + ")"
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({names})" + ("" if rows else " WHERE false"))
