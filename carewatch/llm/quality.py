@@ -118,34 +118,35 @@ def references(docs: DataFrame, text_col="text", lang_col="lang") -> dict[str, t
         for rb in batches:
             sums: dict[str, np.ndarray] = {}
             for key, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
-                c = char_classes(text, text.encode("utf-8"))
+                data = text.encode("utf-8")
+                c = np.append(char_classes(text, data), len(data.split()))
                 sums[key] = sums[key] + c if key in sums else c
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.string()), pa.array([list(c) for c in sums.values()], pa.list_(pa.float64()))],
                 names=["key", "c"])
 
     chars: dict[str, np.ndarray] = {}
+    total_words: dict[str, float] = {}
     summed = rows.mapInArrow(classes, "key string, c array<double>").groupBy("key").agg(
-        *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(6)])
+        *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(7)])
     for r in summed.collect():
-        chars[r[0]] = np.array(r[1:], float)
+        chars[r[0]], total_words[r[0]] = np.array(r[1:7], float), r[7]
     words = (rows.select("key", F.explode(F.split(F.lower("__text"), r"[\x20\x09-\x0D]+")).alias("w"))
              .filter("w <> ''").groupBy("key", "w").agg(F.count("*").alias("n")))
     top = (words.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy(F.desc("n"), "w")))
            .filter(F.col("r") <= COMMON))
-    every = words.groupBy("key").agg(F.sum("n").alias("n"))
     lists: dict[str, list] = {}
     for r in top.collect():
         lists.setdefault(r["key"], []).append((r["r"], r["w"], r["n"]))
     out = {}
-    for r in every.collect():
-        found = sorted(lists.get(r["key"], []))
+    for key, n_all in total_words.items():
+        found = sorted(lists.get(key, []))
         hist = np.zeros(COMMON + 1)
         for k, _, n in found:
             hist[k - 1] = n
-        hist[COMMON] = r["n"] - hist.sum()
-        if r["n"] >= MIN_REFERENCE:
-            out[r["key"]] = (chars[r["key"]], {w.encode("utf-8"): k - 1 for k, w, _ in found}, hist)
+        hist[COMMON] = n_all - hist.sum()
+        if n_all >= MIN_REFERENCE:
+            out[key] = (chars[key], {w.encode("utf-8"): k - 1 for k, w, _ in found}, hist)
     return out
 
 
