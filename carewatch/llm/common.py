@@ -26,9 +26,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 _shipped: set[str] = set()
 
 
+#: Texts are long and some are very long: Arrow batches of at most so many rows and bytes bound
+#: what a Python worker holds, and what it keeps from the system when it idles.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        held = spark.conf.get(key)
+        if not (held.isdigit() and 0 < int(held) <= most):
+            spark.conf.set(key, str(most))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of the session, wherever they run:
-    its modules (a few dozen kilobytes) go out with Spark's own file distribution, once a session."""
+    its modules (a few dozen kilobytes) go out with Spark's own file distribution, once a
+    session. Also bounds the session's Arrow batches."""
+    _bounded_batches(spark)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
