@@ -1,46 +1,50 @@
 """Operator 1: I-Match document fingerprints (DataFrame functions only).
 
-Terms are lower-case runs of letters and digits. The lexicon holds the terms whose inverse
-document frequency lies in a band, given as the least and the largest share of documents that
-hold a term. A document keeps its distinct lexicon terms, sorted, and hashes them once for
-each of several randomised subsets of the lexicon: a term is in subset j if two hex digits of
-its md5 are below the subset's bound. A fingerprint is the list of the subsets' hashes; its
-likeness to another is the share of equal hashes among the subsets that hold a term of either.
-Small subsets change seldom under an edit, large ones nearly always, so the share grows with
-the common part of two texts.
+Terms are the lower-cased pieces of a text between blanks and line ends. The lexicon holds the
+terms whose inverse document frequency lies in a band, given as the least and the largest
+share of documents that hold a term. A document keeps its distinct lexicon terms, sorted, and
+hashes them once for each of several randomised subsets of the lexicon: a term is in subset j
+if two hex digits of its md5 are below the subset's bound. A fingerprint is the list of the
+subsets' hashes; its likeness to another is the share of equal hashes among the subsets that
+hold a term of either. Small subsets change seldom under an edit, large ones nearly always, so
+the share grows with the common part of two texts.
 
 The lexicon is bounded whatever the corpus: document frequencies add up to the number of
 (document, distinct term) pairs, so at most (mean distinct terms a document) / `LEAST_SHARE`
-terms can reach the band. It goes into the plan as a set; texts are never shuffled for it.
+terms can reach the band. It goes into the plan as sets; texts are never shuffled for it.
 
 The text after a document's own, by doc_id, is found without a single sorted task: documents
 are dealt into ranges between quantiles of doc_id, and each range also receives the first
 document of the next (the last range: of the first).
 
 Defined cases: a null text is empty; a text without terms has the fingerprint of no terms, and
-one without lexicon terms hashes all of its terms instead; equal texts have equal
-fingerprints; rows of equal doc_id follow each other by text hash; null doc_ids come last and
+one without lexicon terms hashes all of its terms once instead (such a fingerprint is like
+an equal one only); equal texts have equal fingerprints; rows of equal doc_id follow each other by text hash; null doc_ids come last and
 are followed by the first document; the only document is followed by itself; an empty table
 gives an empty result; an input column named like a result is replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import shuffle_width
 
-LEAST_SHARE, MOST_SHARE = 0.005, 0.25
+LEAST_SHARE, MOST_SHARE = 0.01, 0.25
 #: Bounds on two hex digits, one for each subset: a term is below with chance bound / 256.
 BOUNDS = ("gg", "40", "10", "08", "08", "08", "04", "04", "04", "04", "02", "02", "02", "02", "02", "02")
-TERM_GAP = r"[^\p{L}\p{N}]+"
+#: Subsets from here on are small; their terms are sought among those of their union.
+SMALL_FROM = 2
 
 
 def terms(text: Column) -> Column:
     """Distinct lower-case terms of a text (null: none)."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), TERM_GAP), ""))
+    plain = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("\n"), F.lit(" "))
+    return F.array_distinct(F.array_remove(F.split(plain, " "), ""))
 
 
 def lexicon(docs: DataFrame, *, text_col="text", least=LEAST_SHARE, most=MOST_SHARE) -> list[str]:
@@ -52,33 +56,42 @@ def lexicon(docs: DataFrame, *, text_col="text", least=LEAST_SHARE, most=MOST_SH
     return sorted(r[0] for r in found.collect())
 
 
+def _among(words: list[str]) -> str:
+    """SQL list of strings."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words) or "''"
+
+
 def with_fingerprint(df: DataFrame, text: Column, name: str, words: list[str], bounds=BOUNDS) -> DataFrame:
     """`df` with the fingerprint of `text` in column `name`: the subsets' hashes (8 hex digits;
     none for a subset without a term), joined by `-`."""
-    band = ", ".join(f"'{w}'" for w in words) or "''"  # letters and digits need no quoting
-    subsets = ", ".join(f"named_struct('at', {2 * j + 1}, 'below', '{b}')" for j, b in enumerate(bounds))
-    tagged = "transform(sort_array(__kept), t -> named_struct('t', t, 'h', md5(t)))"
+    digest = {w: hashlib.md5(w.encode("utf-8")).hexdigest() for w in words}
+    subsets = [[w for w in words if digest[w][2 * j:2 * j + 2] < b] for j, b in enumerate(bounds)]
+    small = sorted(set().union(*subsets[SMALL_FROM:]))
+
+    def inside(array: str, own: list[str]) -> str:
+        return array if len(own) == len(words) else f"filter({array}, t -> t IN ({_among(own)}))"
+    parts = ", ".join(f"array_join({inside('__kept' if j < SMALL_FROM else '__few', own)}, ' ')"
+                      for j, own in enumerate(subsets))
     # an empty subset joins to '', whose hash is left out
-    joined = (f"transform(array({subsets}), s -> array_join(transform("
-              "filter(__tags, x -> substring(x.h, s.at, 2) < s.below), x -> x.t), ' '))")
     return (df.withColumn("__own", terms(text))
-            .withColumn("__kept", F.expr(f"filter(__own, t -> t IN ({band}))"))
-            .withColumn("__kept", F.expr("if(size(__kept) > 0, __kept, __own)"))
-            .withColumn("__tags", F.expr(tagged))
-            .withColumn(name, F.expr(f"array_join(transform({joined}, j -> if(j = '', '', left(md5(j), 8))), '-')"))
-            .drop("__own", "__kept", "__tags"))
+            .withColumn("__kept", F.expr(f"sort_array({inside('__own', [*words, ''])})"))
+            .withColumn("__few", F.expr(inside("__kept", small)))
+            .withColumn("__parts", F.expr(f"array({parts})"))
+            .withColumn(name, F.expr("if(size(__kept) = 0, concat('=', left(md5(array_join(sort_array(__own), ' ')), 16)), "
+                                     "array_join(transform(__parts, j -> if(j = '', '', left(md5(j), 8))), '-'))"))
+            .drop("__own", "__kept", "__few", "__parts"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the subsets that hold a term of either text (1 if none
-    does and the fingerprints are equal)."""
+    """Share of equal hashes among the subsets that hold a term of either text (a fingerprint
+    without lexicon terms: 1 for an equal one, else 0)."""
     # for each subset: 0 no term, 1 different, 3 equal
     marks = F.zip_with(F.split(a, "-"), F.split(b, "-"), lambda x, y: F.when(
         (x == "") & (y == ""), 0).when(x == y, 3).otherwise(1))
     total = F.aggregate(marks, F.lit(0), lambda z, m: z + F.when(m > 0, 1).otherwise(0)
                         + F.when(m == 3, 1 << 16).otherwise(0))
     held, same = total.bitwiseAND(0xFFFF), F.shiftright(total, 16)
-    return F.when(held == 0, F.when(a == b, 1.0).otherwise(0.0)).otherwise(same / held)
+    return F.when(a == b, 1.0).when(a.startswith("=") | b.startswith("="), 0.0).otherwise(same / held)
 
 
 def id_ranges(docs: DataFrame, ranges: int, id_col="doc_id") -> list[int]:

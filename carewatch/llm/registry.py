@@ -121,16 +121,17 @@ _OP1_BOUNDS = ", ".join(f"{{'at': {2 * j + 1}, 'below': '{b}'}}" for j, b in enu
 
 
 def _op1_print(name: str, source: str) -> str:
-    inside = "list_filter(kept, lambda t: substr(md5(t), s.at, 2) < s.below)"
+    inside = "list_filter(inside, lambda t: substr(md5(t), s.at, 2) < s.below)"
     return f"""
 {name} AS (
-  SELECT id, array_to_string(list_transform([{_OP1_BOUNDS}], lambda s: (
-           CASE WHEN len({inside}) = 0 THEN '' ELSE substr(md5(array_to_string({inside}, ' ')), 1, 8) END)), '-') AS fp
-  FROM (SELECT id, coalesce(k.inside, list_sort(own)) AS kept
-        FROM {source} LEFT JOIN (SELECT id, list(t ORDER BY t) AS inside
-                                 FROM (SELECT id, unnest(own) AS t FROM {source}) JOIN lex USING (t) GROUP BY id) k USING (id)))"""
+  SELECT id, CASE WHEN inside IS NULL THEN '=' || substr(md5(array_to_string(list_sort(own), ' ')), 1, 16) ELSE
+         array_to_string(list_transform([{_OP1_BOUNDS}], lambda s: (
+           CASE WHEN len({inside}) = 0 THEN '' ELSE substr(md5(array_to_string({inside}, ' ')), 1, 8) END)), '-') END AS fp
+  FROM {source} LEFT JOIN (SELECT id, list(t ORDER BY t) AS inside
+                           FROM (SELECT id, unnest(own) AS t FROM {source}) JOIN lex USING (t) GROUP BY id) k USING (id))"""
 
 
+_OP1_TERMS = "list_distinct(list_filter(string_split(replace(lower({}), chr(10), ' '), ' '), lambda x: x <> ''))"
 OP1_SQL = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id) AS id FROM documents),
@@ -140,29 +141,31 @@ e AS (
 f AS (
   SELECT *, substr(text, 1, CAST(length(text) - length(text) // 2 AS INT))
             || substr(nxt, 1, CAST(length(text) // 2 AS INT)) AS edited FROM e),
-o AS (
-  SELECT id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) AS own FROM f),
-p AS (
-  SELECT id, list_distinct(list_filter(regexp_split_to_array(lower(edited), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) AS own FROM f),
+o AS (SELECT id, {_OP1_TERMS.format("text")} AS own FROM f),
+p AS (SELECT id, {_OP1_TERMS.format("edited")} AS own FROM f),
 lex AS (
   SELECT t FROM (SELECT unnest(own) AS t FROM o) GROUP BY t
-  HAVING count(*) >= 0.005::DOUBLE * (SELECT count(*) FROM d) AND count(*) <= 0.25::DOUBLE * (SELECT count(*) FROM d)),
+  HAVING count(*) >= 0.01::DOUBLE * (SELECT count(*) FROM d) AND count(*) <= 0.25::DOUBLE * (SELECT count(*) FROM d)),
 {_op1_print("a", "o")},
 {_op1_print("b", "p")},
 n AS (
   SELECT f.doc_id, CAST(length(f.text) AS BIGINT) AS n_chars, sha256(f.edited) AS edited_sha256, a.fp AS fingerprint,
-         b.fp AS edited_fingerprint, string_split(a.fp, '-') AS x, string_split(b.fp, '-') AS y, string_split(c.fp, '-') AS z
+         b.fp AS edited_fingerprint, c.fp AS next_fingerprint
   FROM f JOIN a USING (id) JOIN b USING (id) JOIN a AS c ON c.id = f.next_id),
 r AS (SELECT unnest(range(1, 17)) AS j),
 m AS (
-  SELECT n.doc_id, any_value(n_chars) AS n_chars, any_value(edited_sha256) AS edited_sha256,
+  SELECT doc_id, any_value(n_chars) AS n_chars, any_value(edited_sha256) AS edited_sha256,
          any_value(fingerprint) AS fingerprint, any_value(edited_fingerprint) AS edited_fingerprint,
+         any_value(next_fingerprint) AS next_fingerprint,
          sum(CASE WHEN x[j] <> '' OR y[j] <> '' THEN 1 ELSE 0 END) AS hy, sum(CASE WHEN x[j] <> '' AND x[j] = y[j] THEN 1 ELSE 0 END) AS sy,
          sum(CASE WHEN x[j] <> '' OR z[j] <> '' THEN 1 ELSE 0 END) AS hz, sum(CASE WHEN x[j] <> '' AND x[j] = z[j] THEN 1 ELSE 0 END) AS sz
-  FROM n, r GROUP BY n.doc_id)
+  FROM (SELECT *, string_split(fingerprint, '-') AS x, string_split(edited_fingerprint, '-') AS y,
+               string_split(next_fingerprint, '-') AS z FROM n), r GROUP BY doc_id)
 SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-       CASE WHEN hy = 0 THEN CASE WHEN fingerprint = edited_fingerprint THEN 1.0 ELSE 0.0 END ELSE sy / hy END::DOUBLE AS near_edited,
-       CASE WHEN hz = 0 THEN 1.0 ELSE sz / hz END::DOUBLE AS near_next
+       CASE WHEN fingerprint = edited_fingerprint THEN 1.0 WHEN fingerprint[1] = '=' OR edited_fingerprint[1] = '=' THEN 0.0
+            ELSE sy / hy END::DOUBLE AS near_edited,
+       CASE WHEN fingerprint = next_fingerprint THEN 1.0 WHEN fingerprint[1] = '=' OR next_fingerprint[1] = '=' THEN 0.0
+            ELSE sz / hz END::DOUBLE AS near_next
 FROM m
 """
 
