@@ -1,20 +1,26 @@
-"""Operator 8: n-gram language model in an Elias-Fano trie.
+"""Operator 8: n-gram language model in Elias-Fano tries.
 
 Counts come from all training documents; the model is of order three with absolute
-discounting, interpolated down to the unigrams, which have 0.1 added to every count. An
-n-gram enters the trie if it holds at least `NGRAM_SHARE` of all training tokens (a word:
-`VOCABULARY_SHARE`); the mass of those that do not goes to the back-off of their context, so
-probabilities still add up to one. These shares bound the trie whatever the corpus: at
-most 1 / share entries a level. Words below the share keep their exact counts in a Spark table
-and are looked up by a join, so no word is lost.
-
-Each level is one monotone sequence in Elias-Fano form: entry = context * width + symbol, with
-the low bits packed and the high bits in unary. A query is a successor search: one select on
-the high bits finds the few entries with the same high part, a bisection over their low bits
-finds the entry. At the third level a symbol is the rank of the word among the followers of
-the context's last word, which the second level's monotone pointers give. Log10 probabilities
-and back-offs are quantised to 16 bits. Workers map the levels from an unnamed file of their
-own, written from the broadcast.
+discounting, interpolated down to the unigrams, which have 0.1 added to every count. Every
+word, pair and triple of the training documents is in the model, whatever the corpus (floors as
+a share of all tokens are parameters, 0 by default; the mass of what they leave out goes to the
+back-offs, so probabilities still add up to one).
+
+The model is dealt over tries, a few for each partition of the shuffle, by the middle word of a triple:
+the triple's context (first, second) and the pair it backs off to (second, third) meet there.
+A middle word with more than one trie's share of all tokens is divided by the first word, and
+its pairs go to each of its tries. Training pieces send their distinct triples with counts to
+the tries, documents send theirs with the documents that hold them (at once, if the same rows are
+learnt from and scored); each trie is built in one task, answers there, and returns one sum a
+document. Only the `HELD` most frequent words have small ids and their counts in a broadcast;
+the others travel as 60-bit digests, and their counts are joined to the answers.
+
+Each level of a trie is one monotone sequence in Elias-Fano form: entry = context * width +
+symbol, with the low bits packed and the high bits in unary. A query is a successor search: one
+select on the high bits finds the few entries with the same high part, a bisection over their
+low bits finds the entry. At the third level a symbol is the rank of the word among the
+followers of the context's last word, which the second level's monotone pointers give. Log10
+probabilities and back-offs are quantised to 16 bits.
 
 Defined cases: a null text is empty and has one token, its end; rows with a null doc_id are
 held out; equal rows get equal rows of results; without training documents every token is
@@ -24,10 +30,13 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import mmap
+import pickle
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,16 +46,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, shuffle_width
 
 ADD = 0.1
 DISCOUNT = 0.75
-VOCABULARY_SHARE = 2.5e-7
-NGRAM_SHARE = 2.5e-7
+VOCABULARY_SHARE = NGRAM_SHARE = 0.0
+HELD = 500_000
 HOLD_OUT = 10
 END = b"\n"  # no word holds a line feed
 FLUSH = 400_000
-DOCS_AT_ONCE = 512
+#: Tokens of the documents that are dealt out together, and distinct triples answered together.
+PIECE, ANSWERED = 2_000_000, 200_000
+#: Tries that a task builds one after the other, and bytes of sums that it gathers.
+IN_TURN, SUMS = 3, 16 << 20
+#: Codes of words: ids of the held ones, RARE + digest of the others; NONE is no word.
+NONE, RARE = -1, 1 << 61
 
 
 def held_out(id_col):
@@ -237,6 +251,31 @@ class Trie:
         out[at[~miss]] = self.value("three.p", hit[~miss])
         return out
 
+    def look_up(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of what the entries list for w after u v (-inf: nothing), and log10 of the
+        back-off to the unigram of w. Below 0: a word that the trie does not know."""
+        def found(ef, ok, key):
+            out = np.full(len(w), -1, np.int64)
+            key, which = np.unique(key, return_inverse=True)  # searched in order
+            out[ok] = ef.find(key)[which]
+            return out
+
+        ok = np.flatnonzero((v > 0) & (w >= 0))
+        vw = found(self.two, ok, v[ok] * self.v + w[ok])
+        ok = np.flatnonzero((u > 0) & (v > 0))
+        uv = found(self.two, ok, u[ok] * self.v + v[ok])
+        ok = np.flatnonzero((uv >= 0) & (vw >= 0))
+        own, which = np.unique(v[ok], return_inverse=True)
+        hit = found(self.three, ok, uv[ok] * self.v + vw[ok] - self.starts.access(own)[which])
+        back, listed = np.zeros(len(w)), np.full(len(w), -np.inf)
+        ok = uv >= 0
+        back[ok] = self.value("two.back", uv[ok])
+        ok = vw >= 0
+        listed[ok] = self.value("two.p", vw[ok]) + back[ok]
+        ok = hit >= 0
+        listed[ok] = self.value("three.p", hit[ok])
+        return listed, back + np.where(v >= 0, self.a["back"][np.maximum(v, 0)], 0.0)
+
 
 # ---------------------------------------------------------------- training
 
@@ -270,15 +309,27 @@ def word_ids(words: bytes) -> dict[bytes, int]:
     return {w: i for i, w in enumerate([END, *words.split(b" ")] if words else [END])}
 
 
+class Codes(dict):
+    """Codes of words: the held ones are listed."""
+
+    def __missing__(self, word: bytes) -> int:
+        return RARE + int(hashlib.md5(word).hexdigest()[:15], 16)
+
+
+def digest(word):
+    """The digest of a word column, as in `Codes`."""
+    return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long")
+
+
 _state: dict[int, tuple] = {}
 
 
-def _opened(shared) -> tuple[dict[bytes, int], Trie]:
-    """Vocabulary and trie of a broadcast, opened once a worker."""
+def _opened(shared) -> tuple[Codes, np.ndarray]:
+    """Codes and counts of the held words from a broadcast, opened once a worker."""
     if shared.id not in _state:
         _state.clear()
-        words, data = shared.value
-        _state[shared.id] = (word_ids(words), Trie.open(data))
+        words, counts = shared.value
+        _state[shared.id] = (Codes(word_ids(words)), counts)
     return _state[shared.id]
 
 
@@ -297,69 +348,245 @@ class _Shared:
         return self.handle.value
 
 
-def _flat_ids(vocabulary: dict[bytes, int], texts: list) -> np.ndarray:
-    ids: list[int] = []
-    for t in texts:
-        ids += [vocabulary.get(w, -1) for w in tokens(t)]
-    return np.array(ids, np.int64)
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """Evenly spread numbers from codes."""
+    x = codes.astype(np.uint64)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(2)).astype(np.int64)
 
 
-def _counted(rows: DataFrame, shared: _Shared, keys) -> DataFrame:
-    """(key, c): sums over `rows` (text) of the keys that `keys(trie, ids)` finds."""
+class Deal:
+    """Which of the `n` tries holds what: the triples of a middle word are in one, those of a
+    word with more than 1 / n of all tokens in several, by the first word."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, trie = _opened(shared)
-        held: list[np.ndarray] = []
+    def __init__(self, n: int, counts: np.ndarray, total: int):
+        self.n = n
+        self.parts = np.clip(np.ceil(counts * (n / max(1, total))), 1, n).astype(np.int64)
 
-        def flush():
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["key", "c"])
+    def divided(self, v: np.ndarray) -> np.ndarray:
+        """Number of tries over which middle words are divided."""
+        return np.where(v < RARE, self.parts[np.where((v >= 0) & (v < RARE), v, 0)], 1)
 
-        for rb in batches:
-            for at in range(0, rb.num_rows, DOCS_AT_ONCE):
-                held.append(keys(trie, _flat_ids(vocabulary, rb.slice(at, DOCS_AT_ONCE).column(0).to_pylist())))
-                if sum(map(len, held)) > 4_000_000:
-                    yield flush()
-        if held:
-            yield flush()
+    def place(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return (_mixed(v) % self.n + _mixed(u) % self.divided(v)) % self.n
 
-    return rows.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
+def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes):
+    """(doc_ids, whether learnt from, codes of all tokens, end of each document) for pieces of
+    the rows (doc_id, text, learn)."""
+    ids, learn, flat, ends = [], [], array("q"), []
+    for rb in batches:
+        for doc_id, text, own in zip(*[rb.column(k).to_pylist() for k in range(3)], strict=True):
+            flat.extend(map(codes.__getitem__, tokens(text)))
+            ids.append(doc_id)
+            learn.append(own)
+            ends.append(len(flat))
+            if len(flat) >= PIECE:
+                yield ids, np.array(learn), np.array(flat, np.int64), np.array(ends)
+                ids, learn, flat, ends = [], [], array("q"), []
+    if ids:
+        yield ids, np.array(learn), np.array(flat, np.int64), np.array(ends)
 
-def _pair_keys(trie: Trie, ids: np.ndarray) -> np.ndarray:
-    a, b = ids[:-1], ids[1:]
-    ok = (a > 0) & (b >= 0)
-    return a[ok] * trie.v + b[ok]
 
+def _triples(flat: np.ndarray, ends: np.ndarray, whole: bool):
+    """Sorted distinct codes, and each token's places in them with its two words before (NONE:
+    none, or one outside the model)."""
+    words, w = np.unique(flat, return_inverse=True)
+    begins = np.concatenate(([0], ends[:-1]))
+    v = np.concatenate(([NONE], w[:-1]))
+    v[begins] = NONE
+    u = np.concatenate(([NONE], v[:-1]))
+    u[begins] = NONE
+    if not whole:
+        for x in (u, v):
+            x[(x >= 0) & (words[x] >= RARE)] = NONE
+    return words, u, v, w
 
-def _triple_keys(trie: Trie, ids: np.ndarray) -> np.ndarray:
-    key = trie.triples(ids, trie.pairs(ids))[1]
-    return key[key >= 0]
 
+def _keys(u: np.ndarray, v: np.ndarray, w: np.ndarray, size: int) -> np.ndarray:
+    """One number for each different triple of numbers from -1 to size - 1."""
+    pair = (v + 1) * (size + 1) + u + 1
+    if size >= 1 << 20:
+        pair = np.unique(pair, return_inverse=True)[1]
+    return pair * size + w
 
-def _collected(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of at least `least`: no more than total / least rows."""
-    t = counts.filter(F.col("c") >= least).toArrow()
-    key, c = t.column(0).to_numpy(), t.column(1).to_numpy()
-    order = np.argsort(key)
-    return key[order].astype(np.int64), c[order].astype(np.int64)
 
+def _code(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.where(at >= 0, words[np.maximum(at, 0)], NONE)
 
-class Model:
-    """Trie and vocabulary for the workers, counts of the rare words as a Spark table."""
 
-    def __init__(self, spark, words: bytes, trie: Trie, rare: DataFrame):
-        self.words, self.trie, self.rare = words, trie, rare
-        self.shared = _Shared(spark, (words, trie.pack()))
+def _packed(words: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
+    """Triples with a word list of their own, small ids and numbers in few bytes."""
+    own, at = np.unique(np.concatenate((u, v, w)), return_inverse=True)
+    codes = _code(words, own)
+    held = int(np.searchsorted(codes, RARE))
+
+    def few(x):
+        return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    data = pickle.dumps((few(codes[:held] + 1), codes[held:], *few(at).reshape(3, -1), *map(few, more)), 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-def _trie(counts: np.ndarray, total: int, types: int, pairs=None, triples=None) -> Trie:
+def _unpacked(data: bytes) -> tuple:
+    """(codes, u, v, w, ...) as `_packed` got them, triples as places in the codes."""
+    held, rare, *rest = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd"))
+    return np.concatenate((held.astype(np.int64) - 1, rare)), *[x.astype(np.int64) for x in rest]
+
+
+def _by_place(place: np.ndarray):
+    """(place, its rows) in order."""
+    order = np.argsort(place, kind="stable")
+    cuts = np.flatnonzero(np.diff(place[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else ():
+        yield int(place[rows[0]]), rows
+
+
+DEALT = "place int, kind int, batch long, data binary"
+HEAD, TRIPLES = 0, 1
+
+
+class Model:
+    """Codes and counts of the held words for the workers; as Spark tables `docs`, whose rows
+    (doc_id, text, learn) are learnt from where `learn` says so, and the counts of the rare words
+    (digest, c)."""
+
+    def __init__(self, docs: DataFrame, source: tuple, words: bytes, counts: np.ndarray, total: int, types: int,
+                 rare: DataFrame, whole: bool, least: float):
+        self.docs, self.source, self.rare, self.counts = docs, source, rare, counts
+        self.total, self.types, self.whole, self.least = total, types, whole, least
+        self.shared = _Shared(docs.sparkSession, (words, counts))
+
+
+def _pairs_of_divided(deal: Deal, words: np.ndarray, v: np.ndarray, w: np.ndarray, c: np.ndarray) -> list[tuple]:
+    """(place, blob) with the pairs of divided words, as triples without a first word, for all
+    tries of each."""
+    pair, which = np.unique(v * len(words) + w, return_inverse=True)
+    v, w = pair // len(words), pair % len(words)
+    c = np.bincount(which, c, len(pair)).astype(np.int64)
+    times = deal.divided(words[v])
+    copy = np.repeat(np.arange(len(pair)), times)
+    part = np.arange(len(copy)) - np.repeat(np.cumsum(times) - times, times)
+    v, w, c, none = v[copy], w[copy], c[copy], np.zeros(0, np.int64)
+    place = (_mixed(words[v]) % deal.n + part) % deal.n
+    return [(p, _packed(words, np.full(len(i), NONE), v[i], w[i], c[i], 0 * i, none, none)) for p, i in _by_place(place)]
+
+
+def _dealt(rows: DataFrame, model: Model, n: int, asked: bool) -> DataFrame:
+    """The distinct triples of each piece of `rows` (doc_id, text, learn), dealt to their n tries:
+    how often documents that are learnt from hold them and, if `asked`, the documents that hold
+    them and how often; then also a head for each piece, with what needs no trie."""
+    shared, whole, total, types = model.shared, model.whole, model.total, model.types
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, counts = _opened(shared)
+        deal = Deal(n, counts, total)
+        unit = np.log10((counts + ADD) / (total + ADD * (types + 1)))
+        batch = TaskContext.get().partitionId() << 40  # the same when a task runs again
+        for ids, learn, flat, ends in _pieces(batches, codes):
+            words, u, v, w = _triples(flat, ends, whole)
+            size = np.diff(ends, prepend=0)
+            begins, doc = ends - size, np.repeat(np.arange(len(ends)), size)
+            held = flat < RARE
+            rows = []
+            if asked:
+                at = np.where(held, flat, 0)
+                one = np.where(held, unit[at], 0.0)
+                rows.append((batch % n, HEAD, batch, pickle.dumps((
+                    ids, size, np.add.reduceat((held & (counts[at] > 0)).astype(np.int64), begins),
+                    np.add.reduceat(one, begins), np.add.reduceat(np.where(v < 0, one, 0.0), begins)), 5)))
+            sent = np.flatnonzero((v >= 0) | (asked & ~held))
+            u, v, w, doc = u[sent], v[sent], w[sent], doc[sent]
+            key = _keys(u, v, w, len(words))
+            order = np.argsort(key, kind="stable")  # documents stay in order
+            key, doc = key[order], doc[order]
+            fresh = np.diff(key, prepend=-1) != 0
+            cell = np.flatnonzero(fresh | (np.diff(doc, prepend=-1) != 0))  # a triple in a document
+            times, doc = np.diff(cell, append=len(key)), doc[cell]
+            first = np.flatnonzero(fresh[cell])
+            docs_of = np.diff(first, append=len(cell))
+            u, v, w = (x[order[cell[first]]] for x in (u, v, w))
+            c = np.add.reduceat(times * learn[doc], first) if len(first) else first
+            c[v < 0] = 0
+            place = deal.place(_code(words, u), _code(words, np.where(v >= 0, v, w)))
+            many = np.flatnonzero((deal.divided(_code(words, v)) > 1) & (c > 0))
+            rows += [(p, TRIPLES, -1, data) for p, data in _pairs_of_divided(deal, words, v[many], w[many], c[many])]
+            c[many[u[many] < 0]] = 0
+            for p, i in _by_place(place):
+                if asked:
+                    k = docs_of[i]
+                    cells = np.repeat(first[i] - np.cumsum(k) + k, k) + np.arange(k.sum())
+                else:
+                    i = i[c[i] > 0]
+                    k, cells = 0 * i, i[:0]
+                rows.append((p, TRIPLES, batch, _packed(words, u[i], v[i], w[i], c[i], k, doc[cells], times[cells])))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+                zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.int32(), pa.int64(), pa.binary()),
+                strict=True)], names=["place", "kind", "batch", "data"])
+            batch += 1
+
+    return rows.mapInArrow(run, DEALT)
+
+
+def _built(blobs: list[bytes], counts: np.ndarray, deal: Deal, total: int, types: int, whole: bool,
+           least: float) -> tuple[np.ndarray, Trie]:
+    """Codes of the words and the trie of one place. Entries of rare words leave out their
+    unigram, whose count is not known here."""
+    parts = []
+    for blob in blobs:
+        own, *triple = _unpacked(blob)[:5]
+        learnt = triple[3] > 0
+        parts.append((own, *[x[learnt].astype(np.int32) for x in triple]))
+    codes, at = np.unique(np.concatenate([[0], *[p[0] for p in parts]]).astype(np.int64), return_inverse=True)
+    if codes[0] == NONE:
+        codes, at = codes[1:], at - 1
+    size, at = len(codes), at.astype(np.int32)
+    shift = np.cumsum([1, *[len(p[0]) for p in parts]])
+    u, v, w = (np.concatenate([np.zeros(0, np.int32), *[at[s + p[k]] for s, p in zip(shift[:-1], parts, strict=True)]])
+               for k in (1, 2, 3))
+    c = np.concatenate([np.zeros(0, np.int32), *[p[4] for p in parts]])
+    del parts, at
+
+    def summed(key, c):
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[first], np.add.reduceat(c[order], first, dtype=np.int64) if len(key) else np.zeros(0, np.int64)
+
+    def pair(a, b):
+        return a * np.int64(size) + b
+
+    own = (u < 0) | (deal.divided(codes[v]) == 1)  # a divided word's pairs come on their own
+    k2, c2 = summed(pair(v[own], w[own]), c[own])
+    ctx = u >= 0
+    u, v, w, c = (x[ctx] for x in (u, v, w, c))
+    contexts, context_c = summed(pair(u, v), c)
+    k2, first = np.unique(np.concatenate((k2, contexts)), return_index=True)
+    c2 = np.concatenate((c2, context_c))[first]  # the same count, if a pair is both
+    known = codes < RARE
+    count = np.where(known, counts[np.where(known, codes, 0)], np.bincount(k2 // size, c2, size).astype(np.int64))
+    count = np.maximum(1, count)
+    listed = (c2 >= least) & (whole | known[k2 % size])
+    k2, c2 = k2[listed], c2[listed]
+    starts = np.searchsorted(k2, np.arange(size + 1) * size)
+    if len(k2):
+        place, symbol = (np.minimum(np.searchsorted(k2, pair(*x)), len(k2) - 1) for x in ((u, v), (v, w)))
+        ok = (k2[place] == pair(u, v)) & (k2[symbol] == pair(v, w))
+    else:
+        place, symbol, ok = u, w, np.zeros(len(u), bool)
+    k3, c3 = summed(pair(place[ok], symbol[ok] - starts[v[ok]]), c[ok])
+    listed = c3 >= least
+    p1 = np.where(known, (count + ADD) / (total + ADD * (types + 1)), 0.0)
+    return codes, _trie(count, total, types, (k2, c2), (k3[listed], c3[listed]), p1)
+
+
+def _trie(counts: np.ndarray, total: int, types: int, pairs=None, triples=None, p1=None) -> Trie:
     """The trie from counts by id, and from (keys, counts) of pairs and triples."""
     v = len(counts)
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     (k2, c2), (k3, c3) = pairs or none, triples or none
-    p1 = (counts + ADD) / (total + ADD * (types + 1)) if total else np.ones(v)
+    if p1 is None:
+        p1 = (counts + ADD) / (total + ADD * (types + 1)) if total else np.ones(v)
     starts = np.searchsorted(k2, np.arange(v + 1) * v)
     a, b = k2 // v, k2 % v
     taken = (c2 - DISCOUNT) / counts[a] if len(k2) else np.zeros(0)
@@ -370,7 +597,7 @@ def _trie(counts: np.ndarray, total: int, types: int, pairs=None, triples=None)
     taken3 = (c3 - DISCOUNT) / c2[ctx] if len(k3) else np.zeros(0)
     back2 = np.clip(1 - np.bincount(ctx, taken3, len(k2)), 1e-12, 1) if len(k3) else np.ones(len(k2))
     p3 = taken3 + back2[ctx] * p2[last] if len(k3) else np.zeros(0)
-    out = {"sizes": np.array([v, total, types]), "count": counts.astype(np.int64), "one": np.log10(p1),
+    out = {"sizes": np.array([v, total, types]), "count": counts.astype(np.int64), "one": np.log10(np.maximum(p1, 1e-300)),
            "back": np.log10(back1)}
     for name, x in (("two.p", p2), ("two.back", back2), ("three.p", p3)):
         out[name], out[f"{name}.scale"] = quantise(np.log10(x))
@@ -381,89 +608,172 @@ def _trie(counts: np.ndarray, total: int, types: int, pairs=None, triples=None)
 
 
 def train(docs: DataFrame, *, id_col="doc_id", text_col="text", vocabulary_share=VOCABULARY_SHARE,
-          ngram_share=NGRAM_SHARE) -> Model:
-    """The model of the training rows of `docs`."""
-    spark = docs.sparkSession
-    rows = docs.filter(~held_out(id_col)).select(F.col(text_col).alias("text"))
-    words = checkpointed(unigrams(rows))
-    sums = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total, types = sums["n"] or 0, sums["v"]
-    least = vocabulary_share * total
+          ngram_share=NGRAM_SHARE, held=HELD) -> Model:
+    """The model of the training rows of `docs`. With a `vocabulary_share`, words below it are in
+    no pair or triple; with an `ngram_share`, pairs and triples below it are not listed."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       (~held_out(id_col)).alias("learn"))
+    words = checkpointed(unigrams(rows.filter("learn").select("text")))
+    # at most sqrt(2 total) different counts
+    levels = sorted(((r[0], r[1]) for r in words.groupBy("c").agg(F.count("*")).collect()), reverse=True)
+    total, types = sum(c * k for c, k in levels), sum(k for _, k in levels)
+    least, above = 1 + max((c for c, _ in levels), default=0), 0
+    for c, k in levels:
+        if (above := above + k) > held:
+            break
+        least = c
+    if vocabulary_share:
+        least = vocabulary_share * total
     end = END.decode()
-    t = words.filter((F.col("c") >= least) | (F.col("word") == end)).toArrow()  # at most 1 / share words
+    t = words.filter((F.col("c") >= least) | (F.col("word") == end)).toArrow()
     count = {w: c for w, c in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)}
     ends = count.pop(end, 0)
     names = sorted(count, key=lambda w: (-count[w], w))
-    rare = words.filter((F.col("c") < least) & (F.col("word") != end))
-    packed = " ".join(names).encode("utf-8")
-    counts = np.array([ends, *(count[w] for w in names)], np.int64)
-    first = Model(spark, packed, _trie(counts, total, types), rare)
-    if not total:
-        return first
-    pairs = _collected(_counted(rows, first.shared, _pair_keys), max(1, ngram_share * total))
-    second = Model(spark, packed, _trie(counts, total, types, pairs), rare)
-    triples = _collected(_counted(rows, second.shared, _triple_keys), max(1, ngram_share * total))
-    return Model(spark, packed, _trie(counts, total, types, pairs, triples), rare)
+    rare = words.filter((F.col("c") < least) & (F.col("word") != end)).select(digest("word").alias("digest"), "c")
+    return Model(rows, (docs, id_col, text_col), " ".join(names).encode("utf-8"), np.array([ends, *(count[w] for w in names)], np.int64),
+                 total, types, rare, not vocabulary_share, max(1, ngram_share * total))
 
 
 # ---------------------------------------------------------------- scoring
 
-PARTS = "row long, doc_id long, n_tokens long, n_known long, base double, score double, word string, times long"
+ANSWERS = "batch long, word long, doc int, times long, listed double, back double, data binary"
+SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _answered(dealt: DataFrame, model: Model, n: int) -> DataFrame:
+    """For each piece and task the documents' sums; a row for each triple of a document whose
+    last word is rare; the heads."""
+    shared, whole, total, types, least = model.shared, model.whole, model.total, model.types, model.least
+
+    def batch_of(blobs: list[tuple], rare: list[np.ndarray]) -> pa.RecordBatch:
+        """`blobs`: (batch, data); `rare`: columns batch, word, doc, times, listed, back."""
+        m = len(blobs)
+        columns = [np.concatenate(x) for x in zip(*rare, strict=True)] if rare else [np.zeros(0)] * 6
+        k = len(columns[0])
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64())
+        arrays = [pa.concat_arrays([pa.array([b[0] for b in blobs], t) if j == 0 else pa.nulls(m, t),
+                                    pa.array(c.astype(t.to_pandas_dtype()))])
+                  for j, (c, t) in enumerate(zip(columns, types, strict=True))]
+        arrays.append(pa.concat_arrays([pa.array([b[1] for b in blobs], pa.binary()), pa.nulls(k, pa.binary())]))
+        return pa.RecordBatch.from_arrays(arrays, names=["batch", "word", "doc", "times", "listed", "back", "data"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        sums: dict[int, np.ndarray] = {}
+        for rb in batches:
+            heads = []
+            for place, kind, batch, data in zip(*[c.to_pylist() for c in rb.columns], strict=True):
+                (heads if kind == HEAD else held.setdefault(place, [])).append((batch, data))
+            if heads:
+                yield batch_of(heads, [])
+        _state.clear()  # here the counts are enough
+        counts = shared.value[1]
+        unit = np.log10((counts + ADD) / (total + ADD * (types + 1)))
+        for place in sorted(held):
+            blobs = held.pop(place)
+            words, trie = _built([data for _, data in blobs], counts, Deal(n, counts, total), total, types, whole, least)
+            while blobs:
+                group, size = [], 0
+                while blobs and size < ANSWERED:
+                    batch, data = blobs.pop()
+                    part = _unpacked(data)
+                    if len(part[6]):
+                        group.append((batch, part))
+                        size += len(part[1])
+                if not group:
+                    break
+                own = []
+                for _, (codes, *_rest) in group:
+                    at = np.minimum(np.searchsorted(words, codes), len(words) - 1)
+                    own.append(np.where(words[at] == codes, at, -1))
+                listed, back = trie.look_up(*[np.concatenate([x[g[1][k]] for x, g in zip(own, group, strict=True)])
+                                              for k in (1, 2, 3)])
+                begin, rare = 0, []
+                for batch, (codes, _u, _v, w, _c, k, doc, times) in group:
+                    a, b = listed[begin:begin + len(w)], back[begin:begin + len(w)]
+                    begin += len(w)
+                    word = codes[w]
+                    small = word < RARE
+                    score = np.where(np.isfinite(a), a, b + unit[np.where(small, word, 0)])
+                    of = np.repeat(np.arange(len(w)), k)  # the triple of each cell
+                    known = small[of]
+                    got = np.bincount(doc[known], times[known] * score[of[known]])
+                    old = sums.get(batch, got[:0])
+                    if len(old) < len(got):
+                        old, got = got, old
+                    old[:len(got)] += got
+                    sums[batch] = old
+                    other = np.flatnonzero(~known)
+                    if len(other):
+                        t = of[other]
+                        rare.append([np.full(len(t), batch), word[t] - RARE, doc[other], times[other], 10.0 ** a[t], 10.0 ** b[t]])
+                if rare:
+                    yield batch_of([], rare)
+                if sum(len(x) for x in sums.values()) > SUMS // 8:
+                    yield batch_of([(k, b"s" + x.tobytes()) for k, x in sums.items()], [])
+                    sums.clear()
+        if sums:
+            yield batch_of([(k, b"s" + x.tobytes()) for k, x in sums.items()], [])
+
+    return dealt.repartitionById(n // IN_TURN, F.pmod("place", F.lit(n // IN_TURN)).cast("int")).mapInArrow(run, ANSWERS)
 
 
 def score_documents(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each
     row of `docs`."""
-    shared = model.shared
-    total, types = model.trie.total, model.trie.types
-    norm = math.log10(total + ADD * (types + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, trie = _opened(shared)
-        unit = np.log10(trie.a["count"] + ADD) - norm
-        row = TaskContext.get().partitionId() << 40  # the same when a task runs again
+    n = shuffle_width(docs.sparkSession)
+    total, types = model.total, model.types
+    if model.source[0] is docs and model.source[1:] == (id_col, text_col):
+        dealt = _dealt(model.docs, model, n * IN_TURN, True)
+    else:
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                           F.lit(False).alias("learn"))
+        dealt = _dealt(model.docs.filter("learn"), model, n * IN_TURN, False).unionByName(
+            _dealt(rows, model, n * IN_TURN, True))
+    answers = _answered(dealt, model, n * IN_TURN)
+    # rows without a word are spread, and match nothing
+    answers = answers.withColumn("__key", F.coalesce("word", F.xxhash64("batch", "data")))
+    met = answers.join(model.rare, (F.col("__key") == F.col("digest")) & F.col("word").isNotNull(), "left").select(
+        "batch", "doc", "times", "listed", "back", "data", F.coalesce("c", F.lit(0)).alias("c"))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: dict[int, tuple] = {}
+        sums: dict[tuple[int, str], np.ndarray] = {}
+
+        def add(batch, name, x):
+            old = sums.get((batch, name))
+            if old is None or len(old) < len(x):
+                old, x = x.copy(), old
+            if x is not None:
+                old[:len(x)] += x
+            sums[batch, name] = old
 
         for rb in batches:
-            for at in range(0, rb.num_rows, DOCS_AT_ONCE):
-                part = rb.slice(at, DOCS_AT_ONCE)
-                ids: list[int] = []
-                ends, unknown = [], []
-                for k, text in enumerate(part.column(1).to_pylist()):
-                    words = tokens(text)
-                    own = [vocabulary.get(w, -1) for w in words]
-                    if -1 in own:
-                        unknown += [(row + k, w, c) for w, c in Counter(
-                            [w for w, i in zip(words, own, strict=True) if i < 0]).items()]
-                    ids += own
-                    ends.append(len(ids))
-                flat = np.array(ids, np.int64)
-                begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                known = flat >= 0
-                n = part.num_rows
-                base = np.add.reduceat(np.where(known, unit[np.maximum(flat, 0)], 0.0), begins)
-                score = np.add.reduceat(trie.score(flat), begins)
-                sums = np.add.reduceat((known & (trie.a["count"][np.maximum(flat, 0)] > 0)).astype(np.int64), begins)
-                m = len(unknown)
-                rows = np.concatenate([row + np.arange(n), np.array([u[0] for u in unknown], np.int64)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows), pa.concat_arrays([part.column(0), pa.nulls(m, pa.int64())]),
-                    pa.array(np.concatenate([np.diff([0, *ends]), np.zeros(m, np.int64)])),
-                    pa.array(np.concatenate([sums, np.zeros(m, np.int64)])),
-                    pa.array(np.concatenate([base, np.zeros(m)])), pa.array(np.concatenate([score, np.zeros(m)])),
-                    pa.concat_arrays([pa.nulls(n, pa.string()),
-                                      pa.array([u[1] for u in unknown], pa.binary()).cast(pa.string())]),
-                    pa.array(np.concatenate([np.zeros(n, np.int64), np.array([u[2] for u in unknown], np.int64)]))],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "times"])
-                row += n
-
-    parts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PARTS)
-    # exact counts of the rare words; an unknown word counts 0
-    met = parts.join(model.rare, "word", "left")
-    c = F.coalesce("c", F.lit(0))
-    rare = F.col("times") * (F.log10(c + F.lit(ADD)) - F.lit(norm))
-    return (met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + rare).alias("base_score"), F.sum(F.col("score") + rare).alias("score"))
-        .select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known",
-                F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))
+            batch, data = rb.column(0).to_numpy(), rb.column(5)
+            word = rb.column(1).is_valid().to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(~word).tolist():
+                blob = data[i].as_py()
+                if blob[:1] == b"s":
+                    add(int(batch[i]), "score", np.frombuffer(blob, offset=1))
+                else:
+                    heads[int(batch[i])] = pickle.loads(blob)
+            for b in np.unique(batch[word]).tolist():
+                of = np.flatnonzero(word & (batch == b))
+                doc, times, listed, back, c = (rb.column(k).take(pa.array(of)).to_numpy() for k in (1, 2, 3, 4, 6))
+                p1 = (c + ADD) / (total + ADD * (types + 1))
+                add(b, "score", np.bincount(doc, times * np.log10(listed + back * p1)))
+                add(b, "base", np.bincount(doc, times * np.log10(p1)))
+                add(b, "known", np.bincount(doc, times * (c > 0)))
+        for b, (ids, n_tokens, known, base, score) in heads.items():
+            more = {k: np.zeros(len(ids)) for k in ("score", "base", "known")}
+            for k, x in more.items():
+                if (got := sums.get((b, k))) is not None:
+                    x[:len(got)] = got
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(n_tokens), pa.array(known + np.round(more["known"]).astype(np.int64)),
+                 pa.array(base + more["base"]), pa.array(score + more["score"])],
+                names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    return (met.repartition(n, "batch").mapInArrow(finish, SCORES)
+            .select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known",
+                    F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -119,3 +119,37 @@ def test_edges(spark):
     assert ngram.score_documents(df.limit(0), ngram.train(df)).count() == 0
     none = ngram.score_documents(df, ngram.train(df.limit(0))).collect()
     assert {(r["n_known"], r["train_tokens"], r["score"]) for r in none} == {(0, 0, 0.0)}
+
+
+def test_nothing_is_cut_whatever_the_size(spark):
+    """A word, pair and triple that a corpus of any size holds once are in the model, also when only
+    the most frequent words are held and the tries are many."""
+    assert ngram.VOCABULARY_SHARE == ngram.NGRAM_SHARE == 0
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    slow = Slow([r["text"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 10], 0)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "67")
+    try:
+        model = ngram.train(docs, held=400)  # nearly all words are rare, frequent ones divided
+        assert model.rare.count() > 0.9 * slow.v and (ngram.Deal(67 * ngram.IN_TURN, model.counts, model.total).parts > 1).any()
+        got = {r["doc_id"]: r for r in ngram.score_documents(docs, model).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(got) == len(rows)
+    for r in rows:
+        w, g = words(r["text"]), got[r["doc_id"]]
+        assert (g["n_tokens"], g["n_known"]) == (len(w), sum(slow.c1[x] > 0 for x in w))
+        assert abs(g["base_score"] - sum(math.log10(slow.p1(x)) for x in w)) < 1e-6 * len(w)
+        assert abs(g["score"] - slow.score(r["text"])) < 2e-4 * len(w)
+
+
+def test_other_rows_than_the_learnt_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    model = ngram.train(docs, held=400)
+    key = lambda r: r["doc_id"]
+    at_once = sorted(ngram.score_documents(docs, model).collect(), key=key)
+    apart = sorted(ngram.score_documents(docs.select("text", "doc_id"), model).collect(), key=key)
+    assert len(apart) == 300
+    for a, b in zip(at_once, apart):
+        assert a[:5] == b[:5] and abs(a["score"] - b["score"]) < 2e-4 * a["n_tokens"]
