@@ -6,18 +6,19 @@ from all documents of the language. A document is rejected if it fails the base
 distance is over its limit. Short texts vary by chance, so a distance counts only from a
 minimum length on, and its limit falls with length to its final value.
 
-References are bounded: a language gets its own if it holds at least `LANG_SHARE` of the
-documents (so at most 1 / LANG_SHARE of them); null and rarer languages share one. A
-reference counts `COMMON` words and one bin for all others.
+Every language with at least `MIN_REFERENCE` words has its own reference, whatever its share of
+the documents. The `HELD` largest references go to the workers at once; should there be more,
+they are joined to their documents. A reference counts `COMMON` words and one bin for all others.
 
 Defined cases: a null text has no words and fails the base rules (fewer than 10 words); a null
-lang uses the shared reference; a reference of fewer than `MIN_REFERENCE` words rejects
-nothing; equal rows get equal results; an empty table gives an empty result; an input column
+lang, and one of fewer than `MIN_REFERENCE` words, has no reference: only the base rules, which
+need no language, reject there, and both distances are 0; equal rows get equal results; an empty table gives an empty result; an input column
 named like a result is replaced.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -29,15 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import checkpointed, without
 
-LANG_SHARE = 0.001
 COMMON = 60
+HELD = 2_000
 MIN_REFERENCE = 2_000
 MIN_CHARS, MIN_WORDS = 100, 40
 CHAR_LIMIT, WORD_LIMIT = 0.25, 0.25
 CHAR_SLACK, WORD_SLACK = 1.2, 2.2
-SHARED = ""
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 _LOWER = bytes(range(97, 123))
@@ -100,19 +100,11 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
             dup, repeated_words(words))
 
 
-def _key(langs: list[str]):
-    """The reference a row belongs to."""
-    return F.when(F.col("__lang").isin(langs), F.col("__lang")).otherwise(F.lit(SHARED))
-
-
-def references(docs: DataFrame, text_col="text", lang_col="lang") -> dict[str, tuple]:
-    """language -> (character-class histogram, common word -> bin, word histogram). At most
-    1 / LANG_SHARE + 1 references."""
-    rows = docs.select(F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"))
-    per = rows.groupBy("__lang").agg(F.count("*").alias("n"))
-    total = per.agg(F.sum("n")).first()[0] or 0
-    langs = [r[0] for r in per.filter((F.col("n") >= LANG_SHARE * total) & F.col("__lang").isNotNull()).collect()]
-    rows = rows.select(_key(langs).alias("key"), "__text").filter(F.col("__text").isNotNull())
+def references(docs: DataFrame, text_col="text", lang_col="lang") -> DataFrame:
+    """(key, chars, total, common): a row for each language of at least `MIN_REFERENCE` words with
+    its character-class histogram, its number of words, and its common words (rank, word, n)."""
+    rows = (docs.select(F.col(lang_col).alias("key"), F.col(text_col).alias("__text"))
+            .filter(F.col("key").isNotNull() & F.col("__text").isNotNull()))
 
     def classes(batches):
         for rb in batches:
@@ -125,29 +117,29 @@ def references(docs: DataFrame, text_col="text", lang_col="lang") -> dict[str, t
                 [pa.array(list(sums), pa.string()), pa.array([list(c) for c in sums.values()], pa.list_(pa.float64()))],
                 names=["key", "c"])
 
-    chars: dict[str, np.ndarray] = {}
-    total_words: dict[str, float] = {}
     summed = rows.mapInArrow(classes, "key string, c array<double>").groupBy("key").agg(
-        *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(7)])
-    for r in summed.collect():
-        chars[r[0]], total_words[r[0]] = np.array(r[1:7], float), r[7]
+        F.array(*[F.sum(F.col("c")[i]) for i in range(6)]).alias("chars"), F.sum(F.col("c")[6]).alias("total"))
     words = (rows.select("key", F.explode(F.split(F.lower("__text"), r"[\x20\x09-\x0D]+")).alias("w"))
              .filter("w <> ''").groupBy("key", "w").agg(F.count("*").alias("n")))
     top = (words.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy(F.desc("n"), "w")))
-           .filter(F.col("r") <= COMMON))
-    lists: dict[str, list] = {}
-    for r in top.collect():
-        lists.setdefault(r["key"], []).append((r["r"], r["w"], r["n"]))
-    out = {}
-    for key, n_all in total_words.items():
-        found = sorted(lists.get(key, []))
-        hist = np.zeros(COMMON + 1)
-        for k, _, n in found:
-            hist[k - 1] = n
-        hist[COMMON] = n_all - hist.sum()
-        if n_all >= MIN_REFERENCE:
-            out[key] = (chars[key], {w.encode("utf-8"): k - 1 for k, w, _ in found}, hist)
-    return out
+           .filter(F.col("r") <= COMMON)
+           .groupBy("key").agg(F.collect_list(F.struct("r", "w", "n")).alias("common")))
+    return summed.filter(F.col("total") >= MIN_REFERENCE).join(top, "key")
+
+
+def _reference(chars, total, common) -> tuple:
+    """(character-class histogram, common word -> bin, word histogram) from a row of `references`."""
+    hist = np.zeros(COMMON + 1)
+    for r, _, n in common:
+        hist[r - 1] = n
+    hist[COMMON] = total - hist.sum()
+    return np.array(chars, float), {w.encode("utf-8"): r - 1 for r, w, _ in common}, hist
+
+
+def _fields(packed: str) -> tuple:
+    """chars, total, common from the JSON form of a reference."""
+    r = json.loads(packed)
+    return r["chars"], r["total"], [(int(k), w, int(n)) for k, w, n in r["common"]]
 
 
 def judge(text: str | None, reference) -> tuple:
@@ -169,18 +161,36 @@ def judge(text: str | None, reference) -> tuple:
     return (*base, failed, far_chars, far_words, not failed and not off)
 
 
-def quality_rules(docs: DataFrame, *, text_col="text", lang_col="lang") -> DataFrame:
+def quality_rules(docs: DataFrame, *, text_col="text", lang_col="lang", held=HELD) -> DataFrame:
     """`docs` with the base counts, both distances and the verdict `kept`."""
     docs = without(docs, OUTPUTS, keep=(text_col, lang_col))
-    shared = docs.sparkSession.sparkContext.broadcast(references(docs, text_col, lang_col))
+    table = checkpointed(references(docs, text_col, lang_col))
+    top = table.orderBy(F.desc("total"), "key").limit(held).collect()
+    shared = docs.sparkSession.sparkContext.broadcast({r[0]: _reference(*r[1:]) for r in top})
     schema = ", ".join(f"{k} {v}" for k, v in OUTPUTS.items())
 
     @F.pandas_udf(schema)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         refs = shared.value
         for texts, langs in batches:
-            yield pd.DataFrame([judge(t, refs.get(lang, refs.get(SHARED))) for t, lang in zip(texts, langs, strict=True)],
+            yield pd.DataFrame([judge(t, refs.get(lang)) for t, lang in zip(texts, langs, strict=True)],
                                columns=list(OUTPUTS))
 
-    return (docs.withColumn("__q", run(F.col(text_col), F.col(lang_col)))
-            .select(*[f"`{c}`" for c in docs.columns], *[F.col(f"__q.{k}").alias(k) for k in OUTPUTS]))
+    @F.pandas_udf(schema)
+    def run_joined(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, packed in batches:
+            yield pd.DataFrame([judge(t, None if r is None else _reference(*_fields(r)))
+                                for t, r in zip(texts, packed, strict=True)], columns=list(OUTPUTS))
+
+    def results(judged: DataFrame) -> DataFrame:
+        return judged.select(*[f"`{c}`" for c in docs.columns], *[F.col(f"__q.{k}").alias(k) for k in OUTPUTS])
+
+    if len(top) < held or table.count() == held:
+        return results(docs.withColumn("__q", run(F.col(text_col), F.col(lang_col))))
+    own = F.col(lang_col).isNull() | F.col(lang_col).isin([r[0] for r in top])
+    triples = F.transform("common", lambda x: F.array(x["r"].cast("string"), x["w"], x["n"].cast("string")))
+    more = table.select(F.col("key").alias("__key"), F.to_json(F.struct(
+        "chars", "total", triples.alias("common"))).alias("__reference"))
+    joined = docs.filter(~own).join(more, F.col(lang_col) == F.col("__key"), "left")
+    return results(docs.filter(own).withColumn("__q", run(F.col(text_col), F.col(lang_col)))).unionByName(
+        results(joined.withColumn("__q", run_joined(F.col(text_col), F.col("__reference")))))

@@ -148,3 +148,28 @@ def test_toxicity_edges(spark):
     none = toxicity.train(docs.limit(0), labels)
     assert {r["predicted"] for r in toxicity.toxicity(edge(spark), none).collect()} == {0}
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
+
+
+def test_rare_and_null_languages(spark):
+    """A rare language has its own reference; without one only the base rules reject."""
+    rng = random.Random(5)
+
+    def texts(alphabet, n):
+        words = ["".join(rng.choice(alphabet) for _ in range(rng.randint(2, 9))) for _ in range(300)]
+        return [" ".join(words[min(299, int(rng.expovariate(0.05)))] for _ in range(80)) for _ in range(n)]
+
+    latin, greek, other = texts("abcdefghij", 4000), texts("αβγδεζηθικ", 100), texts("бвгджзклмн", 5)
+    rows = [(t, "aa") for t in latin] + [(t, "gg") for t in greek[:40]] + [(t, None) for t in greek[40:]] + [
+        (t, "zz") for t in other]
+    rows += [(t, "aa") for t in latin * 10]  # gg is under 0.1 %
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    at_once = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
+    joined = {r["doc_id"]: r for r in quality.quality_rules(df, held=1).collect()}
+    assert len(at_once) == len(joined) == len(rows) and at_once == joined
+    for i, (_, lang) in enumerate(rows):
+        if lang != "aa" and not at_once[i]["base_failed"]:
+            assert at_once[i]["kept"]
+            assert (at_once[i]["word_distance"] > 0) == (lang == "gg")
+    # the reference is a language's own: a text of another one is far from it
+    mislabelled = df.withColumn("lang", F.when(F.col("doc_id") == 0, "gg").otherwise(F.col("lang")))
+    assert not {r["doc_id"]: r["kept"] for r in quality.quality_rules(mislabelled).collect()}[0]
