@@ -6,8 +6,11 @@ five-character beginning, down to three characters and the base rate. So unseen
 toxic stems score too, and rare words stay near the base rate. A constant is taken off, which
 makes the expected score negative.
 
-One linear scan finds all maximal scoring segments of a text (no segment can be extended or
-shortened with gain). Their scores follow an extreme-value law in clean text: a segment of
+One linear scan over the scores of all occurrences finds all maximal scoring segments of a text
+(no segment can be extended or shortened with gain). Inside a segment a word scores above zero
+once: the segment's score is that of its best part, with repeats in the part taken as words
+without evidence. So a text that repeats one word a hundred times is no hundred times as toxic,
+and what stands elsewhere in the text takes nothing from a passage. These scores follow an extreme-value law in clean text: a segment of
 score S in n words is expected K n exp(-lambda S) times by chance. lambda solves
 sum p(s) exp(lambda s) = 1 over the word scores of clean training texts, K is fitted to their
 best segments. Segments expected less than `SIGNIFICANT` times are passages; the text's
@@ -91,6 +94,33 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, y - x) for a, b, x, y in out]
 
 
+def distinct_score(words: list[str], scores: np.ndarray) -> float:
+    """The greatest score of a part of a segment if repeats of a word in the part score -MARGIN.
+
+    Ends go from left to right; `value` holds the score from each start to the end. A start
+    that is worth no more than the next one never is again, which is so once its word comes
+    again: there are never more starts than different words."""
+    up = np.flatnonzero(scores > 0).tolist()
+    names = [words[i].strip(STRIP) for i in up]
+    if len(set(names)) == len(names):
+        return float(scores.sum())
+    total = np.concatenate(([0.0], np.cumsum(scores)))
+    starts, value = np.zeros(0, np.int64), np.zeros(0)
+    latest: dict[str, int] = {}
+    best, end = 0.0, 0
+    for i, name in zip(up, names, strict=True):
+        value += total[i] - total[end]  # the words between, none above zero
+        k = int(np.searchsorted(starts, latest.get(name, -1), "right"))
+        value[:k] -= MARGIN
+        value[k:] += scores[i]
+        starts, value = np.append(starts, i), np.append(value, scores[i])
+        if k and value[k - 1] <= value[k]:
+            starts, value = np.delete(starts, k - 1), np.delete(value, k - 1)
+        latest[name], end = i, i + 1
+        best = max(best, float(value.max()))
+    return best
+
+
 @dataclass
 class Model:
     """Scores of the known units, and the constants of the calibration."""
@@ -117,23 +147,18 @@ class Model:
                 self.memo[raw] = score
         return score
 
-    def word_scores(self, text: str | None) -> np.ndarray:
-        """Scores of the words of a text. A word scores above zero once: a text that repeats
-        one word a hundred times is no hundred times as toxic."""
+    def scan(self, text: str | None) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
+        """Scores of all words of a text, and its maximal segments (first, last, score) with
+        repeats inside a segment counted once."""
         words = words_of(text or "")
         scores = np.array([self.word(w) for w in words], float)
-        seen: set[str] = set()
-        for i in np.flatnonzero(scores > 0).tolist():
-            if (w := words[i].strip(STRIP)) in seen:
-                scores[i] = -MARGIN
-            seen.add(w)
-        return scores
+        return scores, [(a, b, distinct_score(words[a:b + 1], scores[a:b + 1])) for a, b, _ in segments(scores)]
 
     def passages(self, text: str | None) -> list[tuple[int, int, float, float]]:
-        s = self.word_scores(text)
+        scores, parts = self.scan(text)
         found = []
-        for first, last, score in segments(s):
-            expected = math.exp(min(700.0, self.log_k + math.log(len(s)) - self.lam * score))
+        for first, last, score in parts:
+            expected = math.exp(min(700.0, self.log_k + math.log(len(scores)) - self.lam * score))
             if expected < SIGNIFICANT:
                 found.append((first, last, score, expected))
         return found
@@ -249,10 +274,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
             out: list[tuple] = []
             hist: Counter[float] = Counter()
             for text, toxic in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
-                s = m.word_scores(text)
+                s, parts = m.scan(text)
                 if not toxic:
                     hist.update(np.round(s, 1).tolist())
-                out.append((toxic, len(s), [x[2] for x in segments(s)], None, None))
+                out.append((toxic, len(s), [x[2] for x in parts], None, None))
             out += [(None, None, None, float(v), k) for v, k in hist.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out, strict=True) if out else [[]] * 5,

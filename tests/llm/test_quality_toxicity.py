@@ -173,3 +173,35 @@ def test_rare_and_null_languages(spark):
     # the reference is a language's own: a text of another one is far from it
     mislabelled = df.withColumn("lang", F.when(F.col("doc_id") == 0, "gg").otherwise(F.col("lang")))
     assert not {r["doc_id"]: r["kept"] for r in quality.quality_rules(mislabelled).collect()}[0]
+
+
+def test_repeats_count_once_inside_a_segment():
+    def slow(words, s):
+        best = 0.0
+        for i in range(len(s)):
+            seen, v = set(), 0.0
+            for j in range(i, len(s)):
+                v += -toxicity.MARGIN if s[j] > 0 and words[j] in seen else s[j]
+                seen.add(words[j])
+                best = max(best, v)
+        return best
+    rng = random.Random(6)
+    value = {w: rng.uniform(0.2, 4) if w < "e" else -toxicity.MARGIN for w in "abcdefghij"}
+    for _ in range(600):
+        words = [rng.choice("abcdefghij") for _ in range(rng.randint(1, 40))]
+        scores = np.array([value[w] for w in words])
+        for a, b, _ in toxicity.segments(scores):
+            assert abs(toxicity.distinct_score(words[a:b + 1], scores[a:b + 1]) - slow(words[a:b + 1], scores[a:b + 1])) < 1e-9
+
+
+def test_passages_of_long_texts():
+    """Words that stood alone before, or a passage that comes again, are found all the same."""
+    toxic = ["idiot", "moron", "scum", "vermin"]
+    model = toxicity.Model(scores={w + "$": 4.0 for w in toxic}, lam=1.0, log_k=-1.0)
+    gap = " fine" * 400
+    once = gap + " " + " ".join(toxic) + gap
+    alone = "".join(gap + " " + w for w in toxic)
+    assert len(model.passages(once)) == 1 and not model.passages(alone)
+    assert [p[:2] for p in model.passages(alone + once)] == [(2004, 2007)]
+    assert len(model.passages(once + once)) == 2
+    assert not model.passages(" idiot" * 100 + gap)  # one word again and again is no passage
