@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity
+from . import bpe, chat, filteraudit, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity
 from .common import table
 
 
@@ -75,6 +75,11 @@ def op10_toxicity(spark, sf_dir):
         F.size("passages").cast("long").alias("n_passages"))
 
 
+def op13_filter_audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filteraudit.filter_audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, source,
@@ -185,6 +190,43 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS m
+  FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, m, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, m),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+         CAST(1 << (ascii(substr(filter_order, step, 1)) - 65) AS INT) AS bit,
+         CAST(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(substr(filter_order, k, 1)) - 65))) AS INT) AS gone
+  FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, letter,
+         CAST(sum(CASE WHEN m & (coalesce(gone, 0) | bit) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN m & bit > 0 AND m & coalesce(gone, 0) = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN m & bit > 0 AND m & coalesce(gone, 0) > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN m = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN m & bit > 0 AND m & coalesce(gone, 0) = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN m & bit > 0 AND m & coalesce(gone, 0) = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES = {
     "op1_imatch": op1_imatch,
     "op2_byte_bpe": op2_byte_bpe,
@@ -196,10 +238,12 @@ QUERIES = {
     "op8_ngram_score": op8_ngram_score,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL = {
     "op1_imatch": OP1_SQL,
     "op4_mix_sources": OP4_SQL,
     "op6_chat_format": OP6_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
