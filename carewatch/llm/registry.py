@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, filteraudit, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity
+from ..sources.readers import literal_table
+from . import bpe, chat, filteraudit, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity, urlfilter
 from .common import table
 
 
@@ -75,6 +76,19 @@ def op10_toxicity(spark, sf_dir):
         F.size("passages").cast("long").alias("n_passages"))
 
 
+#: The contract's rules, and words that mark a host whose pages are listed (fixed values).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+LISTED_HOSTS = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
+
+
+def op11_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = literal_table(spark, URL_RULES, "host string, path string, verdict string")
+    listed = pages.where(urlfilter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return urlfilter.filter_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict", "canonical")
+
+
 def op13_filter_audit(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return filteraudit.filter_audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
@@ -190,6 +204,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+OP11_SQL = """
+WITH p AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+h AS (
+  SELECT page_id, rest, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x:
+           x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$'))) AS kept
+  FROM p),
+c AS (
+  SELECT page_id, host, path, CASE WHEN rest IS NOT NULL THEN
+           regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), '\\.*(:(80|443)?)?$', ''), '^www\\.', '')
+           || regexp_replace(path, '(/index\\.html?)?/*$', '')
+           || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+  FROM h),
+listed AS (
+  SELECT DISTINCT canonical FROM c
+  WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)')),
+rules(r_host, r_path, r_verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (
+  SELECT page_id, max_by(r_host || r_path, length(r_host || r_path)) AS rule,
+         max_by(r_verdict, length(r_host || r_path)) AS r_verdict
+  FROM c JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path) GROUP BY page_id)
+SELECT page_id, host, path, rule, canonical,
+       coalesce(r_verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best USING (page_id)
+"""
+
 OP13_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -238,6 +283,7 @@ QUERIES = {
     "op8_ngram_score": op8_ngram_score,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_url_filter": op11_url_filter,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -245,5 +291,6 @@ SQL = {
     "op1_imatch": OP1_SQL,
     "op4_mix_sources": OP4_SQL,
     "op6_chat_format": OP6_SQL,
+    "op11_url_filter": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }
