@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.readers import literal_table
-from . import bpe, chat, filteraudit, imatch, mixing, ngram, quality, sharding, simhash, tokencount, toxicity, urlfilter
+from . import bpe, chat, filteraudit, imatch, merkle, mixing, ngram, quality, sharding, simhash, tokencount, toxicity, urlfilter
 from .common import table
 
 
@@ -89,6 +89,13 @@ def op11_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict", "canonical")
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+                      F.translate("text", urlfilter.UPPER, urlfilter.LOWER))
+    return merkle.proofs_after_edits(docs, tampered)
+
+
 def op13_filter_audit(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return filteraudit.filter_audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
@@ -235,6 +242,59 @@ SELECT page_id, host, path, rule, canonical,
 FROM c LEFT JOIN best USING (page_id)
 """
 
+
+def _op12_fold(name: str, nodes: str, levels: int) -> str:
+    """CTEs {name}1 .. {name}<levels>: runs of 16 of the level below, a tree of one node as it is."""
+    out = []
+    for k in range(1, levels + 1):
+        out.append(f"""
+{name}{k} AS (
+  SELECT tree, idx // 16 AS idx, list(h ORDER BY idx) AS hs, any_value(width) AS below, (any_value(width) + 15) // 16 AS width,
+         CASE WHEN any_value(width) > 1 THEN sha256(string_agg(h, '' ORDER BY idx)) ELSE any_value(h) END AS h
+  FROM {nodes if k == 1 else f"{name}{k - 1}"} GROUP BY tree, idx // 16)""")
+    return ",".join(out)
+
+
+def _op12_climb(rows: str, name: str, tree: str, idx: str, levels: int, out: str) -> str:
+    """CTEs that add each level's siblings to `proof` and fold `f` with them."""
+    made = []
+    for k in range(1, levels + 1):
+        p = f"CAST(({idx} // {16 ** (k - 1)}) % 16 AS INT)"
+        made.append(f"""
+{out}{k} AS (
+  SELECT r.* REPLACE (
+    CASE WHEN n.below > 1 THEN r.proof || array_to_string(n.hs[1:{p}] || n.hs[{p} + 2:], '') ELSE r.proof END AS proof,
+    CASE WHEN n.below > 1 THEN sha256(array_to_string(n.hs[1:{p}] || [r.f] || n.hs[{p} + 2:], '')) ELSE r.f END AS f)
+  FROM {rows if k == 1 else f"{out}{k - 1}"} r JOIN {name}{k} n ON n.tree = {tree} AND n.idx = {idx} // {16 ** k})""")
+    return ",".join(made)
+
+
+_OP12_ENC = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_OP12_LEAF = "sha256({} || {} || {} || {} || {})"
+_OP12_HEAD = [_OP12_ENC.format(c) for c in ("doc_id", "source", "lang", "n_chars")]
+# the CRC of the decimal digits, a bit at a time (reflected polynomial of IEEE 802.3)
+_OP12_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+             "lambda c: ascii(c)::BIGINT)), lambda a, c: list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+             "lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+OP12_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, {_OP12_LEAF.format(*_OP12_HEAD, _OP12_ENC.format("text"))} AS leaf,
+         CASE WHEN {_OP12_CRC} % 5 = 0 THEN {_OP12_LEAF.format(*_OP12_HEAD, _OP12_ENC.format(
+             "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))} END AS changed
+  FROM documents),
+e AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS width FROM d),
+l0 AS (SELECT tree, idx, leaf AS h, width FROM e),{_op12_fold("l", "l0", 6)},
+t0 AS (SELECT 0 AS tree, tree AS idx, h, (SELECT count(*) FROM l6) AS width FROM l6),{_op12_fold("t", "t0", 4)},
+c0 AS (SELECT doc_id, source, leaf, tree, idx, '' AS proof, coalesce(changed, leaf) AS f FROM e),
+{_op12_climb("c0", "l", "r.tree", "r.idx", 6, "c")},
+{_op12_climb("c6", "t", "0", "r.tree", 4, "s")}
+SELECT s4.doc_id, s4.source, leaf, l6.h AS subroot, t4.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t4.h AS verified
+FROM s4 JOIN l6 ON l6.tree = s4.tree CROSS JOIN t4
+"""
+
 OP13_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -284,6 +344,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
     "op11_url_filter": op11_url_filter,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -292,5 +353,6 @@ SQL = {
     "op4_mix_sources": OP4_SQL,
     "op6_chat_format": OP6_SQL,
     "op11_url_filter": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
