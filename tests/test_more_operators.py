@@ -81,7 +81,7 @@ def test_overlapping_ranges_and_repeated_keys(spark):
     assert got == [("B20", "first"), ("C10", "first"), (None, None)]
     nums = spark.createDataFrame([(5.0,), (250.0,)], "x double")
     bands = spark.createDataFrame([(0.0, 9.0, "low"), (100.0, 400.0, "high")], "lo double, hi double, b string")
-    assert rows(J.interval_lookup(nums, bands, "x", "lo", "hi", ["b"], bin_width=50.0)) == [(250.0, "high"), (5.0, "low")]
+    assert rows(J.interval_lookup(nums, bands, "x", "lo", "hi", ["b"])) == [(250.0, "high"), (5.0, "low")]
     twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     try:
         J.outer_merge([twice, spark.createDataFrame([(1, 2)], "k int, w int")], "k").collect()
