@@ -211,52 +211,46 @@ def _kind(t: T.DataType) -> str:
     return "number" if isinstance(t, T.NumericType) else "time" if isinstance(t, (T.DateType, T.TimestampType)) else t.typeName()
 
 
-def range_winners(keys: DataFrame, ranges: DataFrame, lo: str, hi: str, order: Column, cols: Sequence[str]) -> DataFrame:
-    """(v, winner) for the distinct `keys` (column v) that a range holds; `winner` is the struct of
-    `cols` of the first such range by `order`.
+def range_winners(keys: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(v, rank) for the distinct `keys` (column v) that one of `ranges` (rank, lo, hi; ranks are
+    different) holds: the least rank of the ranges with lo <= v <= hi, a null bound being open.
 
     A sweep in four steps, none of which sees all ranges of a place in one task:
 
     1. starts, ends and keys are put into one order (a start before equal keys, an end after them),
        so a range is an interval of places and the point at each place begins a segment;
-    2. an interval is cut into aligned blocks of 4^k places, at most six for each k, and the first
-       range of each block is kept (a hash aggregate, so a place that many ranges cover costs a row);
-    3. a segment's winner is the first among the blocks around its place, one for each k;
+    2. an interval is cut into aligned blocks of 4^k places, at most six for each k, and the least
+       rank of each block is kept (a hash aggregate, so a place that many ranges cover costs a row);
+    3. a segment's winner is the least among the blocks around its place, one for each k;
     4. a window carries the winner of the last segment before it to each key."""
-    first = ranges.withColumn("__rid", F.monotonically_increasing_id()).select(
-        "__rid", F.struct(order.alias("o"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("__win"),
-        F.col(lo).alias("lo"), F.col(hi).alias("hi"))
-    none = F.lit(None).cast(first.schema["__win"].dataType)
-    points = first.where("lo is null or hi is null or lo <= hi").select("__rid", F.explode(F.array(
-        F.struct(F.col("lo").alias("v"), F.lit(0).alias("side"), F.col("__win")),
-        F.struct(F.col("hi").alias("v"), F.lit(2).alias("side"), none.alias("__win")))).alias("p"))
-    points = points.select("__rid", "p.*").where("side = 0 or v is not null")  # no lower bound: before all keys
-    asked = keys.select(F.lit(None).cast("long").alias("__rid"), "v", F.lit(1).alias("side"), none.alias("__win"))
+    points = ranges.where("lo is null or hi is null or lo <= hi").select("rank", F.explode(F.array(
+        F.struct(F.col("lo").alias("v"), F.lit(0).alias("side")), F.struct(F.col("hi").alias("v"), F.lit(2).alias("side")))).alias("p"))
+    points = points.select("rank", "p.*").where("side = 0 or v is not null")  # no lower bound: before all keys
+    asked = keys.select(F.lit(None).cast("long").alias("rank"), "v", F.lit(1).alias("side"))
     placed = place(in_order(points.unionByName(asked), ["v", "side"]))
     n = placed.agg(F.max("place")).first()[0] or 0
     levels = max(1, -(-(n + 2).bit_length() // 2))
-    spans = placed.where("side <> 1").groupBy("__rid").agg(
-        F.max("__win").alias("__win"), F.max(F.when(F.col("side") == 0, F.col("place"))).alias("i"),
+    each_level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
+    spans = placed.where("side <> 1").groupBy("rank").agg(
+        F.max(F.when(F.col("side") == 0, F.col("place"))).alias("i"),
         F.coalesce(F.max(F.when(F.col("side") == 2, F.col("place"))), F.lit(n + 1)).alias("j"))
     # blocks of level k: those of [ceil(i / 4^k), floor(j / 4^k)) that level k + 1 does not take
-    blocks = spans.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).selectExpr(
-        "__win", "k", "shiftright(i + shiftleft(1L, 2 * k) - 1, 2 * k) AS a", "shiftright(j, 2 * k) AS b",
+    blocks = spans.withColumn("k", each_level).selectExpr(
+        "rank", "k", "shiftright(i + shiftleft(1L, 2 * k) - 1, 2 * k) AS a", "shiftright(j, 2 * k) AS b",
         "shiftright(i + shiftleft(1L, 2 * k + 2) - 1, 2 * k + 2) * 4 AS c", "shiftright(j, 2 * k + 2) * 4 AS d")
-    blocks = blocks.where("a < b").selectExpr("__win", "k", """explode(CASE
+    blocks = blocks.where("a < b").selectExpr("rank", "k", """explode(CASE
         WHEN c >= d THEN sequence(a, b - 1)
         ELSE concat(if(a < c, sequence(a, c - 1), array()), if(d < b, sequence(d, b - 1), array())) END) AS block""")
-    best = blocks.groupBy("k", "block").agg(F.min("__win").alias("__best"))
+    best = blocks.groupBy("k", "block").agg(F.min("rank").alias("best"))
     segments = placed.where("side <> 1").select("place", PART, AT)
-    around = segments.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn(
-        "block", F.expr("shiftright(place, 2 * k)")).join(best, ["k", "block"])
-    won = around.groupBy("place").agg(F.min("__best").alias("__best"))
-    # a segment that no range covers has a winner as well: none
-    starts = segments.join(won, "place", "left").select(PART, AT, F.struct("__best").alias("__seg"), F.lit(None).cast(
-        points.schema["v"].dataType).alias("v"), F.lit(False).alias("__key"))
-    wanted = placed.where("side = 1").select(PART, AT, F.lit(None).cast(starts.schema["__seg"].dataType).alias("__seg"), "v",
-                                             F.lit(True).alias("__key"))
-    told = carry_last(starts.unionByName(wanted), F.col("__seg"), "__last").where("__key and __last.__best is not null")
-    return told.select("v", F.struct(*[F.col(f"__last.__best.c{i}").alias(c) for i, c in enumerate(cols)]).alias("winner"))
+    around = segments.select("place", each_level.alias("k")).withColumn("block", F.expr("shiftright(place, 2 * k)"))
+    won = around.join(best, ["k", "block"]).groupBy("place").agg(F.min("best").alias("best"))
+    # a segment that no range covers says so: -1
+    starts = segments.join(won, "place", "left").select(
+        PART, AT, F.coalesce("best", F.lit(-1)).alias("best"), F.lit(None).cast(points.schema["v"].dataType).alias("v"))
+    wanted = placed.where("side = 1").select(PART, AT, F.lit(None).cast("long").alias("best"), "v")
+    told = carry_last(starts.unionByName(wanted), F.col("best"), "rank")
+    return told.where("best is null and rank >= 0").select("v", "rank")
 
 
 def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str, hi: str,
@@ -272,15 +266,16 @@ def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str
     kinds = {_kind(f.dataType) for f in df.select(k.alias("v")).schema} | {_kind(ranges.schema[c].dataType) for c in (lo, hi)}
     if len(kinds) > 1:
         raise TypeError(f"interval_lookup: key and bounds are of different kinds: {sorted(kinds)}")
-    order = F.struct(F.col(lo), F.col(hi).isNull(), F.col(hi))
-    order = F.struct(F.col(seq), order) if seq else order
-    keys = df.select(k.alias("v")).where("v is not null").distinct()
-    found = range_winners(keys, ranges, lo, hi, order, cols).select(
-        F.col("v").alias("__v"), F.col("winner").alias("__winner"), F.lit(0).alias("__t"))
+    first = ranges.select(F.col(seq).alias("seq") if seq else F.lit(0).alias("seq"), F.col(lo).alias("lo"), F.col(hi).isNull().alias("open"),
+                          F.col(hi).alias("hi"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    ranked = place(in_order(first, first.columns), "rank")
+    won = range_winners(df.select(k.alias("v")).where("v is not null").distinct(), ranked.select("rank", "lo", "hi"))
+    found = won.join(ranked, "rank").select(F.col("v").alias("__v"), F.lit(0).alias("__t"),
+                                            *[F.col(f"c{i}").alias(f"__c{i}") for i in range(len(cols))])
     # null keys match nothing; a spread second key keeps them out of one partition
     rows = df.withColumn("__k", k).withColumn("__s", F.when(k.isNull(), _spread(df)).otherwise(F.lit(0)))
     out = rows.join(found, (F.col("__k") == F.col("__v")) & (F.col("__s") == F.col("__t")), "left")
-    return out.select(*[rows[f"`{c}`"] for c in df.columns], *[F.col(f"__winner.{c}").alias(c) for c in cols])
+    return out.select(*[rows[f"`{c}`"] for c in df.columns], *[F.col(f"__c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 # ----------------------------------------------------------------------- E10
