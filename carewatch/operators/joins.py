@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import ColumnOrName, _c, clean, pad_key
+from ..session import ensure_checkpoint_dir
 from .ordering import AT, PART, carry_last, in_order, place
 
 
@@ -90,40 +91,58 @@ def _spread(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)).cast("int") + 1
 
 
-def build_hub(spine: DataFrame, sources: Sequence[Source]) -> DataFrame:
+def build_hub(spine: DataFrame, sources: Sequence[Source], row_id: str | None = None) -> DataFrame:
     """Spine left-joined to several sources on normalised keys, one match flag per source.
 
     Keys are cleaned (and zero-padded when `pad` is set) on both sides; blank keys never
     match (T9). A source with repeated keys is reduced to one row per key (by `seq`, or
     by taking the row with the largest payload) so the spine row count is preserved (T11);
-    `check_join` in `quality` verifies it."""
-    out = spine
-    for i, s in enumerate(sources):
-        if s.df is None:
-            if s.optional:
-                continue
+    `check_join` in `quality` verifies it.
+
+    All sources are joined at once: the spine's keys are unpivoted to narrow rows (source, key, row
+    id) and meet one union of all sources, reduced by one aggregate; the hits are pivoted back by row
+    id. So the spine's rows are exchanged once, whatever the number of sources, and keys that match
+    nothing are not carried further. `row_id` is a column that identifies the spine's rows (a
+    repeated one fails the job); without one, rows are numbered and the numbered spine is written
+    first, so that a lost executor does not number them anew."""
+    used = []
+    for s in sources:
+        if s.df is not None:
+            used.append(s)
+        elif not s.optional:
             raise ValueError(f"required source {s.name!r} is missing")
-        kname = f"_k{i}"
-        norm = (lambda c: pad_key(c, s.pad)) if s.pad else (lambda c: clean(c))
-        ref = s.df.select(norm(_c(s.ref_key)).alias(kname), *s.cols,
-                          *([s.seq] if s.seq else []))
-        ref = ref.where(F.col(kname).isNotNull() & (F.col(kname) != ""))
-        if s.seq:
-            ref = dedupe_last(ref, kname, s.seq).select(kname, *s.cols)
-        else:
-            ref = ref.groupBy(kname).agg(F.max(F.struct(*s.cols)).alias("_r")) \
-                     .select(kname, *[F.col("_r")[c].alias(c) for c in s.cols]) if s.cols else \
-                  ref.select(kname).distinct()
-        ref = ref.withColumn(f"_m{i}", F.lit(True))
-        # blank keys match nothing; a spread second key keeps them out of one partition
-        key = norm(_c(s.key))
-        out = out.withColumn(kname, F.when(key != "", key)).withColumn(
-            f"_s{i}", F.when(F.col(kname).isNull(), _spread(out)).otherwise(F.lit(0)))
-        ref = ref.withColumn(f"_s{i}", F.lit(0))
-        out = out.join(ref, [kname, f"_s{i}"], "left")
-        out = out.withColumn(s.flag or f"{s.name}_matched", F.coalesce(F.col(f"_m{i}"), F.lit(False)))
-        out = out.drop(kname, f"_s{i}", f"_m{i}")
-    return out
+    if not used:
+        return spine
+    if row_id:
+        base = spine.withColumn("_rid", F.col(f"`{row_id}`"))
+    else:
+        ensure_checkpoint_dir(spine.sparkSession)
+        base = spine.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
+    refs = keys = None
+    for i, s in enumerate(used):
+        norm = (lambda c, pad=s.pad: pad_key(c, pad)) if s.pad else clean
+        payload = F.struct(*[F.col(f"`{c}`").alias(f"c{j}") for j, c in enumerate(s.cols)], F.lit(True).alias("hit"))
+        ref = s.df.select(F.lit(i).alias("_src"), norm(_c(s.ref_key)).alias("_key"),
+                          F.struct(F.col(s.seq).alias("o") if s.seq else F.lit(0).alias("o"), payload.alias("p")).alias(f"_p{i}"))
+        key = base.select("_rid", F.lit(i).alias("_src"), norm(_c(s.key)).alias("_key"))
+        refs = ref if refs is None else refs.unionByName(ref, allowMissingColumns=True)
+        keys = key if keys is None else keys.unionByName(key)
+    used_key = "_key is not null and _key <> ''"
+    refs = refs.where(used_key).groupBy("_src", "_key").agg(*[F.max(f"_p{i}").alias(f"_p{i}") for i in range(len(used))])
+    hits = keys.where(used_key).join(refs, ["_src", "_key"])
+    once = None
+    for i in range(len(used)):
+        ok = F.count_if(F.col("_src") == i) <= 1
+        once = ok if once is None else once & ok
+    back = hits.groupBy(F.col("_rid").alias("_hid")).agg(
+        *[F.max(f"_p{i}").alias(f"_p{i}") for i in range(len(used))], once.alias("_once"))
+    # a filter keeps the partitioning by row id, so the hits are not exchanged again
+    back = back.where(F.when(F.col("_once"), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("build_hub: repeated row id "), F.col("_hid").cast("string"))).cast("boolean")))
+    out = base.join(back, F.col("_rid") == F.col("_hid"), "left")
+    return out.select(*[base[f"`{c}`"] for c in spine.columns], *[c for i, s in enumerate(used) for c in (
+        *[F.col(f"_p{i}.p.c{j}").alias(name) for j, name in enumerate(s.cols)],
+        F.coalesce(F.col(f"_p{i}.p.hit"), F.lit(False)).alias(s.flag or f"{s.name}_matched"))])
 
 
 # ------------------------------------------------------------------------ E5
@@ -336,6 +355,36 @@ def reconcile_keys(spine: DataFrame, spine_key: str, others: Mapping[str, tuple[
                       (F.col("keys") - F.col("matched")).alias("source_only"))
 
 
+def reconcile_pairs(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Universe reconciliation of every pair of sources (E12): rows (left, right, matched, left_only,
+    right_only) of distinct keys, a pair with nothing in it included; pairs in the order of `sources`.
+
+    One aggregate over all keys makes a membership bitmap per key (`bit_or`, combined before the one
+    shuffle of keys, so a key of many rows is no hot key); keys of one bitmap are then counted
+    together, and all pairs are read off those counts. Keys are compared as trimmed text; blank and
+    null keys match nothing (T9) and are no keys."""
+    names = list(sources)
+    if not 2 <= len(names) <= 62:
+        raise ValueError("reconcile_pairs: 2 to 62 sources, one bit of a long each")
+    keys = None
+    for i, (d, k) in enumerate(sources.values()):
+        part = d.select(clean(F.col(f"`{k}`").cast("string")).alias("key"), F.lit(1 << i).cast("long").alias("bit"))
+        keys = part if keys is None else keys.unionByName(part)
+    members = keys.where("key is not null and key <> ''").groupBy("key").agg(F.bit_or("bit").alias("mask"))
+    counts = members.groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+    pairs = [(a, b) for a in range(len(names)) for b in range(a + 1, len(names))]
+    inside = [F.col("mask").bitwiseAND(F.lit(1 << i).cast("long")) != 0 for i in range(len(names))]
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        sums += [F.sum(F.when(c, F.col("n")).otherwise(0)).alias(f"{what}{i}") for what, c in (
+            ("m", inside[a] & inside[b]), ("l", inside[a] & ~inside[b]), ("r", inside[b] & ~inside[a]))]
+    one = counts.agg(*sums)  # one row, three numbers a pair
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    return one.select(F.explode(F.array(*[F.struct(
+        F.lit(names[a]).alias("left"), F.lit(names[b]).alias("right"), zero(f"m{i}").alias("matched"),
+        zero(f"l{i}").alias("left_only"), zero(f"r{i}").alias("right_only")) for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
+
+
 def missing_by_group(expected: DataFrame, actual: DataFrame, key, group: str) -> DataFrame:
     """Expected keys absent from `actual`, counted per group."""
     keys = _keys(key)

@@ -294,6 +294,25 @@ def check_join(before: DataFrame, after: DataFrame, matched: str, floor: float)
                  F.coalesce(F.col("rate") >= floor, F.lit(False)).alias("ok"))])
 
 
+def hub_checks(spine: DataFrame, hub: DataFrame, sources: Mapping[str, tuple[str, float]],
+               expected: Mapping[str, tuple] | None = None) -> DataFrame:
+    """Join quality of a hub (J13, P7) in one pass over it: rows (check, value, ok) for the spine count
+    kept, the match rate of each source {check: (flag, floor)}, and the number of rows that meet each
+    condition of `expected` {name: (condition, least, most)}."""
+    expected = expected or {}
+    rates = [F.avg(F.col(flag).cast("double")).alias(f"rate_{n}") for n, (flag, _) in sources.items()]
+    rows = [F.count_if(c).alias(f"rows_{n}") for n, (c, _, _) in expected.items()]
+    b = spine.agg(F.count(F.lit(1)).alias("before")).withColumn("_g", F.lit(0))
+    j = hub.agg(F.count(F.lit(1)).alias("after"), *rates, *rows).withColumn("_g", F.lit(0)).join(b, "_g")
+
+    def row(name, value, ok):
+        return F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("ok"))
+    return _rows(j, [
+        row("row_count_unchanged", F.col("after"), F.col("after") == F.col("before")),
+        *[row(n, F.round(F.col(f"rate_{n}"), 6), F.col(f"rate_{n}") >= floor) for n, (_, floor) in sources.items()],
+        *[row(f"{n}_rows", F.col(f"rows_{n}"), F.col(f"rows_{n}").between(least, most)) for n, (_, least, most) in expected.items()]])
+
+
 def check_unique(df: DataFrame, key) -> DataFrame:
     """Duplicate keys with their counts (J14); empty when the key is unique."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -362,42 +362,62 @@ def conformance_status(spark, d):
     return _conformance(spark, d)["status"]
 
 
-HUB_COLS = ["enrollment_id", "ccn", "zip5", "npi_uri", "pos_fac_name", "pos_state", "pos_matched", "region",
-            "zcta_matched"]
+HUB_COLS = ["enrollment_id", "ccn", "provider_type_label", "zip5", "npi_uri", "pos_fac_name", "pos_state_cd", "bed_cnt", "pos_matched",
+            "owner_count", "individual_owner_count", "private_equity_company_owner", "owners_matched",
+            "median_hh_income", "pct_disability", "zcta_matched", "pop_total", "pop_65plus", "pop65_matched"]
 
 
-def facility_hub(spark, d):
-    """Enrollment spine <- POS (padded CCN) <- demographics (padded ZIP5), owners
-    source absent (skipped), match flags; spine row count preserved."""
+def _hub(spark, d):
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
     enroll = c.select(F.concat(F.lit("E"), k.cast("string")).alias("enrollment_id"),
                       F.when(k % 6 == 0, F.lit("")).otherwise(F.lpad(k.cast("string"), 10, "1")).alias("npi"),
-                      k.cast("string").alias("ccn"),
+                      F.when(k % 11 == 0, F.lit(" ")).otherwise(k.cast("string")).alias("ccn"),
+                      F.when(k % 3 == 0, "SNF").otherwise("HHA").alias("provider_type_label"),
                       F.concat(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), F.lit("-1234")).alias("zip"))
     pos = table(spark, d, "supplier").select(
-        F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("prvdr_num"), F.col("s_name").alias("pos_fac_name"),
-        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("pos_state"))
+        F.concat(F.lit(" "), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("prvdr_num"), F.col("s_name").alias("fac_name"),
+        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("state_cd"),
+        F.col("s_nationkey").cast("string").alias("bed_cnt"), F.lit("x").alias("not_kept"))
     demo = table(spark, d, "nation").select(
-        F.lpad((F.col("n_nationkey") + 2).cast("string"), 5, "0").alias("zcta"), F.col("n_regionkey").alias("region"))
-    master, _ = facility.facility_master(enroll, pos, None, demo, None)
-    return master.select(*HUB_COLS)
+        F.lpad((F.col("n_nationkey") + 2).cast("string"), 5, "0").alias("zcta"), F.col("n_regionkey").alias("median_hh_income"),
+        F.length("n_name").alias("pct_disability"))
+    pop = table(spark, d, "orders").join(c.select(k.alias("o_custkey"), "c_nationkey"), "o_custkey").groupBy(
+        (F.col("c_nationkey") + 3).cast("string").alias("ZIP")).agg(
+        F.count(F.lit(1)).alias("Population_Total"), F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("Population_65Plus"))
+    sources = facility.hub_inputs(pos, facility.owner_flags(_owners(spark, d), seq="_row"), demo, pop)
+    return facility.facility_master(enroll, *sources, row_id="enrollment_id", expected={
+        "all": (F.lit(True), 100, 10 ** 12), "snf": (F.col("provider_type_label") == "SNF", 10 ** 6, 10 ** 12)})
+
+
+def facility_hub(spark, d):
+    """Enrollment spine <- POS (padded CCN), owner flags, demographics and 65+ population
+    (padded ZIP5) in one exchange of the spine; match flags; spine row count preserved."""
+    return _hub(spark, d)[0].select(*HUB_COLS)
+
+
+def facility_hub_checks(spark, d):
+    """The checks that come with the hub."""
+    return _hub(spark, d)[1]
 
 
 EXCL_CODES = ["1128a1", "1128b4", " 1128 A2", "1156", "1128b7", "9999", "1128c3gi"]
 
 
-def owner_flags_domain(spark, d):
-    """Per-enrollment owner counts and 'any owner of this kind' flags."""
+def _owners(spark, d):
     li = table(spark, d, "lineitem")
-    o = li.select(
+    return li.select(
         F.concat(F.lit("E"), F.col("l_orderkey").cast("string")).alias("ENROLLMENT ID"),
         F.concat(F.lit("Org "), F.col("l_suppkey").cast("string")).alias("ORGANIZATION NAME"),
         F.when(F.col("l_linenumber") == 1, "I").otherwise("O").alias("TYPE - OWNER"),
         F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("PRIVATE EQUITY COMPANY - OWNER"),
         F.when(F.col("l_linestatus") == "O", " y").otherwise("N").alias("REIT - OWNER"),
         F.when(F.col("l_discount") > 0.05, "Y").otherwise("").alias("LLC - OWNER"), (F.col("l_linenumber").cast("long") * 10 ** 9 + F.col("l_suppkey")).alias("_row"))
-    return facility.owners_public(facility.owner_flags(o, seq="_row"))
+
+
+def owner_flags_domain(spark, d):
+    """Per-enrollment owner counts and 'any owner of this kind' flags."""
+    return facility.owners_public(facility.owner_flags(_owners(spark, d), seq="_row"))
 
 
 def exclusions_domain(spark, d):
@@ -508,14 +528,16 @@ def enrollments_domain(spark, d):
     snf = c.select(F.concat(F.lit("E"), F.col("c_custkey").cast("string")).alias("ENROLLMENT ID"),
                    F.col("c_custkey").cast("string").alias("CCN"), F.col("c_name").alias("ORGANIZATION NAME"),
                    F.concat(F.lit("S"), (F.col("c_nationkey") % 5).cast("string")).alias("STATE"),
-                   F.when(F.col("c_acctbal") > 0, "P").otherwise("N").alias("PROPRIETARY_NONPROFIT"))
+                   F.when(F.col("c_acctbal") > 0, "P").otherwise("N").alias("PROPRIETARY_NONPROFIT"),
+                   F.col("c_mktsegment").alias("ORGANIZATION TYPE STRUCTURE"))
     sp = table(spark, d, "supplier")
     hha = sp.select(F.concat(F.lit("H"), F.col("s_suppkey").cast("string")).alias("ENROLLMENT ID"),
                     F.col("s_name").alias("ORGANIZATION NAME"),
                     F.concat(F.lit("S"), (F.col("s_nationkey") % 5).cast("string")).alias("STATE"),
                     F.when(F.col("s_acctbal") > 0, "P").otherwise("N").alias("PROPRIETARY NONPROFIT"))
     u = facility.enrollments_all_types([(snf, "SNF"), (hha, "HHA")])
-    return u.select("enrollment_id", "ccn", "org_name", "address_state", "proprietary_nonprofit", "provider_type_label")
+    return u.select("enrollment_id", "ccn", "org_name", "address_state", "proprietary_nonprofit", "org_type_structure",
+                    "provider_type_label")
 
 
 def census_domain(spark, d):
@@ -579,7 +601,7 @@ QUERIES = {"measures_claims_domain": measures_claims_domain, "measures_qrp_domai
            "conformance_profile": conformance_profile, "conformance_ghosts": conformance_ghosts,
            "conformance_summary": conformance_summary, "icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
            "enrollments_domain": enrollments_domain, "census_domain": census_domain,
-           "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
+           "measures_domain": measures_domain, "pac_domain": pac_domain, "survey_domain": survey_domain, "owner_flags_domain": owner_flags_domain, "exclusions_domain": exclusions_domain, "facility_hub": facility_hub, "facility_hub_checks": facility_hub_checks, "conformance_findings": conformance_findings, "conformance_status": conformance_status,
            "provider_staffing": provider_staffing, "citations_domain": citations_domain, "access_zip": access_zip, "access_chain": access_chain, "vbp_chain": vbp_chain, "vbp_state": vbp_state,
            "penalty_rollup": penalty_rollup, "star_band_domain": star_band_domain,
            "cost_report_domain": cost_report_domain, "compliance_calendar": compliance_calendar}
@@ -989,19 +1011,40 @@ def _hub_sql() -> str:
     return f"""
     WITH e AS (SELECT 'E' || CAST(c_custkey AS VARCHAR) AS enrollment_id,
                  CASE WHEN c_custkey % 6 = 0 THEN '' ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '1') END AS npi,
-                 CAST(c_custkey AS VARCHAR) AS ccn, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '-1234' AS zip FROM customer),
+                 CASE WHEN c_custkey % 11 = 0 THEN ' ' ELSE CAST(c_custkey AS VARCHAR) END AS ccn,
+                 CASE WHEN c_custkey % 3 = 0 THEN 'SNF' ELSE 'HHA' END AS provider_type_label,
+                 lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '-1234' AS zip FROM customer),
     e2 AS (SELECT *, {z5} AS zip5, {pad('ccn', 6)} AS k,
                   CASE WHEN TRIM(npi) IS NOT NULL AND TRIM(npi) <> '' THEN {_q(K.NPI_URI_BASE)} || TRIM(npi) ELSE '' END AS npi_uri
            FROM e),
-    pos AS (SELECT {pad("lpad(CAST(s_suppkey AS VARCHAR), 6, '0')", 6)} AS k, s_name AS pos_fac_name,
-                   'S' || CAST(s_nationkey AS VARCHAR) AS pos_state FROM supplier),
-    demo AS (SELECT {pad("lpad(CAST(n_nationkey + 2 AS VARCHAR), 5, '0')", 5)} AS z, n_regionkey AS region FROM nation)
-    SELECT e2.enrollment_id, e2.ccn, e2.zip5, e2.npi_uri, pos.pos_fac_name, pos.pos_state, pos.k IS NOT NULL AS pos_matched,
-           demo.region, demo.z IS NOT NULL AS zcta_matched
-    FROM e2 LEFT JOIN pos ON e2.k = pos.k LEFT JOIN demo ON {pad('e2.zip5', 5)} = demo.z"""
+    pos AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS k, s_name AS pos_fac_name,
+                   'S' || CAST(s_nationkey AS VARCHAR) AS pos_state_cd, CAST(s_nationkey AS VARCHAR) AS bed_cnt FROM supplier),
+    own AS ({_owner_sql()}),
+    demo AS (SELECT lpad(CAST(n_nationkey + 2 AS VARCHAR), 5, '0') AS z, n_regionkey AS median_hh_income,
+                    length(n_name) AS pct_disability FROM nation),
+    pop AS (SELECT lpad(CAST(c_nationkey + 3 AS VARCHAR), 5, '0') AS z, COUNT(*) AS pop_total,
+                   COUNT(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS pop_65plus
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
+    hub AS (
+      SELECT e2.enrollment_id, e2.ccn, provider_type_label, e2.zip5, e2.npi_uri, pos_fac_name, pos_state_cd, bed_cnt, pos.k IS NOT NULL AS pos_matched,
+             owner_count, individual_owner_count, private_equity_company_owner, own.enrollment_id IS NOT NULL AS owners_matched,
+             median_hh_income, pct_disability, demo.z IS NOT NULL AS zcta_matched, pop_total, pop_65plus, pop.z IS NOT NULL AS pop65_matched
+      FROM e2 LEFT JOIN pos ON e2.k = pos.k LEFT JOIN own ON e2.enrollment_id = own.enrollment_id
+      LEFT JOIN demo ON e2.zip5 = demo.z LEFT JOIN pop ON e2.zip5 = pop.z)"""
+
+
+def _hub_checks_sql() -> str:
+    def rate(name, floor):
+        check = "match_rate" if name == "pos" else f"{name}_match_rate"
+        return (f"SELECT '{check}' AS \"check\", ROUND(AVG(CAST({name}_matched AS INT)), 6) AS value, "
+                f"COALESCE(AVG(CAST({name}_matched AS INT)) >= {floor}, false) AS ok FROM hub")
+    return _hub_sql() + " UNION ALL ".join([
+        " SELECT 'row_count_unchanged' AS \"check\", CAST(COUNT(*) AS DOUBLE) AS value, COUNT(*) = (SELECT COUNT(*) FROM customer) AS ok FROM hub",
+        rate("pos", K.POS_MATCH_FLOOR), rate("owners", 0), rate("zcta", K.ZCTA_MATCH_FLOOR), rate("pop65", 0),
+        "SELECT 'all_rows', CAST(COUNT(*) AS DOUBLE), COUNT(*) >= 100 FROM hub",
+        "SELECT 'snf_rows', CAST(COUNT(*) AS DOUBLE), COUNT(*) >= 1000000 FROM hub WHERE provider_type_label = 'SNF'"])
 
 
-SQL["facility_hub"] = _hub_sql()
 
 
 def _owner_sql() -> str:
@@ -1034,6 +1077,8 @@ def _excl_sql() -> str:
     FROM e LEFT JOIN t ON upper(replace(TRIM(e.EXCLTYPE), ' ', '')) = t.k"""
 
 
+SQL["facility_hub"] = _hub_sql() + " SELECT * FROM hub"
+SQL["facility_hub_checks"] = _hub_checks_sql()
 SQL["owner_flags_domain"] = _owner_sql()
 SQL["exclusions_domain"] = _excl_sql()
 
@@ -1110,11 +1155,12 @@ def _enroll_sql() -> str:
     return """
     SELECT 'E' || CAST(c_custkey AS VARCHAR) AS enrollment_id, CAST(c_custkey AS VARCHAR) AS ccn, c_name AS org_name,
            'S' || CAST(c_nationkey % 5 AS VARCHAR) AS address_state,
-           CASE WHEN c_acctbal > 0 THEN 'P' ELSE 'N' END AS proprietary_nonprofit, 'SNF' AS provider_type_label
+           CASE WHEN c_acctbal > 0 THEN 'P' ELSE 'N' END AS proprietary_nonprofit, c_mktsegment AS org_type_structure,
+           'SNF' AS provider_type_label
     FROM customer
     UNION ALL
     SELECT 'H' || CAST(s_suppkey AS VARCHAR), CAST(NULL AS VARCHAR), s_name, 'S' || CAST(s_nationkey % 5 AS VARCHAR),
-           CASE WHEN s_acctbal > 0 THEN 'P' ELSE 'N' END, 'HHA'
+           CASE WHEN s_acctbal > 0 THEN 'P' ELSE 'N' END, CAST(NULL AS VARCHAR), 'HHA'
     FROM supplier"""
 
 

@@ -82,3 +82,26 @@ def range_texts(spark, d) -> DataFrame:
         "o_orderkey", F.expr("(o_orderkey * 7919) % 10007").alias("seq"))
     return J.interval_lookup(table(spark, d, "customer").select("c_custkey", "c_name"), spans, "c_name", "lo", "hi",
                              ["o_orderkey"], seq="seq").select("c_custkey", "o_orderkey")
+
+
+# ----------------------------------------------------------- reconciliation
+
+_SOURCES = ["customer", "orders", "supplier", "events", "part"]
+_PAIR_KEYS = """
+WITH u AS (SELECT DISTINCT 0 AS s, CAST(c_custkey AS VARCHAR) AS k FROM customer UNION SELECT 1, CAST(o_custkey AS VARCHAR) FROM orders
+           UNION SELECT 2, CAST(s_suppkey * 3 AS VARCHAR) FROM supplier UNION SELECT 3, CAST(user_id AS VARCHAR) FROM events
+           UNION SELECT 4, CASE WHEN p_size > 9 THEN CAST(p_partkey AS VARCHAR) END FROM part)"""
+
+
+@query(_PAIR_KEYS + " UNION ALL ".join(f"""
+SELECT '{a}' AS "left", '{b}' AS "right", COUNT(*) FILTER (n = 3) AS matched, COUNT(*) FILTER (n = 1) AS left_only, COUNT(*) FILTER (n = 2) AS right_only
+FROM (SELECT k, SUM(CASE s WHEN {i} THEN 1 ELSE 2 END) AS n FROM u WHERE s IN ({i}, {j}) AND k IS NOT NULL GROUP BY k)"""
+    for i, a in enumerate(_SOURCES) for j, b in enumerate(_SOURCES) if i < j))
+def reconcile_every_pair(spark, d) -> DataFrame:
+    """Keys of five sources compared pair by pair, in one shuffle of the keys."""
+    return J.reconcile_pairs({
+        "customer": (table(spark, d, "customer"), "c_custkey"), "orders": (table(spark, d, "orders"), "o_custkey"),
+        "supplier": (table(spark, d, "supplier").select((F.col("s_suppkey") * 3).alias("k")), "k"),
+        "events": (table(spark, d, "events"), "user_id"),
+        "part": (table(spark, d, "part").select(F.when(F.col("p_size") > 9, F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit("\t")))
+                                                .otherwise(F.lit(" ")).alias("k")), "k")})

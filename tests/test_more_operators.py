@@ -88,3 +88,46 @@ def test_overlapping_ranges_and_repeated_keys(spark):
         raise AssertionError("a repeated key passed")
     except Exception as e:  # noqa: BLE001
         assert "repeated key" in str(e)
+
+
+def test_hub_exchanges_the_spine_once(spark):
+    """Four sources, one exchange that carries the spine's columns."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spine = spark.range(1000).select(F.col("id").cast("string").alias("rid"), (F.col("id") % 7).cast("string").alias("a"),
+                                         (F.col("id") % 11).cast("string").alias("b"), F.hex("id").alias("payload"))
+        srcs = [spark.range(5).select(F.col("id").cast("string").alias("k"), F.col("id").alias(f"v{i}")) for i in range(4)]
+        hub = J.build_hub(spine, [J.Source(f"s{i}", s, "a" if i % 2 else "b", "k", [f"v{i}"]) for i, s in enumerate(srcs)], row_id="rid")
+        plan = hub._jdf.queryExecution().executedPlan().toString()
+        top = plan.split("SortMergeJoin")[1]  # the spine's own side of its join with the hits
+        assert top.count("payload") >= 1 and plan.count("AS payload") == 1
+        assert len(re.findall(r"Exchange hashpartitioning\(_rid", plan)) + len(re.findall(r"Exchange hashpartitioning\(_hid", plan)) <= 2
+        assert len(re.findall(r"Exchange hashpartitioning\(_src#\d+, _key", plan)) == 2  # all keys, all sources
+        got = {r["rid"]: r for r in hub.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(got) == 1000
+    for i in range(1000):
+        r = got[str(i)]
+        assert (r["v0"], r["s0_matched"]) == ((i % 11, True) if i % 11 < 5 else (None, False))
+        assert (r["v3"], r["s3_matched"]) == ((i % 7, True) if i % 7 < 5 else (None, False))
+    twice = spark.createDataFrame([("1", "1"), ("1", "2")], "rid string, a string")
+    try:
+        J.build_hub(twice, [J.Source("s", srcs[0], "a", "k", ["v0"])], row_id="rid").collect()
+        raise AssertionError("a repeated row id passed")
+    except Exception as e:  # noqa: BLE001
+        assert "repeated row id" in str(e)
+    same = J.build_hub(twice, [J.Source("s", srcs[0].withColumn("o", F.lit(1)), "a", "k", ["v0"], seq="o")])
+    assert rows(same, "a", "v0") == [("1", 1), ("2", 2)]
+
+
+def test_reconcile_pairs(spark):
+    a = spark.createDataFrame([(" 1",), ("1",), ("2",), ("",), (None,)], "k string")
+    b = spark.createDataFrame([(2,), (3,)], "k int")
+    none = spark.createDataFrame([], "k string")
+    got = [tuple(r) for r in J.reconcile_pairs({"a": (a, "k"), "b": (b, "k"), "none": (none, "k")}).collect()]
+    assert got == [("a", "b", 1, 1, 1), ("a", "none", 0, 2, 0), ("b", "none", 0, 2, 0)]
+    assert [tuple(r) for r in J.reconcile_pairs({"x": (none, "k"), "y": (none, "k")}).collect()] == [("x", "y", 0, 0, 0)]
