@@ -39,6 +39,77 @@ def test_preamble_csv(spark):
     assert rows(df, "ICD-10-CM CODE", "DESCRIPTION") == [("'A000'", "'Cholera'"), ("'E1165'", "'Diabetes'")]
 
 
+def put(d, name, text, encoding="utf-8"):
+    import gzip
+    data = text.encode(encoding)
+    with (gzip.open if name.endswith(".gz") else open)(os.path.join(d, name), "wb") as f:
+        f.write(data)
+
+
+def test_files_of_different_headers(spark):
+    """A1: every file is bound by its own header."""
+    d = tmp()
+    put(d, "2021 a.csv", "a,b\n1,2\n3,\n")
+    put(d, "2022.csv", "\ufeffb,a\n20,10\n")
+    put(d, "2023.csv.gz", 'a,"c, d"\n100,"x, ""y"""\n')
+    put(d, "2024.csv", "a,b\n5,6\n")
+    put(d, "empty.csv", "")
+    df = RD.read_text_table(spark, d)
+    assert df.columns == ["a", "b", "c, d"]
+    assert rows(df) == sorted([("1", "2", None), ("3", None, None), ("10", "20", None), ("100", None, 'x, "y"'), ("5", "6", None)], key=repr)
+    heads = RD.file_headers(spark, d)
+    assert [(h.names, len(h.files)) for h in heads] == [(("a", "b"), 2), (("b", "a"), 1), (("a", "c, d"), 1)]
+    one = tmp()
+    put(one, "x.csv", "n\u00e4me;b;b;\n\u00e9;2;3;4\n", "cp1252")
+    put(one, "y.csv", "b;n\u00e4me\n7;\u00fc\n", "cp1252")
+    got = RD.read_text_table(spark, one, sep=";", encoding="windows-1252")
+    assert got.columns == ["n\u00e4me", "b1", "b2", "_c3", "b"]
+    assert rows(got, "n\u00e4me", "b1", "b") == [("\u00e9", "2", None), ("\u00fc", None, "7")]
+    scoped = tmp()
+    for st, text in (("HI", "a,b\n1,2\n"), ("CA", "b,a\n4,3\n")):
+        os.makedirs(os.path.join(scoped, f"state={st}"))
+        put(scoped, f"state={st}/x.csv", text)
+    assert rows(RD.read_text_table(spark, scoped), "a", "b", "state") == [("1", "2", "HI"), ("3", "4", "CA")]
+
+
+def test_preamble_csv_in_splits(spark):
+    """A4: a file larger than a split is read by several tasks, each file by its own header."""
+    d = tmp()
+    put(d, "a.csv", "Note\nk,v in text\n'KEY','v'\n" + "".join(f"'{i}','{i * i}'\n" for i in range(20_000)) + "\n")
+    put(d, "b.csv", "'v','KEY','more'\n'x','y','z'\nKEY,again,data\n")
+    put(d, "c.csv", "'KEY','v'\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = RD.read_csv_with_preamble(spark, d, "KEY")
+        assert df.rdd.getNumPartitions() > 4
+        got = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    a = sorted((r["_seq"], r["KEY"], r["v"], r["more"]) for r in got if r["_source_file"].endswith("a.csv"))
+    assert [r[1:] for r in a] == [(f"'{i}'", f"'{i * i}'", None) for i in range(20_000)]
+    assert len({r[0] for r in a}) == 20_000
+    b = sorted((r["_seq"], r["KEY"], r["v"], r["more"]) for r in got if not r["_source_file"].endswith("a.csv"))
+    assert [r[1:] for r in b] == [("'y'", "'x'", "'z'"), ("again", "KEY", "data")]
+    put(d, "d.csv", "no header here\n")
+    try:
+        RD.read_csv_with_preamble(spark, d, "KEY")
+        raise AssertionError("a file without the marker passed")
+    except ValueError as e:
+        assert "d.csv" in str(e)
+
+
+def test_array_rows_by_their_own_header(spark):
+    """Two files of different column order, one without a column."""
+    d = tmp()
+    put(d, "a.json", json.dumps([["x", "y", "zip"], ["1", 2, "96701"], [None, "-3", "96702"]]))
+    put(d, "b.json", json.dumps([["zip", "x"], ["96703", 4.5], ["short"]]))
+    df = RD.read_array_rows(spark, d)
+    assert df.columns == ["x", "y", "zip", "_source_file", "_pos"]
+    assert rows(df, "x", "y", "zip", "_pos") == sorted([("1", "2", "96701", 1), (None, "-3", "96702", 2), ("4.5", None, "96703", 1),
+                                                        (None, None, "short", 2)], key=repr)
+    assert rows(RD.read_array_rows(spark, d, ["zip", "none"]), "zip", "none")[0] == ("96701", None)
+
+
 def test_pages_wrapped_and_bare(spark):
     d = tmp()
     os.makedirs(os.path.join(d, "w"))
