@@ -9,13 +9,15 @@ single `explode` turns it into long rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.expr import clean, num
+from .ordering import AT, PART, in_order
+
 
 def numeric_name(col: str, hints: Sequence[str] = K.NUMERIC_NAME_HINTS,
                  suffixes: Sequence[str] = K.NUMERIC_NAME_SUFFIXES) -> bool:
@@ -268,6 +270,25 @@ def drift(prev: DataFrame, curr: DataFrame, row_pct: float = K.DRIFT_ROW_PCT,
     return rows.unionByName(fields)
 
 
+def drift_history(runs: DataFrame, **limits) -> DataFrame:
+    """Drift of every run against the one before it (J10, P22): `runs` are profiles with `run_date`.
+    Rows (dataset, run_date, prev_run, field, signal, prev_value, curr_value).
+
+    The run before is chosen per dataset from the few (dataset, run) pairs, and each profile then
+    serves twice, as a run and as its successor's predecessor, in one comparison of all runs."""
+    pairs = runs.select("dataset", F.col("run_date").cast("string").alias("run_date")).distinct()
+    before = F.lag("run_date").over(Window.partitionBy("dataset").orderBy("run_date"))
+    pairs = pairs.withColumn("prev_run", before).where("prev_run is not null")
+    of = F.to_json(F.struct("dataset", "run_date", "prev_run"))  # one name for drift() to compare by
+    named = runs.withColumn("run_date", F.col("run_date").cast("string"))
+    curr = named.join(pairs, ["dataset", "run_date"]).withColumn("dataset", of)
+    prev = (named.withColumnRenamed("run_date", "prev_run").join(pairs, ["dataset", "prev_run"])
+            .withColumn("dataset", of))
+    found = drift(prev, curr, **limits)
+    parts = F.from_json("dataset", "dataset string, run_date string, prev_run string")
+    return found.withColumn("_d", parts).select("_d.*", "field", "signal", "prev_value", "curr_value")
+
+
 def cross_source(counts: DataFrame, pairs: DataFrame, tolerance: float = K.CROSS_SOURCE_TOLERANCE) -> DataFrame:
     """Paired datasets must agree in row count within `tolerance` of the left one.
     counts: (dataset, rows); pairs: (left, right). Rows (left, right, left_rows, right_rows,
@@ -407,6 +428,64 @@ def reconcile_totals(detail: DataFrame, summary: DataFrame, key: str, cols: Sequ
     return j.withColumn("agree", agree)
 
 
+def page_gaps(pages: DataFrame) -> DataFrame:
+    """Rows that no page holds, and rows that two pages hold (J18, T30), for pages of any offset and
+    length: `pages` has (dataset, offset, n_rows, declared). Rows (dataset, gap_start, gap_end, kind) with
+    gap_end outside: `missing` before a page or after the last one up to the declared count, and
+    `overlap` for the part of a page that earlier pages already hold.
+
+    Gaps and islands: pages in the order of (dataset, offset) meet the running maximum of the ends
+    before them, first inside partitions of that order, then across them, so a dataset of any
+    number of pages is no single task."""
+    p = pages.select("dataset", F.col("offset").cast("long").alias("offset"), (F.col("offset") + F.col("n_rows")).cast("long").alias("end"),
+                     F.col("declared").cast("long").alias("declared"))
+    done = in_order(p.where("end > offset"), ["dataset", "offset", "end"])
+    upto = Window.partitionBy(PART, "dataset").orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    parts = done.groupBy("dataset", PART).agg(F.max("end").alias("_e"))
+    parts = parts.select("dataset", PART, F.max("_e").over(Window.partitionBy("dataset").orderBy(PART).rowsBetween(
+        Window.unboundedPreceding, -1)).alias("_carried"))
+    j = done.withColumn("_here", F.max("end").over(upto)).join(parts, ["dataset", PART])
+    j = j.withColumn("_before", F.greatest(F.coalesce("_here", F.lit(0)), F.coalesce("_carried", F.lit(0))))
+    inside = j.where(F.col("offset") != F.col("_before")).select(
+        "dataset", F.least("offset", "_before").alias("gap_start"),
+        F.when(F.col("offset") > F.col("_before"), F.col("offset")).otherwise(F.least("end", "_before")).alias("gap_end"),
+        F.when(F.col("offset") > F.col("_before"), "missing").otherwise("overlap").alias("kind"))
+    # a page that begins before the end of earlier ones overlaps from its own offset
+    tail = p.groupBy("dataset").agg(F.max(F.when(F.col("end") > F.col("offset"), F.col("end"))).alias("_e"), F.max("declared").alias("gap_end"))
+    tail = tail.select("dataset", F.coalesce("_e", F.lit(0)).alias("gap_start"), "gap_end", F.lit("missing").alias("kind"))
+    return inside.unionByName(tail.where("gap_end > gap_start"))
+
+
+def compute_figures(tables: Mapping[str, DataFrame], figures: Sequence[Mapping]) -> DataFrame:
+    """Published figures as data (J20, P23): each of `figures` is {figure, dataset, kind, numerator,
+    denominator, stated, digits}. `pct`: percent of the rows that meet the condition `denominator` (none:
+    all rows) that also meet `numerator`; `count`: rows that meet `numerator`; `value`: the aggregate
+    expression `numerator`. All figures of a dataset are compiled to one aggregate, so each table is
+    read once and only in the columns that the conditions name. Rows (figure, dataset, kind, numerator,
+    denominator, computed, stated, ok), ok at the stated precision."""
+    out = None
+    for dataset in dict.fromkeys(f["dataset"] for f in figures):
+        own = [f for f in figures if f["dataset"] == dataset]
+        aggs = []
+        for i, f in enumerate(own):
+            within = F.coalesce(F.expr(f.get("denominator") or "true"), F.lit(False))
+            if f["kind"] == "value":
+                aggs += [F.expr(f["numerator"]).cast("double").alias(f"n{i}"), F.lit(None).cast("double").alias(f"d{i}")]
+            else:
+                hit = F.coalesce(F.expr(f["numerator"]), F.lit(False))
+                aggs += [F.count_if(hit & within).cast("double").alias(f"n{i}"),
+                         (F.count_if(within) if f["kind"] == "pct" else F.lit(None)).cast("double").alias(f"d{i}")]
+        rows = [F.struct(F.lit(f["figure"]).alias("figure"), F.lit(dataset).alias("dataset"), F.lit(f["kind"]).alias("kind"),
+                         F.col(f"n{i}").alias("numerator"), F.col(f"d{i}").alias("denominator"), F.lit(float(f["stated"])).alias("stated"),
+                         F.lit(int(f["digits"])).alias("digits")) for i, f in enumerate(own)]
+        part = tables[dataset].agg(*aggs).select(F.explode(F.array(*rows)).alias("f")).select("f.*")
+        out = part if out is None else out.unionByName(part)
+    value = F.when(F.col("kind") == "pct", F.col("numerator") / F.nullif(F.col("denominator"), F.lit(0.0)) * 100.0).otherwise(F.col("numerator"))
+    near = F.abs(value - F.col("stated")) <= F.lit(0.5) * F.pow(F.lit(10.0), -F.col("digits"))
+    return out.select("figure", "dataset", "kind", "numerator", "denominator", F.round(value, 4).alias("computed"), "stated",
+                      F.coalesce(near, F.lit(False)).alias("ok"))
+
+
 def check_figures(computed: DataFrame, figures: DataFrame) -> DataFrame:
     """Published-figure registry (J20). `computed`: (figure, numerator, denominator);
     `figures`: (figure, stated_pct, digits). The percent is recomputed from its declared

@@ -126,6 +126,16 @@ def vbp_components(spark, d):
     return vbp.components(vbp_raw_from_customers(spark, d))
 
 
+def vbp_report(spark, d):
+    """The lines of the national narrative summary."""
+    return vbp.report(vbp_raw_from_customers(spark, d), "2026-07-21", benchmarks={"base_rate": 0.2, "rate": 0.2043219})
+
+
+def vbp_report_state(spark, d):
+    """The lines of one state's summary, with its lowest and highest facilities."""
+    return vbp.report(vbp_raw_from_customers(spark, d), "2026-07-21", scope="ST3")
+
+
 def vbp_summary(spark, d):
     """Figures of the narrative summary."""
     return vbp.summary(vbp_raw_from_customers(spark, d))
@@ -517,9 +527,15 @@ def measures_qrp_domain(spark, d):
 
 
 def vbp_simple(spark, d):
-    """The simple table with bonus and penalty flags."""
-    return vbp.snf_vbp_simple(vbp_raw_from_customers(spark, d)).select(
-        "ccn", "performance_score", "incentive_multiplier", "vbp_penalty", "vbp_bonus")
+    """The 17 columns of the simple VBP table."""
+    raw = vbp_raw_from_customers(spark, d)
+    k = F.col("`CMS Certification Number (CCN)`").cast("long")
+    more = {"City/Town": F.concat(F.lit(" town "), (k % 10).cast("string")), "ZIP Code": F.lpad((k * 7 % 99999).cast("string"), 5, "0"),
+            "SNFRM Achievement Score": (k % 11).cast("string"), "SNFRM Improvement Score": (k % 12).cast("string"),
+            "SNFRM Measure Score": (k % 13).cast("string"), "SNF HAI Achievement Score": F.when(k % 5 == 0, "---").otherwise((k % 14).cast("string")),
+            "SNF HAI Improvement Score": (k % 15).cast("string"), "SNF HAI Measure Score": (k % 16).cast("string"),
+            "Total Nursing Staff Turnover Measure Score": (k % 17).cast("string")}
+    return vbp.snf_vbp_simple(raw.withColumns(more))
 
 
 def enrollments_domain(spark, d):
@@ -597,7 +613,7 @@ def icd_reference_domain(spark, d):
 
 
 QUERIES = {"measures_claims_domain": measures_claims_domain, "measures_qrp_domain": measures_qrp_domain,
-           "vbp_simple": vbp_simple, "vbp_components": vbp_components, "vbp_summary": vbp_summary, "compliance_hotlist": compliance_hotlist,
+           "vbp_simple": vbp_simple, "vbp_components": vbp_components, "vbp_summary": vbp_summary, "vbp_report": vbp_report, "vbp_report_state": vbp_report_state, "compliance_hotlist": compliance_hotlist,
            "conformance_profile": conformance_profile, "conformance_ghosts": conformance_ghosts,
            "conformance_summary": conformance_summary, "icd_reference_domain": icd_reference_domain, "state_benchmark_compare": state_benchmark_compare, "state_benchmark_position": state_benchmark_position,
            "enrollments_domain": enrollments_domain, "census_domain": census_domain,
@@ -738,6 +754,37 @@ SQL = {
 }
 
 
+def _report_sql(scope: str | None, bench: dict) -> str:
+    name = scope or "NATIONAL"
+    view = f"(SELECT fac.*, c_name FROM fac JOIN customer ON fac.ccn = lpad(CAST(c_custkey AS VARCHAR), 6, '0'){f' WHERE state = {_q(scope)}' if scope else ''})"
+    fixed = [(1, "SNF VBP PERFORMANCE — FY2026"), (2, f"Scope: {name}"), (3, "Run date: 2026-07-21"), (4, "Data: CMS dataset 284v-j9fz (FY2026)"),
+             (5, ""), (9, ""), (12, ""), *[(400 + i, t) for i, t in enumerate(vbp.METHOD_NOTE)]]
+    if bench:
+        fixed += [(20, "NATIONAL SNFRM BENCHMARKS (readmission):"), *[(21 + i, f"  {k}: {x:.5f}") for i, (k, x) in enumerate(bench.items())], (21 + len(bench), "")]
+    if scope:
+        fixed += [(102, ""), (103, f"BOTTOM 5 {name} VBP PERFORMERS:"), (200, ""), (201, f"TOP 5 {name} VBP PERFORMERS:"), (300, "")]
+    quart = ("'  Q1=%.1f  Median=%.1f  Q3=%.1f', quantile_cont(performance_score, 0.25), quantile_cont(performance_score, 0.5), "
+             "quantile_cont(performance_score, 0.75)")
+    parts = [f"SELECT CAST({n} AS INT) AS line_no, {_q(t)} AS text" for n, t in fixed] + [
+        f"SELECT 6, printf('UNIVERSE: %d facilities (%d with VBP score, %d below case minimum / not scored)', COUNT(*), COUNT(performance_score), "
+        f"COUNT(*) - COUNT(performance_score)) FROM {view}",
+        f"SELECT 7, printf('  Bonus (multiplier > 1.0):   %d', COUNT(*)) FROM {view} WHERE incentive_multiplier > 1",
+        f"SELECT 8, printf('  Penalty (multiplier < 1.0): %d', COUNT(*)) FROM {view} WHERE incentive_multiplier < 1",
+        "SELECT 10, printf('NATIONAL VBP DISTRIBUTION (n=%d scored facilities):', COUNT(performance_score)) FROM fac", f"SELECT 11, printf({quart}) FROM fac"]
+    if scope:
+        parts += [f"SELECT 100, printf('{name} VBP DISTRIBUTION (n=%d scored facilities):', COUNT(performance_score)) FROM {view}",
+                  f"SELECT 101, printf({quart}) FROM {view}"]
+        for no, way in ((110, "ASC"), (210, "DESC")):
+            parts.append(f"""SELECT CAST({no} + rn AS INT), '  ' || rpad(substr(c_name, 1, 45), 45, ' ') || printf(' Score=%.2f', performance_score) || '  Multiplier='
+                || CASE WHEN incentive_multiplier IS NULL THEN 'N/A' ELSE printf('%.4f', incentive_multiplier) END || '  NatTier=' || national_vbp_tier
+                FROM (SELECT *, row_number() OVER (ORDER BY performance_score {way}, ccn) AS rn FROM {view} WHERE performance_score IS NOT NULL) WHERE rn <= 5""")
+    return _vbp_sql() + " UNION ALL ".join(parts)
+
+
+SQL["vbp_report"] = _report_sql(None, {"base_rate": 0.2, "rate": 0.2043219})
+SQL["vbp_report_state"] = _report_sql("ST3", {})
+
+
 def _pen_sql() -> str:
     types = " ".join(f"WHEN {_q(p)} THEN {_q(t)}" for p, t in PENALTY_TYPES)
     return f"""
@@ -1147,8 +1194,16 @@ SQL["measures_qrp_domain"] = _IV_SQL + """
            COALESCE(f, '') AS collection_from, COALESCE(t, '') AS collection_through
     FROM orders LEFT JOIN iv ON CAST(o_orderkey % 40 AS VARCHAR) = iv.measure_code"""
 SQL["vbp_simple"] = _vbp_sql() + """
-    SELECT ccn, performance_score, incentive_multiplier, incentive_multiplier < 1.0 AS vbp_penalty,
-           incentive_multiplier > 1.0 AS vbp_bonus FROM d"""
+    SELECT d.ccn, c_name AS provider_name, 'st' || CAST(c_nationkey % 7 AS VARCHAR) AS state, 'town ' || CAST(c_custkey % 10 AS VARCHAR) AS city,
+           lpad(CAST(c_custkey * 7 % 99999 AS VARCHAR), 5, '0') AS zip,
+           CAST(c_custkey % 11 AS VARCHAR) AS snfrm_achievement, CAST(c_custkey % 12 AS VARCHAR) AS snfrm_improvement,
+           CAST(c_custkey % 13 AS VARCHAR) AS snfrm_measure_score,
+           CASE WHEN c_custkey % 5 = 0 THEN '---' ELSE CAST(c_custkey % 14 AS VARCHAR) END AS hai_achievement,
+           CAST(c_custkey % 15 AS VARCHAR) AS hai_improvement, CAST(c_custkey % 16 AS VARCHAR) AS hai_measure_score,
+           CAST(c_custkey % 17 AS VARCHAR) AS turnover_score, CAST(NULL AS VARCHAR) AS staffing_score,
+           performance_score, incentive_multiplier AS incentive_payment_multiplier, incentive_multiplier < 1.0 AS vbp_penalty,
+           incentive_multiplier > 1.0 AS vbp_bonus
+    FROM d JOIN customer ON d.ccn = lpad(CAST(c_custkey AS VARCHAR), 6, '0')"""
 
 
 def _enroll_sql() -> str:

@@ -113,6 +113,7 @@ def staffing_summary(info: DataFrame, by=None) -> DataFrame:
 
 
 # -------------------------------------------------------------------- P10
+# FIXED VALUES: substrings that find the columns of the source.
 CITATION_CONTRACT = [
     Field("ccn", [["cms_certification_number"], ["ccn"]], match="substr", required=True),
     Field("provider_name", [["provider_name"]], match="substr"),
@@ -180,6 +181,7 @@ def citation_summary(cit: DataFrame, universe: DataFrame | None = None, key: str
 
 
 # -------------------------------------------------------------------- P11
+# FIXED VALUES: substrings that find the columns of the source.
 PENALTY_CONTRACT = [
     Field("ccn", [["cms_certification_number"], ["ccn"]], match="substr", required=True),
     Field("provider_name", [["provider_name"]], match="substr"),

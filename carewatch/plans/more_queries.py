@@ -72,7 +72,7 @@ def snapshot_round_trip(spark, d) -> DataFrame:
 def scope_report(spark, d) -> DataFrame:
     """The narrative lines of every nation's customers."""
     c = table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("nation"), "c_name", "c_acctbal")
-    return sinks.scope_report(c, "nation", "c_acctbal", "c_name", n=2, digits=2).where("line_no = 1 or line_no > 10")
+    return sinks.scope_report(c, "nation", "c_acctbal", "c_name", n=2, digits=2)
 
 
 def interval_join(spark, d) -> DataFrame:
@@ -217,6 +217,8 @@ SQL = {
     r AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY c_acctbal, c_name) AS lo,
                  row_number() OVER (PARTITION BY scope ORDER BY c_acctbal DESC, c_name) AS hi FROM c)
     SELECT scope, CAST(1 AS BIGINT) AS line_no, format('Facilities: {} (scored {})', COUNT(*), COUNT(c_acctbal)) AS text FROM c GROUP BY scope
+    UNION ALL SELECT scope, 2, printf('Quartiles: Q1=%.2f  Median=%.2f  Q3=%.2f', quantile_cont(c_acctbal, 0.25),
+      quantile_cont(c_acctbal, 0.5), quantile_cont(c_acctbal, 0.75)) FROM c GROUP BY scope
     UNION ALL SELECT scope, lo + 10, printf('Bottom %d: %s (%.2f)', lo, c_name, c_acctbal) FROM r WHERE lo <= 2
     UNION ALL SELECT scope, hi + 20, printf('Top %d: %s (%.2f)', hi, c_name, c_acctbal) FROM r WHERE hi <= 2""",
     "interval_join": f"""

@@ -1,5 +1,5 @@
 """Code reference builds (P20): ICD-10-CM chapters and incident flags, deficiency tags,
-measure intervals, and required-member checks for crosswalks."""
+measure intervals, billing-code and taxonomy crosswalks with their required members."""
 
 from __future__ import annotations
 
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import expr as X
 from ..functions import predicates as P
+from ..operators import aggs as A
 from ..operators import contracts as C
 from ..operators import joins as J
 from ..operators import ranking as R
 from ..operators import sets as S
 
+# FIXED VALUES: substrings that find the columns of the code reference.
 CCSR_CONTRACT = [
     C.Field("icd10_code", [["icd_10_cm", "code"], ["icd10", "code"]], match="substr", required=True,
             exclude=["description"]),
@@ -93,3 +95,34 @@ def measure_intervals(raw: DataFrame) -> DataFrame:
 def crosswalk_members(crosswalk: DataFrame, col: str, required: Sequence[str]) -> DataFrame:
     """Required codes present in a crosswalk, and codes not in a reference list."""
     return S.required_members(crosswalk, col, list(required))
+
+
+# FIXED VALUES: billing codes of nursing-facility visits, and taxonomy codes that the crosswalk must hold.
+SNF_VISIT_CODES = ["99307", "99308", "99309", "99310"]
+SNF_TAXONOMY = "314000000X"
+GERIATRIC_TAXONOMY = ["207QG0300X", "207RG0300X"]
+
+
+def _code_column(raw: DataFrame, *choices: list[str]) -> str:
+    f = C.Field("code", list(choices), match="substr", required=True)
+    found = C.find_column(raw.columns, f)
+    if found is None:
+        raise ValueError(f"no column named like {choices}; there are {sorted(raw.columns)}")
+    return found
+
+
+def rbcs_reference(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """P20: the billing-code classification as landed, all columns, texts trimmed. Returns (table,
+    required visit codes with their presence (I4), codes per category, most frequent first (F12))."""
+    table = pages.select(*[F.btrim(F.col(f"`{c}`").cast("string")).alias(c) for c in pages.columns if not c.startswith("_")])
+    code = _code_column(table, ["hcpcs"])
+    category = _code_column(table, ["rbcs_cat"], ["category"])
+    return table, S.required_members(table, code, SNF_VISIT_CODES), A.count_by(table, category)
+
+
+def taxonomy_reference(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P20: the provider taxonomy crosswalk as landed, all columns, texts trimmed. Returns (table,
+    required taxonomy codes with their presence (I4))."""
+    table = pages.select(*[F.btrim(F.col(f"`{c}`").cast("string")).alias(c) for c in pages.columns if not c.startswith("_")])
+    code = _code_column(table, ["taxonomy", "code"], ["taxonomy"])
+    return table, S.required_members(table, code, [SNF_TAXONOMY, *GERIATRIC_TAXONOMY])

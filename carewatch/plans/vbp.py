@@ -8,6 +8,8 @@ single task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..functions import predicates as P
 from ..operators import aggs as A
 from ..operators import contracts as C
 from ..operators import ranking as R
+from ..sources import readers
 
 NUMERIC = [v for v in K.VBP_COLUMNS.values()
            if v not in ("ccn", "provider_name", "provider_address", "city", "state", "zip_code")]
@@ -101,22 +104,111 @@ def components(raw: DataFrame, scope: str | None = None) -> DataFrame:
 
 
 def summary(raw: DataFrame, scope: str | None = None) -> DataFrame:
-    """The figures of the narrative summary."""
-    return national_summary(facility(raw, scope))
+    """The figures of the narrative summary; they need no ranks and no tiers."""
+    d = P.where_scope(conform(raw), "state", scope)
+    has = F.col("performance_score").isNotNull()
+    return national_summary(d.withColumn("payment_direction", F.when(has, X.direction("incentive_multiplier"))))
+
+
+# FIXED VALUES: note at the end of the narrative summary.
+METHOD_NOTE = [
+    "METHODOLOGY NOTE: VBP Performance Score is a composite of 4 measure scores.",
+    "  Facilities missing case minimums on 1+ measures are still in the program",
+    "  but scored only on available measures — composite may be artificially",
+    "  inflated or deflated. See fn_*_flag columns for per-measure suppression status.",
+    "  national_vbp_tier: relative to full national distribution.",
+    "  state_vbp_tier:    relative to within-state distribution only.",
+]
+
+
+def report(raw: DataFrame, run_date: str, scope: str | None = None, vintage: str = "FY2026", dataset_id: str = "284v-j9fz",
+           benchmarks: Mapping[str, float] | None = None, n: int = 5) -> DataFrame:
+    """The narrative summary (B6, P14) as rows (line_no, text): universe, bonus and penalty totals, the
+    national distribution, benchmarks where given, for a scope its own distribution and its lowest and
+    highest facilities with score, multiplier and national tier, and the method note. Ties go by ccn."""
+    v = "performance_score"
+    national = conform(raw)
+    view = P.where_scope(national, "state", scope)
+    name = scope or "NATIONAL"
+
+    def fixed(c, digits):  # rounds the binary value half to even, as printf does
+        return F.call_function("format_number", c, F.lit("0." + "0" * digits))
+
+    def quartiles(df):
+        return A.quartiles(df.where(F.col(v).isNotNull()), v)
+
+    def distribution(df, title, no):
+        edges = [fixed(F.col(c), 1) for c in ("q25", "median", "q75")]
+        return quartiles(df).select(F.explode(F.array(
+            F.struct(F.lit(no).alias("line_no"), F.format_string(f"{title} VBP DISTRIBUTION (n=%d scored facilities):", "n").alias("text")),
+            F.struct(F.lit(no + 1).alias("line_no"), F.format_string("  Q1=%s  Median=%s  Q3=%s", *edges).alias("text")))).alias("l")).select("l.*")
+
+    def lines(texts, no):
+        return readers.literal_table(raw.sparkSession, [(no + i, t) for i, t in enumerate(texts)], "line_no int, text string")
+    totals = view.agg(F.count(F.lit(1)).alias("n"), F.count(v).alias("s"), F.count_if(F.col("incentive_multiplier") > 1.0).alias("b"),
+                      F.count_if(F.col("incentive_multiplier") < 1.0).alias("p"))
+    totals = totals.select(F.explode(F.array(
+        F.struct(F.lit(6).alias("line_no"), F.format_string(
+            "UNIVERSE: %d facilities (%d with VBP score, %d below case minimum / not scored)", "n", "s", F.col("n") - F.col("s")).alias("text")),
+        F.struct(F.lit(7).alias("line_no"), F.format_string("  Bonus (multiplier > 1.0):   %d", "b").alias("text")),
+        F.struct(F.lit(8).alias("line_no"), F.format_string("  Penalty (multiplier < 1.0): %d", "p").alias("text")))).alias("l")).select("l.*")
+    parts = [lines([f"SNF VBP PERFORMANCE — {vintage}", f"Scope: {name}", f"Run date: {run_date}",
+                    f"Data: CMS dataset {dataset_id} ({vintage})", ""], 1), totals, lines([""], 9),
+             distribution(national, "NATIONAL", 10), lines([""], 12)]
+    if benchmarks:
+        parts.append(lines(["NATIONAL SNFRM BENCHMARKS (readmission):", *[f"  {k}: {x:.5f}" for k, x in benchmarks.items()], ""], 20))
+    if scope:
+        parts += [distribution(view, name, 100), lines(["", f"BOTTOM {n} {name} VBP PERFORMERS:"], 102),
+                  lines(["", f"TOP {n} {name} VBP PERFORMERS:"], 200), lines([""], 300)]
+        scored = view.where(F.col(v).isNotNull())
+        edges = quartiles(national).withColumn("_g", F.lit(0))  # one row
+        for no, asc in ((110, True), (210, False)):
+            top = R.top_n(scored, v, n, None, asc=asc, tie_break=["ccn"])
+            top = top.withColumn("_g", F.lit(0)).join(F.broadcast(edges), "_g").withColumn(
+                "national_vbp_tier", R.tier_label(v, "q25", "median", "q75"))
+            parts.append(top.select((F.col("rn") + no).cast("int"), F.concat(
+                F.lit("  "), F.rpad(F.coalesce("provider_name", F.lit("")), 45, " "), F.lit(" Score="), fixed(F.col(v), 2), F.lit("  Multiplier="),
+                F.coalesce(fixed(F.col("incentive_multiplier"), 4), F.lit("N/A")), F.lit("  NatTier="), F.col("national_vbp_tier"))))
+    parts.append(lines(METHOD_NOTE, 400))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+# FIXED VALUES: columns of the simple VBP table and the substrings that find them in normalised headers.
+SIMPLE_COLUMNS = {
+    "ccn": [["cms_certification_number"], ["ccn"]],
+    "provider_name": [["provider_name"]],
+    "state": [["state"]],
+    "city": [["city"]],
+    "zip": [["zip"]],
+    "snfrm_achievement": [["snfrm", "achievement"]],
+    "snfrm_improvement": [["snfrm", "improvement"]],
+    "snfrm_measure_score": [["snfrm", "measure_score"], ["snfrm_score"]],
+    "hai_achievement": [["hai", "achievement"]],
+    "hai_improvement": [["hai", "improvement"]],
+    "hai_measure_score": [["hai", "measure_score"], ["hai_score"]],
+    "turnover_score": [["turnover_measure"], ["turnover_score"]],
+    "staffing_score": [["staffing_measure"], ["staffing_score"]],
+    "performance_score": [["performance_score"], ["total_performance"]],
+    "incentive_payment_multiplier": [["incentive_payment_multiplier"], ["multiplier"]],
+}
+SIMPLE_EXCLUDED = {"snfrm_achievement": ["improvement"], "hai_achievement": ["improvement"]}
+SIMPLE_REQUIRED = ("ccn", "provider_name", "state")
+SIMPLE_NUMBERS = ("performance_score", "incentive_payment_multiplier")
 
 
 def snf_vbp_simple(raw: DataFrame) -> DataFrame:
-    """The simple VBP table (P13): resolved columns, numeric parse, bare threshold flag
-    (NULL stays NULL, K17)."""
-    contract = [
-        C.Field("ccn", [["certification"], ["ccn"]], match="substr", required=True),
-        C.Field("provider_name", [["provider", "name"]], match="substr"),
-        C.Field("state", [["state"]], match="substr"),
-        C.Field("performance_score", [["performance", "score"]], match="substr", parse="number",
-                sentinels=K.SENTINELS_COMMON),
-        C.Field("incentive_multiplier", [["multiplier"]], match="substr", parse="number",
-                sentinels=K.SENTINELS_COMMON),
-    ]
-    d, _ = C.resolve_columns(raw, contract)
-    return d.withColumns({"vbp_penalty": F.col("incentive_multiplier") < 1.0,
-                          "vbp_bonus": X.gt_flag("incentive_multiplier", 1.0, missing=None)})
+    """The simple VBP table (P13): 17 columns, resolved by substrings of the normalised headers, text but
+    for score and multiplier, with bare threshold flags (NULL stays NULL, K17). A column that the
+    source lacks is empty."""
+    contract = [C.Field(out, found, match="substr", exclude=SIMPLE_EXCLUDED.get(out, []), required=out in SIMPLE_REQUIRED,
+                        parse="number" if out in SIMPLE_NUMBERS else "text",
+                        sentinels=K.SENTINELS_COMMON if out in SIMPLE_NUMBERS else None)
+                for out, found in SIMPLE_COLUMNS.items()]
+    normal = C.normalize_headers(raw)
+    d, _ = C.resolve_columns(normal, contract)
+    d = C.align(d, [(c, "double" if c in SIMPLE_NUMBERS else "string") for c in SIMPLE_COLUMNS])
+    m = F.col("incentive_payment_multiplier")
+    return d.withColumns({"vbp_penalty": m < 1.0, "vbp_bonus": X.gt_flag("incentive_payment_multiplier", 1.0, missing=None)})

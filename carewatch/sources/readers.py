@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import clean
+from .versions import current, publish, publish_table
 
 
 @dataclass(frozen=True)
@@ -239,15 +240,15 @@ def read_array_rows(spark: SparkSession, path: str | Sequence[str], columns: Seq
 
 
 def load_table(spark: SparkSession, csv_path: str, schema: T.StructType | str, target: str,
-               as_table: bool = False) -> DataFrame:
-    """Bulk load a CSV with an explicit schema, replacing the target's content (A10)."""
+               as_table: bool = False, min_rows: int = 1) -> DataFrame:
+    """Bulk load a CSV with an explicit schema (A10): the target's content is replaced once the new rows
+    are written and checked (`versions`), never before."""
     df = spark.read.option("header", True).schema(schema).csv(csv_path)
-    w = df.write.mode("overwrite")
     if as_table:
-        w.saveAsTable(target)
+        publish_table(df, target, min_rows=min_rows, same_fields=False)
         return spark.table(target)
-    w.parquet(target)
-    return spark.read.parquet(target)
+    publish(df, target, min_rows=min_rows, same_fields=False)
+    return current(spark, target)
 
 
 def _literal(value) -> str:

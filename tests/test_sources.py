@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from carewatch.sources import readers as RD
 from carewatch.sources import sinks as SK
+from carewatch.sources import versions as V
 from carewatch.streaming import ingest_pages_stream
 from conftest import rows
 
@@ -153,12 +154,72 @@ def test_streaming_ingest_is_incremental(spark):
 def test_split_sink_refuses_leak(spark):
     d = tmp()
     df = spark.createDataFrame([("e1", "Owner Name", 2)], "eid string, name string, n int")
-    SK.write_split(df, os.path.join(d, "r"), df.drop("name"), os.path.join(d, "p"), ["name"])
+    SK.write_split(df, os.path.join(d, "r"), lambda x: x.drop("name"), os.path.join(d, "p"), ["name"])
+    assert rows(spark.read.parquet(os.path.join(d, "p"))) == [("e1", 2)]
     try:
-        SK.write_split(df, os.path.join(d, "r2"), df, os.path.join(d, "p2"), ["name"])
+        SK.write_split(df, os.path.join(d, "r2"), lambda x: x, os.path.join(d, "p2"), ["Name"])
         raise AssertionError("leak not refused")
     except ValueError:
+        assert not os.path.exists(os.path.join(d, "p2"))
+
+
+def test_split_sink_refuses_values(spark):
+    """A restricted value inside a public text is found as whole words, in any case and punctuation."""
+    held = spark.createDataFrame([("e1", "Anne-Marie O'Neil", "0012345678"), ("e2", "Bo", None), ("e3", "  ", "7"), ("e4", "Zoë Ärm", None)],
+                                 "eid string, name string, id string")
+    def found(*texts):
+        pub = spark.createDataFrame([(t, 1) for t in texts], "note string, n int")
+        return rows(SK.leaked_cells(held, pub, ["name", "id"]))
+    assert found("run by ANNE MARIE, O NEIL (since 2001)") == [("note", 1, 1)]
+    assert found("id:0012345678.", "x 0012345678", "ZOË ärm") == [("note", 3, 2)]
+    assert found("Anne Marie Neil", "00123456789", "Bo", "7", "annemarie oneil", "e1", "", None) == []
+    pub = spark.createDataFrame([(1,)], "n int")
+    assert SK.leaked_cells(held, pub, ["name"]).count() == 0
+
+
+def test_published_versions(spark):
+    d = os.path.join(tmp(), "x")
+    a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    try:
+        V.current(spark, d)
+        raise AssertionError("nothing is published yet")
+    except FileNotFoundError:
         pass
+    assert V.publish(a, d) == 1
+    assert V.publish(V.current(spark, d).where("k = 1"), d) == 2  # from itself
+    for bad in (V.current(spark, d).withColumn("v", F.raise_error(F.lit("x")).cast("string")), a.where("false"), a.select("k"),
+                a.withColumn("k", F.col("k").cast("long"))):
+        try:
+            V.publish(bad, d)
+            raise RuntimeError("published")
+        except RuntimeError:
+            raise
+        except Exception:  # noqa: BLE001
+            pass
+        assert rows(V.current(spark, d)) == [(1, "a")]
+    assert rows(V.current(spark, d, seq=1)) == [(1, "a"), (2, "b")]
+    assert V.publish(a.select("k"), d, same_fields=False) == 3 and V.current(spark, d).columns == ["k"]
+    V.publish(a.limit(0), os.path.join(d, "none"), min_rows=0)
+    assert V.current(spark, os.path.join(d, "none")).dtypes == [("k", "int"), ("v", "string")]
+
+
+def test_replaced_tables(spark):
+    name = "cw_replaced"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    SK.replace_table(a, name)
+    SK.replace_table(spark.table(name).where("k = 2"), name)  # a table computed from itself
+    assert rows(spark.table(name)) == [(2, "b")]
+    try:
+        SK.replace_table(spark.table(name).withColumn("v", F.raise_error(F.lit("x")).cast("string")), name)
+        raise RuntimeError("replaced")
+    except RuntimeError:
+        raise
+    except Exception:  # noqa: BLE001
+        assert rows(spark.table(name)) == [(2, "b")]
+    SK.replace_table(a.select("k"), name)
+    assert rows(spark.table(name)) == [(1,), (2,)]
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_scope_report(spark):
