@@ -6,14 +6,18 @@ word, pair and triple of the training documents is in the model, whatever the co
 a share of all tokens are parameters, 0 by default; the mass of what they leave out goes to the
 back-offs, so probabilities still add up to one).
 
-The model is dealt over tries, a few for each partition of the shuffle, by the middle word of a triple:
+The model is dealt over tries of about `TRIE` tokens each, by the middle word of a triple:
 the triple's context (first, second) and the pair it backs off to (second, third) meet there.
 A middle word with more than one trie's share of all tokens is divided by the first word, and
 its pairs go to each of its tries. Training pieces send their distinct triples with counts to
 the tries, documents send theirs with the documents that hold them (at once, if the same rows are
-learnt from and scored); each trie is built in one task, answers there, and returns one sum a
-document. Only the `HELD` most frequent words have small ids and their counts in a broadcast;
-the others travel as 60-bit digests, and their counts are joined to the answers.
+learnt from and scored). A task gets its tries' rows in the order of the tries, builds one at a
+time, packs it into a memory map, answers from the map, and returns one sum a document.
+
+Words are 62-bit digests from the start (of 10^9 different words, about 0.1 pairs share one and
+count as one word). Only the `HELD` most frequent ones have small ids; a worker knows them as one
+sorted array, in which the different words of a piece are searched together, and has their
+counts from the same broadcast. The counts of the others are joined to the answers.
 
 Each level of a trie is one monotone sequence in Elias-Fano form: entry = context * width +
 symbol, with the low bits packed and the high bits in unary. A query is a successor search: one
@@ -30,18 +34,17 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import math
 import mmap
 import pickle
-import tempfile
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +60,10 @@ END = b"\n"  # no word holds a line feed
 FLUSH = 400_000
 #: Tokens of the documents that are dealt out together, and distinct triples answered together.
 PIECE, ANSWERED = 2_000_000, 200_000
-#: Tries that a task builds one after the other, and bytes of sums that it gathers.
-IN_TURN, SUMS = 3, 16 << 20
+#: Tokens of a trie, bytes of sums that a task gathers, and bytes of triples sent at once.
+TRIE, SUMS, SENT = 600_000, 16 << 20, 2 << 20
 #: Codes of words: ids of the held ones, RARE + digest of the others; NONE is no word.
-NONE, RARE = -1, 1 << 61
+NONE, RARE = -1, 1 << 62
 
 
 def held_out(id_col):
@@ -198,11 +201,10 @@ class Trie:
 
     @classmethod
     def open(cls, data: bytes) -> Trie:
-        """Map the packed trie from an unnamed file."""
-        with tempfile.TemporaryFile() as f:
-            f.write(data)
-            f.flush()
-            held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        """The packed trie in a memory map of its own (of no file: nothing is left on an executor),
+        which goes with the trie."""
+        held = mmap.mmap(-1, len(data))
+        held.write(data)
         n = int.from_bytes(held[:8], "little")
         return cls({k: np.frombuffer(held, np.dtype(t), count, 8 + n + at)
                     for k, (t, at, count) in json.loads(held[8:8 + n]).items()})
@@ -280,16 +282,19 @@ class Trie:
 # ---------------------------------------------------------------- training
 
 
+def digests(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64) >> np.uint64(2)
+
+
 def unigrams(rows: DataFrame) -> DataFrame:
-    """(word, c) over `rows` (text), the end of each text included."""
+    """(digest, c) of the words of `rows` (text), the end of each text included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[bytes] = Counter()
 
         def flush():
             out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
-                names=["word", "c"])
+                [pa.array(digests(held).astype(np.int64)), pa.array(list(held.values()), pa.int64())], names=["digest", "c"])
             held.clear()
             return out
 
@@ -301,35 +306,37 @@ def unigrams(rows: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return rows.mapInArrow(count, "digest long, c long").groupBy("digest").agg(F.sum("c").alias("c"))
 
 
-def word_ids(words: bytes) -> dict[bytes, int]:
-    """Ids of the vocabulary: 0 is the end, then words by falling count."""
-    return {w: i for i, w in enumerate([END, *words.split(b" ")] if words else [END])}
+class Vocabulary:
+    """Ids and counts of the held words: 0 is the end, then words by falling count."""
 
+    def __init__(self, digest: np.ndarray, counts: np.ndarray):
+        self.counts, self.ids = counts, np.argsort(digest).astype(np.int32)
+        self.digest = digest[self.ids]
 
-class Codes(dict):
-    """Codes of words: the held ones are listed."""
+    def codes(self, digest: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.digest, digest), len(self.digest) - 1)
+        return np.where(self.digest[at] == digest, self.ids[at], RARE + digest)
 
-    def __missing__(self, word: bytes) -> int:
-        return RARE + int(hashlib.md5(word).hexdigest()[:15], 16)
 
+class _Places(dict):
+    """Words in the order in which a piece first has them."""
 
-def digest(word):
-    """The digest of a word column, as in `Codes`."""
-    return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("long")
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
 
 
-_state: dict[int, tuple] = {}
+_state: dict[int, Vocabulary] = {}
 
 
-def _opened(shared) -> tuple[Codes, np.ndarray]:
-    """Codes and counts of the held words from a broadcast, opened once a worker."""
+def _opened(shared) -> Vocabulary:
+    """The held words from a broadcast, opened once a worker."""
     if shared.id not in _state:
         _state.clear()
-        words, counts = shared.value
-        _state[shared.id] = (Codes(word_ids(words)), counts)
+        _state[shared.id] = Vocabulary(*shared.value)
     return _state[shared.id]
 
 
@@ -372,41 +379,47 @@ class Deal:
         return (_mixed(v) % self.n + _mixed(u) % self.divided(v)) % self.n
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], codes: Codes):
-    """(doc_ids, whether learnt from, codes of all tokens, end of each document) for pieces of
-    the rows (doc_id, text, learn)."""
-    ids, learn, flat, ends = [], [], array("q"), []
+def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary):
+    """(doc_ids, whether learnt from, sorted different codes, each token's place in them, end of
+    each document) for pieces of the rows (doc_id, text, learn)."""
+    ids, learn, flat, ends, places = [], [], array("i"), [], _Places()
+
+    def piece():
+        codes, at = np.unique(vocabulary.codes(digests(places).astype(np.int64)), return_inverse=True)
+        out = ids[:], np.array(learn), codes, at.astype(np.int32)[np.frombuffer(flat, np.int32)], np.array(ends)
+        places.clear()
+        return out
+
     for rb in batches:
         for doc_id, text, own in zip(*[rb.column(k).to_pylist() for k in range(3)], strict=True):
-            flat.extend(map(codes.__getitem__, tokens(text)))
+            flat.extend(map(places.__getitem__, tokens(text)))
             ids.append(doc_id)
             learn.append(own)
             ends.append(len(flat))
             if len(flat) >= PIECE:
-                yield ids, np.array(learn), np.array(flat, np.int64), np.array(ends)
-                ids, learn, flat, ends = [], [], array("q"), []
+                yield piece()
+                ids, learn, flat, ends = [], [], array("i"), []
     if ids:
-        yield ids, np.array(learn), np.array(flat, np.int64), np.array(ends)
+        yield piece()
 
 
-def _triples(flat: np.ndarray, ends: np.ndarray, whole: bool):
-    """Sorted distinct codes, and each token's places in them with its two words before (NONE:
-    none, or one outside the model)."""
-    words, w = np.unique(flat, return_inverse=True)
+def _before(words: np.ndarray, w: np.ndarray, ends: np.ndarray, whole: bool):
+    """Places of the two words before each token (NONE: none, or one outside the model)."""
     begins = np.concatenate(([0], ends[:-1]))
-    v = np.concatenate(([NONE], w[:-1]))
+    none = np.array([NONE], np.int32)
+    v = np.concatenate((none, w[:-1]))
     v[begins] = NONE
-    u = np.concatenate(([NONE], v[:-1]))
+    u = np.concatenate((none, v[:-1]))
     u[begins] = NONE
     if not whole:
         for x in (u, v):
             x[(x >= 0) & (words[x] >= RARE)] = NONE
-    return words, u, v, w
+    return u, v
 
 
 def _keys(u: np.ndarray, v: np.ndarray, w: np.ndarray, size: int) -> np.ndarray:
     """One number for each different triple of numbers from -1 to size - 1."""
-    pair = (v + 1) * (size + 1) + u + 1
+    pair = (v.astype(np.int64) + 1) * (size + 1) + u + 1
     if size >= 1 << 20:
         pair = np.unique(pair, return_inverse=True)[1]
     return pair * size + w
@@ -451,11 +464,11 @@ class Model:
     (doc_id, text, learn) are learnt from where `learn` says so, and the counts of the rare words
     (digest, c)."""
 
-    def __init__(self, docs: DataFrame, source: tuple, words: bytes, counts: np.ndarray, total: int, types: int,
+    def __init__(self, docs: DataFrame, source: tuple, digest: np.ndarray, counts: np.ndarray, total: int, types: int,
                  rare: DataFrame, whole: bool, least: float):
         self.docs, self.source, self.rare, self.counts = docs, source, rare, counts
         self.total, self.types, self.whole, self.least = total, types, whole, least
-        self.shared = _Shared(docs.sparkSession, (words, counts))
+        self.shared = _Shared(docs.sparkSession, (digest, counts))
 
 
 def _pairs_of_divided(deal: Deal, words: np.ndarray, v: np.ndarray, w: np.ndarray, c: np.ndarray) -> list[tuple]:
@@ -478,51 +491,73 @@ def _dealt(rows: DataFrame, model: Model, n: int, asked: bool) -> DataFrame:
     them and how often; then also a head for each piece, with what needs no trie."""
     shared, whole, total, types = model.shared, model.whole, model.total, model.types
 
+    def sent_on(rows) -> Iterator[pa.RecordBatch]:
+        """Rows as batches of a few megabytes, the first ones gone before the last are made."""
+        held, size = [], 0
+        for row in rows:
+            held.append(row)
+            size += len(row[3])
+            if size >= SENT:
+                yield table_of(held)
+                held, size = [], 0
+        if held:
+            yield table_of(held)
+
+    def table_of(rows) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+            zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
+            names=["place", "kind", "batch", "data"])
+
+    def made(batch, counts, deal, unit, ids, learn, words, w, ends):
+        u, v = _before(words, w, ends, whole)
+        size = np.diff(ends, prepend=0)
+        begins, doc = ends - size, np.repeat(np.arange(len(ends), dtype=np.int32), size)
+        held = words < RARE  # of each different word
+        if asked:
+            at = np.where(held, words, 0)
+            one = np.where(held, unit[at], 0.0)[w]
+            yield (batch % n, HEAD, batch, pickle.dumps((
+                ids, size, np.add.reduceat((held & (counts[at] > 0))[w], begins, dtype=np.int64),
+                np.add.reduceat(one, begins), np.add.reduceat(np.where(v < 0, one, 0.0), begins)), 5))
+            del one
+        sent = np.flatnonzero((v >= 0) | (asked & ~held[w]))
+        u, v, w, doc = u[sent], v[sent], w[sent], doc[sent]
+        key = _keys(u, v, w, len(words))
+        order = np.argsort(key, kind="stable").astype(np.int32)  # documents stay in order
+        key, doc = key[order], doc[order]
+        fresh = np.diff(key, prepend=-1) != 0
+        del sent, key
+        cell = np.flatnonzero(fresh | (np.diff(doc, prepend=-1) != 0))  # a triple in a document
+        times, doc = np.diff(cell, append=len(doc)), doc[cell]
+        first = np.flatnonzero(fresh[cell])
+        docs_of = np.diff(first, append=len(cell))
+        u, v, w = (x[order[cell[first]]].astype(np.int64) for x in (u, v, w))
+        c = np.add.reduceat(times * learn[doc], first) if len(first) else first
+        del order, fresh, cell
+        c[v < 0] = 0
+        place = deal.place(_code(words, u), _code(words, np.where(v >= 0, v, w)))
+        many = np.flatnonzero((deal.divided(_code(words, v)) > 1) & (c > 0))
+        for p, data in _pairs_of_divided(deal, words, v[many], w[many], c[many]):
+            yield p, TRIPLES, -1, data
+        c[many[u[many] < 0]] = 0
+        for p, i in _by_place(place):
+            if asked:
+                k = docs_of[i]
+                cells = np.repeat(first[i] - np.cumsum(k) + k, k) + np.arange(k.sum())
+            else:
+                i = i[c[i] > 0]
+                k, cells = 0 * i, i[:0]
+            yield p, TRIPLES, batch, _packed(words, u[i], v[i], w[i], c[i], k, doc[cells], times[cells])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts = _opened(shared)
+        vocabulary = _opened(shared)
+        counts = vocabulary.counts
         deal = Deal(n, counts, total)
         unit = np.log10((counts + ADD) / (total + ADD * (types + 1)))
         batch = TaskContext.get().partitionId() << 40  # the same when a task runs again
-        for ids, learn, flat, ends in _pieces(batches, codes):
-            words, u, v, w = _triples(flat, ends, whole)
-            size = np.diff(ends, prepend=0)
-            begins, doc = ends - size, np.repeat(np.arange(len(ends)), size)
-            held = flat < RARE
-            rows = []
-            if asked:
-                at = np.where(held, flat, 0)
-                one = np.where(held, unit[at], 0.0)
-                rows.append((batch % n, HEAD, batch, pickle.dumps((
-                    ids, size, np.add.reduceat((held & (counts[at] > 0)).astype(np.int64), begins),
-                    np.add.reduceat(one, begins), np.add.reduceat(np.where(v < 0, one, 0.0), begins)), 5)))
-            sent = np.flatnonzero((v >= 0) | (asked & ~held))
-            u, v, w, doc = u[sent], v[sent], w[sent], doc[sent]
-            key = _keys(u, v, w, len(words))
-            order = np.argsort(key, kind="stable")  # documents stay in order
-            key, doc = key[order], doc[order]
-            fresh = np.diff(key, prepend=-1) != 0
-            cell = np.flatnonzero(fresh | (np.diff(doc, prepend=-1) != 0))  # a triple in a document
-            times, doc = np.diff(cell, append=len(key)), doc[cell]
-            first = np.flatnonzero(fresh[cell])
-            docs_of = np.diff(first, append=len(cell))
-            u, v, w = (x[order[cell[first]]] for x in (u, v, w))
-            c = np.add.reduceat(times * learn[doc], first) if len(first) else first
-            c[v < 0] = 0
-            place = deal.place(_code(words, u), _code(words, np.where(v >= 0, v, w)))
-            many = np.flatnonzero((deal.divided(_code(words, v)) > 1) & (c > 0))
-            rows += [(p, TRIPLES, -1, data) for p, data in _pairs_of_divided(deal, words, v[many], w[many], c[many])]
-            c[many[u[many] < 0]] = 0
-            for p, i in _by_place(place):
-                if asked:
-                    k = docs_of[i]
-                    cells = np.repeat(first[i] - np.cumsum(k) + k, k) + np.arange(k.sum())
-                else:
-                    i = i[c[i] > 0]
-                    k, cells = 0 * i, i[:0]
-                rows.append((p, TRIPLES, batch, _packed(words, u[i], v[i], w[i], c[i], k, doc[cells], times[cells])))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
-                zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.int32(), pa.int64(), pa.binary()),
-                strict=True)], names=["place", "kind", "batch", "data"])
+        for piece in _pieces(batches, vocabulary):
+            yield from sent_on(made(batch, counts, deal, unit, *piece))
+            del piece
             batch += 1
 
     return rows.mapInArrow(run, DEALT)
@@ -624,14 +659,15 @@ def train(docs: DataFrame, *, id_col="doc_id", text_col="text", vocabulary_share
         least = c
     if vocabulary_share:
         least = vocabulary_share * total
-    end = END.decode()
-    t = words.filter((F.col("c") >= least) | (F.col("word") == end)).toArrow()
-    count = {w: c for w, c in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)}
-    ends = count.pop(end, 0)
-    names = sorted(count, key=lambda w: (-count[w], w))
-    rare = words.filter((F.col("c") < least) & (F.col("word") != end)).select(digest("word").alias("digest"), "c")
-    return Model(rows, (docs, id_col, text_col), " ".join(names).encode("utf-8"), np.array([ends, *(count[w] for w in names)], np.int64),
-                 total, types, rare, not vocabulary_share, max(1, ngram_share * total))
+    end = int(digests([END])[0])
+    t = words.filter((F.col("c") >= least) & (F.col("digest") != end)).toArrow()  # at most `held` rows
+    digest, count = (t.column(k).to_numpy() for k in (0, 1))
+    order = np.lexsort((digest, -count))
+    ends = words.filter(F.col("digest") == end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    rare = words.filter((F.col("c") < least) & (F.col("digest") != end))
+    return Model(rows, (docs, id_col, text_col), np.concatenate(([end], digest[order])).astype(np.int64),
+                 np.concatenate(([ends], count[order])).astype(np.int64), total, types, rare, not vocabulary_share,
+                 max(1, ngram_share * total))
 
 
 # ---------------------------------------------------------------- scoring
@@ -658,20 +694,16 @@ def _answered(dealt: DataFrame, model: Model, n: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["batch", "word", "doc", "times", "listed", "back", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
         sums: dict[int, np.ndarray] = {}
-        for rb in batches:
-            heads = []
-            for place, kind, batch, data in zip(*[c.to_pylist() for c in rb.columns], strict=True):
-                (heads if kind == HEAD else held.setdefault(place, [])).append((batch, data))
-            if heads:
-                yield batch_of(heads, [])
         _state.clear()  # here the counts are enough
         counts = shared.value[1]
+        deal = Deal(n, counts, total)
         unit = np.log10((counts + ADD) / (total + ADD * (types + 1)))
-        for place in sorted(held):
-            blobs = held.pop(place)
-            words, trie = _built([data for _, data in blobs], counts, Deal(n, counts, total), total, types, whole, least)
+
+        def answered(blobs: list[tuple]) -> Iterator[pa.RecordBatch]:
+            """Build one trie, and answer what the documents ask it."""
+            words, trie = _built([data for _, data in blobs], counts, deal, total, types, whole, least)
+            trie = Trie.open(trie.pack())
             while blobs:
                 group, size = [], 0
                 while blobs and size < ANSWERED:
@@ -712,25 +744,48 @@ def _answered(dealt: DataFrame, model: Model, n: int) -> DataFrame:
                 if sum(len(x) for x in sums.values()) > SUMS // 8:
                     yield batch_of([(k, b"s" + x.tobytes()) for k, x in sums.items()], [])
                     sums.clear()
+
+        current, blobs = None, []
+        for rb in batches:  # in the order of the tries
+            heads = []
+            for place, kind, batch, data in zip(*[c.to_pylist() for c in rb.columns], strict=True):
+                if kind == HEAD:
+                    heads.append((batch, data))
+                    continue
+                if place != current and blobs:
+                    yield from answered(blobs)
+                    blobs = []
+                current = place
+                blobs.append((batch, data))
+            if heads:
+                yield batch_of(heads, [])
+        if blobs:
+            yield from answered(blobs)
         if sums:
             yield batch_of([(k, b"s" + x.tobytes()) for k, x in sums.items()], [])
 
-    return dealt.repartitionById(n // IN_TURN, F.pmod("place", F.lit(n // IN_TURN)).cast("int")).mapInArrow(run, ANSWERS)
+    width = shuffle_width(dealt.sparkSession)
+    return (dealt.repartitionById(width, F.pmod("place", F.lit(width)).cast("int")).sortWithinPartitions("place")
+            .mapInArrow(run, ANSWERS))
+
+
+def n_tries(model: Model) -> int:
+    """Tries of `TRIE` tokens, at least one for each partition of a shuffle."""
+    return max(shuffle_width(model.docs.sparkSession), -(-model.total // TRIE))
 
 
 def score_documents(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each
     row of `docs`."""
-    n = shuffle_width(docs.sparkSession)
+    n, tries = shuffle_width(docs.sparkSession), n_tries(model)
     total, types = model.total, model.types
     if model.source[0] is docs and model.source[1:] == (id_col, text_col):
-        dealt = _dealt(model.docs, model, n * IN_TURN, True)
+        dealt = _dealt(model.docs, model, tries, True)
     else:
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                            F.lit(False).alias("learn"))
-        dealt = _dealt(model.docs.filter("learn"), model, n * IN_TURN, False).unionByName(
-            _dealt(rows, model, n * IN_TURN, True))
-    answers = _answered(dealt, model, n * IN_TURN)
+        dealt = _dealt(model.docs.filter("learn"), model, tries, False).unionByName(_dealt(rows, model, tries, True))
+    answers = _answered(dealt, model, tries)
     # rows without a word are spread, and match nothing
     answers = answers.withColumn("__key", F.coalesce("word", F.xxhash64("batch", "data")))
     met = answers.join(model.rare, (F.col("__key") == F.col("digest")) & F.col("word").isNotNull(), "left").select(

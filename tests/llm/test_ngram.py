@@ -132,7 +132,7 @@ def test_nothing_is_cut_whatever_the_size(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "67")
     try:
         model = ngram.train(docs, held=400)  # nearly all words are rare, frequent ones divided
-        assert model.rare.count() > 0.9 * slow.v and (ngram.Deal(67 * ngram.IN_TURN, model.counts, model.total).parts > 1).any()
+        assert model.rare.count() > 0.9 * slow.v and (ngram.Deal(ngram.n_tries(model), model.counts, model.total).parts > 1).any()
         got = {r["doc_id"]: r for r in ngram.score_documents(docs, model).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
