@@ -3,8 +3,8 @@
 A word scores the log-odds that it stands in a toxic text, with Dirichlet priors in a chain:
 the prior of a word is the estimate of its six-character beginning, whose prior is that of the
 five-character beginning, down to three characters and the base rate. So unseen compounds of
-toxic stems score too, and rare words stay near the base rate. A constant is taken off, which
-makes the expected score negative.
+toxic stems score too, rare words stay near the base rate, and words of clean texts score below
+zero. A constant is taken off, which makes the expected score negative.
 
 One linear scan over the scores of all occurrences finds all maximal scoring segments of a text
 (no segment can be extended or shortened with gain). Inside a segment a word scores above zero
@@ -47,7 +47,7 @@ HOLD_OUT = (3, 1)
 PREFIXES = (3, 4, 5, 6)
 PRIOR = 8.0
 MARGIN = 0.7
-LEAST = 1.2
+CLEAN_TEXTS = 3
 SIGNIFICANT = 1.0
 THRESHOLD = 0.7
 MEMO = 200_000
@@ -72,52 +72,98 @@ def words_of(text: str) -> list[str]:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score), in one pass with a stack: each
-    candidate holds the running sum before and after it; a new one joins back to the nearest
-    candidate whose start sum is lower, if the joined score gains."""
-    out: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    """All maximal scoring segments (first, last, score), in one linear pass with a stack: each
+    candidate holds the running sum before and after it and a link to the nearest candidate below
+    it whose start sum is lower; a new one joins back to the nearest such candidate, if the
+    joined score gains. Links skip what an earlier search has skipped, so no candidate is
+    passed over twice."""
     up = np.flatnonzero(scores > 0)
     if not len(up):
         return []
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    for i in up.tolist():
-        first, before, after = i, float(total[i]), float(total[i + 1])
+    first: list[int] = []
+    last: list[int] = []
+    low: list[float] = []  # sum before
+    high: list[float] = []  # sum after
+    link: list[int] = []
+    for i, before, after in zip(up.tolist(), total[up].tolist(), total[up + 1].tolist(), strict=True):
+        begin, j = i, len(first) - 1
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= before:
-                j -= 1
-            if j < 0 or out[j][3] >= after:
-                out.append((first, i, before, after))
+            while j >= 0 and low[j] >= before:
+                j = link[j]
+            if j < 0 or high[j] >= after:
                 break
-            first, before = out[j][0], out[j][2]
-            del out[j:]
-    return [(a, b, y - x) for a, b, x, y in out]
+            begin, before, below = first[j], low[j], link[j]
+            del first[j:], last[j:], low[j:], high[j:], link[j:]
+            j = below
+        first.append(begin)
+        last.append(i)
+        low.append(before)
+        high.append(after)
+        link.append(j)
+    return [(a, b, y - x) for a, b, x, y in zip(first, last, low, high, strict=True)]
 
 
 def distinct_score(words: list[str], scores: np.ndarray) -> float:
     """The greatest score of a part of a segment if repeats of a word in the part score -MARGIN.
 
-    Ends go from left to right; `value` holds the score from each start to the end. A start
-    that is worth no more than the next one never is again, which is so once its word comes
-    again: there are never more starts than different words."""
+    Ends go from left to right. A start that is worth no more than a later one never is again
+    (a word adds to the later one alone, or the same to both), so the starts kept fall in worth and
+    the first is the best. Only differences of neighbours are held: a word takes from the one
+    difference between the starts before and after its last occurrence, which a union-find
+    over dropped starts finds, so a pass is linear but for that."""
     up = np.flatnonzero(scores > 0).tolist()
     names = [words[i].strip(STRIP) for i in up]
     if len(set(names)) == len(names):
         return float(scores.sum())
-    total = np.concatenate(([0.0], np.cumsum(scores)))
-    starts, value = np.zeros(0, np.int64), np.zeros(0)
+    total = np.concatenate(([0.0], np.cumsum(scores))).tolist()
+    kept: list[int] = []  # start -> itself, or a start before it (-1: none) if it was dropped
+    before: list[int] = []  # neighbours of a kept start
+    after: list[int] = []
+    less: list[float] = []  # its worth less that of the next kept start
+
+    def held(k: int) -> int:
+        """The last kept start up to the k-th."""
+        root = k
+        while root >= 0 and kept[root] != root:
+            root = kept[root]
+        while k >= 0 and kept[k] != root and kept[k] != k:
+            kept[k], k = root, kept[k]
+        return root
+
     latest: dict[str, int] = {}
-    best, end = 0.0, 0
-    for i, name in zip(up, names, strict=True):
-        value += total[i] - total[end]  # the words between, none above zero
-        k = int(np.searchsorted(starts, latest.get(name, -1), "right"))
-        value[:k] -= MARGIN
-        value[k:] += scores[i]
-        starts, value = np.append(starts, i), np.append(value, scores[i])
-        if k and value[k - 1] <= value[k]:
-            starts, value = np.delete(starts, k - 1), np.delete(value, k - 1)
-        latest[name], end = i, i + 1
-        best = max(best, float(value.max()))
+    best = top = bottom = 0.0  # worth of the first and of the last kept start
+    last, end = -1, 0
+    for k, (i, name) in enumerate(zip(up, names, strict=True)):
+        gain, between = float(scores[i]), total[i] - total[end]  # words between, none above zero
+        changed = -1
+        kept.append(k)
+        before.append(last)
+        after.append(-1)
+        less.append(0.0)
+        if last < 0:
+            top = gain
+        else:
+            at = held(latest[name]) if name in latest else -1
+            top += between + (gain if at < 0 else -MARGIN)
+            bottom += between + (-MARGIN if at == last else gain)
+            if 0 <= at != last:
+                less[at] -= MARGIN + gain
+                changed = at
+            after[last], less[last] = k, bottom - gain
+        for start in (changed, last):
+            while start >= 0 and kept[start] == start and less[start] <= 0:
+                ahead, behind = before[start], after[start]
+                kept[start], before[behind] = ahead, ahead
+                if ahead < 0:
+                    top -= less[start]
+                else:
+                    after[ahead] = behind
+                    less[ahead] += less[start]
+                start = ahead
+        last, bottom, end = k, gain, i + 1
+        latest[name] = k
+        best = max(best, top)
     return best
 
 
@@ -188,11 +234,7 @@ def unit_scores(counts: dict[str, tuple[int, int]], n1: int, n0: int) -> dict[st
         y1, y0 = counts[u]
         rate[u] = (y1 + PRIOR * parent(u)) / (y1 + y0 + PRIOR)
     logit = lambda p: math.log(p / (1 - p))
-    out = {u: logit(r) - logit(base) for u, r in rate.items()}
-    # a unit is needed if it scores or if it corrects a beginning that does
-    hot = {u for u, s in out.items() if s > LEAST}
-    return {u: s if s > LEAST else 0.0 for u, s in out.items()
-            if u in hot or any(u[:k] in hot for k in PREFIXES if k < len(u))}
+    return {u: logit(r) - logit(base) for u, r in rate.items()}
 
 
 def solve_lambda(values: np.ndarray, p: np.ndarray) -> float:
@@ -240,8 +282,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text",
           label_col="toxic", sample=SAMPLE) -> Model:
-    """The model from the labelled sample. The driver receives units of the sample that stand
-    in two toxic texts or more, and one row for each text of the fit: both bounded by `sample`."""
+    """The model from the labelled sample. The driver receives the units of the sample, and one row
+    for each text of the fit: both bounded by `sample`. A unit that stands in no toxic text and in
+    fewer than `CLEAN_TEXTS` clean ones says nothing that its beginning does not say (its log-odds
+    would be within 0.3 of it) and is left to it."""
     rows = training_sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, sample=sample)
 
     def count(batches):
@@ -259,8 +303,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
 
     counts = (rows.filter("not fit").select("text", "toxic").mapInArrow(count, "unit string, y1 long, y0 long")
               .groupBy("unit").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
-              .filter("y1 >= 2 or unit = ''"))
-    table = {r[0]: (r[1], r[2]) for r in counts.collect()}
+              .filter(f"y1 >= 1 or y0 >= {CLEAN_TEXTS} or unit = ''").toArrow())
+    table = {u: (y1, y0) for u, y1, y0 in zip(*[counts.column(k).to_pylist() for k in range(3)], strict=True)}
     n1, n0 = table.pop("", (0, 0))
     model = Model()
     if not n1 or not n0:

@@ -205,3 +205,106 @@ def test_passages_of_long_texts():
     assert [p[:2] for p in model.passages(alone + once)] == [(2004, 2007)]
     assert len(model.passages(once + once)) == 2
     assert not model.passages(" idiot" * 100 + gap)  # one word again and again is no passage
+
+
+def test_scan_of_very_long_texts():
+    """500,000 words, few of them and all of them positive, in seconds."""
+    import time
+    n = 500_000
+    began = time.time()
+    assert len(toxicity.segments(np.tile([1.0, -2.0], n // 2))) == n // 2
+    assert len(toxicity.segments(np.concatenate([np.tile([1.0, -2.0], n // 4), np.tile([3.0, -1.0], n // 4)]))) > 1
+    rng = random.Random(2)
+    for kinds in (5, 3000, 10 ** 9):
+        words = [f"w{rng.randrange(kinds)}" for _ in range(n)]
+        scores = np.array([rng.uniform(0.1, 3) for _ in range(n)])
+        assert toxicity.distinct_score(words, scores) > 0
+    assert time.time() - began < 60
+    model = toxicity.Model(scores={"idiot$": 4.0, "scum$": 4.0}, lam=1.0, log_k=-1.0)
+    assert len(model.passages(("idiot scum " + "fine " * 30) * 15_000)) == 0 and time.time() - began < 90
+
+
+def brute_segments(s):
+    """Maximal segments by walking back over all candidates."""
+    out, total = [], np.concatenate(([0.0], np.cumsum(s)))
+    for i in np.flatnonzero(s > 0).tolist():
+        first, before, after = i, total[i], total[i + 1]
+        while True:
+            j = len(out) - 1
+            while j >= 0 and out[j][2] >= before:
+                j -= 1
+            if j < 0 or out[j][3] >= after:
+                out.append((first, i, before, after))
+                break
+            first, before = out[j][0], out[j][2]
+            del out[j:]
+    return [(a, b) for a, b, _, _ in out]
+
+
+def brute_best(words, s):
+    best = 0.0
+    for i in range(len(s)):
+        v, seen = 0.0, set()
+        for j in range(i, len(s)):
+            v += -toxicity.MARGIN if s[j] > 0 and words[j] in seen else s[j]
+            seen.add(words[j])
+            best = max(best, v)
+    return best
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    """The whole query again in plain loops: word statistics, scores, passages, calibration."""
+    sf = "/root/testdata/sf0.01"
+    text = {r[0]: r[1] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    known = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 and r["doc_id"] in text:
+            known[r["doc_id"]] = max(known.get(r["doc_id"], 0), r["toxic"])
+    fold = {r[0]: r[1] >= 7 for r in spark.createDataFrame([(i,) for i in known], "i long").select(
+        "i", F.expr("pmod(xxhash64(i, 'fold'), 10)")).collect()}
+    strip = toxicity.STRIP
+
+    def chain(word):
+        w = word.strip(strip)
+        return [w[:k] for k in (3, 4, 5, 6) if len(w) > k] + [w + "$"] if w else []
+
+    seen = [{u for w in t.lower().split() for u in chain(w)} for t in (text[i] for i in known if not fold[i])]
+    label = [known[i] for i in known if not fold[i]]
+    n1, n0 = sum(label), len(label) - sum(label)
+    y = {}
+    for units, toxic in zip(seen, label):
+        for u in units:
+            y.setdefault(u, [0, 0])[toxic] += 1
+    y = {u: c for u, c in y.items() if c[1] >= 1 or c[0] >= 3}
+    rate = {}
+    for u in sorted(y, key=lambda u: (u[-1] == "$", len(u), u)):
+        w = u[:-1] if u[-1] == "$" else u
+        p = next((rate[w[:k]] for k in (6, 5, 4, 3) if k < len(w) and w[:k] in rate), n1 / (n1 + n0))
+        rate[u] = (y[u][1] + 8.0 * p) / (sum(y[u]) + 8.0)
+    odds = lambda p: math.log(p / (1 - p))
+
+    def value(word):
+        return next((odds(rate[u]) - odds(n1 / (n1 + n0)) for u in chain(word)[::-1] if u in rate), 0.0) - 0.7
+
+    def scan(t):
+        words = t.lower().split()
+        s = np.array([value(w) for w in words])
+        bare = [w.strip(strip) for w in words]
+        return s, [brute_best(bare[a:b + 1], s[a:b + 1]) for a, b in brute_segments(s)]
+    scanned = {i: scan(t) for i, t in text.items()}
+    fit = [i for i in known if fold[i]]
+    clean = [v for i in fit if not known[i] for v in np.round(scanned[i][0], 1).tolist()]
+    values = sorted(set(clean))
+    lam = toxicity.solve_lambda(np.array(values), np.array([clean.count(v) for v in values]) / len(clean))
+    best = [lam * max(scanned[i][1]) - math.log(len(scanned[i][0])) for i in fit if not known[i] and scanned[i][1]]
+    log_k = sum(best) / len(best) - 0.5772
+
+    def evidence(i):
+        s, parts = scanned[i]
+        return sum(max(0.0, lam * v - log_k - math.log(len(s))) for v in parts)
+    slope, bias = toxicity.logistic_fit(np.array([evidence(i) for i in fit]), np.array([float(known[i]) for i in fit]))
+    for r in registry.QUERIES["op10_toxicity"](spark, sf).collect():
+        want = 1 / (1 + math.exp(-max(-700.0, min(700.0, bias + max(0.0, slope) * evidence(r["doc_id"])))))
+        assert abs(r["score"] - want) < 1e-6 and r["predicted"] == int(r["score"] >= 0.7)
+        s, parts = scanned[r["doc_id"]]
+        assert r["n_passages"] == sum(lam * v - log_k - math.log(len(s)) > 0 for v in parts)
