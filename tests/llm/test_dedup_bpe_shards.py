@@ -247,6 +247,19 @@ def test_shards_query(spark, monkeypatch):
     many = sharding.shard_documents(docs, 8, groups_a_cell=40).collect()  # many cells
     total = check_shards(many, texts)
     assert max(total) - min(total) <= 0.02 * sum(total)
+    rounds = sharding.shard_documents(docs, 8, groups_a_cell=100, cells_a_round=3).collect()  # three rounds
+    total = check_shards(rounds, texts)
+    assert max(total) - min(total) <= 0.01 * sum(total)
+
+
+def test_shards_of_one_group_of_many(spark):
+    """A third of all rows are one text: its group stays whole, the others fill up around it."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy " * 3).otherwise(
+        F.concat(F.lit("own "), F.col("id").cast("string"), F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")))).alias("text"))
+    texts = {r[0]: r[1] for r in docs.collect()}
+    total = check_shards(sharding.shard_documents(docs, 8, groups_a_cell=300).collect(), texts)
+    assert max(total) == 1000 * 16 and max(sorted(total)[:7]) - min(total) <= 64
+    assert sharding._uneven(np.array([9, 3, 0]), 3).tolist() == [3, 3, 0] and not sharding._uneven(np.array([4, 4]), 0).any()
 
 
 def test_shards_edges(spark):

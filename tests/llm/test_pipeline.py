@@ -69,3 +69,17 @@ def test_run_and_edges(spark, tmp_path):
     assert {r["doc_id"] for r in got} == {None} and all(r["n_tokens"] > 5 for r in got)
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
     assert quality.distance(np.array([1.0]), np.array([2.0])) == 0.0
+
+
+def test_columns_named_like_results(spark):
+    """Input columns that an operator's results are named like keep their values through every stage."""
+    rows = [(i, f"{w} some words of a text number {i} that is long enough to stay in the corpus, it says", "en", "s", 40, f"size{i}", i, "k", 2.5)
+            for i, w in enumerate("alpha beta gamma delta epsilon zeta eta theta".split())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string, copies long, "
+                                       "KEPT string, score double")
+    want = {r[0]: r for r in rows}
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "copies", "KEPT", "score"]
+    got = docs.collect()
+    assert got and all(tuple(r) == want[r["doc_id"]] for r in got)
