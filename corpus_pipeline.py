@@ -3,7 +3,7 @@ to target weights, byte-level BPE.
 
 `STAGES` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame
 that is written as Parquet and read again as the next one's docs. All but the last return the
-columns of their docs. Every stage works on all rows that its predecessor kept:
+columns of their docs with their values, also of columns named like an operator's results. Every stage works on all rows that its predecessor kept:
 
 1. documents that the quality rules reject go;
 2. documents whose toxicity score is 0.7 or more go (labels are learned from the stage's rows);
@@ -21,30 +21,41 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carewatch.llm import bpe, common, mixing, quality, simhash, toxicity
 from carewatch.session import ensure_checkpoint_dir
 
 
+def _kept(docs: DataFrame, stage) -> DataFrame:
+    """`stage(docs)` with the columns of `docs` and their values. Columns that the operators do not read
+    are out of their sight, so they may be named like an operator's results."""
+    read = ("doc_id", "text", "lang", "source")
+    hidden = {f"__in{i}": c for i, c in enumerate(docs.columns) if c not in read}
+    out = stage(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in read], *[F.col(f"`{c}`").alias(h) for h, c in hidden.items()]))
+    names = {c: h for h, c in hidden.items()}
+    return out.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.ship_package(spark)
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    return _kept(docs, lambda d: quality.quality_rules(d).filter("kept"))
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.train(docs, labels)
-    return toxicity.toxicity(docs, model).filter("predicted = 0").select(*docs.columns)
+    return _kept(docs, lambda d: toxicity.toxicity(d, model).filter("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.ship_package(spark)
-    return simhash.deduplicated(docs)
+    return _kept(docs, simhash.deduplicated)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.ship_package(spark)
-    return mixing.mixed_documents(docs)
+    return _kept(docs, mixing.mixed_documents)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
