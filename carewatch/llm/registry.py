@@ -142,19 +142,26 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-_OP1_BOUNDS = ", ".join(f"{{'at': {2 * j + 1}, 'below': '{b}'}}" for j, b in enumerate(
-    ("gg", "40", "10", "08", "08", "08", "04", "04", "04", "04", "02", "02", "02", "02", "02", "02")))
+_OP1_SAMPLED = "['g', 'g', 'g', 'g'" + "".join(f", '{1 << (16 - k):04x}'" for k in range(1, 16)) + "]"
+_OP1_TAKEN = "['g', '8', '4'" + ", '2'" * 16 + "]"
 
 
 def _op1_print(name: str, source: str) -> str:
-    inside = "list_filter(inside, lambda t: substr(md5(t), s.at, 2) < s.below)"
     return f"""
+{name}_t AS (
+  SELECT id, t, sha256(t) AS h, t NOT IN (SELECT t FROM frequent) AS inside FROM (SELECT id, unnest(own) AS t FROM {source})),
+{name}_k AS (
+  SELECT id, list({{'t': t, 'h': h}} ORDER BY t) AS kept
+  FROM (SELECT *, bool_or(inside) OVER (PARTITION BY id) AS any_inside FROM {name}_t) WHERE inside OR NOT any_inside GROUP BY id),
+{name}_s AS (SELECT *, least(CAST(floor(log2(len(kept))) AS INT), 16) AS scale FROM {name}_k),
+{name}_j AS (
+  SELECT id, any_value(scale) AS scale, string_agg(CASE WHEN j = '' THEN '' ELSE substr(md5(j), 1, 4) END, '-' ORDER BY i) AS hashes
+  FROM (SELECT id, scale, i, array_to_string(list_transform(list_filter(kept, lambda x:
+          substr(md5(x.t), 1, 4) < ({_OP1_SAMPLED})[CAST(scale + i // 32 + 1 AS INT)]
+          AND substr(x.h, CAST(i % 32 + 1 AS INT), 1) < ({_OP1_TAKEN})[CAST(scale + i // 32 + 1 AS INT)]), lambda x: x.t), ' ') AS j
+        FROM (SELECT *, unnest(range(0, 96)) AS i FROM {name}_s)) GROUP BY id),
 {name} AS (
-  SELECT id, CASE WHEN inside IS NULL THEN '=' || substr(md5(array_to_string(list_sort(own), ' ')), 1, 16) ELSE
-         array_to_string(list_transform([{_OP1_BOUNDS}], lambda s: (
-           CASE WHEN len({inside}) = 0 THEN '' ELSE substr(md5(array_to_string({inside}, ' ')), 1, 8) END)), '-') END AS fp
-  FROM {source} LEFT JOIN (SELECT id, list(t ORDER BY t) AS inside
-                           FROM (SELECT id, unnest(own) AS t FROM {source}) JOIN lex USING (t) GROUP BY id) k USING (id))"""
+  SELECT id, CASE WHEN hashes IS NULL THEN 'none' ELSE scale || ':' || hashes END AS fp FROM {source} LEFT JOIN {name}_j USING (id))"""
 
 
 _OP1_TERMS = "list_distinct(list_filter(string_split(replace(lower({}), chr(10), ' '), ' '), lambda x: x <> ''))"
@@ -169,29 +176,35 @@ f AS (
             || substr(nxt, 1, CAST(length(text) // 2 AS INT)) AS edited FROM e),
 o AS (SELECT id, {_OP1_TERMS.format("text")} AS own FROM f),
 p AS (SELECT id, {_OP1_TERMS.format("edited")} AS own FROM f),
-lex AS (
-  SELECT t FROM (SELECT unnest(own) AS t FROM o) GROUP BY t
-  HAVING count(*) >= 0.01::DOUBLE * (SELECT count(*) FROM d) AND count(*) <= 0.25::DOUBLE * (SELECT count(*) FROM d)),
+frequent AS (
+  SELECT t FROM (SELECT unnest(own) AS t FROM o) GROUP BY t HAVING count(*) > 0.25::DOUBLE * (SELECT count(*) FROM d)),
 {_op1_print("a", "o")},
 {_op1_print("b", "p")},
 n AS (
   SELECT f.doc_id, CAST(length(f.text) AS BIGINT) AS n_chars, sha256(f.edited) AS edited_sha256, a.fp AS fingerprint,
          b.fp AS edited_fingerprint, c.fp AS next_fingerprint
   FROM f JOIN a USING (id) JOIN b USING (id) JOIN a AS c ON c.id = f.next_id),
-r AS (SELECT unnest(range(1, 17)) AS j),
+u AS (
+  SELECT *, CAST(string_split(fingerprint, ':')[1] AS VARCHAR) AS sx, string_split(edited_fingerprint, ':')[1] AS sy,
+         string_split(next_fingerprint, ':')[1] AS sz, string_split(string_split(fingerprint, ':')[2], '-') AS x,
+         string_split(string_split(edited_fingerprint, ':')[2], '-') AS y, string_split(string_split(next_fingerprint, ':')[2], '-') AS z FROM n),
+v AS (
+  SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, next_fingerprint, x, y, z,
+         TRY_CAST(sy AS INT) - TRY_CAST(sx AS INT) AS oy, TRY_CAST(sz AS INT) - TRY_CAST(sx AS INT) AS oz FROM u),
+q AS (SELECT unnest(range(0, 96)) AS p),
 m AS (
   SELECT doc_id, any_value(n_chars) AS n_chars, any_value(edited_sha256) AS edited_sha256,
          any_value(fingerprint) AS fingerprint, any_value(edited_fingerprint) AS edited_fingerprint,
          any_value(next_fingerprint) AS next_fingerprint,
-         sum(CASE WHEN x[j] <> '' OR y[j] <> '' THEN 1 ELSE 0 END) AS hy, sum(CASE WHEN x[j] <> '' AND x[j] = y[j] THEN 1 ELSE 0 END) AS sy,
-         sum(CASE WHEN x[j] <> '' OR z[j] <> '' THEN 1 ELSE 0 END) AS hz, sum(CASE WHEN x[j] <> '' AND x[j] = z[j] THEN 1 ELSE 0 END) AS sz
-  FROM (SELECT *, string_split(fingerprint, '-') AS x, string_split(edited_fingerprint, '-') AS y,
-               string_split(next_fingerprint, '-') AS z FROM n), r GROUP BY doc_id)
+         -- place p of x is place p - 32 * offset of the other, if it has that scale
+         sum(CASE WHEN p - 32 * oy BETWEEN 0 AND 95 AND (x[p + 1] <> '' OR y[CAST(p - 32 * oy + 1 AS INT)] <> '') THEN 1 ELSE 0 END) AS hy,
+         sum(CASE WHEN p - 32 * oy BETWEEN 0 AND 95 AND x[p + 1] <> '' AND x[p + 1] = y[CAST(p - 32 * oy + 1 AS INT)] THEN 1 ELSE 0 END) AS sy,
+         sum(CASE WHEN p - 32 * oz BETWEEN 0 AND 95 AND (x[p + 1] <> '' OR z[CAST(p - 32 * oz + 1 AS INT)] <> '') THEN 1 ELSE 0 END) AS hz,
+         sum(CASE WHEN p - 32 * oz BETWEEN 0 AND 95 AND x[p + 1] <> '' AND x[p + 1] = z[CAST(p - 32 * oz + 1 AS INT)] THEN 1 ELSE 0 END) AS sz
+  FROM v, q GROUP BY doc_id)
 SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-       CASE WHEN fingerprint = edited_fingerprint THEN 1.0 WHEN fingerprint[1] = '=' OR edited_fingerprint[1] = '=' THEN 0.0
-            ELSE sy / hy END::DOUBLE AS near_edited,
-       CASE WHEN fingerprint = next_fingerprint THEN 1.0 WHEN fingerprint[1] = '=' OR next_fingerprint[1] = '=' THEN 0.0
-            ELSE sz / hz END::DOUBLE AS near_next
+       CASE WHEN fingerprint = edited_fingerprint THEN 1.0::DOUBLE WHEN hy = 0 THEN 0.0::DOUBLE ELSE sy::DOUBLE / hy END AS near_edited,
+       CASE WHEN fingerprint = next_fingerprint THEN 1.0::DOUBLE WHEN hz = 0 THEN 0.0::DOUBLE ELSE sz::DOUBLE / hz END AS near_next
 FROM m
 """
 

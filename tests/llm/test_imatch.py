@@ -71,3 +71,17 @@ def test_many_ranges(spark):
         check(spark, rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_half_of_a_text_is_recognised(spark):
+    """Nearly every text is more like its half-edited version than like the next one, whatever its language
+    and length; a language of one document in a thousand as well."""
+    got = [g for g in registry.QUERIES["op1_imatch"](spark, "/root/testdata/sf0.1").collect() if g["n_chars"] >= 400]
+    assert sum(g["near_edited"] > g["near_next"] for g in got) > 0.95 * len(got)
+    assert sum(g["near_edited"] == 0 for g in got) < 0.05 * len(got)
+    common = [(i, " ".join(f"w{(i * 37 + k * k) % 900}" for k in range(120))) for i in range(2000)]
+    rare = [(5000 + i, " ".join(f"ξ{i}λ{k}" for k in range(120))) for i in range(2)]
+    rows = {g["doc_id"]: g for g in imatch.edited_likeness(spark.createDataFrame(common + rare, "doc_id long, text string")).collect()}
+    one_word = [(7, rare[0][1]), (8, rare[0][1] + " more"), (9, "something else " * 40)]
+    near = {g["doc_id"]: g for g in imatch.edited_likeness(spark.createDataFrame(one_word, "doc_id long, text string")).collect()}
+    assert all(rows[i]["near_edited"] > 0 for i, _ in rare) and near[7]["near_next"] > 0.8 and near[8]["near_next"] == 0
