@@ -145,10 +145,9 @@ def quantiles_from_counts(cc: DataFrame, value: str, probs: Sequence[float], by=
 
 def _join_groups(left: DataFrame, small: DataFrame, keys: list[str], few_groups: bool = False) -> DataFrame:
     """Attach one row per group: an equi-join on the group keys, or (no keys) a one-row
-    broadcast on a constant key. `few_groups`: the caller vouches that the keys are a fixed
-    small domain (states, nations), so the group table is broadcast and rows stay in place."""
+    broadcast on a constant key. A group table is broadcast if its measured size allows (AQE)."""
     if keys:
-        return left.join(F.broadcast(small) if few_groups else small, keys, "left")
+        return left.join(small, keys, "left")
     return left.withColumn("_g", F.lit(0)).join(F.broadcast(small.withColumn("_g", F.lit(0))), "_g", "left") \
                .drop("_g")
 
@@ -252,15 +251,13 @@ def tier_label(score: ColumnOrName, q1: ColumnOrName, med: ColumnOrName, q3: Col
 
 
 def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored: str | None = None,
-                  n_buckets: int | None = None, counts: DataFrame | None = None,
-                  few_groups: bool = False) -> DataFrame:
+                  n_buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
     scored rows only (T6), one row per group; that small table is joined to the rows on
-    the group keys (nationally, or with `few_groups`, as a broadcast), so the rows themselves
-    are never shuffled by value. Unscored rows get `unscored` (default NULL)."""
+    the group keys (nationally, as one broadcast row), so the rows themselves are never shuffled by value. Unscored rows get `unscored` (default NULL)."""
     keys = _by(by)
     q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets, counts).drop("n")
-    j = _join_groups(df, q, keys, few_groups)
+    j = _join_groups(df, q, keys)
     return j.withColumn(out, tier_label(col, "_q1", "_q2", "_q3", unscored)).drop("_q1", "_q2", "_q3")
 
 
