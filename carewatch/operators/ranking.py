@@ -143,7 +143,7 @@ def quantiles_from_counts(cc: DataFrame, value: str, probs: Sequence[float], by=
     return g.select(*keys, "n", *outs)
 
 
-def _join_groups(left: DataFrame, small: DataFrame, keys: list[str], few_groups: bool = False) -> DataFrame:
+def _join_groups(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Attach one row per group: an equi-join on the group keys, or (no keys) a one-row
     broadcast on a constant key. A group table is broadcast if its measured size allows (AQE)."""
     if keys:
@@ -254,7 +254,8 @@ def quartile_tier(df: DataFrame, col: str, by=None, out: str = "tier", unscored:
                   n_buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Quartile tiers nationally or within `by` (G4). Edges are exact quartiles of the
     scored rows only (T6), one row per group; that small table is joined to the rows on
-    the group keys (nationally, as one broadcast row), so the rows themselves are never shuffled by value. Unscored rows get `unscored` (default NULL)."""
+    the group keys (nationally, as one broadcast row), so the rows themselves are never
+    shuffled by value. Unscored rows get `unscored` (default NULL)."""
     keys = _by(by)
     q = exact_quantiles(df, col, (0.25, 0.5, 0.75), by, ["_q1", "_q2", "_q3"], n_buckets, counts).drop("n")
     j = _join_groups(df, q, keys)
