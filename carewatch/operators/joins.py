@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import ColumnOrName, _c, clean, pad_key
 from ..session import ensure_checkpoint_dir
-from .ordering import AT, PART, carry_last, in_order, place
+from .ordering import AT, PART, count_before, in_order, place
 
 
 def _keys(on) -> list[str]:
@@ -230,46 +230,53 @@ def _kind(t: T.DataType) -> str:
     return "number" if isinstance(t, T.NumericType) else "time" if isinstance(t, (T.DateType, T.TimestampType)) else t.typeName()
 
 
+#: Blocks of keys: 2^4 of a level make one of the next.
+_BLOCK_BITS = 4
+
+
 def range_winners(keys: DataFrame, ranges: DataFrame) -> DataFrame:
     """(v, rank) for the distinct `keys` (column v) that one of `ranges` (rank, lo, hi; ranks are
     different) holds: the least rank of the ranges with lo <= v <= hi, a null bound being open.
 
     A sweep in four steps, none of which sees all ranges of a place in one task:
 
-    1. starts, ends and keys are put into one order (a start before equal keys, an end after them),
-       so a range is an interval of places and the point at each place begins a segment;
-    2. an interval is cut into aligned blocks of 4^k places, at most six for each k, and the least
-       rank of each block is kept (a hash aggregate, so a place that many ranges cover costs a row);
-    3. a segment's winner is the least among the blocks around its place, one for each k;
-    4. a window carries the winner of the last segment before it to each key."""
+    1. starts, ends and keys are put into one order (a start before equal keys, an end after them);
+       the keys before a start and before an end make a range an interval of key numbers. Ranges
+       without a key go, and of those with the same keys the least rank stays;
+    2. an interval is cut into runs of blocks of 16^k keys, at most two for each k, and the least
+       rank of each run is kept (a hash aggregate, so a run that many ranges have costs a row);
+    3. from the largest blocks down, a block hands its least rank to the 16 below it, each of which
+       keeps the lesser of that and its own: all levels together are little more than the keys;
+    4. a block of level 0 is a key."""
     points = ranges.where("lo is null or hi is null or lo <= hi").select("rank", F.explode(F.array(
         F.struct(F.col("lo").alias("v"), F.lit(0).alias("side")), F.struct(F.col("hi").alias("v"), F.lit(2).alias("side")))).alias("p"))
     points = points.select("rank", "p.*").where("side = 0 or v is not null")  # no lower bound: before all keys
     asked = keys.select(F.lit(None).cast("long").alias("rank"), "v", F.lit(1).alias("side"))
-    placed = place(in_order(points.unionByName(asked), ["v", "side"]))
-    n = placed.agg(F.max("place")).first()[0] or 0
-    levels = max(1, -(-(n + 2).bit_length() // 2))
-    each_level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
-    spans = placed.where("side <> 1").groupBy("rank").agg(
-        F.max(F.when(F.col("side") == 0, F.col("place"))).alias("i"),
-        F.coalesce(F.max(F.when(F.col("side") == 2, F.col("place"))), F.lit(n + 1)).alias("j"))
-    # blocks of level k: those of [ceil(i / 4^k), floor(j / 4^k)) that level k + 1 does not take
-    blocks = spans.withColumn("k", each_level).selectExpr(
-        "rank", "k", "shiftright(i + shiftleft(1L, 2 * k) - 1, 2 * k) AS a", "shiftright(j, 2 * k) AS b",
-        "shiftright(i + shiftleft(1L, 2 * k + 2) - 1, 2 * k + 2) * 4 AS c", "shiftright(j, 2 * k + 2) * 4 AS d")
-    blocks = blocks.where("a < b").selectExpr("rank", "k", """explode(CASE
-        WHEN c >= d THEN sequence(a, b - 1)
-        ELSE concat(if(a < c, sequence(a, c - 1), array()), if(d < b, sequence(d, b - 1), array())) END) AS block""")
-    best = blocks.groupBy("k", "block").agg(F.min("rank").alias("best"))
-    segments = placed.where("side <> 1").select("place", PART, AT)
-    around = segments.select("place", each_level.alias("k")).withColumn("block", F.expr("shiftright(place, 2 * k)"))
-    won = around.join(best, ["k", "block"]).groupBy("place").agg(F.min("best").alias("best"))
-    # a segment that no range covers says so: -1
-    starts = segments.join(won, "place", "left").select(
-        PART, AT, F.coalesce("best", F.lit(-1)).alias("best"), F.lit(None).cast(points.schema["v"].dataType).alias("v"))
-    wanted = placed.where("side = 1").select(PART, AT, F.lit(None).cast("long").alias("best"), "v")
-    told = carry_last(starts.unionByName(wanted), F.col("best"), "rank")
-    return told.where("best is null and rank >= 0").select("v", "rank")
+    ordered = in_order(points.unionByName(asked), ["v", "side"])
+    n = ordered.where("side = 1").count()
+    bounds = count_before(ordered.select("rank", "side", PART, AT), F.col("side") == 1, "at").where("side <> 1")
+    spans = bounds.groupBy("rank").agg(F.max(F.when(F.col("side") == 0, F.col("at"))).alias("i"),
+                                       F.coalesce(F.max(F.when(F.col("side") == 2, F.col("at"))), F.lit(n)).alias("j"))
+    spans = spans.where("i < j").groupBy("i", "j").agg(F.min("rank").alias("rank"))
+    best = None
+    for k in reversed(range(max(1, -(-n.bit_length() // _BLOCK_BITS)))):
+        low, high = k * _BLOCK_BITS, (k + 1) * _BLOCK_BITS
+        # blocks of level k: those of [ceil(i / 16^k), floor(j / 16^k)) that level k + 1 does not take
+        runs = spans.selectExpr(
+            "rank", f"shiftright(i + {(1 << low) - 1}L, {low}) AS a", f"shiftright(j, {low}) AS b",
+            f"shiftright(i + {(1 << high) - 1}L, {high}) * {1 << _BLOCK_BITS}L AS c", f"shiftright(j, {high}) * {1 << _BLOCK_BITS}L AS d")
+        runs = runs.where("a < b").selectExpr("rank", """inline(CASE WHEN c >= d THEN array(struct(a AS a, b AS b))
+            ELSE array(struct(a AS a, c AS b), struct(d AS a, b AS b)) END) AS (a, b)""").where("a < b")
+        runs = runs.groupBy("a", "b").agg(F.min("rank").alias("rank"))
+        cells = runs.selectExpr("explode(sequence(a, b - 1)) AS block", "rank")
+        if best is not None:
+            last = (n - 1) >> low
+            cells = cells.unionByName(best.selectExpr(
+                f"explode(sequence(block * {1 << _BLOCK_BITS}L, least(block * {1 << _BLOCK_BITS}L + {(1 << _BLOCK_BITS) - 1}L, {last}L))) AS block", "rank"))
+        best = cells.groupBy("block").agg(F.min("rank").alias("rank"))
+    numbered = count_before(ordered.where("side = 1").select("v", PART, AT), F.lit(True), "block")
+    # sizes are estimated from compressed files, before rows multiply: no side is broadcast on an estimate
+    return numbered.hint("merge").join(best, "block").select("v", "rank")
 
 
 def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str, hi: str,
@@ -289,7 +296,7 @@ def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str
                           F.col(hi).alias("hi"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
     ranked = place(in_order(first, first.columns), "rank")
     won = range_winners(df.select(k.alias("v")).where("v is not null").distinct(), ranked.select("rank", "lo", "hi"))
-    found = won.join(ranked, "rank").select(F.col("v").alias("__v"), F.lit(0).alias("__t"),
+    found = won.hint("merge").join(ranked, "rank").select(F.col("v").alias("__v"), F.lit(0).alias("__t"),
                                             *[F.col(f"c{i}").alias(f"__c{i}") for i in range(len(cols))])
     # null keys match nothing; a spread second key keeps them out of one partition
     rows = df.withColumn("__k", k).withColumn("__s", F.when(k.isNull(), _spread(df)).otherwise(F.lit(0)))

@@ -2,8 +2,9 @@
 
 `in_order` range-partitions rows by their sort columns, sorts each partition and writes the result,
 so that every later step sees the same partitions: `place` numbers the rows of the whole table,
-`carry_last` hands the last value before a row down to it. Both work inside partitions and across a
-table of one row a partition (the session's shuffle width), which alone is broadcast."""
+`count_before` counts some of them before each row, `carry_last` hands the last value before a row down
+to it. All work inside partitions and across a table of one row a partition (the session's shuffle
+width), which alone is broadcast."""
 
 from __future__ import annotations
 
@@ -41,6 +42,17 @@ def place(ordered: DataFrame, name: str = "place") -> DataFrame:
     return ordered.join(F.broadcast(starts), PART).withColumn(name, F.col("__start") + F.col(AT)).drop("__start")
 
 
+def count_before(ordered: DataFrame, which: Column, name: str) -> DataFrame:
+    """The number of rows with `which` (true or false) before each row, in the order of an `in_order` table
+    (or of rows that kept its `__part` and `__at`)."""
+    df = ordered.withColumn("__c", which.cast("long"))
+    here = F.sum("__c").over(Window.partitionBy(PART).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = df.groupBy(PART).agg(F.sum("__c").alias("__n")).select(PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return (df.withColumn("__here", here).join(F.broadcast(starts), PART)
+            .withColumn(name, F.col("__start") + F.coalesce("__here", F.lit(0))).drop("__c", "__here", "__start"))
+
+
 def carry_last(ordered: DataFrame, value: Column, name: str) -> DataFrame:
     """The last value that is not null up to each row, in the order of an `in_order` table (or of rows
     that kept its `__part` and `__at`)."""

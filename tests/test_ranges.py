@@ -3,6 +3,7 @@ open ranges."""
 
 import datetime
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,14 @@ def test_place_and_carry(spark):
     for r in rows:
         last = r["x"] if r["x"] is not None else last
         assert r["last"] == last
+
+
+def test_nothing_that_grows_is_broadcast(spark, tmp_path):
+    """A file's size says little of the rows made from it: only tables of one row a partition are broadcast."""
+    spark.range(3000).selectExpr("id AS k").write.parquet(f"{tmp_path}/k")
+    spark.range(3000).selectExpr("id AS lo", "id + 500 AS hi", "id % 7 AS seq", "id").write.parquet(f"{tmp_path}/r")
+    keys, ranges = (spark.read.parquet(f"{tmp_path}/{x}") for x in "kr")
+    won = J.range_winners(keys.selectExpr("k AS v"), ranges.selectExpr("id AS rank", "lo", "hi"))
+    joins = re.findall(r"BroadcastHashJoin \[(\w+)#", won._jdf.queryExecution().executedPlan().toString())
+    assert joins and set(joins) == {"__part"}
+    assert sorted(map(tuple, won.collect())) == [(k, max(0, k - 500)) for k in range(3000)]
