@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from carewatch.operators import quality as Q
-from carewatch.plans import references, vbp
+from carewatch.plans import feature_queries, references, vbp
 from carewatch.sources import sinks as SK
 from conftest import rows
 
@@ -77,3 +77,18 @@ def test_required_reference_members(spark):
     table, members, per = references.rbcs_reference(pages)
     assert table.columns == ["HCPCS", "rbcs_category"]
     assert rows(members) == [("99307", True), ("99308", False), ("99309", False), ("99310", False)] and rows(per) == [("Visits", 2)]
+
+
+def test_preamble_files_are_written_by_every_task(spark, tmp_path):
+    """A4: no task writes a whole layout; every file has a head of its own, and a layout without rows has one."""
+    made = spark.range(1, 4001).selectExpr("id AS l_orderkey", "substring('ANR', CAST(id % 3 AS INT) + 1, 1) AS l_returnflag",
+                                           "CAST(id % 7 + 1 AS INT) AS l_linenumber")
+    for i, li in enumerate((made, made.where("l_linenumber <= 2"), made.limit(0))):
+        li.repartition(6).write.parquet(f"{tmp_path}/{i}/lineitem.parquet")
+        spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a file a task
+        try:
+            got = feature_queries.preamble_csv(spark, f"{tmp_path}/{i}")
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert rows(got) == rows(li.selectExpr("CAST(l_orderkey AS STRING)", "l_returnflag", "CAST(l_linenumber AS STRING)"))
+        assert len(got.inputFiles()) == (14, 8, 2)[i]
