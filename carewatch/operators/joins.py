@@ -286,15 +286,18 @@ def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str
     `cols`); a null bound is open. A row never becomes two, rows without a range get NULLs, and
     a range with `lo > hi` holds nothing.
 
-    Ranges may overlap, nest, repeat and cover everything: `range_winners` sweeps them against the
-    distinct keys, and rows look their key's range up by equality."""
+    Ranges may overlap, nest, repeat and cover everything: of those with equal bounds the first is kept,
+    `range_winners` sweeps these against the distinct keys, and rows look their key's range up by equality."""
     k = _c(key)
     kinds = {_kind(f.dataType) for f in df.select(k.alias("v")).schema} | {_kind(ranges.schema[c].dataType) for c in (lo, hi)}
     if len(kinds) > 1:
         raise TypeError(f"interval_lookup: key and bounds are of different kinds: {sorted(kinds)}")
-    first = ranges.select(F.col(seq).alias("seq") if seq else F.lit(0).alias("seq"), F.col(lo).alias("lo"), F.col(hi).isNull().alias("open"),
-                          F.col(hi).alias("hi"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    ranked = place(in_order(first, first.columns), "rank")
+    # of ranges with the same bounds one counts, combined before the shuffle; the bounds then order the ranges of a `seq`
+    first = ranges.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(
+        F.col(seq).alias("seq") if seq else F.lit(0).alias("seq"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("r"))
+    first = first.where("lo is null or hi is null or lo <= hi").groupBy("lo", "hi").agg(F.min("r").alias("r"))
+    first = first.select("r.seq", "lo", F.col("hi").isNull().alias("open"), "hi", *[f"r.c{i}" for i in range(len(cols))])
+    ranked = place(in_order(first, ["seq", "lo", "open", "hi"]), "rank")
     won = range_winners(df.select(k.alias("v")).where("v is not null").distinct(), ranked.select("rank", "lo", "hi"))
     found = won.hint("merge").join(ranked, "rank").select(F.col("v").alias("__v"), F.lit(0).alias("__t"),
                                             *[F.col(f"c{i}").alias(f"__c{i}") for i in range(len(cols))])

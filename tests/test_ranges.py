@@ -84,3 +84,19 @@ def test_nothing_that_grows_is_broadcast(spark, tmp_path):
     joins = re.findall(r"BroadcastHashJoin \[(\w+)#", won._jdf.queryExecution().executedPlan().toString())
     assert joins and set(joins) == {"__part"}
     assert sorted(map(tuple, won.collect())) == [(k, max(0, k - 500)) for k in range(3000)]
+
+
+@pytest.mark.parametrize("seq", [None, "seq"])
+def test_ranges_of_equal_bounds_are_one(spark, monkeypatch, seq):
+    """What is put into order grows with the different bounds and keys, not with the ranges."""
+    rng = random.Random(5)
+    bounds = [(a, a + rng.randint(-2, 30)) for a in range(0, 200, 4)] + [(None, 20), (190, None)]
+    ranges = [(a, b, f"r{rng.randint(0, 10**6)}", rng.randint(0, 90)) for a, b in bounds for _ in range(40)]
+    keys = list(range(-5, 230))
+    held, real = [], J.in_order
+    monkeypatch.setattr(J, "in_order", lambda df, order: held.append(real(df, order)) or held[-1])
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    rdf = spark.createDataFrame(ranges, "lo int, hi int, name string, seq int").repartition(4)
+    got = [tuple(r) for r in J.interval_lookup(df, rdf, "k", "lo", "hi", ["name"], seq=seq).collect()]
+    assert sorted(got, key=repr) == brute(keys, ranges, seq)
+    assert [t.count() <= most for t, most in zip(held, (len(bounds), 2 * len(bounds) + len(keys)), strict=True)] == [True, True]
