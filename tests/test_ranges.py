@@ -100,3 +100,24 @@ def test_ranges_of_equal_bounds_are_one(spark, monkeypatch, seq):
     got = [tuple(r) for r in J.interval_lookup(df, rdf, "k", "lo", "hi", ["name"], seq=seq).collect()]
     assert sorted(got, key=repr) == brute(keys, ranges, seq)
     assert [t.count() <= most for t, most in zip(held, (len(bounds), 2 * len(bounds) + len(keys)), strict=True)] == [True, True]
+
+
+def test_periods_grow_with_days(spark, monkeypatch):
+    """Dates: any number of periods is as many rows of the sweep as they have different first and last days."""
+    seen, real = [], J.range_winners
+    monkeypatch.setattr(J, "range_winners", lambda keys, ranges: seen.append(ranges.count()) or real(keys, ranges))
+    spans = spark.range(3000).selectExpr("date_add(DATE'2020-01-01', CAST(id % 20 AS INT)) AS lo",
+                                         "date_add(DATE'2020-01-01', CAST(id % 20 + id % 3 AS INT)) AS hi", "lpad(id, 5, '0') AS name")
+    days = spark.range(30).selectExpr("date_add(DATE'2020-01-01', CAST(id AS INT)) AS day")
+    got = [tuple(r) for r in J.interval_lookup(days, spans, "day", "lo", "hi", ["name"]).collect()]
+    assert sorted(got, key=repr) == brute([r[0] for r in days.collect()], [(*r, 0) for r in spans.collect()], None)
+    assert seen == [60]
+
+
+def test_count_before(spark):
+    df = O.in_order(spark.range(500).selectExpr("id % 7 AS v", "id % 3 = 0 AS x"), ["v"])
+    rows = O.place(O.count_before(df, F.col("x"), "n")).select("place", "x", "n").collect()
+    n = 0
+    for r in sorted(rows):
+        assert r["n"] == n
+        n += r["x"]
