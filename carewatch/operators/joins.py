@@ -279,6 +279,78 @@ def range_winners(keys: DataFrame, ranges: DataFrame) -> DataFrame:
     return numbered.hint("merge").join(best, "block").select("v", "rank")
 
 
+#: Edges, about, of the cells in which ranges are compared before any is moved.
+_EDGES = 1 << 15
+
+
+def _place_in(df: DataFrame, col: str, edges: str, n: int, name: str) -> DataFrame:
+    """`name`: 2 i + 1 if `col` is the i-th of the `n` ascending values in `edges`, 2 i if it lies before it, 2 n
+    after the last; 0 for a null. A binary search, unrolled so that it compiles."""
+    df = df.withColumn(name, F.lit(0))
+    for k in reversed(range(n.bit_length())):
+        df = df.withColumn(name, F.col(name) + F.when(F.get(edges, F.col(name) + ((1 << k) - 1)) < F.col(col), 1 << k).otherwise(0))
+    return df.withColumn(name, 2 * F.col(name) + F.when(F.get(edges, F.col(name)) == F.col(col), 1).otherwise(0))
+
+
+def ranges_in_question(keys: DataFrame, ranges: DataFrame) -> DataFrame:
+    """`ranges` (seq, lo, hi and more) without those that hold nothing and those that come after others, by `seq`,
+    wherever they may hold a key of `keys` (column v): none that goes is the first of a key.
+
+    Edges, about 2^15 of the different bounds, make cells: an edge is one, and so is what lies between two. The least
+    `seq` of the ranges that hold all of a cell is the cell's limit, and a range goes if its `seq` is over the limits of
+    all cells that it touches. If there are no more keys than that, they are the edges, and cells between them are empty.
+    The ranges are read anew for each step, so they must be the same each time; what is moved is, of each task, the least
+    `seq` of runs of cells (two runs of 2^k cells cover what a range holds) and the ranges that are left."""
+    spark = ranges.sparkSession
+    ensure_checkpoint_dir(spark)
+    spans = ranges.where("lo is null or hi is null or lo <= hi")
+    few, every, values = keys.agg(F.approx_count_distinct("v")).first()[0] <= _EDGES, 1, keys
+    if not few:
+        values = spans.select(F.explode(F.array("lo", "hi")).alias("v"))
+        every = max(1, values.agg(F.approx_count_distinct("v")).first()[0] // _EDGES)
+    values = values.where(F.col("v").isNotNull() & (F.pmod(F.xxhash64("v"), F.lit(every)) == 0)).distinct()
+    edges = values.agg(F.array_sort(F.collect_list("v")).alias("__edges")).checkpoint()
+    n = edges.select(F.size("__edges")).first()[0]
+    cells, levels = 2 * n + 1, (2 * n + 1).bit_length()
+
+    spans = spans.crossJoin(F.broadcast(edges))  # of one row
+    for bound, name in (("lo", "__i"), ("hi", "__j")):
+        spans = _place_in(spans, bound, "__edges", n, name)
+    spans = spans.withColumn("__j", F.when(F.col("hi").isNull(), 2 * n).otherwise(F.col("__j")))
+    # cells that a range holds wholly, and (i, j) that it touches
+    whole = {"__a": F.when(F.col("lo").isNull(), 0).otherwise(F.col("__i").bitwiseOR(1)),
+             "__b": F.when(F.col("hi").isNull(), 2 * n).otherwise((F.col("__j") - 1).bitwiseOR(1))}
+    spans = spans.withColumns(whole)
+    if few:
+        spans = spans.withColumns({"__i": F.col("__a"), "__j": F.col("__b")})
+
+    def runs(i, j):  # (k, first cell) of the two runs of 2^k cells that cover cells i to j
+        k = F.floor(F.log2(F.greatest(F.col(j) - F.col(i), F.lit(0)) + 1.5)).cast("int")
+        return k, F.col(i), F.col(j) + 1 - F.call_function("shiftleft", F.lit(1), k)
+
+    # filters stand after an explode: moved below it, they would write out the searches many times over
+    k, a, b = runs("__a", "__b")
+    some = F.col("__a") <= F.col("__b")
+    held = spans.select("seq", F.explode(F.array(F.when(some, k * cells + a), F.when(some, k * cells + b))).alias("run"))
+    held = held.where("run is not null").groupBy("run").agg(F.min("seq").alias("seq"))
+    none = spark.range(cells).select(F.lit(None).cast(held.schema["seq"].dataType).alias("seq"), F.col("id").alias("run"))
+    k, order = F.floor(F.col("run") / cells), Window.orderBy("cell")  # a bounded table: one task
+    limits = held.unionByName(none).groupBy((F.col("run") % cells).alias("cell")).agg(
+        *[F.min(F.when(k == x, F.col("seq"))).alias(f"l{x}") for x in range(levels)])
+    for x in reversed(range(levels - 1)):  # a run hands its limit to its halves
+        limits = limits.withColumn(f"l{x}", F.least(f"l{x}", f"l{x + 1}", F.lag(f"l{x + 1}", 1 << x).over(order)))
+    for x in range(1, levels):  # the highest limit in a run, null if a cell has none
+        here, there = F.col(f"l{x - 1}"), F.lead(f"l{x - 1}", 1 << (x - 1)).over(order)
+        limits = limits.withColumn(f"l{x}", F.when(here.isNotNull() & there.isNotNull(), F.greatest(here, there)))
+    limits = limits.agg(F.array(*[F.array_sort(F.collect_list(F.struct("cell", f"l{x}")))[f"l{x}"] for x in range(levels)]).alias("__limits"))
+    limits = limits.checkpoint()
+    k, i, j = runs("__i", "__j")
+    over = [F.col("seq") > F.get(F.get("__limits", k), x) for x in (i, j)]
+    asked = F.when((F.col("__i") <= F.col("__j")) & F.coalesce(~(over[0] & over[1]), F.lit(True)), True)
+    left = spans.crossJoin(F.broadcast(limits)).select(*[f"`{c}`" for c in ranges.columns], F.explode(F.array(asked)).alias("__asked"))
+    return left.where("__asked").drop("__asked")
+
+
 def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str, hi: str,
                     cols: Sequence[str], seq: str | None = None) -> DataFrame:
     """Range join of rows to a table of ranges (E9) for number, text and time keys: `cols` of the first
@@ -286,16 +358,18 @@ def interval_lookup(df: DataFrame, ranges: DataFrame, key: ColumnOrName, lo: str
     `cols`); a null bound is open. A row never becomes two, rows without a range get NULLs, and
     a range with `lo > hi` holds nothing.
 
-    Ranges may overlap, nest, repeat and cover everything: of those with equal bounds the first is kept,
+    Ranges may overlap, nest, repeat and cover everything: with a `seq`, those that come after others wherever they
+    hold keys go before anything is moved (`ranges_in_question`); of those with equal bounds the first is kept,
     `range_winners` sweeps these against the distinct keys, and rows look their key's range up by equality."""
     k = _c(key)
     kinds = {_kind(f.dataType) for f in df.select(k.alias("v")).schema} | {_kind(ranges.schema[c].dataType) for c in (lo, hi)}
     if len(kinds) > 1:
         raise TypeError(f"interval_lookup: key and bounds are of different kinds: {sorted(kinds)}")
     # of ranges with the same bounds one counts, combined before the shuffle; the bounds then order the ranges of a `seq`
-    first = ranges.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.struct(
-        F.col(seq).alias("seq") if seq else F.lit(0).alias("seq"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]).alias("r"))
-    first = first.where("lo is null or hi is null or lo <= hi").groupBy("lo", "hi").agg(F.min("r").alias("r"))
+    first = ranges.select((F.col(seq) if seq else F.lit(0)).alias("seq"), F.col(lo).alias("lo"), F.col(hi).alias("hi"),
+                          *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    first = ranges_in_question(df.select(k.alias("v")), first) if seq else first.where("lo is null or hi is null or lo <= hi")
+    first = first.groupBy("lo", "hi").agg(F.min(F.struct("seq", *[f"c{i}" for i in range(len(cols))])).alias("r"))
     first = first.select("r.seq", "lo", F.col("hi").isNull().alias("open"), "hi", *[f"r.c{i}" for i in range(len(cols))])
     ranked = place(in_order(first, ["seq", "lo", "open", "hi"]), "rank")
     won = range_winners(df.select(k.alias("v")).where("v is not null").distinct(), ranked.select("rank", "lo", "hi"))

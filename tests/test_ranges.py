@@ -102,6 +102,42 @@ def test_ranges_of_equal_bounds_are_one(spark, monkeypatch, seq):
     assert [t.count() <= most for t, most in zip(held, (len(bounds), 2 * len(bounds) + len(keys)), strict=True)] == [True, True]
 
 
+@pytest.mark.parametrize(("edges", "kind"), [(256, "int"), (1 << 15, "string")])
+def test_ranges_behind_others_are_not_moved(spark, monkeypatch, edges, kind):
+    """With a `seq`: what is put into order grows with the ranges that may be the first of a key, not with all that differ."""
+    rng = random.Random(edges)
+    monkeypatch.setattr(J, "_EDGES", edges, raising=False)
+    spans = [(a, a + rng.randint(-20, 400), f"r{a}", rng.randint(0, 2000)) for a in (rng.randint(0, 9000) for _ in range(6000))]
+    spans += [(None, 40, "open below", 1), (8000, None, "open above", 1), (None, None, "last", 5000)]
+    keys = [rng.randint(-50, 9500) for _ in range(900)]
+    if kind == "string":
+        spans = [tuple(x if x is None else f"{x + 100:08}" for x in r[:2]) + r[2:] for r in spans]
+        keys = [f"{k + 100:08}" for k in keys]
+    moved, real = [], J.in_order
+    monkeypatch.setattr(J, "in_order", lambda df, order: moved.append(real(df, order)) or moved[-1])
+    df = spark.createDataFrame([(k,) for k in keys], f"k {kind}").repartition(3)
+    rdf = spark.createDataFrame(spans, f"lo {kind}, hi {kind}, name string, seq int").repartition(4)
+    got = [tuple(r) for r in J.interval_lookup(df, rdf, "k", "lo", "hi", ["name"], seq="seq").collect()]
+    assert sorted(got, key=repr) == brute(keys, spans, "seq")
+    assert moved[0].count() < len(spans) / 4
+
+
+def test_no_first_range_goes(spark, monkeypatch):
+    """Few edges or all keys: of every set of ranges the first of each key is left, ranges without a `seq` too."""
+    for t, edges in enumerate([4, 30, 1000]):
+        rng = random.Random(t)
+        monkeypatch.setattr(J, "_EDGES", edges)
+        spans = [(rng.choice([None, a]) if k < 6 else a, rng.choice([None, b]) if k < 9 else b, rng.choice([None, *range(9)]), k)
+                 for k, (a, b) in enumerate((x, x + rng.randint(-3, 12)) for x in (rng.randint(0, 200) for _ in range(150)))]
+        keys = [rng.randint(-5, 215) for _ in range(120)]
+        left = J.ranges_in_question(spark.createDataFrame([(k,) for k in keys], "v int"), spark.createDataFrame(spans, "lo int, hi int, seq int, c0 int"))
+        assert left.columns == ["lo", "hi", "seq", "c0"]
+        kept = {r["c0"] for r in left.collect()}
+        for v in keys:
+            fit = [((s is not None, s or 0), k) for lo, hi, s, k in spans if (lo is None or lo <= v) and (hi is None or v <= hi)]
+            assert {k for s, k in fit if s == min(fit)[0]} <= kept
+
+
 def test_periods_grow_with_days(spark, monkeypatch):
     """Dates: any number of periods is as many rows of the sweep as they have different first and last days."""
     seen, real = [], J.range_winners
